@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def _new_centres(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndar
 
 def assign(points: DataFrame, vector: str, centres: np.ndarray) -> DataFrame:
     """Each point's nearest centre and the distance to it."""
-    schema = points.schema.add("cluster", "int").add("distance", "double")
+    schema = T.StructType([*points.schema.fields, T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.DoubleType())])
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

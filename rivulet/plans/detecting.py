@@ -189,7 +189,8 @@ def route(spark: SparkSession, sf: str) -> DataFrame:
 def vector_distance(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     first = vectors.agg(F.min_by("embedding", "vec_id")).scalar()
-    return vectors.select("vec_id", F.round(euclidean(F.col("embedding"), first), 4).alias("distance"))
+    beside = vectors.withColumn("first", first)
+    return beside.select("vec_id", F.round(euclidean(F.col("embedding"), F.col("first")), 4).alias("distance"))
 
 
 KMEANS_K, KMEANS_PASSES = 10, 12
@@ -217,11 +218,12 @@ def _kmeans_sql(k: int, passes: int, tolerance: float = 0.01, seed: int = 42) ->
                   q.done OR (max(CASE WHEN q.done THEN 0 ELSE list_distance(q.v, coalesce(m.v, q.v)) END) OVER ()) <= {tolerance} AS done
                   FROM c{i} q LEFT JOIN m{i} m USING (c))"""
         )
-    return "WITH " + ",\n".join(steps)
+    return "WITH " + ",\n".join(steps)+f" SELECT id, c, v from a{passes-1}"
 
 
 @query("kmeans")
 def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "embeddings").select("vec_id", "embedding")
     result = clusters.kmeans(points, "embedding", "vec_id", KMEANS_K)
+    print("PASSES", result.passes)
     return result.assigned.select("vec_id", "cluster", F.round("distance", 4).alias("distance"))

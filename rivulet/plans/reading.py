@@ -85,7 +85,7 @@ def positional_fields(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "epoch_dates",
     """
-    SELECT event_id, epoch_ms(ts) AS ms, date_trunc('second', ts) AS second,
+    SELECT event_id, epoch_us(ts) // 1000 AS ms, date_trunc('second', ts) AS second,
            strftime(ts + INTERVAL '8 hours', '%Y-%m-%d') AS local_date,
            strftime(ts + INTERVAL '8 hours', '%Y-%m-%d %H:%M:%S') AS local_time,
            strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hour,
@@ -160,7 +160,7 @@ def _records(events: DataFrame) -> DataFrame:
     "envelope",
     """
     SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
-           epoch_ms(ts) AS "timestamp", CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS "key",
+           epoch_us(ts) // 1000 AS "timestamp", CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS "key",
            props AS "value", event_type <> 'error' AS has_key
     FROM events WHERE NOT (event_type = 'click' AND user_id % 4 = 0 AND event_id < 42)
       AND NOT (event_type = 'click' AND user_id % 4 = 1 AND event_id < 300)

@@ -236,13 +236,13 @@ def path_parquet(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "hour_commit",
     """
-    SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS h, count(*) AS n, TRUE AS committed
+    SELECT strftime(ts, '%Y-%m') AS dt, strftime(ts, '%H') AS h, count(*) AS n, TRUE AS committed
     FROM events GROUP BY 1, 2
     """,
 )
 def hour_commit(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "ts")
-    rows = files.with_day_and_hour(events, F.col("ts")).drop("ts")
+    rows = files.with_day_and_hour(events, F.col("ts"), "yyyy-MM").drop("ts")
     path = fresh_dir(spark, "hours")
     sink = files.committing_partitions(path, ["dt", "h"])
     sink(rows, 0)
@@ -290,7 +290,7 @@ def json_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "comma_scan",
     """
-    SELECT event_id AS id, event_type AS kind, epoch_ms(ts) AS ms FROM events
+    SELECT event_id AS id, event_type AS kind, epoch_us(ts) // 1000 AS ms FROM events
     """,
 )
 def comma_scan(spark: SparkSession, sf: str) -> DataFrame:

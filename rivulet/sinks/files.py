@@ -52,8 +52,8 @@ def with_clock_day(df: DataFrame, clock: Column | None = None, into: str = "c_da
     return df.withColumn(into, F.date_format(F.current_timestamp() if clock is None else clock, "yyyy-MM-dd"))
 
 
-def with_day_and_hour(df: DataFrame, time: Column) -> DataFrame:
-    return df.withColumns({"dt": F.date_format(time, "yyyy-MM-dd"), "h": F.date_format(time, "HH")})
+def with_day_and_hour(df: DataFrame, time: Column, day: str = "yyyy-MM-dd") -> DataFrame:
+    return df.withColumns({"dt": F.date_format(time, day), "h": F.date_format(time, "HH")})
 
 
 def day_bucket_stream(df: DataFrame, path: str, checkpoint: str, clock: Column | None = None) -> DataStreamWriter:
@@ -90,23 +90,17 @@ def committing_partitions(path: str, by: Sequence[str], fmt: str = "orc") -> Cal
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        replace_partitions(df.withColumn("batch_id", F.lit(batch_id)), path, [*by, "batch_id"], fmt)
-        touched = (
-            spark.read.format(fmt).load(path).where(F.col("batch_id") == batch_id).select(
-                *[F.col(c).cast("string") for c in by]
-            ).distinct()
-        )
+        rows = df.withColumn("batch_id", F.lit(batch_id))
+        replace_partitions(rows, path, [*by, "batch_id"], fmt)
+        stored = spark.read.schema(rows.schema).format(fmt).load(path)
+        touched = stored.where(F.col("batch_id") == batch_id).select(*by).distinct()
         for row in touched.toLocalIterator():
-            directory = "/".join(_directory(c, row[c]) for c in by)
+            directory = "/".join(f"{c}={row[c]}" for c in by)
             paths.touch(spark, f"{path}/{directory}/{SUCCESS}")
 
     return write
 
 
-def _directory(column: str, value: str) -> str:
-    return f"{column}={value}"
-
-
 def committed_partitions(spark: SparkSession, path: str, by: Sequence[str]) -> list[tuple[str, ...]]:
     """Partition values that carry the marker, from the directory names alone."""
 
