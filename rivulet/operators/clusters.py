@@ -1,7 +1,7 @@
 """k-means (M01) as a loop of Spark jobs.
 
-The points stay on the executors. A pass adds up, per Arrow batch, the members of
-each centre, so at most k rows per batch are shuffled, and only the k new centres
+The points stay on the executors. A pass adds up the members of each centre, so a
+task shuffles one partial sum per centre and dimension, and only the k new centres
 reach the driver.
 """
 
@@ -49,26 +49,32 @@ def start_centres(points: DataFrame, vector: str, ident: str, k: int, seed: int)
 
 
 def _new_centres(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
+    k, width = centres.shape
+
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k, width = centres.shape
         sums, counts = np.zeros((k, width)), np.zeros(k, dtype="int64")
         for batch in batches:
             if len(batch):
                 matrix = _matrix(batch[vector])
                 index, _ = _nearest(matrix, centres)
-                np.add.at(sums, index, matrix)
-                counts += np.bincount(index, minlength=k)
+                members = index[None, :] == np.arange(k)[:, None]
+                sums += members @ matrix
+                counts += members.sum(axis=1)
         held = np.flatnonzero(counts)
-        yield pd.DataFrame({"c": held, "n": counts[held], "s": list(sums[held])})
-
-    partial = points.select(vector).mapInPandas(add_up, "c int, n bigint, s array<double>")
-    width = centres.shape[1]
-    totals = partial.groupBy("c").agg(
-        F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[i]) for i in range(width)]).alias("s")
-    )
+        yield pd.DataFrame(
+            {
+                "c": np.repeat(held, width),
+                "i": np.tile(np.arange(width), len(held)),
+                "n": np.repeat(counts[held], width),
+                "s": sums[held].ravel(),
+            }
+        )
+
+    partial = points.select(vector).mapInPandas(add_up, "c int, i int, n bigint, s double")
+    means = partial.groupBy("c", "i").agg((F.sum("s") / F.sum("n")).alias("mean"))
     moved = centres.copy()
-    for row in totals.collect():
-        moved[row["c"]] = np.array(row["s"]) / row["n"]
+    for row in means.collect():
+        moved[row["c"], row["i"]] = row["mean"]
     return moved
 
 

@@ -193,37 +193,42 @@ def vector_distance(spark: SparkSession, sf: str) -> DataFrame:
     return beside.select("vec_id", F.round(euclidean(F.col("embedding"), F.col("first")), 4).alias("distance"))
 
 
-KMEANS_K, KMEANS_PASSES = 10, 12
+KMEANS_K, KMEANS_PASSES = 10, 40
 
 
 def _kmeans_sql(k: int, passes: int, tolerance: float = 0.01, seed: int = 42) -> str:
-    """The same start, passes and stop rule, written out pass by pass."""
+    """The same start, passes and stop rule written out: once settled, centres stay as they are."""
     steps = [
-        "pts AS MATERIALIZED (SELECT min(vec_id) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings GROUP BY embedding)",
-        f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY md5(concat('{seed}:', id)), id) - 1 AS INTEGER) AS c, v,
-              FALSE AS done FROM pts QUALIFY c < {k})""",
+        """p AS MATERIALIZED (
+             SELECT min(vec_id) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings GROUP BY embedding)""",
+        f"""c0 AS MATERIALIZED (
+             SELECT row_number() OVER (ORDER BY md5(concat('{seed}:', id)), id) - 1 AS c, v FROM p QUALIFY c < {k})""",
     ]
+    nearest = "SELECT {cols}, arg_min(c, (list_distance(x.v, q.v), c)) AS c FROM {points} x, c{i} q GROUP BY ALL"
     for i in range(passes):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(cols='x.id, x.v', points='p', i=i)})")
         steps.append(
-            f"""a{i} AS MATERIALIZED (SELECT id, any_value(p.v) AS v, arg_min(c, (list_distance(p.v, q.v), c)) AS c
-                  FROM pts p CROSS JOIN c{i} q GROUP BY id)"""
+            f"""m{i} AS MATERIALIZED (
+                  SELECT c, list(mean ORDER BY pos) AS v FROM (
+                    SELECT c, pos, avg(x) AS mean FROM (
+                      SELECT c, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{i}) GROUP BY c, pos)
+                  GROUP BY c)"""
         )
         steps.append(
-            f"""m{i} AS MATERIALIZED (SELECT c, list(x ORDER BY pos) AS v FROM (
-                  SELECT c, pos, avg(x) AS x FROM (
-                    SELECT c, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{i}) GROUP BY c, pos) GROUP BY c)"""
+            f"""c{i + 1} AS MATERIALIZED (
+                  SELECT c, CASE WHEN max(list_distance(old, new)) OVER () > {tolerance} THEN new ELSE old END AS v
+                  FROM (SELECT q.c, q.v AS old, coalesce(m.v, q.v) AS new FROM c{i} q LEFT JOIN m{i} m USING (c)))"""
         )
-        steps.append(
-            f"""c{i + 1} AS MATERIALIZED (SELECT q.c, CASE WHEN q.done THEN q.v ELSE coalesce(m.v, q.v) END AS v,
-                  q.done OR (max(CASE WHEN q.done THEN 0 ELSE list_distance(q.v, coalesce(m.v, q.v)) END) OVER ()) <= {tolerance} AS done
-                  FROM c{i} q LEFT JOIN m{i} m USING (c))"""
-        )
-    return "WITH " + ",\n".join(steps)+f" SELECT id, c, v from a{passes-1}"
+    points = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+    final = nearest.format(cols="x.vec_id, x.v", points=points, i=passes - 1)
+    return (
+        "WITH " + ",\n".join(steps) + f""" SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster,
+             round(list_distance(a.v, q.v), 4) AS distance FROM ({final}) a JOIN c{passes - 1} q USING (c)"""
+    )
 
 
-@query("kmeans")
+@query("kmeans", _kmeans_sql(KMEANS_K, KMEANS_PASSES))
 def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    result = clusters.kmeans(points, "embedding", "vec_id", KMEANS_K)
-    print("PASSES", result.passes)
+    result = clusters.kmeans(points, "embedding", "vec_id", KMEANS_K, max_passes=KMEANS_PASSES)
     return result.assigned.select("vec_id", "cluster", F.round("distance", 4).alias("distance"))

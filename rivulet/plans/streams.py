@@ -6,8 +6,11 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.operators import windows
+from rivulet.operators.joins import lookup_join
+from rivulet.operators.sets import union_distinct_stream
 from rivulet.plans import detecting
 from rivulet.plans.registry import query
 from rivulet.plans.writing import LATEST_SQL
@@ -16,7 +19,7 @@ from rivulet.sinks import keyed
 from rivulet.sinks.ledger import BatchLedger
 from rivulet.sinks.topics import json_records
 from rivulet.sources import topics
-from rivulet.streaming import jobs, processors
+from rivulet.streaming import carried, jobs, processors
 from rivulet.tables import table, zoned, zoneless
 
 # Rows of this user only move the watermark.
@@ -60,43 +63,71 @@ def _keyed_events(spark: SparkSession, sf: str) -> DataFrame:
     return zoned(events, "ts").toDF("user_id", "event_time", "seq", "kind")
 
 
-def _replayed(spark: SparkSession, sf: str, close: bool) -> DataFrame:
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with a last row that moves the watermark past all others."""
     events = _keyed_events(spark, sf)
-    row = (CLOSING_USER, CLOSING_TIME, -1, "closing")
-    closing = jobs.far_future(spark, events.schema, row) if close else None
+    closing = jobs.far_future(spark, events.schema, (CLOSING_USER, CLOSING_TIME, -1, "closing"))
     return jobs.Replay(events, "event_time", "seq", closing).stream()
 
 
 @query("stream_fail_pairs", detecting.FAIL_PAIRS_SQL)
 def stream_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    alerts = processors.arrival_pairs(_replayed(spark, sf, False), 3 * 3600, "error", "fails within 3 hours")
-    found = jobs.drained(alerts, "append", "fail-pairs").drop("batch_id")
-    return zoneless(found, "first_fail", "last_fail")
+    events = _events(spark, sf, "user_id", "event_id", "event_type", "ts")
+    replay = jobs.Replay(events, "ts", "event_id")
+    root = fresh_dir(spark, "fail-pairs")
+    alerts = T.StructType.fromDDL(
+        "user_id bigint, first_fail timestamp_ntz, last_fail timestamp_ntz, warning string"
+    )
+    output = BatchLedger(spark, f"{root}/out", alerts)
+    last = keyed.KeyedTable(spark, f"{root}/last", events.schema, ["user_id"], ["event_id"])
+    sink = carried.arrival_pairs(
+        output, last, "event_type", "ts", "event_id", F.expr("INTERVAL 3 HOURS"), "error", "fails within 3 hours"
+    )
+    jobs.drain(replay.stream(), jobs.skipping_empty(sink), "append", f"{root}/checkpoint")
+    return output.read().drop("batch_id")
 
 
 @query("stream_fail_pattern", detecting.FAIL_PATTERN_SQL)
 def stream_fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
-    alerts = processors.ordered_pairs(_replayed(spark, sf, True), 7 * 3600, "5 seconds", "error")
+    alerts = processors.ordered_pairs(_replayed(spark, sf), 7 * 3600, "5 seconds", "error")
     found = jobs.drained(alerts, "append", "fail-pattern").drop("batch_id")
     return zoneless(found, "first_fail", "last_fail")
 
 
 @query("stream_fail_burst", detecting.BURST_SQL)
 def stream_fail_burst(spark: SparkSession, sf: str) -> DataFrame:
-    bursts = processors.ordered_bursts(_replayed(spark, sf, True), detecting.BURST_SPAN, 2, "5 seconds", "error")
+    bursts = processors.ordered_bursts(_replayed(spark, sf), detecting.BURST_SPAN, 2, "5 seconds", "error")
     found = jobs.drained(bursts, "append", "fail-burst").drop("batch_id")
     return zoneless(found, "first_fail", "last_fail")
 
 
+HALVES_SQL = """
+    bounds AS (SELECT epoch_us(min(ts)) AS low, (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 + 1 AS width FROM events),
+    halves AS (SELECT *, (epoch_us(ts) - low) // width AS batch_id FROM events, bounds)
+    """
+
+
 @query(
     "stream_changelog",
-    """
-    WITH counted AS (SELECT event_type AS kind, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events)
-    SELECT kind, TRUE AS is_add, n FROM counted UNION ALL SELECT kind, FALSE, n - 1 FROM counted WHERE n > 1
+    f"""
+    WITH {HALVES_SQL},
+    counts AS (SELECT event_type, count(*) FILTER (batch_id = 0) AS n0, count(*) AS n FROM halves GROUP BY 1)
+    SELECT event_type, TRUE AS is_add, n0 AS n, CAST(0 AS BIGINT) AS batch_id FROM counts WHERE n0 > 0
+    UNION ALL SELECT event_type, FALSE, n0, 1 FROM counts WHERE n > n0 AND n0 > 0
+    UNION ALL SELECT event_type, TRUE, n, 1 FROM counts WHERE n > n0
     """,
 )
 def stream_changelog(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.drained(processors.count_changes(_replayed(spark, sf, False)), "append", "changes").drop("batch_id")
+    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
+    counts = jobs.running_counts(replay.stream(), "event_type")
+    root = fresh_dir(spark, "changelog")
+    output = BatchLedger(
+        spark, f"{root}/out", T.StructType.fromDDL("event_type string, is_add boolean, n bigint")
+    )
+    row = T.StructType.fromDDL("event_type string, n bigint")
+    sent = keyed.KeyedTable(spark, f"{root}/sent", row, ["event_type"], ["n"])
+    jobs.drain(counts, carried.changelog(output, sent), "update", f"{root}/checkpoint")
+    return output.read()
 
 
 @query("stream_upsert_latest", LATEST_SQL)
@@ -137,8 +168,6 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_union_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    from rivulet.operators.sets import union_distinct_stream
-
     replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "user_id", "event_type"), "ts", "event_id")
 
     def side(*kinds: str) -> DataFrame:
@@ -157,13 +186,9 @@ def stream_union_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    from rivulet.operators.joins import lookup_join
-
     replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "user_id"), "ts", "event_id")
     root = fresh_dir(spark, "stream-lookup")
     schema = "event_id bigint, user_id bigint, c_name string"
-    from pyspark.sql import types as T
-
     target = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(schema))
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
@@ -177,14 +202,11 @@ def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "batch_counts",
-    """
-    WITH bounds AS (SELECT epoch_us(min(ts)) AS low, (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 + 1 AS width FROM events)
-    SELECT (epoch_us(ts) - low) // width AS batch_id, event_type, count(*) AS n FROM events, bounds GROUP BY ALL
+    f"""
+    WITH {HALVES_SQL} SELECT batch_id, event_type, count(*) AS n FROM halves GROUP BY ALL
     """,
 )
 def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import types as T
-
     replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
     root = fresh_dir(spark, "batch-counts")
     target = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL("event_type string, n bigint"))

@@ -45,10 +45,13 @@ class KeyedTable:
         done = [n for n in names if paths.exists(self.spark, f"{self.path}/{kind}/{n}/_SUCCESS")]
         return sorted(int(n.partition("=")[2]) for n in done)
 
-    def _versions(self) -> DataFrame | None:
-        bases = self._ids("base")
+    def _versions(self, before: int | None) -> DataFrame | None:
+        def visible(kind: str) -> list[int]:
+            return [i for i in self._ids(kind) if before is None or i < before]
+
+        bases = visible("base")
         upto = bases[-1] if bases else -1
-        parts = [f"{self.path}/delta/{VERSION}={i}" for i in self._ids("delta") if i > upto]
+        parts = [f"{self.path}/delta/{VERSION}={i}" for i in visible("delta") if i > upto]
         stored = T.StructType([*self.schema.fields, T.StructField(VERSION, T.LongType())])
         read = self.spark.read.schema(stored)
         union = None
@@ -59,18 +62,18 @@ class KeyedTable:
             union = deltas if union is None else union.union(deltas)
         return union
 
-    def current(self) -> DataFrame:
-        """The table as of the last committed batch."""
-        versions = self._versions()
+    def current(self, before: int | None = None) -> DataFrame:
+        """The table as of the last committed batch, or as of the one before ``before``."""
+        versions = self._versions(before)
         if versions is None:
             return self.spark.createDataFrame([], self.schema)
         return newest(versions, self.keys, [VERSION, *self.order]).select(*self.schema.names)
 
-    def compact(self) -> None:
+    def compact(self, before: int | None = None) -> None:
         """Fold all batches so far into a new base."""
-        done = self._ids("delta")
+        done = [i for i in self._ids("delta") if before is None or i < before]
         if done:
-            self.current().write.mode("overwrite").parquet(f"{self.path}/base/{VERSION}={done[-1]}")
+            self.current(before).write.mode("overwrite").parquet(f"{self.path}/base/{VERSION}={done[-1]}")
 
 
 def without_fields(documents: DataFrame, *fields: str) -> DataFrame:

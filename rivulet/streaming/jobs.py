@@ -93,7 +93,7 @@ class Replay:
     table, so that a batch stays bounded.
     """
 
-    ROWS_PER_BATCH = 200_000_000
+    ROWS_PER_BATCH = 50_000_000
 
     def __init__(self, df: DataFrame, time: str, spread: str, closing: DataFrame | None = None):
         self.spark = df.sparkSession

@@ -1,228 +1,157 @@
-"""Keyed state in streams (T08, T08b, T09, T12) with ``transformWithStateInPandas``.
+"""Event-time patterns on streams (T08b, T09) with ``applyInPandasWithState``.
 
-Input columns are ``user_id, event_time, seq, kind``. State per key is one row, plus,
-for event-time order, the rows the watermark has not passed yet.
+Input columns are ``user_id, event_time, seq, kind``. The state of a key is one
+small row and the rows the watermark has not passed yet. It travels with the key's
+rows in Arrow batches, so a key costs no extra round trips.
+
+One task holds a key's share of one micro-batch, so the source's batch limit
+(``maxFilesPerTrigger`` and the like) bounds memory even if one key has most rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.session import ROCKSDB
 
 PAIR = "user_id bigint, first_fail timestamp, last_fail timestamp, warning string"
 BURST = "user_id bigint, first_fail timestamp, last_fail timestamp, fails bigint"
-CHANGE = "kind string, is_add boolean, n bigint"
 
+LAST_EVENT = "t bigint, fail boolean"
+# Rows waiting for the watermark, as parallel arrays.
+WAITING = "times array<bigint>, seqs array<bigint>, fails array<boolean>"
 
-def _micros(times: pd.Series) -> np.ndarray:
-    return times.dt.tz_localize(None).to_numpy().astype("datetime64[us]").astype("int64")
+KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 
-def _timestamps(micros) -> pd.Series:
-    return pd.Series(np.asarray(micros, dtype="int64").astype("datetime64[us]"))
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.dt.tz_localize(None).to_numpy().astype("datetime64[us]").astype("int64")
 
 
-def _pairs(user: int, first: np.ndarray, last: np.ndarray, message: str) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"user_id": user, "first_fail": _timestamps(first), "last_fail": _timestamps(last), "warning": message}
-    )
+def _times(micros: np.ndarray) -> np.ndarray:
+    return micros.astype("int64").astype("datetime64[us]")
 
 
-def _adjacent(t: np.ndarray, fail: np.ndarray, before: tuple[int, bool] | None) -> tuple[np.ndarray, ...]:
-    """Each row's time and kind beside those of the row before."""
+def _paired_fails(
+    user: int, t: np.ndarray, fail: np.ndarray, before: tuple[int, bool] | None, within: int, message: str
+) -> pd.DataFrame | None:
+    """Alerts for adjacent fails, the first row being compared with the remembered one."""
     if before is not None:
         t, fail = np.concatenate([[before[0]], t]), np.concatenate([[before[1]], fail])
-    return t[:-1], t[1:], fail[:-1] & fail[1:]
-
-
-class ArrivalPairs(StatefulProcessor):
-    """Consecutive fails in arrival order; state is the previous event."""
-
-    def __init__(self, within_micros: int, fail: str, message: str):
-        self.within, self.fail, self.message = within_micros, fail, message
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "t bigint, fail boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        t, fail = _micros(batch["event_time"]), (batch["kind"] == self.fail).to_numpy()
-        before = self.last.get()
-        first, last, both = _adjacent(t, fail, None if before is None else tuple(before))
-        self.last.update((int(t[-1]), bool(fail[-1])))
-        hit = both & (last < first + self.within)
-        if hit.any():
-            yield _pairs(key[0], first[hit], last[hit], self.message)
-
-    def close(self) -> None:
-        pass
-
-
-class EventTimeOrder(StatefulProcessor):
-    """Holds rows back until the watermark passes them, then hands them on in time order."""
-
-    MEMORY = "t bigint"
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "t bigint, seq bigint, kind string")
-        self.memory = handle.getValueState("memory", self.MEMORY)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for batch in rows:
-            t = _micros(batch["event_time"])
-            self.waiting.appendList(list(zip(t.tolist(), batch["seq"].tolist(), batch["kind"].tolist())))
-            low = int(t.min())
-            earliest = low if earliest is None else min(earliest, low)
-        self.wake(earliest)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        due, later = [], []
-        for row in self.waiting.get():
-            (due if row[0] <= watermark else later).append(tuple(row))
-        if due:
-            self.waiting.put(later) if later else self.waiting.clear()
+    hit = fail[:-1] & fail[1:] & (t[1:] < t[:-1] + within)
+    if not hit.any():
+        return None
+    first, last = _times(t[:-1][hit]), _times(t[1:][hit])
+    return pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "warning": message})
+
+
+Release = Callable[[int, np.ndarray, np.ndarray, tuple | None, int], tuple[pd.DataFrame | None, tuple | None, int | None]]
+
+
+def _in_event_time(fail_kind: str, memory_width: int, release: Release) -> KeyedFunction:
+    """Holds rows back until the watermark passes them, then hands them on in time order.
+
+    ``release(user, times, fails, memory, watermark)`` gives output, new memory and
+    a time at which it wants to be called again.
+    """
+
+    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else ([], [], [], *[None] * memory_width)
+        t = np.array(held[0], dtype="int64")
+        seq, fail = np.array(held[1], dtype="int64"), np.array(held[2], dtype=bool)
+        memory = held[3:] if held[3] is not None else None
+        if not state.hasTimedOut:
+            batch = pd.concat(list(rows))
+            t = np.concatenate([t, _micros(batch["event_time"])])
+            seq = np.concatenate([seq, batch["seq"].to_numpy()])
+            fail = np.concatenate([fail, (batch["kind"] == fail_kind).to_numpy()])
+        watermark = state.getCurrentWatermarkMs() * 1000
+        due = t <= watermark
+        order = np.lexsort((seq[due], t[due]))
+        output, memory, wake = release(key[0], t[due][order], fail[due][order], memory, watermark)
+        t, seq, fail = t[~due], seq[~due], fail[~due]
+        if len(t) or memory is not None:
+            state.update((t.tolist(), seq.tolist(), fail.tolist(), *(memory or [None] * memory_width)))
+            later = [int(t.min())] if len(t) else []
+            later += [wake] if wake is not None else []
             if later:
-                self.wake(min(row[0] for row in later))
-        yield from self.release(key[0], sorted(due), watermark)
+                state.setTimeoutTimestamp(min(later) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        if output is not None:
+            yield output
 
-    def wake(self, micros: int) -> None:
-        """Timer that expires once the watermark is past the given time."""
-        self.handle.registerTimer(micros // 1000 + 1)
+    return step
 
-    def release(self, user, due: list[tuple], watermark: int) -> Iterator[pd.DataFrame]:
-        raise NotImplementedError
 
-    def close(self) -> None:
-        pass
+def _ordered_pairs(within: int, message: str) -> Release:
+    """Consecutive fails; remembers the last released event."""
 
+    def release(user, t, fail, memory, watermark):
+        if not len(t):
+            return None, memory, None
+        return _paired_fails(user, t, fail, memory, within, message), (int(t[-1]), bool(fail[-1])), None
 
-class OrderedPairs(EventTimeOrder):
-    """Consecutive fails in event-time order; remembers the last released event."""
+    return release
 
-    MEMORY = "t bigint, fail boolean"
 
-    def __init__(self, within_micros: int, fail: str, message: str):
-        self.within, self.fail, self.message = within_micros, fail, message
-
-    def release(self, user, due, watermark):
-        if due:
-            t = np.array([row[0] for row in due], dtype="int64")
-            fail = np.array([row[2] == self.fail for row in due])
-            before = self.memory.get()
-            first, last, both = _adjacent(t, fail, None if before is None else tuple(before))
-            self.memory.update((int(t[-1]), bool(fail[-1])))
-            hit = both & (last < first + self.within)
-            if hit.any():
-                yield _pairs(user, first[hit], last[hit], self.message)
-
-
-class OrderedBursts(EventTimeOrder):
+def _ordered_bursts(span: int, min_fails: int) -> Release:
     """Fails gathered from a first one; remembers the open burst, in whole seconds."""
 
-    MEMORY = "first bigint, last bigint, fails bigint"
-
-    def __init__(self, span_seconds: int, min_fails: int, fail: str):
-        self.span, self.min_fails, self.fail = span_seconds, min_fails, fail
-
-    def release(self, user, due, watermark):
-        state = self.memory.get()
-        burst = None if state is None else tuple(state)
+    def release(user, times, fails, burst, watermark):
         closed = []
-        for micros, _, kind in due:
+        for micros, failed in zip(times.tolist(), fails.tolist()):
             t = micros // 1_000_000
-            if burst is not None and t > burst[0] + self.span:
+            if burst is not None and t > burst[0] + span:
                 closed.append(burst)
                 burst = None
-            if kind != self.fail:
+            if not failed:
                 burst = None
             elif burst is None:
                 burst = (t, t, 1)
             else:
                 burst = (burst[0], t, burst[2] + 1)
-        if burst is not None and watermark >= (burst[0] + self.span + 1) * 1_000_000:
+        ends = None if burst is None else (burst[0] + span + 1) * 1_000_000
+        if ends is not None and watermark >= ends:
             closed.append(burst)
-            burst = None
-        if burst is None:
-            self.memory.clear()
-        else:
-            self.memory.update(burst)
-            self.wake((burst[0] + self.span + 1) * 1_000_000)
-        reported = [b for b in closed if b[2] >= self.min_fails]
-        if reported:
-            first, last, fails = (np.array(c, dtype="int64") for c in zip(*reported))
-            yield pd.DataFrame(
-                {
-                    "user_id": user,
-                    "first_fail": _timestamps(first * 1_000_000),
-                    "last_fail": _timestamps(last * 1_000_000),
-                    "fails": fails,
-                }
-            )
-
-
-class CountChanges(StatefulProcessor):
-    """Running count per key as a changelog; state is the last count sent out."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sent = handle.getValueState("sent", "n bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.sent.get()
-        n = 0 if before is None else before[0]
-        for batch in rows:
-            upto = n + len(batch)
-            new = np.arange(n + 1, upto + 1)
-            old = new[new > 1] - 1
-            yield pd.DataFrame(
-                {
-                    "kind": key[0],
-                    "is_add": np.concatenate([np.zeros(len(old), dtype=bool), np.ones(len(new), dtype=bool)]),
-                    "n": np.concatenate([old, new]),
-                }
-            )
-            n = upto
-        self.sent.update((n,))
-
-    def close(self) -> None:
-        pass
-
-
-def _stateful(events: DataFrame, key: str, processor: StatefulProcessor, schema: str, mode: str) -> DataFrame:
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return events.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=mode
-    )
+            burst, ends = None, None
+        enough = np.array([b for b in closed if b[2] >= min_fails], dtype="int64").reshape(-1, 3)
+        if not len(enough):
+            return None, burst, ends
+        first, last = _times(enough[:, 0] * 1_000_000), _times(enough[:, 1] * 1_000_000)
+        output = pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "fails": enough[:, 2]})
+        return output, burst, ends
 
+    return release
 
-def arrival_pairs(events: DataFrame, within_seconds: int, fail: str = "fail", message: str = "login fail!") -> DataFrame:
-    """T08 on a stream."""
-    return _stateful(events, "user_id", ArrivalPairs(within_seconds * 1_000_000, fail, message), PAIR, "None")
+
+def _stateful(
+    events: DataFrame, key: str, function: KeyedFunction, output: str, state: str, event_time: bool = False
+) -> DataFrame:
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timeout = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.NoTimeout
+    return events.groupBy(key).applyInPandasWithState(function, output, state, "append", timeout)
 
 
 def ordered_pairs(
     events: DataFrame, within_seconds: int, delay: str, fail: str = "fail", message: str = "login fail!"
 ) -> DataFrame:
-    """T09 on a stream: event-time order after the watermark."""
+    """T09 on a stream: alerts for adjacent fails in event-time order, after the watermark."""
+    step = _in_event_time(fail, 2, _ordered_pairs(within_seconds * 1_000_000, message))
     marked = events.withWatermark("event_time", delay)
-    return _stateful(marked, "user_id", OrderedPairs(within_seconds * 1_000_000, fail, message), PAIR, "EventTime")
+    return _stateful(marked, "user_id", step, PAIR, f"{WAITING}, {LAST_EVENT}", True)
 
 
-def ordered_bursts(events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail") -> DataFrame:
-    """T08b on a stream."""
+def ordered_bursts(
+    events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail"
+) -> DataFrame:
+    """T08b on a stream: bursts of fails, reported when their span is over."""
+    step = _in_event_time(fail, 3, _ordered_bursts(span_seconds, min_fails))
     marked = events.withWatermark("event_time", delay)
-    return _stateful(marked, "user_id", OrderedBursts(span_seconds, min_fails, fail), BURST, "EventTime")
-
-
-def count_changes(events: DataFrame) -> DataFrame:
-    """T12 on a stream, per event kind."""
-    return _stateful(events, "kind", CountChanges(), CHANGE, "None")
+    state = f"{WAITING}, first bigint, last bigint, count bigint"
+    return _stateful(marked, "user_id", step, BURST, state, True)
