@@ -10,15 +10,16 @@ import json
 
 import pandas as pd
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def upper_text(text: pd.Series) -> pd.Series:
     return text.str.upper()
 
 
-@pandas_udf("bigint")
+@pandas_udf(T.LongType())
 def floored_max(values: pd.Series) -> int:
     """Grouped aggregate: maximum that starts at 0. The built-in form is ``max_with_floor``."""
     top = values.max()
