@@ -7,9 +7,11 @@ registered by SQL name and give the same rows.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
@@ -26,6 +28,19 @@ def floored_max(values: pd.Series) -> int:
     return 0 if pd.isna(top) else max(int(top), 0)
 
 
+def merged(
+    df: DataFrame, keys: Sequence[str], value: str, function: Callable[[Column], Column], into: str, parts: int = 1024
+) -> DataFrame:
+    """Aggregate a user function in two steps: over parts of a group, then over their results.
+
+    A grouped pandas function needs its rows in one task. Cutting a group by the hash
+    of its rows bounds that task; the function must be able to merge its own results.
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    partial = df.groupBy(*keys, part.alias("_part")).agg(function(F.col(value)).alias("_partial"))
+    return partial.groupBy(*keys).agg(function(F.col("_partial")).alias(into))
+
+
 @udtf(returnType="name string, age int, grade string")
 class PersonColumns:
     """JSON text to one row of three columns; bad text gives no row."""

@@ -6,8 +6,8 @@ hot key are cut into consecutive slices along the order column; the window runs
 per (key, slice), and what a slice needs from the ones before it (a running sum, a
 count, the last row) is computed on one small row per slice and joined back.
 
-Ordinary keys stay in slice 0, so they cost one extra column-pruned counting pass
-and no extra shuffle.
+Ordinary keys stay in slice 0. They cost one extra column-pruned pass over a small
+hashed share of the rows and no extra shuffle.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ KEY_ROWS = 1_000_000
 # Broadcast bound: at most this many keys are split. Any key left whole holds no
 # more than max(limit, table rows / MAX_HOT_KEYS) rows.
 MAX_HOT_KEYS = 20_000
+# Slice of rows whose order value is NULL: they sort first.
+FIRST_SLICE = -(2**62)
 # Cut finer than strictly needed, so that a slice stays below the limit when the
 # order column is unevenly spread.
 OVERSPLIT = 8
@@ -45,31 +47,46 @@ def _as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric or a time, is {kind.simpleString()}")
 
 
+def _probe(columns: Sequence[str], limit_rows: int) -> tuple[Column, int]:
+    """Rows that take part in finding hot keys, and how many rows each stands for.
+
+    Counting every key of a huge table would shuffle nearly as much as the work
+    itself. A row takes part by the hash of its own values, so the choice is the same
+    wherever and whenever the row is read, and a key at the limit still shows up
+    with about a thousand rows. It only decides where keys are cut, never a result.
+    """
+    weight = max(1, limit_rows // 1000)
+    bound = (2**63 - 1) // weight
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1) <= F.lit(bound), weight
+
+
 def with_slices(
-    df: DataFrame, keys: Sequence[str], order: str, limit_rows: int = KEY_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit_rows: int = KEY_ROWS
 ) -> DataFrame:
-    """Add ``_slice`` and ``_split``; slices of a key follow the order column.
+    """Add ``_slice`` and ``_split``; slices of a key follow the first order column.
 
-    Equal order values always share a slice, so ordering by further tie-break
-    columns inside a slice is still the order of the whole key.
+    Equal values of that column share a slice, so sorting by all order columns
+    inside the slices is still the order of the whole key.
     """
-    position = _as_number(df, order)
+    lead = order[0]
+    position = _as_number(df, lead)
+    probed, weight = _probe([*keys, *order], limit_rows)
     hot = (
-        df.where(F.col(order).isNotNull())
+        df.where(F.col(lead).isNotNull() & probed)
         .groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-        .where(F.col("_n") > limit_rows)
-        .orderBy(F.desc("_n"))
+        .where(F.col("_n") * weight > limit_rows)
+        .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
-        .withColumn("_cuts", F.ceil(F.col("_n") / F.lit(limit_rows)) * OVERSPLIT)
+        .withColumn("_cuts", F.ceil(F.col("_n") * weight / F.lit(limit_rows)) * OVERSPLIT)
         .withColumn("_width", (F.col("_hi") - F.col("_lo") + 1) / F.col("_cuts"))
         .select(*keys, "_lo", "_width")
     )
-    cut = F.floor((position - F.col("_lo")) / F.col("_width"))
+    cut = F.coalesce(F.floor((position - F.col("_lo")) / F.col("_width")), F.lit(FIRST_SLICE))
     return (
         df.join(F.broadcast(hot), list(keys), "left")
         .withColumn(SPLIT, F.col("_width").isNotNull())
-        .withColumn(SLICE, F.coalesce(cut, F.lit(0)).cast("long"))
+        .withColumn(SLICE, F.when(F.col(SPLIT), cut).otherwise(0).cast("long"))
         .drop("_lo", "_width")
         .select(*df.columns, SLICE, SPLIT)
     )
@@ -111,7 +128,7 @@ def previous_row(
     limit_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Struct of ``columns`` of the row before, per key in the given order."""
-    sliced = with_slices(df, keys, order[0], limit_rows)
+    sliced = with_slices(df, keys, order, limit_rows)
     picked = F.struct(*columns)
     rows = sliced.withColumn("_lag", F.lag(picked).over(slice_window(keys, *order)))
     return (
@@ -136,7 +153,7 @@ def running_sum(
     limit_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row; one result per input row."""
-    sliced = with_slices(df.withColumn("_v", value), keys, order[0], limit_rows)
+    sliced = with_slices(df.withColumn("_v", value), keys, order, limit_rows)
     upto = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_sum", F.sum("_v").over(upto))
     zero = F.lit(0)
@@ -162,7 +179,7 @@ def last_known(
     limit_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row."""
-    sliced = with_slices(df, keys, order[0], limit_rows)
+    sliced = with_slices(df, keys, order, limit_rows)
     upto = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_last", F.last(value, ignorenulls=True).over(upto))
     present = F.when(F.col(value).isNotNull(), F.struct(*order))
@@ -197,7 +214,7 @@ def ordered_lists(
     gives consecutive parts whose concatenation is the whole list, so no task and
     no cell ever holds an unbounded group.
     """
-    sliced = with_slices(df.withColumn("_item", item), keys, order[0], limit_rows)
+    sliced = with_slices(df.withColumn("_item", item), keys, order, limit_rows)
     entry = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col("_item"))
     return (
         sliced.groupBy(*keys, F.col(SLICE).alias("part"))

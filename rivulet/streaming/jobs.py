@@ -112,7 +112,9 @@ class Replay:
         parts = [
             df.where((F.col(time) >= cut(i)) & (F.col(time) < cut(i + 1))) for i in range(self.slices)
         ]
-        smallest = min(part.count() for part in parts)
+        in_slice = F.floor((micros - low) / width)
+        sizes = {r[0]: r[1] for r in df.groupBy(in_slice).count().collect()}
+        smallest = min(sizes.get(i, 0) for i in range(self.slices))
         self.files = max(1, min(self.spark.sparkContext.defaultParallelism, smallest // 1000))
         for part in parts:
             part.repartition(self.files, spread).write.mode("append").parquet(self.path)

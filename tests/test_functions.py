@@ -196,6 +196,12 @@ def test_udx_give_the_rows_of_the_built_ins(spark, rows):
     assert rows(record) == [("t", "p", 4)]
 
 
+def test_user_aggregate_in_two_steps(spark, rows):
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("v"), "id")
+    got = udx.merged(df, ["k"], "v", udx.floored_max, "top", parts=8)
+    assert rows(got) == [(0, 0), (1, 499), (2, 497)]
+
+
 def test_clock_and_uuid(spark):
     assert spark.range(3).select(F.uuid()).distinct().count() == 3
     assert one(spark, times.now().isNotNull())

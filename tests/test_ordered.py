@@ -37,19 +37,31 @@ def case(request, spark):
 
 def test_hot_keys_are_split_and_others_are_not(spark):
     df = spark.createDataFrame(skewed(4), SCHEMA)
-    slices = ordered.with_slices(df, ["k"], "seq", 20).groupBy("k").agg(
+    slices = ordered.with_slices(df, ["k"], ["seq"], 20).groupBy("k").agg(
         F.countDistinct("_slice").alias("n"), F.max("_split").alias("split")
     )
     found = {r.k: (r.n, r.split) for r in slices.collect()}
     assert found["hot"][0] > 5 and found["hot"][1]
     counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
     assert all(found[k] == (1, False) for k, n in counts.items() if n <= 20)
-    assert df.count() == ordered.with_slices(df, ["k"], "seq", 20).count()
+    assert df.count() == ordered.with_slices(df, ["k"], ["seq"], 20).count()
+
+
+def test_hot_keys_are_found_from_a_share_of_the_rows(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 997).alias("k"), F.col("id").alias("seq")
+    )
+    slices = ordered.with_slices(df, ["k"], ["seq"], 5000).groupBy("k").agg(
+        F.countDistinct("_slice").alias("n"), F.count("*").alias("rows")
+    )
+    found = {r.k: (r.n, r.rows) for r in slices.collect()}
+    assert found.pop(-1)[0] >= 20
+    assert all(n == 1 for n, _ in found.values()) and sum(r for _, r in found.values()) == 40_000
 
 
 def test_slices_follow_the_order(spark):
     df = spark.createDataFrame(skewed(5), SCHEMA)
-    spans = ordered.with_slices(df, ["k"], "t", 10).groupBy("k", "_slice").agg(
+    spans = ordered.with_slices(df, ["k"], ["t"], 10).groupBy("k", "_slice").agg(
         F.min("t").alias("lo"), F.max("t").alias("hi")
     )
     for _, group in itertools.groupby(sorted((r.k, r._slice, r.lo, r.hi) for r in spans.collect()), lambda r: r[0]):
@@ -81,6 +93,14 @@ def test_previous_row(case):
     assert sorted((r.seq, tuple(r.p) if r.p else None) for r in got.collect()) == sorted(expected)
 
 
+def test_null_order_values_come_first(spark):
+    data = [("hot", None if seq % 7 == 0 else seq * 3, seq, 1) for seq in range(200)]
+    df = spark.createDataFrame(data, "k string, t bigint, seq bigint, v bigint")
+    got = ordered.running_sum(df, ["k"], ["t", "seq"], F.col("v"), "s", 20).collect()
+    want = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert sorted((r.seq, r.s) for r in got) == sorted((r[2], i) for i, r in enumerate(want, 1))
+
+
 def test_last_known(case):
     data, df, limit = case
     sparse = df.withColumn("v", F.when(F.col("v") > 25, F.col("v")))
