@@ -133,7 +133,11 @@ def top_counts(df: DataFrame, key: str, into: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias(into)).orderBy(F.desc(into), F.asc(key))
 
 
-def group_sums_as_map(df: DataFrame, key: str, item: str, value: str, into: str = "sums") -> DataFrame:
-    """One row per key holding a map item -> sum. Items must be a small set, such as a status."""
-    sums = df.groupBy(key, item).agg(money_sum(value).alias("_sum"))
-    return sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(item, "_sum"))).alias(into))
+def group_sums_as_map(
+    df: DataFrame, key: str, item: str, value: str, items: Sequence[str], into: str = "sums"
+) -> DataFrame:
+    """One row per key holding a map item -> sum over the given items; absent items are left out."""
+    sums = [money_sum(F.when(F.col(item) == i, F.col(value))).alias(f"_{n}") for n, i in enumerate(items)]
+    entries = F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"_{n}").alias("v")) for n, i in enumerate(items)])
+    present = F.filter(entries, lambda e: e["v"].isNotNull())
+    return df.groupBy(key).agg(*sums).select(key, F.map_from_entries(present).alias(into))

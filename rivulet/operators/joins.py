@@ -28,6 +28,46 @@ def lookup_join(
     return facts.join(renamed, F.col(fact_key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
+def salted_lookup_join(
+    facts: DataFrame,
+    dimension: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    how: str = "inner",
+    parts: int = 256,
+    limit_rows: int = ordered.KEY_ROWS,
+) -> DataFrame:
+    """Lookup join that spreads hot keys over ``parts`` tasks by itself.
+
+    For a dimension too large to broadcast whose result is grouped by the same key:
+    there adaptive execution keeps a hot key together, as splitting it would cost
+    another shuffle. Only the hot keys' dimension rows are repeated.
+    """
+    probed, weight = ordered.probe(facts.columns, limit_rows)
+    hot = (
+        facts.where(F.col(fact_key).isNotNull() & probed)
+        .groupBy(F.col(fact_key).alias("_hot"))
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") * weight > limit_rows)
+        .orderBy(F.desc("_n"), "_hot")
+        .limit(ordered.MAX_HOT_KEYS)
+        .select("_hot")
+    )
+    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(parts))
+    left = facts.join(F.broadcast(hot), F.col(fact_key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0).cast("int")
+    )
+    salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    right = (
+        dimension.withColumnRenamed(dim_key, "_dim_key")
+        .join(F.broadcast(hot), F.col("_dim_key") == F.col("_hot"), "left")
+        .withColumn("_dim_salt", F.explode(salts))
+        .drop("_hot")
+    )
+    matched = (F.col(fact_key) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
+    return left.drop("_hot").join(right, matched, how).drop("_salt", "_dim_salt", "_dim_key")
+
+
 def composed_lookup(
     requests: DataFrame, key_column: str, entries: DataFrame, table: str, pk: str, field: str
 ) -> DataFrame:

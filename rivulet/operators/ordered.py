@@ -47,7 +47,7 @@ def _as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric or a time, is {kind.simpleString()}")
 
 
-def _probe(columns: Sequence[str], limit_rows: int) -> tuple[Column, int]:
+def probe(columns: Sequence[str], limit_rows: int) -> tuple[Column, int]:
     """Rows that take part in finding hot keys, and how many rows each stands for.
 
     Counting every key of a huge table would shuffle nearly as much as the work
@@ -70,7 +70,7 @@ def with_slices(
     """
     lead = order[0]
     position = _as_number(df, lead)
-    probed, weight = _probe([*keys, *order], limit_rows)
+    probed, weight = probe([*keys, *order], limit_rows)
     hot = (
         df.where(F.col(lead).isNotNull() & probed)
         .groupBy(*keys)

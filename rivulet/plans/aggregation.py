@@ -64,28 +64,6 @@ def conditional_sum(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select("nationkey", *[F.col(c).cast("double") for c in sums.columns[1:]])
 
 
-@query(
-    "full_merge",
-    """
-    SELECT coalesce(c.nationkey, s.nationkey) AS nationkey, coalesce(c.rows, s.rows) AS rows,
-           coalesce(c.top_name, s.top_name) AS top_name
-    FROM (SELECT c_nationkey AS nationkey, count(*) AS rows, max(c_name) AS top_name
-          FROM customer WHERE c_acctbal > 9900 GROUP BY 1) c
-    FULL JOIN (SELECT s_nationkey AS nationkey, count(*) AS rows, max(s_name) AS top_name
-               FROM supplier GROUP BY 1) s ON c.nationkey = s.nationkey
-    """,
-)
-def full_merge(spark: SparkSession, sf: str) -> DataFrame:
-    rich = table(spark, sf, "customer").where("c_acctbal > 9900")
-    customers = rich.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-        F.count("*").alias("rows"), F.max("c_name").alias("top_name")
-    )
-    suppliers = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        F.count("*").alias("rows"), F.max("s_name").alias("top_name")
-    )
-    return agg.full_merge(customers, suppliers, ["nationkey"], ["rows", "top_name"])
-
-
 @query(
     "running_sum",
     """
@@ -221,7 +199,7 @@ def cond_max(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def group_reduce(spark: SparkSession, sf: str) -> DataFrame:
-    maps = agg.group_sums_as_map(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice")
+    maps = agg.group_sums_as_map(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P"])
     return maps.select("o_orderpriority", F.explode("sums").alias("status", "total"))
 
 
@@ -263,6 +241,24 @@ _BANDS_SQL = (
 )
 
 
+@query(
+    "full_merge",
+    f"""
+    SELECT nationkey, band, coalesce(c.rows, s.rows) AS rows, coalesce(c.side, s.side) AS side
+    FROM (SELECT nationkey, band, count(*) AS rows, 'customer' AS side FROM ({_BANDS_SQL[0]}) GROUP BY ALL) c
+    FULL JOIN (SELECT nationkey, band, count(*) AS rows, 'supplier' AS side FROM ({_BANDS_SQL[1]}) GROUP BY ALL) s
+    USING (nationkey, band)
+    """,
+)
+def full_merge(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["nationkey", "band"]
+    customers, suppliers = (
+        bands.groupBy(*keys).agg(F.count("*").alias("rows")).withColumn("side", F.lit(side))
+        for bands, side in zip(_bands(spark, sf), ("customer", "supplier"))
+    )
+    return agg.full_merge(customers, suppliers, keys, ["rows", "side"])
+
+
 @query("union_distinct", f"{_BANDS_SQL[0]} UNION {_BANDS_SQL[1]}")
 def union_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return sets.union_distinct(*_bands(spark, sf))

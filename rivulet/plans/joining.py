@@ -56,7 +56,7 @@ def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lookup_group(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    enriched = joins.lookup_join(events, _builders(spark, sf), "user_id", "c_custkey", "left")
+    enriched = joins.salted_lookup_join(events, _builders(spark, sf), "user_id", "c_custkey", "left")
     labelled = enriched.withColumn("label", F.concat_ws(":", "event_type", "c_name"))
     return agg.distinct_list(labelled, ["user_id"], "label", "event_id")
 

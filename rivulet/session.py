@@ -56,10 +56,3 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """New, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def reliable_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write to the shared folder."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(spark))

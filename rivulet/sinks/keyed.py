@@ -62,11 +62,16 @@ class KeyedTable:
             union = deltas if union is None else union.union(deltas)
         return union
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """The table as of the last committed batch, or as of the one before ``before``."""
+    def current(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The table as of the last committed batch, or as of the one before ``before``.
+
+        ``only`` holds the keys wanted; others are left out before the merge.
+        """
         versions = self._versions(before)
         if versions is None:
             return self.spark.createDataFrame([], self.schema)
+        if only is not None:
+            versions = versions.join(only.select(*self.keys), self.keys, "left_semi")
         return newest(versions, self.keys, [VERSION, *self.order]).select(*self.schema.names)
 
     def compact(self, before: int | None = None) -> None:

@@ -48,8 +48,7 @@ def arrival_pairs(
         _fold(last, batch_id)
         events = batch.select(*last.schema.names).persist()
         try:
-            keys = events.select(key).distinct()
-            before = last.current(batch_id).join(keys, key, "left_semi")
+            before = last.current(batch_id, only=events.select(key).distinct())
             alerts = patterns.consecutive_fails(
                 before.union(events), key, kind, time, [seq], within, fail, message
             )
@@ -74,7 +73,7 @@ def changelog(output: BatchLedger, sent: KeyedTable) -> BatchSink:
         values = [n for n in names if n not in sent.keys]
         new = updates.select(*names).persist()
         try:
-            old = sent.current(batch_id).select(*sent.keys, F.struct(*values).alias("_old"))
+            old = sent.current(batch_id, only=new).select(*sent.keys, F.struct(*values).alias("_old"))
             pairs = new.select(*sent.keys, F.struct(*values).alias("_new")).join(old, sent.keys, "left")
             changed = pairs.where(F.col("_old").isNull() | (F.col("_old") != F.col("_new")))
             entries = F.filter(

@@ -15,50 +15,30 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.session import ROCKSDB
 
-PAIR = "user_id bigint, first_fail timestamp, last_fail timestamp, warning string"
-BURST = "user_id bigint, first_fail timestamp, last_fail timestamp, fails bigint"
-
-LAST_EVENT = "t bigint, fail boolean"
-# Rows waiting for the watermark, as parallel arrays.
+# Rows waiting for the watermark, as parallel arrays; times are in microseconds.
 WAITING = "times array<bigint>, seqs array<bigint>, fails array<boolean>"
+LAST_EVENT = "t bigint, fail boolean"
+OPEN_BURST = "first bigint, last bigint, count bigint"
 
-KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
-
-
-def _micros(times: pd.Series) -> np.ndarray:
-    return times.dt.tz_localize(None).to_numpy().astype("datetime64[us]").astype("int64")
-
-
-def _times(micros: np.ndarray) -> np.ndarray:
-    return micros.astype("int64").astype("datetime64[us]")
-
-
-def _paired_fails(
-    user: int, t: np.ndarray, fail: np.ndarray, before: tuple[int, bool] | None, within: int, message: str
-) -> pd.DataFrame | None:
-    """Alerts for adjacent fails, the first row being compared with the remembered one."""
-    if before is not None:
-        t, fail = np.concatenate([[before[0]], t]), np.concatenate([[before[1]], fail])
-    hit = fail[:-1] & fail[1:] & (t[1:] < t[:-1] + within)
-    if not hit.any():
-        return None
-    first, last = _times(t[:-1][hit]), _times(t[1:][hit])
-    return pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "warning": message})
-
-
-Release = Callable[[int, np.ndarray, np.ndarray, tuple | None, int], tuple[pd.DataFrame | None, tuple | None, int | None]]
+PAIR = "user_id bigint, first_fail bigint, last_fail bigint"
+BURST = "user_id bigint, first_fail bigint, last_fail bigint, fails bigint"
 
+KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
+# Takes the user, released times and fails, its memory and the watermark; gives output,
+# new memory and a time at which it wants to be called again.
+Release = Callable[
+    [int, np.ndarray, np.ndarray, tuple | None, int],
+    tuple[pd.DataFrame | None, tuple | None, int | None],
+]
 
-def _in_event_time(fail_kind: str, memory_width: int, release: Release) -> KeyedFunction:
-    """Holds rows back until the watermark passes them, then hands them on in time order.
 
-    ``release(user, times, fails, memory, watermark)`` gives output, new memory and
-    a time at which it wants to be called again.
-    """
+def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
+    """Holds rows back until the watermark passes them, then hands them on in time order."""
 
     def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else ([], [], [], *[None] * memory_width)
@@ -66,10 +46,10 @@ def _in_event_time(fail_kind: str, memory_width: int, release: Release) -> Keyed
         seq, fail = np.array(held[1], dtype="int64"), np.array(held[2], dtype=bool)
         memory = held[3:] if held[3] is not None else None
         if not state.hasTimedOut:
-            batch = pd.concat(list(rows))
-            t = np.concatenate([t, _micros(batch["event_time"])])
-            seq = np.concatenate([seq, batch["seq"].to_numpy()])
-            fail = np.concatenate([fail, (batch["kind"] == fail_kind).to_numpy()])
+            batches = list(rows)
+            t = np.concatenate([t, *(b["t"].to_numpy() for b in batches)])
+            seq = np.concatenate([seq, *(b["seq"].to_numpy() for b in batches)])
+            fail = np.concatenate([fail, *(b["fail"].to_numpy() for b in batches)]).astype(bool)
         watermark = state.getCurrentWatermarkMs() * 1000
         due = t <= watermark
         order = np.lexsort((seq[due], t[due]))
@@ -89,13 +69,20 @@ def _in_event_time(fail_kind: str, memory_width: int, release: Release) -> Keyed
     return step
 
 
-def _ordered_pairs(within: int, message: str) -> Release:
+def _ordered_pairs(within: int) -> Release:
     """Consecutive fails; remembers the last released event."""
 
-    def release(user, t, fail, memory, watermark):
+    def release(user, t, fail, before, watermark):
         if not len(t):
+            return None, before, None
+        memory = (int(t[-1]), bool(fail[-1]))
+        if before is not None:
+            t, fail = np.concatenate([[before[0]], t]), np.concatenate([[before[1]], fail])
+        hit = fail[:-1] & fail[1:] & (t[1:] < t[:-1] + within)
+        if not hit.any():
             return None, memory, None
-        return _paired_fails(user, t, fail, memory, within, message), (int(t[-1]), bool(fail[-1])), None
+        output = pd.DataFrame({"user_id": user, "first_fail": t[:-1][hit], "last_fail": t[1:][hit]})
+        return output, memory, None
 
     return release
 
@@ -123,35 +110,40 @@ def _ordered_bursts(span: int, min_fails: int) -> Release:
         enough = np.array([b for b in closed if b[2] >= min_fails], dtype="int64").reshape(-1, 3)
         if not len(enough):
             return None, burst, ends
-        first, last = _times(enough[:, 0] * 1_000_000), _times(enough[:, 1] * 1_000_000)
-        output = pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "fails": enough[:, 2]})
+        first, last, count = enough[:, 0] * 1_000_000, enough[:, 1] * 1_000_000, enough[:, 2]
+        output = pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "fails": count})
         return output, burst, ends
 
     return release
 
 
-def _stateful(
-    events: DataFrame, key: str, function: KeyedFunction, output: str, state: str, event_time: bool = False
-) -> DataFrame:
+def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory: str, output: str) -> DataFrame:
+    """Run a release function per user; times cross to Python and back as plain numbers."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    timeout = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.NoTimeout
-    return events.groupBy(key).applyInPandasWithState(function, output, state, "append", timeout)
+    rows = events.withWatermark("event_time", delay).select(
+        "user_id",
+        "event_time",
+        F.unix_micros("event_time").alias("t"),
+        "seq",
+        (F.col("kind") == fail).alias("fail"),
+    )
+    step = _in_event_time(memory.count(",") + 1, release)
+    found = rows.groupBy("user_id").applyInPandasWithState(
+        step, output, f"{WAITING}, {memory}", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")})
 
 
 def ordered_pairs(
     events: DataFrame, within_seconds: int, delay: str, fail: str = "fail", message: str = "login fail!"
 ) -> DataFrame:
     """T09 on a stream: alerts for adjacent fails in event-time order, after the watermark."""
-    step = _in_event_time(fail, 2, _ordered_pairs(within_seconds * 1_000_000, message))
-    marked = events.withWatermark("event_time", delay)
-    return _stateful(marked, "user_id", step, PAIR, f"{WAITING}, {LAST_EVENT}", True)
+    release = _ordered_pairs(within_seconds * 1_000_000)
+    return _detect(events, delay, fail, release, LAST_EVENT, PAIR).withColumn("warning", F.lit(message))
 
 
 def ordered_bursts(
     events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail"
 ) -> DataFrame:
     """T08b on a stream: bursts of fails, reported when their span is over."""
-    step = _in_event_time(fail, 3, _ordered_bursts(span_seconds, min_fails))
-    marked = events.withWatermark("event_time", delay)
-    state = f"{WAITING}, first bigint, last bigint, count bigint"
-    return _stateful(marked, "user_id", step, BURST, state, True)
+    return _detect(events, delay, fail, _ordered_bursts(span_seconds, min_fails), OPEN_BURST, BURST)

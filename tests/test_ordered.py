@@ -152,6 +152,18 @@ def test_as_of_join(spark, ties, limit):
     assert sorted((r.seq, r.rate) for r in got.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("limit", [10, 10_000])
+def test_salted_lookup_is_a_plain_lookup(spark, how, limit):
+    data = [*skewed(21), (None, 900, 1, "fail", 1), *[("absent", 901 + i, 1, "fail", 1) for i in range(50)]]
+    facts = spark.createDataFrame(data, SCHEMA)
+    dimension = spark.createDataFrame([("hot", "h"), ("k1", "one"), ("k2", "two")], "key string, name string")
+    plain = joins.lookup_join(facts, dimension, "k", "key", how)
+    salted = joins.salted_lookup_join(facts, dimension, "k", "key", how, 7, limit)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
 @pytest.mark.parametrize("order", [["seq"], ["t", "seq"]], ids=["arrival", "event time"])
 def test_consecutive_fails(case, order):
     data, df, limit = case

@@ -12,6 +12,7 @@ from rivulet.operators import patterns, windows
 from rivulet.sinks import files
 from rivulet.sinks.keyed import KeyedTable
 from rivulet.sinks.ledger import BatchLedger
+from rivulet.sinks.topics import console_writer
 from rivulet.sources import files as file_sources
 from rivulet.sources.topics import LOG_SCHEMA, log_table
 from rivulet.streaming import carried, jobs, processors
@@ -179,6 +180,24 @@ def test_route_writes_every_end(spark, fresh, rows):
     assert rows(books["4"].read()) == [("a", 0), ("c", 1)] and rows(books["5"].read()) == [("b", 0), ("c", 1)]
 
 
+def test_standing_job_runs_at_its_cadence(spark, fresh, rows):
+    stream = feed(spark, fresh(), [[("a",)], [("a",)]], "w string")
+    book = BatchLedger(spark, fresh("out"), spark.createDataFrame([], "w string, n bigint").schema)
+    query = jobs.start(jobs.running_counts(stream, "w"), book.write, "complete", fresh("cp"), jobs.FAST)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(book.read()) == [("a", 1, 0), ("a", 2, 1)]
+
+
+def test_console_end_points(spark, fresh):
+    stream = feed(spark, fresh(), [[("a",)]], "value string")
+    query = console_writer(stream, prefix="A: ").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None and query.lastProgress.numInputRows >= 0
+
+
 def test_file_stream_sinks(spark, fresh):
     stream = feed(spark, fresh(), [[(1,)], [(2,)]], "n int")
     orc, parquet = fresh("orc"), fresh("parquet")
