@@ -61,13 +61,16 @@ def probe(columns: Sequence[str], limit_rows: int) -> tuple[Column, int]:
 
 
 def with_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit_rows: int = KEY_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit_rows: int | None = KEY_ROWS
 ) -> DataFrame:
     """Add ``_slice`` and ``_split``; slices of a key follow the first order column.
 
     Equal values of that column share a slice, so sorting by all order columns
-    inside the slices is still the order of the whole key.
+    inside the slices is still the order of the whole key. No limit means that the
+    caller has checked that the whole input is small; then nothing is split.
     """
+    if limit_rows is None:
+        return df.withColumn(SLICE, F.lit(0).cast("long")).withColumn(SPLIT, F.lit(False))
     lead = order[0]
     position = _as_number(df, lead)
     probed, weight = probe([*keys, *order], limit_rows)
@@ -125,7 +128,7 @@ def previous_row(
     order: Sequence[str],
     columns: Sequence[str],
     into: str = "prev",
-    limit_rows: int = KEY_ROWS,
+    limit_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Struct of ``columns`` of the row before, per key in the given order."""
     sliced = with_slices(df, keys, order, limit_rows)
@@ -150,7 +153,7 @@ def running_sum(
     order: Sequence[str],
     value: Column,
     into: str = "running",
-    limit_rows: int = KEY_ROWS,
+    limit_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row; one result per input row."""
     sliced = with_slices(df.withColumn("_v", value), keys, order, limit_rows)
@@ -176,7 +179,7 @@ def last_known(
     order: Sequence[str],
     value: str,
     into: str = "known",
-    limit_rows: int = KEY_ROWS,
+    limit_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row."""
     sliced = with_slices(df, keys, order, limit_rows)

@@ -21,7 +21,7 @@ def consecutive_fails(
     within: Column,
     fail: str = "fail",
     message: str = "login fail!",
-    limit_rows: int = ordered.KEY_ROWS,
+    limit_rows: int | None = ordered.KEY_ROWS,
 ) -> DataFrame:
     """Alert for each fail whose previous event of the key is a fail too.
 

@@ -70,15 +70,15 @@ def _replayed(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.Replay(events, "event_time", "seq", closing).stream()
 
 
+ALERT = "user_id bigint, first_fail timestamp_ntz, last_fail timestamp_ntz, warning string"
+
+
 @query("stream_fail_pairs", detecting.FAIL_PAIRS_SQL)
 def stream_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf, "user_id", "event_id", "event_type", "ts")
     replay = jobs.Replay(events, "ts", "event_id")
     root = fresh_dir(spark, "fail-pairs")
-    alerts = T.StructType.fromDDL(
-        "user_id bigint, first_fail timestamp_ntz, last_fail timestamp_ntz, warning string"
-    )
-    output = BatchLedger(spark, f"{root}/out", alerts)
+    output = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(ALERT))
     last = keyed.KeyedTable(spark, f"{root}/last", events.schema, ["user_id"], ["event_id"])
     sink = carried.arrival_pairs(
         output, last, "event_type", "ts", "event_id", F.expr("INTERVAL 3 HOURS"), "error", "fails within 3 hours"
@@ -89,9 +89,23 @@ def stream_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_fail_pattern", detecting.FAIL_PATTERN_SQL)
 def stream_fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
-    alerts = processors.ordered_pairs(_replayed(spark, sf), 7 * 3600, "5 seconds", "error")
-    found = jobs.drained(alerts, "append", "fail-pattern").drop("batch_id")
-    return zoneless(found, "first_fail", "last_fail")
+    events = _events(spark, sf, "user_id", "event_id", "event_type", "ts")
+    closing = jobs.far_future(spark, events.schema, (CLOSING_USER, -1, "closing", CLOSING_TIME))
+    replay = jobs.Replay(events, "ts", "event_id", closing)
+    root = fresh_dir(spark, "fail-pattern")
+    output = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(ALERT))
+    last = keyed.KeyedTable(spark, f"{root}/last", events.schema, ["user_id"], ["ts", "event_id"])
+    waiting = carried.Waiting(
+        BatchLedger(spark, f"{root}/waiting", events.schema),
+        BatchLedger(spark, f"{root}/latest", T.StructType.fromDDL("latest timestamp_ntz")),
+        "ts",
+        F.expr("INTERVAL 5 SECONDS"),
+    )
+    sink = carried.event_time_pairs(
+        output, last, waiting, "event_type", "event_id", F.expr("INTERVAL 7 HOURS"), "error"
+    )
+    jobs.drain(replay.stream(), sink, "append", f"{root}/checkpoint")
+    return output.read().drop("batch_id")
 
 
 @query("stream_fail_burst", detecting.BURST_SQL)

@@ -1,8 +1,7 @@
-"""Streams that run a batch operator per micro-batch and carry a keyed table along.
+"""Streams that run a batch operator per micro-batch and carry tables along.
 
-The carried table is a ``KeyedTable`` read as of the batch before, so a replayed
-batch sees the same input and gives the same output. Hot keys are split inside a
-batch by the batch operators.
+What is carried is read as of the batch before, so a replayed batch sees the same
+input and gives the same output. Hot keys are split by the batch operators.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators import patterns
+from rivulet.operators import ordered, patterns
 from rivulet.sinks.keyed import KeyedTable
 from rivulet.sinks.ledger import BatchLedger
 
@@ -42,15 +41,30 @@ def arrival_pairs(
     ``last`` carries each key's latest event. It sorts before the batch's rows, so
     the first new row of a key is compared with it.
     """
+    return _pairs(output, last, kind, time, [seq], within, fail, message)
+
+
+def _pairs(
+    output: BatchLedger,
+    last: KeyedTable,
+    kind: str,
+    time: str,
+    order: list[str],
+    within: Column,
+    fail: str,
+    message: str,
+) -> BatchSink:
     key = last.keys[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _fold(last, batch_id)
         events = batch.select(*last.schema.names).persist()
         try:
+            # A batch that fits one task needs no search for hot keys.
+            limit = ordered.KEY_ROWS if events.count() > ordered.KEY_ROWS else None
             before = last.current(batch_id, only=events.select(key).distinct())
             alerts = patterns.consecutive_fails(
-                before.union(events), key, kind, time, [seq], within, fail, message
+                before.union(events), key, kind, time, order, within, fail, message, limit
             )
             output.write(alerts, batch_id)
             last.upsert(events, batch_id)
@@ -60,6 +74,53 @@ def arrival_pairs(
     return write
 
 
+class Waiting:
+    """Rows a watermark has not passed yet, kept per batch together with the latest time seen."""
+
+    def __init__(self, rows: BatchLedger, latest: BatchLedger, time: str, delay: Column):
+        self.rows, self.latest, self.time, self.delay = rows, latest, time, delay
+
+    def release(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Rows the watermark passes with this batch; those behind it already are dropped."""
+        time = F.col(self.time)
+        earlier = self.latest.read().where(F.col("batch_id") < batch_id)
+        now = batch.agg(F.max(time).alias("latest"))
+        both = earlier.select("latest", F.lit(True).alias("old")).union(now.select("latest", F.lit(False)))
+        behind, passing = both.select(
+            F.max(F.when(F.col("old"), F.col("latest"))) - self.delay, F.max("latest") - self.delay
+        ).first()
+        held = self.rows.read().where(F.col("batch_id") == batch_id - 1).select(*batch.columns)
+        in_time = F.lit(True) if behind is None else time > F.lit(behind)
+        rows = held.union(batch.where(in_time))
+        passed = time <= F.lit(passing)
+        self.rows.write(rows.where(~passed), batch_id)
+        self.latest.write(now, batch_id)
+        return rows.where(passed)
+
+
+def event_time_pairs(
+    output: BatchLedger,
+    last: KeyedTable,
+    waiting: Waiting,
+    kind: str,
+    seq: str,
+    within: Column,
+    fail: str = "fail",
+    message: str = "login fail!",
+) -> BatchSink:
+    """Alerts for adjacent fails in event-time order, once the watermark has passed them.
+
+    Built like ``arrival_pairs``; rows wait until nothing earlier can come.
+    """
+    time = waiting.time
+    pairs = _pairs(output, last, kind, time, [time, seq], within, fail, message)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pairs(waiting.release(batch.select(*last.schema.names), batch_id), batch_id)
+
+    return write
+
+
 def changelog(output: BatchLedger, sent: KeyedTable) -> BatchSink:
     """The updates of an aggregate as a changelog of ``(is_add, row)``.
 

@@ -1,4 +1,4 @@
-"""Event-time patterns on streams (T08b, T09) with ``applyInPandasWithState``.
+"""Bursts of failures on a stream (T08b, U08): keyed state and timers with ``applyInPandasWithState``.
 
 Input columns are ``user_id, event_time, seq, kind``. The state of a key is one
 small row and the rows the watermark has not passed yet. It travels with the key's
@@ -22,10 +22,8 @@ from rivulet.session import ROCKSDB
 
 # Rows waiting for the watermark, as parallel arrays; times are in microseconds.
 WAITING = "times array<bigint>, seqs array<bigint>, fails array<boolean>"
-LAST_EVENT = "t bigint, fail boolean"
 OPEN_BURST = "first bigint, last bigint, count bigint"
 
-PAIR = "user_id bigint, first_fail bigint, last_fail bigint"
 BURST = "user_id bigint, first_fail bigint, last_fail bigint, fails bigint"
 
 KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
@@ -69,24 +67,6 @@ def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
     return step
 
 
-def _ordered_pairs(within: int) -> Release:
-    """Consecutive fails; remembers the last released event."""
-
-    def release(user, t, fail, before, watermark):
-        if not len(t):
-            return None, before, None
-        memory = (int(t[-1]), bool(fail[-1]))
-        if before is not None:
-            t, fail = np.concatenate([[before[0]], t]), np.concatenate([[before[1]], fail])
-        hit = fail[:-1] & fail[1:] & (t[1:] < t[:-1] + within)
-        if not hit.any():
-            return None, memory, None
-        output = pd.DataFrame({"user_id": user, "first_fail": t[:-1][hit], "last_fail": t[1:][hit]})
-        return output, memory, None
-
-    return release
-
-
 def _ordered_bursts(span: int, min_fails: int) -> Release:
     """Fails gathered from a first one; remembers the open burst, in whole seconds."""
 
@@ -134,14 +114,6 @@ def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory:
     return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")})
 
 
-def ordered_pairs(
-    events: DataFrame, within_seconds: int, delay: str, fail: str = "fail", message: str = "login fail!"
-) -> DataFrame:
-    """T09 on a stream: alerts for adjacent fails in event-time order, after the watermark."""
-    release = _ordered_pairs(within_seconds * 1_000_000)
-    return _detect(events, delay, fail, release, LAST_EVENT, PAIR).withColumn("warning", F.lit(message))
-
-
 def ordered_bursts(
     events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail"
 ) -> DataFrame:
