@@ -4,7 +4,6 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rivulet.sinks import files, jdbc, keyed, ledger, tables, topics
 from rivulet.sources import files as file_sources

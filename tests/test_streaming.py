@@ -6,7 +6,6 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rivulet.operators import patterns, windows
 from rivulet.sinks import files
