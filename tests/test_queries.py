@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rivulet.plans.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -34,17 +35,17 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.execute(ORACLES[name])
     want = comparable([d[0] for d in expected.description], expected.fetchall())
     got = comparable(result.columns, [tuple(r) for r in result.collect()])
     assert got == want
