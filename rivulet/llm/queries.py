@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from rivulet.llm import secrets
+from rivulet.llm import exact, linededup, secrets
 from rivulet.llm.tables import documents
 
 QUERIES = {
+    "op4_line_dedup": linededup.line_dedup_report,
+    "op6_exact_dedup": lambda spark, sf_dir: exact.exact_duplicates(documents(spark, sf_dir)),
     "op10_secret_scan": lambda spark, sf_dir: secrets.secret_report(documents(spark, sf_dir)),
 }
 
 ORACLES = {
+    "op4_line_dedup": linededup.ORACLE,
+    "op6_exact_dedup": exact.ORACLE,
     "op10_secret_scan": secrets.oracle(),
 }
