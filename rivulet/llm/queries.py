@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rivulet.llm import exact, language, leaks, licences, linededup, pieces, secrets
+from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, pieces, secrets
 from rivulet.llm.tables import documents
 
 QUERIES = {
+    "op1_ngram_jaccard": lambda spark, sf_dir: jaccard.similar_groups(documents(spark, sf_dir)),
     "op2_language_id": lambda spark, sf_dir: language.language_report(documents(spark, sf_dir)),
     "op3_licence_scan": lambda spark, sf_dir: licences.licence_scan(documents(spark, sf_dir)),
     "op4_line_dedup": linededup.line_dedup_report,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_ngram_jaccard": jaccard.ORACLE,
     "op4_line_dedup": linededup.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
     "op10_secret_scan": secrets.oracle(),
