@@ -7,8 +7,10 @@ most one of them, so both sets agree on the partition without some one cell: eac
 without each cell gives a signature, and linked sets share one. (With k = 0 the whole set is
 the signature.)
 
-1. Signatures that only one document has go; each other one ties its documents to the
-   smallest. Connected, these ties give candidate groups.
+1. Signatures are dealt into buckets; each ties its documents to the smallest of them. That
+   is done first within a task's rows, so a signature that a third of the documents share
+   goes into the shuffle once for each million signatures. Connected, the ties give candidate
+   groups.
 2. Sets of a group are compared exactly, each different set once. Groups above `block_bytes`
    or 4,096 sets are cut into blocks, and blocks are compared pairwise; a task keeps two. A parity
    sketch of 1,024 bits bounds the difference from below, so most pairs need no more.
@@ -30,15 +32,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import component_labels, settle
+from rivulet.llm.tables import byte_total, component_labels, parts, settle
 from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, mix, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
 CELLS = 3
 BLOCK_BYTES = 4 << 20
 BLOCK_SETS = 4096
+#: text for each bucket of signatures; signatures that a task sorts at once
+BUCKET_BYTES = 2 << 20
+FLUSH = 1 << 20
 SKETCH_WORDS = 16
 
 
@@ -107,43 +114,62 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, threshold: Fraction) -> tup
     return np.concatenate(rows), np.concatenate(marks)
 
 
-def _signer(n: int, threshold: Fraction):
+def ties_of(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different marks in order, the smallest id of each, and (id, smallest) pairs of the other ids."""
+    order = np.argsort(marks)
+    marks, ids = marks[order], ids[order]
+    heads = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else np.empty(0, np.int64)
+    if not len(heads):
+        return marks, ids, np.empty((0, 2), np.int64)
+    low = np.minimum.reduceat(ids, heads)
+    each = np.repeat(low, np.diff(np.append(heads, len(ids))))
+    more = ids != each
+    return marks[heads], low, np.unique(np.stack([ids[more], each[more]], axis=1), axis=0)
+
+
+def _signer(n: int, threshold: Fraction, buckets: int):
+    def flush(marks: list[np.ndarray], ids: list[np.ndarray], turn: int) -> pa.RecordBatch:
+        heads, low, ties = ties_of(np.concatenate(marks), np.concatenate(ids))
+        own = ((heads >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])) if len(own) else np.array([0])
+        rows = [(int(own[a]), False, heads[a:b].tobytes(), low[a:b].tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        if len(ties):
+            rows.append((turn % buckets, True, ties[:, 0].tobytes(), ties[:, 1].tobytes()))
+        columns = list(zip(*rows)) if rows else [[], [], [], []]
+        kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "tied", "a", "b"])
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        turn = TaskContext.get().partitionId()
         for batch in batches:
-            seen: dict[bytes, int] = {}
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for first, end, data, offsets in text_slices(batch.column("text")):
-                sets, bounds = shingle_sets(data, offsets, n)
-                # equal sets of a batch sign once; the others are tied to the first by its id
-                sums = np.zeros((end - first, 2), np.uint64)
-                owner = np.repeat(np.arange(end - first), np.diff(bounds))
-                np.add.at(sums[:, 0], owner, mix(sets))
-                np.add.at(sums[:, 1], owner, mix(sets ^ np.uint64(0x5851F42D4C957F2D)))
-                keep = np.ones(end - first, bool)
-                twins = []
-                for r in range(end - first):
-                    key = sums[r].tobytes() + int(bounds[r + 1] - bounds[r]).to_bytes(8)
-                    known = seen.setdefault(key, int(ids[first + r]))
-                    if known != ids[first + r] and bounds[r + 1] > bounds[r]:
-                        keep[r] = False
-                        twins.append((known, int(ids[first + r])))
-                kept = np.repeat(keep, np.diff(bounds))
-                new = np.concatenate([[0], np.cumsum(np.diff(bounds)[keep])])
-                rows, marks = signatures(sets[kept], new, threshold)
-                own = ids[first:end][keep][rows].astype(np.int64)
-                ties = np.array(twins, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([marks.view(np.int64), ties[:, 0]])),
-                        pa.array(np.concatenate([own, ties[:, 1]])),
-                        pa.array(np.concatenate([np.zeros(len(own), bool), np.ones(len(ties), bool)])),
-                    ],
-                    ["mark", "id", "twin"],
-                )
+                rows, own = signatures(*shingle_sets(data, offsets, n), threshold)
+                marks.append(own)
+                owners.append(ids[first:end][rows].astype(np.int64))
+                if sum(map(len, marks)) >= FLUSH:
+                    yield flush(marks, owners, turn)
+                    marks, owners, turn = [], [], turn + 1
+        if marks:
+            yield flush(marks, owners, turn)
 
     return sign
 
 
+def _tie(table: pa.Table) -> pa.Table:
+    """Ties of one bucket's marks, and those made earlier."""
+
+    def joined(name: str, tied: bool, kind: type) -> np.ndarray:
+        parts = table.filter(pc.equal(table["tied"], tied))[name].to_pylist()
+        return np.frombuffer(b"".join(parts), kind)
+
+    _, _, ties = ties_of(joined("a", False, np.uint64), joined("b", False, np.int64))
+    ties = np.concatenate([ties, np.stack([joined("a", True, np.int64), joined("b", True, np.int64)], axis=1)])
+    return pa.table({"a": ties[:, 0], "b": ties[:, 1]})
+
+
 def _set_maker(n: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,14 +287,10 @@ def similar_groups(
     rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     named = rows.where("id IS NOT NULL")
 
-    signed = named.mapInArrow(_signer(n, share), "mark long, id long, twin boolean")
-    marks = signed.where("NOT twin").select("mark", "id")
-    shared = settle(
-        marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("mark", "lo"), "marks"
-    )
-    ties = marks.join(shared, "mark").select(F.col("id").alias("a"), F.col("lo").alias("b")).where("a != b").distinct()
-    twins = signed.where("twin").select(F.col("mark").alias("a"), F.col("id").alias("b")).distinct()
-    groups = component_labels(ties.unionByName(twins), "a", "b")
+    buckets = parts(byte_total(named, "text"), BUCKET_BYTES)
+    signed = named.mapInArrow(_signer(n, share, buckets), "bucket int, tied boolean, a binary, b binary")
+    ties = signed.groupBy("bucket").applyInArrow(_tie, "a long, b long")
+    groups = component_labels(ties, "a", "b")
 
     members = named.join(groups.select(F.col("node").alias("id"), F.col("label").alias("grp")), "id").select("grp", "id", "text")
     sets = settle(members.mapInArrow(_set_maker(n), "grp long, id long, n long, content binary").where("n > 0"), "sets")

@@ -192,19 +192,24 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id
     return Model.fit(x, np.array([name for name, _ in got], dtype=object))
 
 
+def predictions(model: Model | None, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    names = np.full(len(offsets) - 1, UNDETERMINED, dtype=object)
+    scores = np.zeros(len(names))
+    at = np.flatnonzero(lettered(data, offsets)) if model else []
+    if len(at):
+        found, sure = model.predict(features(data, offsets))
+        names[at], scores[at] = found[at], sure[at]
+    return names, scores
+
+
 def _predictor(model: Model | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text")):
-                names = np.full(end - first, UNDETERMINED, dtype=object)
-                scores = np.zeros(end - first)
-                at = np.flatnonzero(lettered(data, offsets)) if model else []
-                if len(at):
-                    found, sure = model.predict(features(data, offsets))
-                    names[at], scores[at] = found[at], sure[at]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(first, end - first), pa.array(names, pa.string()), pa.array(scores)], schema=ARROW
-                )
+                names, scores = predictions(model, data, offsets)
+                own = batch.column("id").slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([own, pa.array(names, pa.string()), pa.array(scores)], schema=ARROW)
 
     return predict
 
@@ -215,6 +220,19 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", id: str = "
     return rows.mapInArrow(_predictor(model), SCHEMA).withColumnRenamed("id", id)
 
 
+def keep(df: DataFrame, model: Model | None, least_score: float, text: str = "text") -> DataFrame:
+    """The rows of df, unchanged, whose language is known with at least this score."""
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch.column(text)):
+                names, scores = predictions(model, data, offsets)
+                good = (names != UNDETERMINED) & (scores >= least_score)
+                yield batch.slice(first, end - first).filter(pa.array(good))
+
+    return df.mapInArrow(chosen, df.schema)
+
+
 def language_report(df: DataFrame) -> DataFrame:
     """Learns from the rows whose remainder by 5 is not 0 and predicts all."""
     model = fit(df.where(remainder(F.col("doc_id"), 5) != 0))

@@ -27,6 +27,7 @@ import sentencepiece
 from pyspark import Broadcast, SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from rivulet.llm.text_arrays import prefix_hashes, span_hashes, text_slices, within
 
@@ -299,28 +300,25 @@ def send(sc: SparkContext, path: str) -> Broadcast[Vocabulary]:
     return sc.broadcast(vocabulary(path))
 
 
+def encoded(own: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """Ids, their number, score and whether they decode to the text, for each text."""
+    ids, firsts, scores = own.encode(data, offsets)
+    back, ends = own.decode(ids, firsts)
+    want, bounds = with_front_space(data, offsets)
+    if np.array_equal(ends, bounds) and np.array_equal(back, want):
+        same = np.ones(len(offsets) - 1, bool)
+    else:
+        same = np.array([np.array_equal(back[a:b], want[c:d]) for a, b, c, d in zip(ends, ends[1:], bounds, bounds[1:])], bool)
+    lists = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids, pa.int32()))
+    return lists, pa.array(np.diff(firsts), pa.int64()), pa.array(scores), pa.array(same)
+
+
 def _encoder(sent: Broadcast[Vocabulary]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text"), SLICE):
-                ids, firsts, scores = own.encode(data, offsets)
-                back, ends = own.decode(ids, firsts)
-                want, bounds = with_front_space(data, offsets)
-                if np.array_equal(ends, bounds) and np.array_equal(back, want):
-                    same = np.ones(end - first, bool)
-                else:
-                    same = np.array([np.array_equal(back[a:b], want[c:d]) for a, b, c, d in zip(ends, ends[1:], bounds, bounds[1:])])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").slice(first, end - first),
-                        pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids, pa.int32())),
-                        pa.array(np.diff(firsts), pa.int64()),
-                        pa.array(scores),
-                        pa.array(same),
-                    ],
-                    schema=ARROW,
-                )
+                own = batch.column("id").slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([own, *encoded(sent.value, data, offsets)], schema=ARROW)
 
     return encode
 
@@ -331,6 +329,22 @@ def encode(df: DataFrame, text: str = "text", id: str = "doc_id", model: str = M
     return rows.mapInArrow(_encoder(send(df.sparkSession.sparkContext, model)), SCHEMA).withColumnRenamed("id", id)
 
 
+def add_pieces(df: DataFrame, text: str = "text", model: str = MODEL, into: str = "pieces", same: str = "round_trip") -> DataFrame:
+    """The rows of df with the ids of their pieces and whether decoding gives the text back; replaces columns of these names."""
+    df = df.drop(into, same)
+    sent = send(df.sparkSession.sparkContext, model)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch.column(text), SLICE):
+                rows = batch.slice(first, end - first)
+                lists, _, _, equal = encoded(sent.value, data, offsets)
+                yield pa.RecordBatch.from_arrays([*rows.columns, lists, equal], [*rows.schema.names, into, same])
+
+    schema = StructType([*df.schema.fields, StructField(into, ArrayType(IntegerType())), StructField(same, BooleanType())])
+    return df.mapInArrow(add, schema)
+
+
 def _decoder(sent: Broadcast[Vocabulary]):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
