@@ -10,7 +10,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 4. leaks: documents that hold a benchmark passage go.
 5. pieces: adds the piece ids of each text and whether decoding them gives it back.
 
-All but the last return the columns of documents. Rows with a NULL id are judged on their own.
+All but the last return the columns of documents. Rows with a NULL id have no near copies.
 """
 
 from __future__ import annotations
@@ -44,8 +44,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = leaks.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return leaks.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def add_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -244,17 +244,50 @@ def find_leaks(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(id, item_id, edits, first_word): one row for each document and each item found in it."""
-    spark = df.sparkSession
     rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    out = None
+    for sent in send_items(benchmark, item_text, item_id, edit_share, recall, least_words, block_bytes):
+        found = rows.mapInArrow(_searcher(sent), SCHEMA)
+        out = found if out is None else out.unionByName(found)
+    return out.withColumnsRenamed({"id": id, "item": item_id})
+
+
+def send_items(
+    benchmark: DataFrame,
+    item_text: str = "text",
+    item_id: str = "item_id",
+    edit_share: float = EDIT_SHARE,
+    recall: float = RECALL,
+    least_words: int = LEAST_WORDS,
+    block_bytes: int = BLOCK_BYTES,
+) -> Iterator[Broadcast[Index]]:
+    """The items' tables, a block of bounded size at a time; one empty block without items."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
     blocks = parts(byte_total(items, "text"), block_bytes)
-    out = None
     for block in range(blocks):
         own = items.where(spread(F.struct("item", "text"), blocks) == block).orderBy("item", "text").collect()
         index = Index([r["item"] for r in own], [r["text"] for r in own], edit_share, recall, least_words)
-        found = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(index)), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out.withColumnsRenamed({"id": id, "item": item_id})
+        yield benchmark.sparkSession.sparkContext.broadcast(index)
+
+
+def without_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of df, unchanged, that hold no item."""
+
+    def cleaner(sent: Broadcast[Index]):
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first, end, data, offsets in text_slices(batch.column(text), SLICE):
+                    words, firsts = word_hashes(data, offsets)
+                    good = np.ones(end - first, bool)
+                    for rows, *_ in sent.value.search(words, firsts) if len(words) else ():
+                        good[rows] = False
+                    yield batch.slice(first, end - first).filter(pa.array(good))
+
+        return clean
+
+    for sent in send_items(benchmark):
+        df = df.mapInArrow(cleaner(sent), df.schema)
+    return df
 
 
 def leak_report(spark, sf_dir: str) -> DataFrame:

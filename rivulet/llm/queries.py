@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, pieces, secrets
+from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, lm, pieces, secrets
 from rivulet.llm.tables import documents
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_licence_scan": lambda spark, sf_dir: licences.licence_scan(documents(spark, sf_dir)),
     "op4_line_dedup": linededup.line_dedup_report,
     "op6_exact_dedup": lambda spark, sf_dir: exact.exact_duplicates(documents(spark, sf_dir)),
+    "op7_gru_scoring": lambda spark, sf_dir: lm.likelihood_report(documents(spark, sf_dir)),
     "op8_sentencepiece": lambda spark, sf_dir: pieces.encode(documents(spark, sf_dir)),
     "op9_decontamination": leaks.leak_report,
     "op10_secret_scan": lambda spark, sf_dir: secrets.secret_report(documents(spark, sf_dir)),
