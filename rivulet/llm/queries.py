@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, lm, pieces, secrets
+from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, lm, pieces, repeats, secrets
 from rivulet.llm.tables import documents
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_language_id": lambda spark, sf_dir: language.language_report(documents(spark, sf_dir)),
     "op3_licence_scan": lambda spark, sf_dir: licences.licence_scan(documents(spark, sf_dir)),
     "op4_line_dedup": linededup.line_dedup_report,
+    "op5_suffix_dedup": lambda spark, sf_dir: repeats.repeats_report(documents(spark, sf_dir)),
     "op6_exact_dedup": lambda spark, sf_dir: exact.exact_duplicates(documents(spark, sf_dir)),
     "op7_gru_scoring": lambda spark, sf_dir: lm.likelihood_report(documents(spark, sf_dir)),
     "op8_sentencepiece": lambda spark, sf_dir: pieces.encode(documents(spark, sf_dir)),
@@ -20,6 +21,7 @@ QUERIES = {
 ORACLES = {
     "op1_ngram_jaccard": jaccard.ORACLE,
     "op4_line_dedup": linededup.ORACLE,
+    "op5_suffix_dedup": repeats.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
     "op10_secret_scan": secrets.oracle(),
 }
