@@ -101,7 +101,7 @@ class Notices:
         return out
 
     def find(self, text: str) -> list[tuple[int, int, str, int, float]]:
-        """(start, end, label, edits, score) of the notices in a normalised text, without those that overlap one of fewer edits."""
+        """(start, end, label, edits, score) of the notices in a normalised text, without those in the place of one of fewer edits."""
         found = []
         for i, ranges in self.windows(text).items():
             label, notice, _ = self.notices[i]
@@ -109,7 +109,12 @@ class Notices:
                 for match in self.patterns[i].finditer(text, a, min(b, len(text))):
                     edits = sum(match.fuzzy_counts)
                     found.append((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
-        return sorted(f for f in found if not any(g[3] < f[3] and g[0] < f[1] and f[0] < g[1] for g in found))
+        return sorted(f for f in found if not any(_better(g, f) for g in found))
+
+
+def _better(a: tuple, b: tuple) -> bool:
+    """Whether match a has fewer edits than b and takes up b's place."""
+    return a[3] < b[3] and a[0] <= b[0] + b[3] and b[1] <= a[1] + b[3]
 
 
 @lru_cache(maxsize=4)
