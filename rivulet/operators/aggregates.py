@@ -79,11 +79,11 @@ def distinct_list(
     seq: str,
     separator: str = ",",
     into: str = "items",
-    limit_rows: int = 100_000,
+    part_rows: int = ordered.PART_ROWS,
 ) -> DataFrame:
     """Distinct values of each key joined in first-seen order, as ``(keys, part, items)``."""
     first_seen = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(seq).alias("_seq"))
-    lists = ordered.ordered_lists(first_seen, keys, ["_seq", value], F.col(value), into, limit_rows)
+    lists = ordered.ordered_lists(first_seen, keys, ["_seq", value], F.col(value), into, part_rows)
     return lists.withColumn(into, F.array_join(into, separator))
 
 
@@ -94,30 +94,21 @@ def joined_list(
     value: str,
     separator: str = ",",
     into: str = "items",
-    limit_rows: int = 100_000,
+    part_rows: int = ordered.PART_ROWS,
 ) -> DataFrame:
     """All non-null values of each key joined in order, as ``(keys, part, items)``."""
     present = df.where(F.col(value).isNotNull())
-    lists = ordered.ordered_lists(present, keys, order, F.col(value), into, limit_rows)
+    lists = ordered.ordered_lists(present, keys, order, F.col(value), into, part_rows)
     return lists.withColumn(into, F.array_join(into, separator))
 
 
-def running_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str = "n", limit_rows: int = ordered.KEY_ROWS
-) -> DataFrame:
-    """How many rows of the key have been seen, including this one."""
-    return ordered.running_sum(df, keys, order, F.lit(1).cast("long"), into, limit_rows)
-
-
-def changelog_of_counts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit_rows: int = ordered.KEY_ROWS
-) -> DataFrame:
+def changelog_of_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Running count per key as a changelog.
 
     Each input row withdraws the key's previous count, if any, and adds the new
     one: ``(keys, order, is_add, n)``.
     """
-    counted = running_count(df, keys, order, "_n", limit_rows)
+    counted = ordered.row_numbers(df, keys, order, "_n", slices)
     change = F.when(F.col("_n") > 1, F.array(_change(False, -1), _change(True, 0))).otherwise(
         F.array(_change(True, 0))
     )
@@ -133,11 +124,7 @@ def top_counts(df: DataFrame, key: str, into: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias(into)).orderBy(F.desc(into), F.asc(key))
 
 
-def group_sums_as_map(
-    df: DataFrame, key: str, item: str, value: str, items: Sequence[str], into: str = "sums"
-) -> DataFrame:
-    """One row per key holding a map item -> sum over the given items; absent items are left out."""
-    sums = [money_sum(F.when(F.col(item) == i, F.col(value))).alias(f"_{n}") for n, i in enumerate(items)]
-    entries = F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"_{n}").alias("v")) for n, i in enumerate(items)])
-    present = F.filter(entries, lambda e: e["v"].isNotNull())
-    return df.groupBy(key).agg(*sums).select(key, F.map_from_entries(present).alias(into))
+def group_sums_as_map(df: DataFrame, key: str, item: str, value: str, into: str = "sums") -> DataFrame:
+    """One row per key holding a map item -> sum over all its items; NULL items are left out."""
+    sums = df.where(F.col(item).isNotNull()).groupBy(key, item).agg(money_sum(value).alias("_sum"))
+    return sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(item, "_sum"))).alias(into))

@@ -97,11 +97,10 @@ def kmeans(
     ident: str,
     k: int,
     tolerance: float = 0.01,
-    max_passes: int = 100,
     seed: int = 42,
     start: np.ndarray | None = None,
 ) -> KMeansResult:
-    """Lloyd's algorithm until no centre moves by more than ``tolerance``.
+    """Lloyd's algorithm until no centre moves by more than ``tolerance``, which always comes.
 
     Equal points count once in a centre's mean. A centre without members stays.
     The assignment returned is the one the last means were taken from.
@@ -117,7 +116,7 @@ def kmeans(
             centres = _new_centres(distinct, vector, before)
             passes += 1
             shift = np.sqrt(((centres - before) ** 2).sum(axis=1)).max()
-            if shift <= tolerance or passes >= max_passes:
+            if shift <= tolerance:
                 return KMeansResult(assign(points, vector, before), centres, passes)
     finally:
         distinct.unpersist()

@@ -29,43 +29,21 @@ def lookup_join(
 
 
 def salted_lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    how: str = "inner",
-    parts: int = 256,
-    limit_rows: int = ordered.KEY_ROWS,
+    facts: DataFrame, dimension: DataFrame, fact_key: str, dim_key: str, how: str = "inner", parts: int = 16
 ) -> DataFrame:
-    """Lookup join that spreads hot keys over ``parts`` tasks by itself.
+    """Lookup join that spreads every key over ``parts`` tasks.
 
-    For a dimension too large to broadcast whose result is grouped by the same key:
-    there adaptive execution keeps a hot key together, as splitting it would cost
-    another shuffle. Only the hot keys' dimension rows are repeated.
+    For a dimension too large to broadcast whose result is grouped by the same key: there
+    adaptive execution keeps a hot key together, as splitting it would cost another
+    shuffle. Each dimension row is repeated ``parts`` times; facts with a NULL key, which
+    never match, spread like all others.
     """
-    probed, weight = ordered.probe(facts.columns, limit_rows)
-    hot = (
-        facts.where(F.col(fact_key).isNotNull() & probed)
-        .groupBy(F.col(fact_key).alias("_hot"))
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") * weight > limit_rows)
-        .orderBy(F.desc("_n"), "_hot")
-        .limit(ordered.MAX_HOT_KEYS)
-        .select("_hot")
-    )
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(parts))
-    left = facts.join(F.broadcast(hot), F.col(fact_key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0).cast("int")
-    )
-    salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    right = (
-        dimension.withColumnRenamed(dim_key, "_dim_key")
-        .join(F.broadcast(hot), F.col("_dim_key") == F.col("_hot"), "left")
-        .withColumn("_dim_salt", F.explode(salts))
-        .drop("_hot")
+    left = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns, F.monotonically_increasing_id()), F.lit(parts)).cast("int"))
+    right = dimension.withColumnRenamed(dim_key, "_dim_key").withColumn(
+        "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
     matched = (F.col(fact_key) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
-    return left.drop("_hot").join(right, matched, how).drop("_salt", "_dim_salt", "_dim_key")
+    return left.join(right, matched, how).drop("_salt", "_dim_salt", "_dim_key")
 
 
 def composed_lookup(
@@ -79,18 +57,15 @@ def composed_lookup(
     return lookup_join(keyed, entries.select("k", F.col("v").alias("value")), "key", "k", "left")
 
 
-def concat_cells(cells: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+def concat_cells(cells: DataFrame) -> DataFrame:
     """All cells of a row glued together in (family, qualifier) order, as ``(k, v)``.
 
-    ``columns`` declares the (family, qualifier) pairs. Each contributes its newest
-    value, so a row key is reduced before the shuffle however many versions it has.
+    Each cell contributes its newest value, so a row key is reduced before the shuffle
+    however many versions it has.
     """
-    newest = [
-        F.max_by("value", F.when((F.col("family") == f) & (F.col("qualifier") == q), F.col("ts")))
-        for f, q in sorted(columns)
-    ]
-    rows = cells.groupBy(F.col("rowkey").alias("k")).agg(*[c.alias(f"_c{i}") for i, c in enumerate(newest)])
-    return rows.select("k", F.concat_ws("", *[f"_c{i}" for i in range(len(newest))]).alias("v"))
+    newest = cells.groupBy(F.col("rowkey").alias("k"), "family", "qualifier").agg(F.max_by("value", "ts").alias("value"))
+    glued = F.sort_array(F.collect_list(F.struct("family", "qualifier", "value")))
+    return newest.groupBy("k").agg(F.array_join(F.transform(glued, lambda c: c["value"]), "").alias("v"))
 
 
 def as_of_join(
@@ -101,7 +76,7 @@ def as_of_join(
     value: str,
     fact_columns: Sequence[str],
     tie: str | None = None,
-    limit_rows: int = ordered.KEY_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Latest history value at or before each fact's time, NULL before the first.
 
@@ -131,7 +106,7 @@ def as_of_join(
         *fact_columns,
     )
     known = ordered.last_known(
-        versions.union(asked), [key], [time, "_side", "_tie"], "_value", "_known", limit_rows
+        versions.union(asked), [key], [time, "_side", "_tie"], "_value", "_known", slices
     )
     return known.where(F.col("_side") == 1).select(
         key, time, *fact_columns, F.col("_known").alias(value)

@@ -1,13 +1,16 @@
-"""Per-key ordered computation that survives hot keys.
-
-A window ``PARTITION BY key ORDER BY seq`` puts all rows of a key in one task. If
-one key holds a third of a 100 TB table that task never ends. Here the rows of a
-hot key are cut into consecutive slices along the order column; the window runs
-per (key, slice), and what a slice needs from the ones before it (a running sum, a
-count, the last row) is computed on one small row per slice and joined back.
-
-Ordinary keys stay in slice 0. They cost one extra column-pruned pass over a small
-hashed share of the rows and no extra shuffle.
+"""Per-key ordered computation whose work does not depend on how rows spread over keys.
+
+A window ``PARTITION BY key ORDER BY seq`` puts all rows of a key in one task. If one key
+holds a third of a 100 TB table that task never ends. Here the whole table is range
+partitioned by (key, order), so each slice is a stretch of that order with about the same
+number of rows: small keys share a slice, a large one runs over many. The window runs per
+(key, slice). What a slice needs from the ones before it (a running sum, a count, the last
+row) is computed on one row per key and slice; only the one key that comes from the slice
+before can need it, so what is joined back has at most one row per slice.
+
+Cuts use the whole order, then a hash of the row, then its place: ties, NULL keys, NULL
+order values and equal rows are cut like all others. The slices are written once and read by
+both sides of the join, so both see the same cuts, also after executors were lost.
 """
 
 from __future__ import annotations
@@ -16,191 +19,99 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from rivulet.session import settle
 
 SLICE = "_slice"
-SPLIT = "_split"
-
-# Rows of one key that a single window task may hold before the key is split.
-KEY_ROWS = 1_000_000
-# Broadcast bound: at most this many keys are split. Any key left whole holds no
-# more than max(limit, table rows / MAX_HOT_KEYS) rows.
-MAX_HOT_KEYS = 20_000
-# Slice of rows whose order value is NULL: they sort first.
-FIRST_SLICE = -(2**62)
-# Cut finer than strictly needed, so that a slice stays below the limit when the
-# order column is unevenly spread.
-OVERSPLIT = 8
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """Order column as a number, for equal-width cuts."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"order column {name} must be numeric or a time, is {kind.simpleString()}")
-
-
-def probe(columns: Sequence[str], limit_rows: int) -> tuple[Column, int]:
-    """Rows that take part in finding hot keys, and how many rows each stands for.
-
-    Counting every key of a huge table would shuffle nearly as much as the work
-    itself. A row takes part by the hash of its own values, so the choice is the same
-    wherever and whenever the row is read, and a key at the limit still shows up
-    with about a thousand rows. It only decides where keys are cut, never a result.
-    """
-    weight = max(1, limit_rows // 1000)
-    bound = (2**63 - 1) // weight
-    return F.shiftrightunsigned(F.xxhash64(*columns), 1) <= F.lit(bound), weight
+TIE, PLACE = "_row_hash", "_row_place"
+#: items in one part of a list
+PART_ROWS = 100_000
 
 
-def with_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit_rows: int | None = KEY_ROWS
-) -> DataFrame:
-    """Add ``_slice`` and ``_split``; slices of a key follow the first order column.
-
-    Equal values of that column share a slice, so sorting by all order columns
-    inside the slices is still the order of the whole key. No limit means that the
-    caller has checked that the whole input is small; then nothing is split.
-    """
-    if limit_rows is None:
-        return df.withColumn(SLICE, F.lit(0).cast("long")).withColumn(SPLIT, F.lit(False))
-    lead = order[0]
-    position = _as_number(df, lead)
-    probed, weight = probe([*keys, *order], limit_rows)
-    hot = (
-        df.where(F.col(lead).isNotNull() & probed)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-        .where(F.col("_n") * weight > limit_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .withColumn("_cuts", F.ceil(F.col("_n") * weight / F.lit(limit_rows)) * OVERSPLIT)
-        .withColumn("_width", (F.col("_hi") - F.col("_lo") + 1) / F.col("_cuts"))
-        .select(*keys, "_lo", "_width")
-    )
-    cut = F.coalesce(F.floor((position - F.col("_lo")) / F.col("_width")), F.lit(FIRST_SLICE))
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(SPLIT, F.col("_width").isNotNull())
-        .withColumn(SLICE, F.when(F.col(SPLIT), cut).otherwise(0).cast("long"))
-        .drop("_lo", "_width")
-        .select(*df.columns, SLICE, SPLIT)
-    )
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """Add the slice number and what orders equal rows; by default one slice per shuffle partition."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumns({TIE: F.xxhash64(*df.columns), PLACE: F.monotonically_increasing_id()})
+    ranged = placed.repartitionByRange(slices, *keys, *order, TIE, PLACE)
+    return settle(ranged.withColumn(SLICE, F.spark_partition_id().cast("long")), "slices")
 
 
-def slice_window(keys: Sequence[str], *order: str | Column) -> WindowSpec:
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
+def slice_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys, SLICE).orderBy(*order, TIE, PLACE)
 
 
 def join_carried(
     rows: DataFrame,
     sliced: DataFrame,
     keys: Sequence[str],
-    summary: Mapping[str, Column],
-    carried: Mapping[str, Callable[[WindowSpec], Column]],
+    summary: Column,
+    carried: Callable[[WindowSpec, Column], Column],
+    into: str,
 ) -> DataFrame:
-    """Join to each row what the earlier slices of its key add up to.
+    """Join to each row, as ``into``, what the earlier slices of its key add up to.
 
-    ``summary`` aggregates one slice; ``carried`` turns the summaries into the
-    value that enters a slice, over a window of the key's slices. Only split keys
-    have a row here, one per slice.
+    ``summary`` aggregates one slice; ``carried`` turns a key's summaries into the value that
+    enters a slice. At most one key per slice has such a value: the broadcast is no longer
+    than the number of slices.
     """
     along = Window.partitionBy(*keys).orderBy(SLICE)
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
     entering = (
-        sliced.where(SPLIT)
-        .groupBy(*keys, SLICE)
-        .agg(*[c.alias(n) for n, c in summary.items()])
-        .select(*keys, SLICE, *[make(along).alias(n) for n, make in carried.items()])
+        sliced.groupBy(*keys, SLICE)
+        .agg(summary.alias("_summary"))
+        .withColumn(into, carried(along, F.col("_summary")))
+        .where(F.col(into).isNotNull())
+        .select(*[F.col(k).alias(n) for k, n in names.items()], F.col(SLICE).alias("_at"), into)
     )
-    return rows.join(entering, [*keys, SLICE], "left")
+    same = F.col(SLICE) == F.col("_at")
+    for k, n in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return rows.join(F.broadcast(entering), same, "left").drop("_at", *names.values())
+
+
+def _before(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def previous_row(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    columns: Sequence[str],
-    into: str = "prev",
-    limit_rows: int | None = KEY_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], into: str = "prev", slices: int | None = None
 ) -> DataFrame:
     """Struct of ``columns`` of the row before, per key in the given order."""
-    sliced = with_slices(df, keys, order, limit_rows)
+    sliced = with_slices(df, keys, order, slices)
     picked = F.struct(*columns)
-    rows = sliced.withColumn("_lag", F.lag(picked).over(slice_window(keys, *order)))
-    return (
-        join_carried(
-            rows,
-            sliced,
-            keys,
-            {"_tail": F.max_by(picked, F.struct(*order))},
-            {"_entering": lambda w: F.lag("_tail").over(w)},
-        )
-        .withColumn(into, F.coalesce("_lag", "_entering"))
-        .select(*df.columns, into)
-    )
+    rows = sliced.withColumn("_lag", F.lag(picked).over(slice_window(keys, order)))
+    tail = F.max_by(picked, F.struct(*order, TIE, PLACE))
+    joined = join_carried(rows, sliced, keys, tail, lambda w, s: F.lag(s).over(w), "_entering")
+    return joined.withColumn(into, F.coalesce("_lag", "_entering")).select(*df.columns, into)
 
 
 def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: Column,
-    into: str = "running",
-    limit_rows: int | None = KEY_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, into: str = "running", slices: int | None = None
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row; one result per input row."""
-    sliced = with_slices(df.withColumn("_v", value), keys, order, limit_rows)
-    upto = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
+    sliced = with_slices(df.withColumn("_v", value), keys, order, slices)
+    upto = slice_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_sum", F.sum("_v").over(upto))
+    joined = join_carried(rows, sliced, keys, F.sum("_v"), lambda w, s: F.sum(s).over(_before(w)), "_entering")
     zero = F.lit(0)
-    return (
-        join_carried(
-            rows,
-            sliced,
-            keys,
-            {"_part": F.sum("_v")},
-            {"_before": lambda w: F.sum("_part").over(w.rowsBetween(Window.unboundedPreceding, -1))},
-        )
-        .withColumn(into, F.coalesce("_sum", zero) + F.coalesce("_before", zero))
-        .select(*df.columns, into)
-    )
+    return joined.withColumn(into, F.coalesce("_sum", zero) + F.coalesce("_entering", zero)).select(*df.columns, into)
 
 
 def last_known(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    into: str = "known",
-    limit_rows: int | None = KEY_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, into: str = "known", slices: int | None = None
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row."""
-    sliced = with_slices(df, keys, order, limit_rows)
-    upto = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
+    sliced = with_slices(df, keys, order, slices)
+    upto = slice_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_last", F.last(value, ignorenulls=True).over(upto))
-    present = F.when(F.col(value).isNotNull(), F.struct(*order))
-    return (
-        join_carried(
-            rows,
-            sliced,
-            keys,
-            {"_tail": F.max_by(value, present)},
-            {
-                "_entering": lambda w: F.last("_tail", ignorenulls=True).over(
-                    w.rowsBetween(Window.unboundedPreceding, -1)
-                )
-            },
-        )
-        .withColumn(into, F.coalesce("_last", "_entering"))
-        .select(*df.columns, into)
-    )
+    tail = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order, TIE, PLACE)))
+    joined = join_carried(rows, sliced, keys, tail, lambda w, s: F.last(s, ignorenulls=True).over(_before(w)), "_entering")
+    return joined.withColumn(into, F.coalesce("_last", "_entering")).select(*df.columns, into)
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str = "n", slices: int | None = None) -> DataFrame:
+    """Place of each row in its key's order, from 1."""
+    return running_sum(df, keys, order, F.lit(1).cast("long"), into, slices)
 
 
 def ordered_lists(
@@ -209,18 +120,15 @@ def ordered_lists(
     order: Sequence[str],
     item: Column,
     into: str = "items",
-    limit_rows: int = 100_000,
+    part_rows: int = PART_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Items of each key in order, as ``(keys, part, items)``.
 
-    A key of up to ``limit_rows`` rows gives one row with ``part`` 0. A larger one
-    gives consecutive parts whose concatenation is the whole list, so no task and
-    no cell ever holds an unbounded group.
+    Every key has the parts 0, 1, 2, ... of ``part_rows`` items each, the last one shorter:
+    the item in place n (from 1) is in part (n - 1) div part_rows, whatever the key's size.
     """
-    sliced = with_slices(df.withColumn("_item", item), keys, order, limit_rows)
-    entry = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col("_item"))
-    return (
-        sliced.groupBy(*keys, F.col(SLICE).alias("part"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        .select(*keys, "part", F.col("_entries._item").alias(into))
-    )
+    numbered = row_numbers(df.withColumn("_item", item), keys, order, "_n", slices)
+    entries = F.sort_array(F.collect_list(F.struct("_n", "_item")))
+    part = F.floor((F.col("_n") - 1) / F.lit(part_rows)).alias("part")
+    return numbered.groupBy(*keys, part).agg(entries.alias("_entries")).select(*keys, "part", F.col("_entries._item").alias(into))

@@ -21,7 +21,7 @@ def consecutive_fails(
     within: Column,
     fail: str = "fail",
     message: str = "login fail!",
-    limit_rows: int | None = ordered.KEY_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Alert for each fail whose previous event of the key is a fail too.
 
@@ -32,7 +32,7 @@ def consecutive_fails(
     """
     paired = ordered.previous_row(
         events.select(key, kind, time, *[o for o in order if o != time]),
-        [key], order, [kind, time], "_prev", limit_rows,
+        [key], order, [kind, time], "_prev", slices,
     )
     return paired.where(
         (F.col(kind) == fail)
@@ -55,7 +55,7 @@ def fail_bursts(
     span_seconds: int,
     min_fails: int,
     fail: str = "fail",
-    limit_rows: int = ordered.KEY_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Fails gathered from a first one for ``span_seconds``, reported from ``min_fails`` on.
 
@@ -63,31 +63,32 @@ def fail_bursts(
     starts at the first fail after that or after the span. Times count in whole
     seconds; an event exactly ``span_seconds`` after the first is still inside.
 
-    Bursts chain, so a run of fails must be walked in order. Runs are cut at
-    non-fails and reduced to one row per second first: what one task walks in a
-    piece is bounded by the seconds a run covers, not by its rows.
+    Rows are cut into pieces at non-fails and at gaps above the span, after which a burst
+    always begins anew; both are window built-ins over sliced keys. A piece is reduced to
+    one row per second before it is walked, so a task walks the seconds of a piece, not its
+    rows. Seconds of a piece are at most ``span_seconds`` apart.
     """
     failed = F.col(kind) == fail
-    numbered = ordered.running_sum(
-        events.select(key, kind, time, *[o for o in order if o != time]),
-        [key],
-        order,
-        F.when(failed, 0).otherwise(1).cast("long"),
-        "_run",
-        limit_rows,
+    previous = ordered.previous_row(
+        events.select(key, kind, time, *[o for o in order if o != time]), [key], order, [time], "_prev", slices
     )
-    # The non-fail that ends a run is counted with the fails it ends.
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    gap = seconds - F.unix_seconds(F.col(f"_prev.{time}").cast("timestamp")) > span_seconds
+    starts = F.when(~failed | F.coalesce(gap, F.lit(False)), 1).otherwise(0).cast("long")
+    cut = previous.withColumn("_cut", starts).drop("_prev")
+    numbered = ordered.running_sum(cut, [key], order, F.col("_cut"), "_run", slices)
+    # A non-fail ends the piece before it, unless a gap has done so; its place tells.
     per_second = (
         numbered.withColumn("_run", F.when(failed, F.col("_run")).otherwise(F.col("_run") - 1))
         .withColumn("_t", F.unix_seconds(F.col(time).cast("timestamp")))
         .groupBy(key, "_run", "_t")
         .agg(F.count_if(failed).alias("_n"), F.count_if(~failed).alias("_stop"))
     )
-    whole_run = Window.partitionBy(key, "_run")
+    whole = Window.partitionBy(key, "_run")
     walked = (
-        per_second.repartition(key, "_run")
-        .withColumn("_fails", F.sum("_n").over(whole_run))
+        per_second.withColumn("_fails", F.sum("_n").over(whole))
         .where(F.col("_fails") >= min_fails)
+        .repartition(key, "_run")
         .sortWithinPartitions(key, "_run", "_t")
         .select(key, "_run", "_t", "_n", "_stop")
     )

@@ -87,9 +87,10 @@ def keyed_count_topk(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "distinct_list",
     """
-    SELECT user_id, CAST(0 AS BIGINT) AS part, string_agg(event_type, ',' ORDER BY seq) AS items
-    FROM (SELECT user_id, event_type, min(event_id) AS seq FROM events GROUP BY 1, 2)
-    GROUP BY user_id
+    SELECT user_id, part, string_agg(event_type, ',' ORDER BY seq) AS items
+    FROM (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY seq, event_type) - 1) // 100000 AS part
+          FROM (SELECT user_id, event_type, min(event_id) AS seq FROM events GROUP BY 1, 2))
+    GROUP BY user_id, part
     """,
 )
 def distinct_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,8 +100,9 @@ def distinct_list(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "list_agg",
     """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS part, string_agg(o_orderpriority, ',' ORDER BY o_orderkey) AS items
-    FROM orders GROUP BY o_custkey
+    SELECT o_custkey, part, string_agg(o_orderpriority, ',' ORDER BY o_orderkey) AS items
+    FROM (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 100000 AS part FROM orders)
+    GROUP BY o_custkey, part
     """,
 )
 def list_agg(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,9 +112,9 @@ def list_agg(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "group_collect",
     """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS part, array_to_string(list(o_orderstatus ORDER BY o_orderkey), '|') AS statuses,
-           count(*) AS n
-    FROM orders GROUP BY o_custkey
+    SELECT o_custkey, part, array_to_string(list(o_orderstatus ORDER BY o_orderkey), '|') AS statuses, count(*) AS n
+    FROM (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 100000 AS part FROM orders)
+    GROUP BY o_custkey, part
     """,
 )
 def group_collect(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,7 +201,7 @@ def cond_max(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def group_reduce(spark: SparkSession, sf: str) -> DataFrame:
-    maps = agg.group_sums_as_map(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P"])
+    maps = agg.group_sums_as_map(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice")
     return maps.select("o_orderpriority", F.explode("sums").alias("status", "total"))
 
 

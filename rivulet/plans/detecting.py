@@ -193,6 +193,7 @@ def vector_distance(spark: SparkSession, sf: str) -> DataFrame:
     return beside.select("vec_id", F.round(euclidean(F.col("embedding"), F.col("first")), 4).alias("distance"))
 
 
+# The twin writes out this many passes; once settled, further ones change nothing.
 KMEANS_K, KMEANS_PASSES = 10, 40
 
 
@@ -230,5 +231,5 @@ def _kmeans_sql(k: int, passes: int, tolerance: float = 0.01, seed: int = 42) ->
 @query("kmeans", _kmeans_sql(KMEANS_K, KMEANS_PASSES))
 def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    result = clusters.kmeans(points, "embedding", "vec_id", KMEANS_K, max_passes=KMEANS_PASSES)
+    result = clusters.kmeans(points, "embedding", "vec_id", KMEANS_K)
     return result.assigned.select("vec_id", "cluster", F.round("distance", 4).alias("distance"))

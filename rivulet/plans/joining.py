@@ -16,66 +16,66 @@ from rivulet.tables import table
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-def _builders(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers of one market segment, so that some lookups miss."""
-    return table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name", "c_acctbal")
+def _customers(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+
+
+def _asking(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Events whose user is looked up under seven times the id, so that some lookups miss."""
+    return table(spark, sf, "events").select("event_id", (F.col("user_id") * 7).alias("user_id"), *columns)
+
+
+_ASKING_SQL = "(SELECT event_id, user_id * 7 AS user_id, event_type FROM events)"
 
 
 @query(
     "lookup_inner",
-    """
-    SELECT event_id, user_id, c_name, c_acctbal FROM events
-    JOIN customer ON user_id = c_custkey AND c_mktsegment = 'BUILDING'
-    """,
+    f"SELECT event_id, user_id, c_name, c_acctbal FROM {_ASKING_SQL} JOIN customer ON user_id = c_custkey",
 )
 def lookup_inner(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", "user_id")
-    return joins.lookup_join(events, _builders(spark, sf), "user_id", "c_custkey")
+    return joins.lookup_join(_asking(spark, sf), _customers(spark, sf), "user_id", "c_custkey")
 
 
 @query(
     "lookup_left",
-    """
-    SELECT event_id, user_id, c_name, c_acctbal FROM events
-    LEFT JOIN customer ON user_id = c_custkey AND c_mktsegment = 'BUILDING'
-    """,
+    f"SELECT event_id, user_id, c_name, c_acctbal FROM {_ASKING_SQL} LEFT JOIN customer ON user_id = c_custkey",
 )
 def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", "user_id")
-    return joins.lookup_join(events, _builders(spark, sf), "user_id", "c_custkey", "left")
+    return joins.lookup_join(_asking(spark, sf), _customers(spark, sf), "user_id", "c_custkey", "left")
 
 
 @query(
     "lookup_group",
-    """
-    SELECT user_id, CAST(0 AS BIGINT) AS part, string_agg(label, ',' ORDER BY seq) AS items FROM (
-      SELECT user_id, concat_ws(':', event_type, c_name) AS label, min(event_id) AS seq FROM events
-      LEFT JOIN customer ON user_id = c_custkey AND c_mktsegment = 'BUILDING' GROUP BY 1, 2)
-    GROUP BY user_id
+    f"""
+    SELECT user_id, part, string_agg(label, ',' ORDER BY seq) AS items FROM (
+      SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY seq, label) - 1) // 100000 AS part FROM (
+        SELECT user_id, concat_ws(':', event_type, c_name) AS label, min(event_id) AS seq FROM {_ASKING_SQL}
+        LEFT JOIN customer ON user_id = c_custkey GROUP BY 1, 2))
+    GROUP BY user_id, part
     """,
 )
 def lookup_group(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    enriched = joins.salted_lookup_join(events, _builders(spark, sf), "user_id", "c_custkey", "left")
+    # A user's rows shrink to the first of each kind before the lookup, which then cannot be skewed.
+    first = _asking(spark, sf, "event_type").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    enriched = joins.lookup_join(first, _customers(spark, sf), "user_id", "c_custkey", "left")
     labelled = enriched.withColumn("label", F.concat_ws(":", "event_type", "c_name"))
     return agg.distinct_list(labelled, ["user_id"], "label", "event_id")
 
 
 @query(
     "lookup_composed",
-    """
+    f"""
     SELECT event_id, concat('userInfo:userId:', user_id, ':userName') AS key,
            CASE WHEN c_custkey IS NOT NULL THEN concat(c_mktsegment, c_name) END AS value
-    FROM events LEFT JOIN customer ON user_id = c_custkey AND c_mktsegment = 'BUILDING'
+    FROM {_ASKING_SQL} LEFT JOIN customer ON user_id = c_custkey
     """,
 )
 def lookup_composed(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
+    customers = table(spark, sf, "customer")
     keyed = customers.withColumn("rowkey", joins.compose_key("userInfo", "userId", F.col("c_custkey"), "userName"))
     cells = put_cells(keyed, "rowkey", "info", ["c_name", "c_mktsegment"], F.lit(0).cast("bigint"))
-    entries = joins.concat_cells(cells, [("info", "c_name"), ("info", "c_mktsegment")])
-    events = table(spark, sf, "events").select("event_id", "user_id")
-    found = joins.composed_lookup(events, "user_id", entries, "userInfo", "userId", "userName")
+    entries = joins.concat_cells(cells)
+    found = joins.composed_lookup(_asking(spark, sf), "user_id", entries, "userInfo", "userId", "userName")
     return found.select("event_id", "key", "value")
 
 
@@ -110,7 +110,8 @@ def lateral_json(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "if(event_type = 'error', substr(props, 1, length(props) - 1), props) AS props"
     )
     parsed = F.from_json("props", "k INT, _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
-    rows = F.when(parsed["_bad"].isNull(), F.array(F.struct(parsed["k"].alias("k"))))
+    events = events.withColumn("parsed", parsed)
+    rows = F.when(F.col("parsed._bad").isNull(), F.array(F.struct(F.col("parsed.k").alias("k"))))
     return joins.lateral(events, rows).select("event_id", "k")
 
 

@@ -282,11 +282,13 @@ def json_append(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "json_build",
     """
-    SELECT l_orderkey, CAST(0 AS BIGINT) AS part,
+    SELECT l_orderkey, part,
            concat('{"grade_id":"', l_orderkey, '","subject_type":[', string_agg(
              concat('{"subject_id":"', l_linenumber, '","type_id":"', l_partkey, '","source":"', l_suppkey, '"}'), ','
              ORDER BY l_linenumber, l_partkey, l_suppkey), ']}') AS doc
-    FROM lineitem GROUP BY l_orderkey
+    FROM (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // 100000
+            AS part FROM lineitem)
+    GROUP BY l_orderkey, part
     """,
 )
 def json_build(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Streaming twins: each table is replayed as micro-batches and must give the batch answer."""
+"""Streaming twins: each table's files are read as a stream and must give the batch answer.
 
-from __future__ import annotations
+The answers do not depend on how many micro-batches the files make.
+"""
 
-import datetime
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,156 +15,124 @@ from rivulet.operators.sets import union_distinct_stream
 from rivulet.plans import detecting
 from rivulet.plans.registry import query
 from rivulet.plans.writing import LATEST_SQL
-from rivulet.session import fresh_dir
-from rivulet.sinks import keyed
+from rivulet.session import fresh_dir, use_utc
+from rivulet.sinks import files, keyed
 from rivulet.sinks.ledger import BatchLedger
 from rivulet.sinks.topics import json_records
 from rivulet.sources import topics
-from rivulet.streaming import carried, jobs, processors
+from rivulet.streaming import jobs, processors
 from rivulet.tables import table, zoned, zoneless
 
-# Rows of this user only move the watermark.
-CLOSING_USER = -1
-CLOSING_TIME = datetime.datetime(2100, 1, 1)
-
 
 def _events(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return table(spark, sf, "events").select(*columns)
+    return jobs.table_stream(use_utc(spark), sf, "events").select(*columns)
 
 
-def _windows(spark: SparkSession, sf: str, size: str, slide: str | None) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
-    counted = windows.windowed(
-        zoned(replay.stream(), "ts"), "ts", size, {"pv": F.count(F.lit(1))}, ["event_type"], slide, "10 minutes"
-    )
-    emitted = jobs.drained(counted, "update", "windows")
-    final = jobs.latest_updates(emitted, ["window_start", "window_end", "event_type"])
-    return zoneless(final, "window_start", "window_end")
+def _windowed(spark: SparkSession, sf: str, size: str, slide: str | None, mode: str = "update") -> DataFrame:
+    events = zoned(_events(spark, sf, "ts", "event_type"), "ts")
+    counted = windows.windowed(events, "ts", size, {"pv": F.count(F.lit(1))}, ["event_type"], slide, "10 minutes")
+    emitted = jobs.drained(counted, mode, "windows")
+    return zoneless(jobs.latest_updates(emitted, ["window_start", "window_end", "event_type"]), "window_start", "window_end")
 
 
 @query("stream_tumbling_count", detecting.TUMBLING_SQL)
 def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _windows(spark, sf, "1 hour", None)
+    return _windowed(spark, sf, "1 hour", None)
 
 
 @query("stream_sliding_count", detecting.SLIDING_SQL)
 def stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _windows(spark, sf, "2 hours", "30 minutes")
+    return _windowed(spark, sf, "2 hours", "30 minutes")
 
 
-@query("stream_keyed_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+KEYED_COUNT_SQL = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+
+
+@query("stream_keyed_count", KEYED_COUNT_SQL)
 def stream_keyed_count(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
-    emitted = jobs.drained(jobs.running_counts(replay.stream(), "event_type"), "update", "counts")
+    emitted = jobs.drained(jobs.running_counts(_events(spark, sf, "event_type"), "event_type"), "update", "counts")
     return jobs.latest_updates(emitted, ["event_type"]).orderBy(F.desc("n"), "event_type")
 
 
-def _keyed_events(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "user_id", "ts", "event_id", "event_type")
-    return zoned(events, "ts").toDF("user_id", "event_time", "seq", "kind")
+@query("stream_clock_windows", KEYED_COUNT_SQL)
+def stream_clock_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per window of the processing clock; how rows fall into windows is the clock's matter, their sum is not."""
+    stamped = windows.on_clock(_events(spark, sf, "event_type"))
+    counted = windows.windowed(stamped, "clock", "5 seconds", {"pv": F.count(F.lit(1))}, ["event_type"])
+    emitted = jobs.drained(counted, "update", "clock")
+    final = jobs.latest_updates(emitted, ["window_start", "window_end", "event_type"])
+    return final.groupBy("event_type").agg(F.sum("pv").alias("n"))
 
 
-def _replayed(spark: SparkSession, sf: str) -> DataFrame:
-    """Events with a last row that moves the watermark past all others."""
-    events = _keyed_events(spark, sf)
-    closing = jobs.far_future(spark, events.schema, (CLOSING_USER, CLOSING_TIME, -1, "closing"))
-    return jobs.Replay(events, "event_time", "seq", closing).stream()
+@query(
+    "stream_running_sum",
+    """
+    SELECT user_id, event_id,
+           CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS running
+    FROM events
+    """,
+)
+def stream_running_sum(spark: SparkSession, sf: str) -> DataFrame:
+    events = _events(spark, sf, "user_id", "event_id", "value")
+    sums = processors.running_sums(events, "user_id", "event_id", F.round(F.col("value") * 100))
+    return jobs.drained(sums, "append", "running").drop("batch_id")
 
 
-ALERT = "user_id bigint, first_fail timestamp_ntz, last_fail timestamp_ntz, warning string"
+def _keyed_events(spark: SparkSession, sf: str) -> DataFrame:
+    return zoned(_events(spark, sf, "user_id", "ts", "event_id", "event_type"), "ts").toDF("user_id", "event_time", "seq", "kind")
+
+
+#: the watermark when all files are read: five seconds, in whole milliseconds, behind the latest event
+WATERMARK_SQL = "(SELECT (epoch_ms(max(ts)) - 5000) * 1000 FROM events)"
 
 
 @query("stream_fail_pairs", detecting.FAIL_PAIRS_SQL)
 def stream_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "user_id", "event_id", "event_type", "ts")
-    replay = jobs.Replay(events, "ts", "event_id")
-    root = fresh_dir(spark, "fail-pairs")
-    output = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(ALERT))
-    last = keyed.KeyedTable(spark, f"{root}/last", events.schema, ["user_id"], ["event_id"])
-    sink = carried.arrival_pairs(
-        output, last, "event_type", "ts", "event_id", F.expr("INTERVAL 3 HOURS"), "error", "fails within 3 hours"
-    )
-    jobs.drain(replay.stream(), jobs.skipping_empty(sink), "append", f"{root}/checkpoint")
-    return output.read().drop("batch_id")
+    found = processors.arrival_pairs(_keyed_events(spark, sf), 3 * 3600, "error", "fails within 3 hours")
+    return zoneless(jobs.drained(found, "append", "fail-pairs").drop("batch_id"), "first_fail", "last_fail")
 
 
-@query("stream_fail_pattern", detecting.FAIL_PATTERN_SQL)
+@query("stream_fail_pattern", f"SELECT * FROM ({detecting.FAIL_PATTERN_SQL}) WHERE epoch_us(last_fail) <= {WATERMARK_SQL}")
 def stream_fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "user_id", "event_id", "event_type", "ts")
-    closing = jobs.far_future(spark, events.schema, (CLOSING_USER, -1, "closing", CLOSING_TIME))
-    replay = jobs.Replay(events, "ts", "event_id", closing)
-    root = fresh_dir(spark, "fail-pattern")
-    output = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(ALERT))
-    last = keyed.KeyedTable(spark, f"{root}/last", events.schema, ["user_id"], ["ts", "event_id"])
-    waiting = carried.Waiting(
-        BatchLedger(spark, f"{root}/waiting", events.schema),
-        BatchLedger(spark, f"{root}/latest", T.StructType.fromDDL("latest timestamp_ntz")),
-        "ts",
-        F.expr("INTERVAL 5 SECONDS"),
-    )
-    sink = carried.event_time_pairs(
-        output, last, waiting, "event_type", "event_id", F.expr("INTERVAL 7 HOURS"), "error"
-    )
-    jobs.drain(replay.stream(), sink, "append", f"{root}/checkpoint")
-    return output.read().drop("batch_id")
-
-
-@query("stream_fail_burst", detecting.BURST_SQL)
-def stream_fail_burst(spark: SparkSession, sf: str) -> DataFrame:
-    bursts = processors.ordered_bursts(_replayed(spark, sf), detecting.BURST_SPAN, 2, "5 seconds", "error")
-    found = jobs.drained(bursts, "append", "fail-burst").drop("batch_id")
-    return zoneless(found, "first_fail", "last_fail")
-
-
-HALVES_SQL = """
-    bounds AS (SELECT epoch_us(min(ts)) AS low, (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 + 1 AS width FROM events),
-    halves AS (SELECT *, (epoch_us(ts) - low) // width AS batch_id FROM events, bounds)
-    """
+    found = processors.event_time_pairs(_keyed_events(spark, sf), 7 * 3600, "5 seconds", "error")
+    return zoneless(jobs.drained(found, "append", "fail-pattern").drop("batch_id"), "first_fail", "last_fail")
 
 
 @query(
-    "stream_changelog",
+    "stream_fail_burst",
     f"""
-    WITH {HALVES_SQL},
-    counts AS (SELECT event_type, count(*) FILTER (batch_id = 0) AS n0, count(*) AS n FROM halves GROUP BY 1)
-    SELECT event_type, TRUE AS is_add, n0 AS n, CAST(0 AS BIGINT) AS batch_id FROM counts WHERE n0 > 0
-    UNION ALL SELECT event_type, FALSE, n0, 1 FROM counts WHERE n > n0 AND n0 > 0
-    UNION ALL SELECT event_type, TRUE, n, 1 FROM counts WHERE n > n0
+    SELECT * FROM ({detecting.BURST_SQL})
+    WHERE epoch_us(first_fail) + CAST({detecting.BURST_SPAN + 1} AS BIGINT) * 1000000 <= {WATERMARK_SQL}
     """,
 )
+def stream_fail_burst(spark: SparkSession, sf: str) -> DataFrame:
+    bursts = processors.ordered_bursts(_keyed_events(spark, sf), detecting.BURST_SPAN, 2, "5 seconds", "error")
+    return zoneless(jobs.drained(bursts, "append", "fail-burst").drop("batch_id"), "first_fail", "last_fail")
+
+
+@query("stream_changelog", KEYED_COUNT_SQL)
 def stream_changelog(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
-    counts = jobs.running_counts(replay.stream(), "event_type")
-    root = fresh_dir(spark, "changelog")
-    output = BatchLedger(
-        spark, f"{root}/out", T.StructType.fromDDL("event_type string, is_add boolean, n bigint")
-    )
-    row = T.StructType.fromDDL("event_type string, n bigint")
-    sent = keyed.KeyedTable(spark, f"{root}/sent", row, ["event_type"], ["n"])
-    jobs.drain(counts, carried.changelog(output, sent), "update", f"{root}/checkpoint")
-    return output.read()
+    """What is left when every withdrawal has taken its row back."""
+    changes = jobs.drained(processors.count_changelog(_events(spark, sf, "event_type"), "event_type"), "append", "changelog")
+    sign = F.when(F.col("is_add"), 1).otherwise(-1)
+    return changes.groupBy("event_type").agg(F.sum(sign * F.col("n")).alias("n"))
 
 
 @query("stream_upsert_latest", LATEST_SQL)
 def stream_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "user_id", "event_id", "event_type", "value", "ts")
-    replay = jobs.Replay(events, "ts", "event_id")
+    events = _events(spark, sf, "user_id", "event_id", "event_type", "value")
     root = fresh_dir(spark, "stream-upsert")
-    target = keyed.KeyedTable(spark, f"{root}/table", events.drop("ts").schema, ["user_id"], ["event_id"])
-    jobs.drain(replay.stream().drop("ts"), target.upsert, "append", f"{root}/checkpoint")
+    target = keyed.KeyedTable(spark, f"{root}/table", events.schema, ["user_id"], ["event_id"])
+    jobs.drain(events, target.upsert, "append", f"{root}/checkpoint")
     return target.current()
 
 
 @query("stream_route", detecting.ROUTE_SQL)
 def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     root = fresh_dir(spark, "stream-route")
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
-    documents.repartition(2, "doc_id").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = jobs.table_stream(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     route = detecting.document_route()
-    outputs = {
-        name: BatchLedger(spark, f"{root}/{name}", documents.select("doc_id").schema) for name in route.sinks
-    }
+    outputs = {name: BatchLedger(spark, f"{root}/{name}", stream.select("doc_id").schema) for name in route.sinks}
     for name, output in outputs.items():
         route.end(name, output.write)
     jobs.drain(stream, route.write, "append", f"{root}/checkpoint")
@@ -182,50 +151,41 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_union_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "user_id", "event_type"), "ts", "event_id")
-
     def side(*kinds: str) -> DataFrame:
-        picked = zoned(replay.stream(), "ts").where(F.col("event_type").isin(*kinds))
-        return picked.select("user_id", "event_type", "ts")
+        return _events(spark, sf, "user_id", "event_type").where(F.col("event_type").isin(*kinds))
 
-    both = union_distinct_stream(side("click", "view"), side("view", "error"), ["user_id", "event_type"], "ts", "60 days")
+    both = union_distinct_stream(side("click", "view"), side("view", "error"), ["user_id", "event_type"])
     return jobs.drained(both, "append", "union").select("user_id", "event_type")
 
 
 @query(
     "stream_lookup",
     """
-    SELECT event_id, user_id, c_name FROM events
-    LEFT JOIN customer ON user_id = c_custkey AND c_mktsegment = 'BUILDING'
+    SELECT event_id, user_id * 7 AS user_id, c_name FROM events LEFT JOIN customer ON user_id * 7 = c_custkey
     """,
 )
 def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "user_id"), "ts", "event_id")
     root = fresh_dir(spark, "stream-lookup")
     schema = "event_id bigint, user_id bigint, c_name string"
     target = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL(schema))
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
         # The dimension is read again for every batch: its state as of processing time.
-        dimension = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-        target.write(lookup_join(batch.drop("ts"), dimension, "user_id", "c_custkey", "left"), batch_id)
+        dimension = table(spark, sf, "customer").select("c_custkey", "c_name")
+        target.write(lookup_join(batch, dimension, "user_id", "c_custkey", "left"), batch_id)
 
-    jobs.drain(replay.stream(), enrich, "append", f"{root}/checkpoint")
+    events = _events(spark, sf, "event_id", "user_id").withColumn("user_id", F.col("user_id") * 7)
+    jobs.drain(events, enrich, "append", f"{root}/checkpoint")
     return target.read().drop("batch_id")
 
 
-@query(
-    "batch_counts",
-    f"""
-    WITH {HALVES_SQL} SELECT batch_id, event_type, count(*) AS n FROM halves GROUP BY ALL
-    """,
-)
+@query("batch_counts", KEYED_COUNT_SQL)
 def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
+    """Counts of each micro-batch alone, added up."""
     root = fresh_dir(spark, "batch-counts")
     target = BatchLedger(spark, f"{root}/out", T.StructType.fromDDL("event_type string, n bigint"))
-    jobs.drain(replay.stream(), jobs.counts_per_batch("event_type", target), "append", f"{root}/checkpoint")
-    return target.read()
+    jobs.drain(_events(spark, sf, "event_type"), jobs.counts_per_batch("event_type", target), "append", f"{root}/checkpoint")
+    return target.read().groupBy("event_type").agg(F.sum("n").alias("n"))
 
 
 @query(
@@ -236,14 +196,11 @@ def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_positions(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "event_id", "ts", "user_id", "event_type")
-    log = events.select(
+    log = _events(spark, sf, "event_id", "user_id", "event_type").select(
         F.col("event_type").alias("topic"),
         F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        "ts",
     )
-    replay = jobs.Replay(log, "ts", "offset")
     root = fresh_dir(spark, "positions")
     target = keyed.KeyedTable(
         spark, f"{root}/table", topics.next_positions(log).schema, ["topic", "partition"], ["next_offset"]
@@ -252,7 +209,7 @@ def stream_positions(spark: SparkSession, sf: str) -> DataFrame:
     def commit(batch: DataFrame, batch_id: int) -> None:
         target.upsert(topics.next_positions(batch), batch_id)
 
-    jobs.drain(replay.stream(), jobs.skipping_empty(commit), "append", f"{root}/checkpoint")
+    jobs.drain(log, jobs.skipping_empty(commit), "append", f"{root}/checkpoint")
     return target.current()
 
 
@@ -265,9 +222,28 @@ def stream_positions(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def topic_counts(spark: SparkSession, sf: str) -> DataFrame:
-    replay = jobs.Replay(_events(spark, sf, "event_id", "ts", "event_type"), "ts", "event_id")
-    counted = windows.windowed(
-        zoned(replay.stream(), "ts"), "ts", "10 minutes", {"pv": F.count(F.lit(1))}, ["event_type"], None, "10 minutes"
-    )
-    emitted = jobs.drained(counted.drop("window_end"), "update", "topic-counts")
-    return json_records(jobs.latest_updates(emitted, ["window_start", "event_type"]))
+    """Complete mode: each batch sends the whole snapshot to the topic; the last one counts."""
+    events = zoned(_events(spark, sf, "ts", "event_type"), "ts")
+    counted = windows.windowed(events, "ts", "10 minutes", {"pv": F.count(F.lit(1))}, ["event_type"])
+    emitted = jobs.drained(counted.drop("window_end"), "complete", "topic-counts")
+    last = emitted.agg(F.max("batch_id")).first()[0]
+    return json_records(emitted.where(F.col("batch_id") == F.lit(last)).drop("batch_id"))
+
+
+@query("stream_day_orc", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS c_date FROM events")
+def stream_day_orc(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaming ORC sink by day; here the event's time stands for the writer's clock."""
+    root = fresh_dir(spark, "day-orc")
+    events = zoned(_events(spark, sf, "event_id", "ts"), "ts")
+    writer = files.day_bucket_stream(events, f"{root}/out", f"{root}/checkpoint", F.col("ts"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    stored = spark.read.schema("event_id bigint, ts timestamp, c_date string").orc(f"{root}/out")
+    return stored.select("event_id", "c_date")
+
+
+@query("stream_parquet", "SELECT event_id, event_type, props FROM events")
+def stream_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    root = fresh_dir(spark, "stream-parquet")
+    events = _events(spark, sf, "event_id", "event_type", "props")
+    files.parquet_stream(events, f"{root}/out", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/out")

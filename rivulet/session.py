@@ -6,12 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-ROCKSDB = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
-
+from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
@@ -53,6 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write to a new table in the shared folder and read it back: one evaluation, no lineage."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """New, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

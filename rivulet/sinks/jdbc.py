@@ -13,6 +13,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from rivulet.sinks.keyed import newest
+
 
 def append(df: DataFrame, url: str, table: str, batch_rows: int = 5_000, properties: Mapping[str, str] | None = None) -> None:
     """Insert the rows, mapped to columns by name."""
@@ -70,10 +72,16 @@ def transactional(
     connect: Callable[[], Any],
     keys: Sequence[str] = (),
     properties: Mapping[str, str] | None = None,
+    order: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
-    """Sink that stages a batch and commits it once; with ``keys`` it upserts."""
+    """Sink that stages a batch and commits it once; with ``keys`` it upserts.
+
+    ``MERGE`` wants one row per key, so the newest by ``order`` is staged.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if keys:
+            df = newest(df, keys, order or [c for c in df.columns if c not in keys])
         options = {"url": url, "dbtable": stage, "truncate": "true", **(properties or {})}
         df.write.format("jdbc").mode("overwrite").options(**options).save()
         columns = df.columns

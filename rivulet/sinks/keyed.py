@@ -1,8 +1,9 @@
 """Tables with one current row per key.
 
 A batch only writes its own newest row per key. Reading merges the batches, newest
-first; ``compact`` folds them into a base now and then. A batch's directory is
-replaced if the batch is replayed, and nothing that is being read is overwritten.
+first. Every ``fold_every`` batches the batch that comes next folds them into a base, and
+readers list what came after the last base alone. A batch's directory is replaced if the
+batch is replayed; a base is written once and never again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from rivulet.sinks import paths
 
 VERSION = "_batch"
+FOLD_EVERY = 20
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -28,38 +30,58 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
 class KeyedTable:
     """Upsert target. ``order`` ranks rows of one key inside a batch."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        order: Sequence[str],
+        fold_every: int = FOLD_EVERY,
+    ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.keys = list(keys)
         self.order = list(order)
+        self.fold_every = fold_every
+
+    def _delta(self, batch_id: int) -> str:
+        return f"{self.path}/delta/group={batch_id // self.fold_every}/{VERSION}={batch_id}"
+
+    def _base(self, batch_id: int) -> str:
+        return f"{self.path}/base/{VERSION}={batch_id}"
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body; a later batch wins over an earlier one."""
+        if batch_id and batch_id % self.fold_every == 0:
+            self.compact(batch_id)
         rows = newest(df.select(*self.schema.names), self.keys, self.order)
-        rows.write.mode("overwrite").parquet(f"{self.path}/delta/{VERSION}={batch_id}")
-
-    def _ids(self, kind: str) -> list[int]:
-        names = paths.children(self.spark, f"{self.path}/{kind}")
-        done = [n for n in names if paths.exists(self.spark, f"{self.path}/{kind}/{n}/_SUCCESS")]
-        return sorted(int(n.partition("=")[2]) for n in done)
+        rows.write.mode("overwrite").parquet(self._delta(batch_id))
 
-    def _versions(self, before: int | None) -> DataFrame | None:
-        def visible(kind: str) -> list[int]:
-            return [i for i in self._ids(kind) if before is None or i < before]
+    def _done(self, pattern: str, before: int | None) -> list[int]:
+        found = (int(f.split("/")[-2].partition("=")[2]) for f in paths.matching(self.spark, f"{pattern}/_SUCCESS"))
+        return sorted(i for i in found if before is None or i < before)
 
-        bases = visible("base")
+    def _parts(self, before: int | None) -> tuple[int | None, list[int]]:
+        """The last base, if any, and the batches after it."""
+        bases = self._done(f"{self.path}/base/{VERSION}=*", before)
         upto = bases[-1] if bases else -1
-        parts = [f"{self.path}/delta/{VERSION}={i}" for i in visible("delta") if i > upto]
+        groups = [int(n.partition("=")[2]) for n in paths.children(self.spark, f"{self.path}/delta")]
+        recent = [g for g in groups if (g + 1) * self.fold_every > upto]
+        deltas = [i for g in recent for i in self._done(f"{self.path}/delta/group={g}/{VERSION}=*", before) if i > upto]
+        return (upto if bases else None), sorted(deltas)
+
+    def _versions(self, before: int | None) -> DataFrame | None:
+        base, deltas = self._parts(before)
         stored = T.StructType([*self.schema.fields, T.StructField(VERSION, T.LongType())])
         read = self.spark.read.schema(stored)
         union = None
-        if bases:
-            union = read.option("basePath", f"{self.path}/base").parquet(f"{self.path}/base/{VERSION}={upto}")
-        if parts:
-            deltas = read.option("basePath", f"{self.path}/delta").parquet(*parts)
-            union = deltas if union is None else union.union(deltas)
+        if base is not None:
+            union = read.option("basePath", f"{self.path}/base").parquet(self._base(base))
+        if deltas:
+            newer = read.option("basePath", f"{self.path}/delta").parquet(*map(self._delta, deltas)).select(*stored.names)
+            union = newer if union is None else union.union(newer)
         return union
 
     def current(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
@@ -75,10 +97,10 @@ class KeyedTable:
         return newest(versions, self.keys, [VERSION, *self.order]).select(*self.schema.names)
 
     def compact(self, before: int | None = None) -> None:
-        """Fold all batches so far into a new base."""
-        done = [i for i in self._ids("delta") if before is None or i < before]
-        if done:
-            self.current(before).write.mode("overwrite").parquet(f"{self.path}/base/{VERSION}={done[-1]}")
+        """Fold all batches so far into a new base; a base that is there already stays."""
+        _, deltas = self._parts(before)
+        if deltas and not paths.exists(self.spark, f"{self._base(deltas[-1])}/_SUCCESS"):
+            self.current(before).write.mode("overwrite").parquet(self._base(deltas[-1]))
 
 
 def without_fields(documents: DataFrame, *fields: str) -> DataFrame:

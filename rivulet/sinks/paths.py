@@ -24,5 +24,10 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path)))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern, found in one call."""
+    return sorted(s.getPath().toString() for s in _fs(spark, pattern).globStatus(_path(spark, pattern)) or [])
+
+
 def touch(spark: SparkSession, path: str) -> None:
     _fs(spark, path).create(_path(spark, path), True).close()

@@ -85,50 +85,9 @@ def running_counts(df: DataFrame, key: str | Column) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
-class Replay:
-    """A table replayed as a stream in time order.
-
-    The table is staged as consecutive time slices, each with the same number of
-    files, and read one slice per micro-batch. The number of slices grows with the
-    table, so that a batch stays bounded.
-    """
-
-    ROWS_PER_BATCH = 50_000_000
-
-    def __init__(self, df: DataFrame, time: str, spread: str, closing: DataFrame | None = None):
-        self.spark = df.sparkSession
-        self.path = fresh_dir(self.spark, "replay")
-        self.schema = df.schema
-        kind = df.schema[time].dataType
-        micros = F.unix_micros(F.col(time).cast("timestamp"))
-        n, low, high = df.agg(F.count("*"), F.min(micros), F.max(micros)).first()
-        self.slices = max(2, -(-n // self.ROWS_PER_BATCH))
-        width = (high - low) // self.slices + 1
-
-        def cut(i: int) -> Column:
-            return F.timestamp_micros(F.lit(low + i * width)).cast(kind)
-
-        # A range on the time column reaches the scan, so a slice reads its own part.
-        parts = [
-            df.where((F.col(time) >= cut(i)) & (F.col(time) < cut(i + 1))) for i in range(self.slices)
-        ]
-        in_slice = F.floor((micros - low) / width)
-        sizes = {r[0]: r[1] for r in df.groupBy(in_slice).count().collect()}
-        smallest = min(sizes.get(i, 0) for i in range(self.slices))
-        self.files = max(1, min(self.spark.sparkContext.defaultParallelism, smallest // 1000))
-        for part in parts:
-            part.repartition(self.files, spread).write.mode("append").parquet(self.path)
-        if closing is not None:
-            closing.select(*df.columns).coalesce(1).write.mode("append").parquet(self.path)
-
-    def stream(self) -> DataFrame:
-        return (
-            self.spark.readStream.schema(self.schema)
-            .option("maxFilesPerTrigger", self.files)
-            .parquet(self.path)
-        )
-
-
-def far_future(spark: SparkSession, schema: T.StructType, row: Sequence) -> DataFrame:
-    """One closing row that moves the watermark past everything real."""
-    return spark.createDataFrame([tuple(row)], schema)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1000) -> DataFrame:
+    """A table's files as a stream, ``files_per_batch`` in each micro-batch, oldest first."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    # A pattern, as a stream's plain path must be a directory and a table may be one file.
+    path = f"{sf_dir}/{name}.parque[t]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

@@ -1,11 +1,11 @@
-"""Bursts of failures on a stream (T08b, U08): keyed state and timers with ``applyInPandasWithState``.
+"""Keyed detection on streams with the engine's own state.
 
-Input columns are ``user_id, event_time, seq, kind``. The state of a key is one
-small row and the rows the watermark has not passed yet. It travels with the key's
-rows in Arrow batches, so a key costs no extra round trips.
+Input columns are ``user_id, event_time, seq, kind``. A key's state is one small row and, in
+event time, the rows the watermark has not passed yet; Spark keeps it, drops late rows and
+calls back when the watermark passes. Which state store holds it is the deployment's choice.
 
-One task holds a key's share of one micro-batch, so the source's batch limit
-(``maxFilesPerTrigger`` and the like) bounds memory even if one key has most rows.
+One task holds a key's share of one micro-batch as three numbers per row, so the source's
+batch limit (``maxFilesPerTrigger`` and the like) bounds memory even if one key has most rows.
 """
 
 from __future__ import annotations
@@ -14,20 +14,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rivulet.session import ROCKSDB
-
 # Rows waiting for the watermark, as parallel arrays; times are in microseconds.
 WAITING = "times array<bigint>, seqs array<bigint>, fails array<boolean>"
 OPEN_BURST = "first bigint, last bigint, count bigint"
+LAST_EVENT = "time bigint, failed boolean"
 
 BURST = "user_id bigint, first_fail bigint, last_fail bigint, fails bigint"
+PAIR = "user_id bigint, first_fail bigint, last_fail bigint"
 
 KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
-# Takes the user, released times and fails, its memory and the watermark; gives output,
+# Takes the user, times and fails in order, its memory and the watermark; gives output,
 # new memory and a time at which it wants to be called again.
 Release = Callable[
     [int, np.ndarray, np.ndarray, tuple | None, int],
@@ -35,19 +35,23 @@ Release = Callable[
 ]
 
 
+def _columns(rows: Iterator[pd.DataFrame], *held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Times, sequence numbers and fails of the held rows and the new ones."""
+    batches = list(rows)
+    kinds = ("int64", "int64", bool)
+    return tuple(
+        np.concatenate([np.array(h, dtype=k), *(b[n].to_numpy() for b in batches)]).astype(k)
+        for h, k, n in zip(held, kinds, ("t", "seq", "fail"))
+    )
+
+
 def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
     """Holds rows back until the watermark passes them, then hands them on in time order."""
 
     def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else ([], [], [], *[None] * memory_width)
-        t = np.array(held[0], dtype="int64")
-        seq, fail = np.array(held[1], dtype="int64"), np.array(held[2], dtype=bool)
         memory = held[3:] if held[3] is not None else None
-        if not state.hasTimedOut:
-            batches = list(rows)
-            t = np.concatenate([t, *(b["t"].to_numpy() for b in batches)])
-            seq = np.concatenate([seq, *(b["seq"].to_numpy() for b in batches)])
-            fail = np.concatenate([fail, *(b["fail"].to_numpy() for b in batches)]).astype(bool)
+        t, seq, fail = _columns(iter(()) if state.hasTimedOut else rows, *held[:3])
         watermark = state.getCurrentWatermarkMs() * 1000
         due = t <= watermark
         order = np.lexsort((seq[due], t[due]))
@@ -58,7 +62,7 @@ def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
             later = [int(t.min())] if len(t) else []
             later += [wake] if wake is not None else []
             if later:
-                state.setTimeoutTimestamp(min(later) // 1000 + 1)
+                state.setTimeoutTimestamp(max(min(later) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
         if output is not None:
@@ -67,6 +71,36 @@ def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
     return step
 
 
+def _in_arrival_order(release: Release) -> KeyedFunction:
+    """Hands a batch's rows on in the order of their sequence numbers."""
+
+    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        memory = tuple(state.get) if state.exists else None
+        t, seq, fail = _columns(rows, [], [], [])
+        order = np.argsort(seq, kind="stable")
+        output, memory, _ = release(key[0], t[order], fail[order], memory, 0)
+        state.update(memory)
+        if output is not None:
+            yield output
+
+    return step
+
+
+def _pairs(within: int) -> Release:
+    """Fails next to each other, less than ``within`` microseconds apart; remembers the last event."""
+
+    def release(user, times, fails, last, watermark):
+        if not len(times):
+            return None, last, None
+        before = np.concatenate([[0 if last is None else last[0]], times[:-1]])
+        failed = np.concatenate([[last is not None and last[1]], fails[:-1]])
+        hit = fails & failed & (times < before + within)
+        output = pd.DataFrame({"user_id": user, "first_fail": before[hit], "last_fail": times[hit]}) if hit.any() else None
+        return output, (int(times[-1]), bool(fails[-1])), None
+
+    return release
+
+
 def _ordered_bursts(span: int, min_fails: int) -> Release:
     """Fails gathered from a first one; remembers the open burst, in whole seconds."""
 
@@ -97,16 +131,20 @@ def _ordered_bursts(span: int, min_fails: int) -> Release:
     return release
 
 
-def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory: str, output: str) -> DataFrame:
-    """Run a release function per user; times cross to Python and back as plain numbers."""
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    rows = events.withWatermark("event_time", delay).select(
+def _flagged(events: DataFrame, fail: str) -> DataFrame:
+    """Times and fails as plain values, which cross to Python and back."""
+    return events.select(
         "user_id",
         "event_time",
         F.unix_micros("event_time").alias("t"),
         "seq",
-        (F.col("kind") == fail).alias("fail"),
+        F.coalesce(F.col("kind") == fail, F.lit(False)).alias("fail"),
     )
+
+
+def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory: str, output: str) -> DataFrame:
+    """Run a release function per user in event time."""
+    rows = _flagged(events.withWatermark("event_time", delay), fail)
     step = _in_event_time(memory.count(",") + 1, release)
     found = rows.groupBy("user_id").applyInPandasWithState(
         step, output, f"{WAITING}, {memory}", "append", GroupStateTimeout.EventTimeTimeout
@@ -114,8 +152,59 @@ def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory:
     return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")})
 
 
-def ordered_bursts(
-    events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail"
-) -> DataFrame:
+def ordered_bursts(events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail") -> DataFrame:
     """T08b on a stream: bursts of fails, reported when their span is over."""
     return _detect(events, delay, fail, _ordered_bursts(span_seconds, min_fails), OPEN_BURST, BURST)
+
+
+def event_time_pairs(
+    events: DataFrame, within_seconds: int, delay: str, fail: str = "fail", message: str = "login fail!"
+) -> DataFrame:
+    """T09 on a stream: adjacent fails in event-time order, once the watermark has passed them."""
+    found = _detect(events, delay, fail, _pairs(within_seconds * 1_000_000), LAST_EVENT, PAIR)
+    return found.withColumn("warning", F.lit(message))
+
+
+def arrival_pairs(events: DataFrame, within_seconds: int, fail: str = "fail", message: str = "login fail!") -> DataFrame:
+    """T08 on a stream: adjacent fails in arrival order, given by ``seq``."""
+    step = _in_arrival_order(_pairs(within_seconds * 1_000_000))
+    found = _flagged(events, fail).groupBy("user_id").applyInPandasWithState(
+        step, PAIR, LAST_EVENT, "append", GroupStateTimeout.NoTimeout
+    )
+    return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")}).withColumn("warning", F.lit(message))
+
+
+def count_changelog(df: DataFrame, key: str) -> DataFrame:
+    """T12 on a stream: rows per key as ``(key, is_add, n)``.
+
+    Each micro-batch withdraws a key's count, if it has sent one, and adds the new one. The
+    rows reach Python as a constant each; the state is the count.
+    """
+
+    def step(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = state.get[0] if state.exists else None
+        new = (old or 0) + sum(len(b) for b in rows)
+        state.update((new,))
+        changes = [(group[0], True, new)] if old is None else [(group[0], False, old), (group[0], True, new)]
+        yield pd.DataFrame(changes, columns=[key, "is_add", "n"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, F.lit(1).alias("one")).groupBy(key).applyInPandasWithState(
+        step, f"{key} {kind}, is_add boolean, n bigint", "n bigint", "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def running_sums(df: DataFrame, key: str, seq: str, value: Column) -> DataFrame:
+    """A03 on a stream: the sum of whole numbers up to each row, ``(key, seq, running)``, in the order of ``seq``."""
+
+    def step(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values("_seq", kind="stable")
+        running = (state.get[0] if state.exists else 0) + batch["_value"].cumsum()
+        state.update((int(running.iloc[-1]),))
+        yield pd.DataFrame({key: group[0], seq: batch["_seq"], "running": running})
+
+    types = {c: df.schema[c].dataType.simpleString() for c in (key, seq)}
+    picked = df.select(key, F.col(seq).alias("_seq"), F.coalesce(value, F.lit(0)).cast("bigint").alias("_value"))
+    return picked.groupBy(key).applyInPandasWithState(
+        step, f"{key} {types[key]}, {seq} {types[seq]}, running bigint", "total bigint", "append", GroupStateTimeout.NoTimeout
+    )

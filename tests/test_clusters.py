@@ -52,4 +52,4 @@ def test_limits(spark):
         clusters.kmeans(df, "vec", "id", 2)
     with pytest.raises(ValueError):
         clusters.kmeans(df, "vec", "id", 0)
-    assert clusters.kmeans(df, "vec", "id", 1, max_passes=1).passes == 1
+    assert clusters.kmeans(df, "vec", "id", 1).passes == 1

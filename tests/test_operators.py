@@ -73,9 +73,9 @@ def test_distinct_list_in_first_seen_order(spark, rows):
 
 
 def test_group_sums_as_map(spark):
-    df = spark.createDataFrame([("a", "x", 1.1), ("a", "x", 2.2), ("a", "y", 3.0)], "k string, i string, v double")
-    sums = aggregates.group_sums_as_map(df, "k", "i", "v", ["x", "y", "z"]).first()["sums"]
-    assert sums == {"x": 3.3, "y": 3.0}
+    df = spark.createDataFrame([("a", "x", 1.1), ("a", "x", 2.2), ("a", "y", 3.0), ("a", "new", 1.0), ("a", None, 5.0)], "k string, i string, v double")
+    sums = aggregates.group_sums_as_map(df, "k", "i", "v").first()["sums"]
+    assert sums == {"x": 3.3, "y": 3.0, "new": 1.0}
 
 
 def test_top_counts_break_ties_by_key(spark):
@@ -175,12 +175,20 @@ def test_lookups(spark, rows):
         joins.lookup_join(facts, dim, "id", "key", "full")
 
 
+def test_every_cell_of_a_row_counts(spark, rows):
+    cells = spark.createDataFrame(
+        [("r", "info", "b", 1, "2"), ("r", "info", "a", 1, "old"), ("r", "info", "a", 2, "1"), ("r", "more", "a", 1, "3"), ("s", "x", "y", 1, "z")],
+        "rowkey string, family string, qualifier string, ts bigint, value string",
+    )
+    assert rows(joins.concat_cells(cells)) == [("r", "123"), ("s", "z")]
+
+
 def test_composed_lookup_concatenates_cells_and_keeps_misses(spark, rows):
     users = spark.createDataFrame([(1000, "ann", "30"), (1002, "bob", None)], "id int, name string, age string")
     keyed = users.withColumn("rowkey", joins.compose_key("userInfo", "userId", F.col("id"), "userName"))
     cells = put_cells(keyed, "rowkey", "info", ["name", "age"], F.lit(1).cast("bigint"))
     older = cells.withColumns({"ts": F.lit(0).cast("bigint"), "value": F.lit("old")})
-    entries = joins.concat_cells(cells.union(older), [("info", "name"), ("info", "age")])
+    entries = joins.concat_cells(cells.union(older))
     asked = spark.createDataFrame([(1000,), (1001,), (1002,)], "id int")
     found = joins.composed_lookup(asked, "id", entries, "userInfo", "userId", "userName")
     constant = found.select("key", "value", F.lit("aaa").alias("tag"))

@@ -1,4 +1,4 @@
-"""Per-key ordered operators against plain loops, with hot keys cut into many slices."""
+"""Per-key ordered operators against plain loops, over many slices and few."""
 
 import itertools
 import random
@@ -28,68 +28,67 @@ def by_key(rows, order):
     return itertools.groupby(ordered_rows, key=lambda r: r[0])
 
 
-@pytest.fixture(params=[(1, 5), (2, 17), (3, None)], ids=["tiny slices", "small slices", "unsplit"])
+@pytest.fixture(params=[(1, 60), (2, 7), (3, 1)], ids=["many slices", "some slices", "one slice"])
 def case(request, spark):
-    seed, limit = request.param
+    seed, slices = request.param
     data = skewed(seed)
-    return data, spark.createDataFrame(data, SCHEMA).repartition(3), limit
+    return data, spark.createDataFrame(data, SCHEMA).repartition(3), slices
 
 
-def test_hot_keys_are_split_and_others_are_not(spark):
-    df = spark.createDataFrame(skewed(4), SCHEMA)
-    slices = ordered.with_slices(df, ["k"], ["seq"], 20).groupBy("k").agg(
-        F.countDistinct("_slice").alias("n"), F.max("_split").alias("split")
-    )
-    found = {r.k: (r.n, r.split) for r in slices.collect()}
-    assert found["hot"][0] > 5 and found["hot"][1]
-    counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
-    assert all(found[k] == (1, False) for k, n in counts.items() if n <= 20)
-    assert df.count() == ordered.with_slices(df, ["k"], ["seq"], 20).count()
+def sizes(df, keys, order, slices):
+    found = ordered.with_slices(df, keys, order, slices).groupBy("_slice").count()
+    return [r["count"] for r in found.collect()]
 
 
-def test_hot_keys_are_found_from_a_share_of_the_rows(spark):
-    df = spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 997).alias("k"), F.col("id").alias("seq")
-    )
-    slices = ordered.with_slices(df, ["k"], ["seq"], 5000).groupBy("k").agg(
-        F.countDistinct("_slice").alias("n"), F.count("*").alias("rows")
-    )
-    found = {r.k: (r.n, r.rows) for r in slices.collect()}
-    assert found.pop(-1)[0] >= 20
-    assert all(n == 1 for n, _ in found.values()) and sum(r for _, r in found.values()) == 40_000
+@pytest.mark.parametrize(
+    "key, seq",
+    [
+        ("CAST(NULL AS INT)", "id"),
+        ("IF(id % 3 = 0, -1, id % 997)", "id"),
+        ("1", "CAST(NULL AS BIGINT)"),
+        ("1", "IF(id % 100 = 0, id, 5)"),
+        ("id % 30000", "1"),
+    ],
+    ids=["null key", "a third in one key", "null order", "99 % ties", "many keys"],
+)
+@pytest.mark.parametrize("equal", [False, True], ids=["other columns", "equal rows"])
+def test_slices_are_even_whatever_the_keys(spark, key, seq, equal):
+    df = spark.range(0, 60_000, 1, 6).selectExpr(f"{key} AS k", f"{seq} AS seq", "1 AS v" if equal else "id AS v")
+    got = sizes(df, ["k"], ["seq"], 20)
+    assert sum(got) == 60_000 and len(got) > 15 and max(got) < 6000
 
 
 def test_slices_follow_the_order(spark):
     df = spark.createDataFrame(skewed(5), SCHEMA)
-    spans = ordered.with_slices(df, ["k"], ["t"], 10).groupBy("k", "_slice").agg(
+    spans = ordered.with_slices(df, ["k"], ["t"], 30).groupBy("k", "_slice").agg(
         F.min("t").alias("lo"), F.max("t").alias("hi")
     )
     for _, group in itertools.groupby(sorted((r.k, r._slice, r.lo, r.hi) for r in spans.collect()), lambda r: r[0]):
         group = list(group)
-        assert all(a[3] < b[2] for a, b in zip(group, group[1:]))
+        assert all(a[3] <= b[2] for a, b in zip(group, group[1:]))
 
 
 def test_running_sum(case):
-    data, df, limit = case
+    data, df, slices = case
     expected = []
     for _, group in by_key(data, lambda r: (r[1],)):
         total = 0
         for r in group:
             total += r[4]
             expected.append((r[1], total))
-    got = ordered.running_sum(df, ["k"], ["seq"], F.col("v"), "s", limit)
+    got = ordered.running_sum(df, ["k"], ["seq"], F.col("v"), "s", slices)
     assert sorted((r.seq, r.s) for r in got.collect()) == sorted(expected)
 
 
 def test_previous_row(case):
-    data, df, limit = case
+    data, df, slices = case
     expected = []
     for _, group in by_key(data, lambda r: (r[2], r[1])):
         before = None
         for r in group:
             expected.append((r[1], before))
             before = (r[3], r[1])
-    got = ordered.previous_row(df, ["k"], ["t", "seq"], ["kind", "seq"], "p", limit)
+    got = ordered.previous_row(df, ["k"], ["t", "seq"], ["kind", "seq"], "p", slices)
     assert sorted((r.seq, tuple(r.p) if r.p else None) for r in got.collect()) == sorted(expected)
 
 
@@ -102,7 +101,7 @@ def test_null_order_values_come_first(spark):
 
 
 def test_last_known(case):
-    data, df, limit = case
+    data, df, slices = case
     sparse = df.withColumn("v", F.when(F.col("v") > 25, F.col("v")))
     expected = []
     for _, group in by_key(data, lambda r: (r[1],)):
@@ -110,34 +109,43 @@ def test_last_known(case):
         for r in group:
             known = r[4] if r[4] > 25 else known
             expected.append((r[1], known))
-    got = ordered.last_known(sparse, ["k"], ["seq"], "v", "known", limit)
+    got = ordered.last_known(sparse, ["k"], ["seq"], "v", "known", slices)
     assert sorted((r.seq, r.known) for r in got.collect()) == sorted(expected)
 
 
 def test_lists_keep_everything_in_order(case):
-    data, df, limit = case
-    parts = ordered.ordered_lists(df, ["k"], ["seq"], F.col("v"), "vs", limit).collect()
+    data, df, slices = case
+    parts = ordered.ordered_lists(df, ["k"], ["seq"], F.col("v"), "vs", 9, slices).collect()
     for key, group in by_key(data, lambda r: (r[1],)):
+        want = [r[4] for r in group]
         mine = sorted((p.part, p.vs) for p in parts if p.k == key)
-        assert list(itertools.chain(*(vs for _, vs in mine))) == [r[4] for r in group]
-        assert limit is None or all(len(vs) <= limit for _, vs in mine)
+        assert mine == [(i // 9, want[i : i + 9]) for i in range(0, len(want), 9)]
+
+
+@pytest.mark.parametrize("n, parts", [(0, []), (9, [9]), (10, [10]), (11, [10, 1]), (200, [10] * 20)])
+@pytest.mark.parametrize("key", [None, "k"])
+@pytest.mark.parametrize("null_order", [False, True])
+def test_parts_are_numbered_alike_for_every_size(spark, n, parts, key, null_order):
+    df = spark.createDataFrame([(key, None if null_order else i, 7) for i in range(n)], "k string, seq bigint, v int")
+    got = ordered.ordered_lists(df, ["k"], ["seq"], F.col("v"), "vs", 10, 5).collect()
+    assert sorted((r.part, len(r.vs)) for r in got) == list(enumerate(parts))
 
 
 def test_changelog(case):
-    data, df, limit = case
+    data, df, slices = case
     expected = []
     for key, group in by_key(data, lambda r: (r[1],)):
         for n, r in enumerate(group, 1):
             if n > 1:
                 expected.append((key, r[1], False, n - 1))
             expected.append((key, r[1], True, n))
-    got = aggregates.changelog_of_counts(df, ["k"], ["seq"], limit).select("k", "seq", "is_add", "n")
+    got = aggregates.changelog_of_counts(df, ["k"], ["seq"], slices).select("k", "seq", "is_add", "n")
     assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
 
 
 @pytest.mark.parametrize("ties", [False, True])
-@pytest.mark.parametrize("limit", [6, 10_000])
-def test_as_of_join(spark, ties, limit):
+@pytest.mark.parametrize("slices", [50, 1])
+def test_as_of_join(spark, ties, slices):
     data = skewed(7, ties=ties)
     df = spark.createDataFrame(data, SCHEMA)
     facts, history = df.where("kind = 'fail'"), df.where("kind = 'success'")
@@ -148,25 +156,24 @@ def test_as_of_join(spark, ties, limit):
             best = max(earlier, key=lambda h: (h[2], h[1]), default=None)
             expected.append((r[1], best[4] if best else None))
     rates = history.select("k", "t", F.col("v").alias("rate"), "seq")
-    got = joins.as_of_join(facts.select("k", "t", "seq"), rates, "k", "t", "rate", ["seq"], "seq", limit)
+    got = joins.as_of_join(facts.select("k", "t", "seq"), rates, "k", "t", "rate", ["seq"], "seq", slices)
     assert sorted((r.seq, r.rate) for r in got.collect()) == sorted(expected)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [10, 10_000])
-def test_salted_lookup_is_a_plain_lookup(spark, how, limit):
+def test_salted_lookup_is_a_plain_lookup(spark, how):
     data = [*skewed(21), (None, 900, 1, "fail", 1), *[("absent", 901 + i, 1, "fail", 1) for i in range(50)]]
     facts = spark.createDataFrame(data, SCHEMA)
     dimension = spark.createDataFrame([("hot", "h"), ("k1", "one"), ("k2", "two")], "key string, name string")
     plain = joins.lookup_join(facts, dimension, "k", "key", how)
-    salted = joins.salted_lookup_join(facts, dimension, "k", "key", how, 7, limit)
+    salted = joins.salted_lookup_join(facts, dimension, "k", "key", how, 7)
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
 
 
 @pytest.mark.parametrize("order", [["seq"], ["t", "seq"]], ids=["arrival", "event time"])
 def test_consecutive_fails(case, order):
-    data, df, limit = case
+    data, df, slices = case
     timed = df.withColumn("t", F.col("t").cast("bigint"))
     position = {"seq": 1, "t": 2}
     expected = []
@@ -176,7 +183,7 @@ def test_consecutive_fails(case, order):
             if before and r[3] == before[3] == "fail" and r[2] < before[2] + 700:
                 expected.append((key, before[2], r[2]))
             before = r
-    got = patterns.consecutive_fails(timed, "k", "kind", "t", order, F.lit(700), limit_rows=limit)
+    got = patterns.consecutive_fails(timed, "k", "kind", "t", order, F.lit(700), slices=slices)
     assert sorted((r.k, r.first_fail, r.last_fail) for r in got.collect()) == sorted(expected)
 
 
@@ -195,15 +202,23 @@ def bursts_of(events, span, least):
 
 
 @pytest.mark.parametrize("ties", [False, True])
-@pytest.mark.parametrize("limit", [8, 10_000])
-def test_fail_bursts(spark, ties, limit):
+@pytest.mark.parametrize("slices", [50, 1])
+def test_fail_bursts(spark, ties, slices):
     data = skewed(11, ties=ties)
     df = spark.createDataFrame(data, SCHEMA).withColumn("at", F.timestamp_seconds("t"))
     span = 3 if ties else 300
     expected = []
     for key, group in by_key(data, lambda r: (r[2], r[1])):
         expected += [(key, *b) for b in bursts_of([(r[2], r[3]) for r in group], span, 2)]
-    got = patterns.fail_bursts(df, "k", "kind", "at", ["at", "seq"], span, 2, limit_rows=limit)
+    got = patterns.fail_bursts(df, "k", "kind", "at", ["at", "seq"], span, 2, slices=slices)
     seconds = got.select("k", F.unix_seconds("first_fail"), F.unix_seconds("last_fail"), "fails")
     assert sorted(tuple(r) for r in seconds.collect()) == sorted(expected)
     assert expected
+
+
+def test_bursts_of_a_key_that_never_succeeds(spark):
+    data = [("k", i, t, "fail", 0) for i, t in enumerate(sorted(random.Random(3).randrange(20_000) for _ in range(900)))]
+    df = spark.createDataFrame(data, SCHEMA).withColumn("at", F.timestamp_seconds("t"))
+    got = patterns.fail_bursts(df, "k", "kind", "at", ["at", "seq"], 40, 2, slices=20)
+    seconds = got.select(F.unix_seconds("first_fail"), F.unix_seconds("last_fail"), "fails")
+    assert sorted(tuple(r) for r in seconds.collect()) == sorted(bursts_of([(r[2], "fail") for r in data], 40, 2))

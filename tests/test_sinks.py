@@ -1,5 +1,6 @@
 """Sinks: layout, replay, upsert, transactions."""
 
+import glob
 import os
 
 import pytest
@@ -111,6 +112,31 @@ def test_upserts_keep_the_newest_row_per_key(spark, fresh, rows):
     assert nested.schema["d"].dataType.names == ["id"]
 
 
+def test_folding_a_replayed_batch_leaves_the_base_alone(spark, fresh, rows):
+    schema = spark.createDataFrame([], "id bigint, seq bigint").schema
+    table = keyed.KeyedTable(spark, fresh(), schema, ["id"], ["seq"], fold_every=3)
+    for batch in range(8):
+        table.upsert(spark.createDataFrame([(batch % 2, batch), (100 + batch, batch)], schema), batch)
+    expected = sorted([(0, 6), (1, 7), *[(100 + b, b) for b in range(8)]], key=repr)
+    assert rows(table.current()) == expected and table._parts(None) == (5, [6, 7])
+    bases = {d: os.stat(d).st_mtime_ns for d in glob.glob(f"{table.path}/base/*/_SUCCESS")}
+    table.upsert(spark.createDataFrame([(0, 6), (106, 6)], schema), 6)  # a replay that folds
+    assert rows(table.current()) == expected and len(bases) == 2
+    assert bases == {d: os.stat(d).st_mtime_ns for d in glob.glob(f"{table.path}/base/*/_SUCCESS")}
+
+
+def test_ledger_of_many_batches_stays_short(spark, fresh):
+    schema = spark.createDataFrame([], "n bigint").schema
+    book = ledger.BatchLedger(spark, fresh(), schema, group=10)
+    for batch in range(65):
+        book.write(spark.range(1).toDF("n"), batch)
+    book.write(spark.range(5).toDF("n"), 3)  # a replay of a folded batch
+    found = book.read()
+    assert sorted(r.batch_id for r in found.collect()) == list(range(65))
+    folded, single = book._layout()
+    assert len(folded) == 5 and len(single) == 15
+
+
 def test_ledger_takes_a_batch_once(spark, fresh, rows):
     schema = spark.createDataFrame([], "value string, total int, insert_time timestamp").schema
     book = ledger.BatchLedger(spark, fresh(), schema)

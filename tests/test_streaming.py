@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import patterns, windows
+from rivulet.operators.sets import union_distinct_stream
 from rivulet.sinks import files
-from rivulet.sinks.keyed import KeyedTable
 from rivulet.sinks.ledger import BatchLedger
 from rivulet.sinks.topics import console_writer
 from rivulet.sources import files as file_sources
 from rivulet.sources.topics import LOG_SCHEMA, log_table
-from rivulet.streaming import carried, jobs, processors
+from rivulet.streaming import jobs, processors
 from test_ordered import bursts_of
 from test_operators import example_route
 
@@ -61,57 +61,32 @@ def stream_events(seed, batches=3, disorder=4):
 CLOSING = [[(-1, at(10_000_000), -1, "closing")]]
 
 
+def flat(spark, batches):
+    return spark.createDataFrame([r for b in batches for r in b], EVENT)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_fails_in_arrival_order_carry_over(spark, fresh, seed):
     batches = stream_events(seed)
-    schema = spark.createDataFrame([], EVENT).schema
-    alert = spark.createDataFrame([], "user_id bigint, first_fail timestamp, last_fail timestamp, warning string").schema
-    output = BatchLedger(spark, fresh("out"), alert)
-    last = KeyedTable(spark, fresh("last"), schema, ["user_id"], ["seq"])
-    within = F.expr("INTERVAL 3 SECONDS")
-    sink = carried.arrival_pairs(output, last, "kind", "event_time", "seq", within)
-    jobs.drain(feed(spark, fresh(), batches, EVENT), sink, "append", fresh("cp"))
-    flat = spark.createDataFrame([r for b in batches for r in b], EVENT)
-    want = patterns.consecutive_fails(flat, "user_id", "kind", "event_time", ["seq"], within)
-    assert sorted(map(tuple, output.read().drop("batch_id").collect())) == sorted(map(tuple, want.collect()))
-    # Replaying the last batch sees the state of the batch before and changes nothing.
-    before, state = sorted(map(tuple, output.read().collect())), sorted(map(tuple, last.current().collect()))
-    sink(spark.createDataFrame(batches[-1], EVENT), len(batches) - 1)
-    assert sorted(map(tuple, output.read().collect())) == before
-    assert sorted(map(tuple, last.current().collect())) == state
-
-
-def event_time_sink(spark, fresh, delay):
-    schema = spark.createDataFrame([], EVENT).schema
-    alert = spark.createDataFrame([], "user_id bigint, first_fail timestamp, last_fail timestamp, warning string").schema
-    output = BatchLedger(spark, fresh("out"), alert)
-    last = KeyedTable(spark, fresh("last"), schema, ["user_id"], ["event_time", "seq"])
-    latest = spark.createDataFrame([], "latest timestamp").schema
-    waiting = carried.Waiting(
-        BatchLedger(spark, fresh("waiting"), schema),
-        BatchLedger(spark, fresh("latest"), latest),
-        "event_time",
-        F.expr(f"INTERVAL {delay} SECONDS"),
-    )
-    sink = carried.event_time_pairs(output, last, waiting, "kind", "seq", F.expr("INTERVAL 7 SECONDS"))
-    return sink, output
+    found = jobs.drained(processors.arrival_pairs(feed(spark, fresh(), batches, EVENT), 3), "append", "pairs")
+    want = patterns.consecutive_fails(flat(spark, batches), "user_id", "kind", "event_time", ["seq"], F.expr("INTERVAL 3 SECONDS"))
+    got = sorted(tuple(r)[:4] for r in found.collect())
+    assert got == sorted(map(tuple, want.collect())) and got
+    assert found.select("batch_id").distinct().count() > 1
 
 
 @pytest.mark.parametrize("seed", [3, 4])
 def test_event_time_pattern_across_batches(spark, fresh, seed):
     batches = stream_events(seed)
-    sink, output = event_time_sink(spark, fresh, 20)
-    jobs.drain(feed(spark, fresh(), batches + CLOSING, EVENT), sink, "append", fresh("cp"))
-    flat = spark.createDataFrame([r for b in batches for r in b], EVENT)
+    stream = feed(spark, fresh(), batches + CLOSING, EVENT)
+    found = jobs.drained(processors.event_time_pairs(stream, 7, "20 seconds"), "append", "pattern")
     want = patterns.consecutive_fails(
-        flat, "user_id", "kind", "event_time", ["event_time", "seq"], F.expr("INTERVAL 7 SECONDS")
+        flat(spark, batches), "user_id", "kind", "event_time", ["event_time", "seq"], F.expr("INTERVAL 7 SECONDS")
     )
-    got = sorted(tuple(r)[:4] for r in output.read().collect())
+    got = sorted(tuple(r)[:4] for r in found.collect())
     assert got == sorted(map(tuple, want.collect())) and got
-    # Part of the alerts comes out before the stream ends, and a replay changes nothing.
-    assert output.read().select("batch_id").distinct().count() > 1
-    sink(spark.createDataFrame(CLOSING[0], EVENT), len(batches))
-    assert sorted(tuple(r)[:4] for r in output.read().collect()) == got
+    # Part of the alerts comes out before the stream ends.
+    assert found.select("batch_id").distinct().count() > 1
 
 
 @pytest.mark.parametrize("seed", [5, 6])
@@ -133,22 +108,48 @@ def test_rows_behind_the_watermark_are_dropped(spark, fresh):
         [(2, at(200), 2, "success")],
         [(1, at(1), 3, "fail"), (2, at(201), 4, "success")],
     ]
-    sink, output = event_time_sink(spark, fresh, 5)
-    jobs.drain(feed(spark, fresh(), batches + CLOSING, EVENT), sink, "append", fresh("cp"))
-    assert output.read().count() == 0
-    sink, output = event_time_sink(spark, fresh, 500)
-    jobs.drain(feed(spark, fresh(), batches + CLOSING, EVENT), sink, "append", fresh("cp"))
-    assert [(r.user_id, seconds(r.first_fail), seconds(r.last_fail)) for r in output.read().collect()] == [(1, 0, 1)]
+    found = {
+        delay: jobs.drained(
+            processors.event_time_pairs(feed(spark, fresh(), batches + CLOSING, EVENT), 7, f"{delay} seconds"), "append", "late"
+        ).collect()
+        for delay in (5, 500)
+    }
+    assert found[5] == []
+    assert [(r.user_id, seconds(r.first_fail), seconds(r.last_fail)) for r in found[500]] == [(1, 0, 1)]
+
+
+def test_pattern_state_survives_a_restart(spark, fresh):
+    path, checkpoint, out = fresh(), fresh("cp"), fresh("out")
+    found = []
+    for rows in ([(1, at(0), 0, "fail")], [(1, at(1), 1, "fail")]):
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(EVENT).parquet(path)
+        pairs = processors.arrival_pairs(stream, 3)
+        book = BatchLedger(spark, out, spark.createDataFrame([], pairs.schema).schema)
+        jobs.drain(pairs, book.write, "append", checkpoint)
+        found.append(book.read().count())
+    assert found == [0, 1]
 
 
 def test_changelog_withdraws_before_it_adds(spark, fresh, rows):
-    stream = feed(spark, fresh(), [[("a",), ("a",), ("b",)], [("a",)], [("c",)]], "w string")
-    output = BatchLedger(spark, fresh("out"), spark.createDataFrame([], "w string, is_add boolean, n bigint").schema)
-    sent = KeyedTable(spark, fresh("sent"), spark.createDataFrame([], "w string, n bigint").schema, ["w"], ["n"])
-    jobs.drain(jobs.running_counts(stream, "w"), carried.changelog(output, sent), "update", fresh("cp"))
-    assert rows(output.read().select("batch_id", "w", "is_add", "n")) == [
-        (0, "a", True, 2), (0, "b", True, 1), (1, "a", False, 2), (1, "a", True, 3), (2, "c", True, 1),
-    ]
+    stream = feed(spark, fresh(), [[("a",), ("a",), ("b",)], [("a",)], [("c",), (None,)]], "w string")
+    changes = jobs.drained(processors.count_changelog(stream, "w"), "append", "changes")
+    assert rows(changes.select("batch_id", "w", "is_add", "n")) == sorted(
+        [(0, "a", True, 2), (0, "b", True, 1), (1, "a", False, 2), (1, "a", True, 3), (2, "c", True, 1), (2, None, True, 1)], key=repr
+    )
+
+
+def test_running_sums_go_on_across_batches(spark, fresh, rows):
+    stream = feed(spark, fresh(), [[("a", 2, 5), ("a", 1, 1), ("b", 3, 2)], [("a", 4, -3), ("b", 5, None)]], "k string, i bigint, v bigint")
+    sums = jobs.drained(processors.running_sums(stream, "k", "i", F.col("v")), "append", "sums")
+    assert rows(sums.select("k", "i", "running")) == [("a", 1, 1), ("a", 2, 6), ("a", 4, 3), ("b", 3, 2), ("b", 5, 2)]
+
+
+def test_distinct_union_remembers_rows_of_long_ago(spark, fresh, rows):
+    batches = [[("a", at(0))], [("b", at(61 * 86400))], [("a", at(61 * 86400)), ("c", at(1))]]
+    stream = feed(spark, fresh(), batches, "w string, t timestamp").select("w")
+    both = union_distinct_stream(stream, stream, ["w"])
+    assert rows(jobs.drained(both, "append", "union").select("w")) == [("a",), ("b",), ("c",)]
 
 
 def test_counts_per_batch_are_not_carried_over(spark, fresh, rows):
@@ -241,13 +242,9 @@ def test_text_stream_and_log_stream(spark, fresh):
     assert jobs.drained(log_table(spark, log, stream=True), "append", "log").first().value == "v"
 
 
-def test_replay_bounds_and_orders_batches(spark):
-    df = spark.range(5000).select("id", F.timestamp_seconds(F.col("id")).alias("t"))
-    replay = jobs.Replay(df, "t", "id")
-    seen = {}
-
-    def keep(batch, batch_id):
-        seen[batch_id] = batch.agg(F.count("*"), F.min("id"), F.max("id")).first()
-
-    jobs.drain(replay.stream(), keep, "append", replay.path + "-cp")
-    assert [tuple(seen[i]) for i in sorted(seen)] == [(2500, 0, 2499), (2500, 2500, 4999)]
+def test_tables_are_read_file_by_file(spark, fresh):
+    path = fresh()
+    spark.range(1000).repartition(4).write.parquet(f"{path}/t.parquet")
+    counts = jobs.running_counts(jobs.table_stream(spark, path, "t", 2), F.lit("all"))
+    seen = jobs.drained(counts, "update", "files").select("batch_id", "n").collect()
+    assert len(seen) == 2 and max(r.n for r in seen) == 1000
