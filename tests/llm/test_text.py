@@ -167,11 +167,15 @@ def encode(own, texts):
     return [ids[a:b].tolist() for a, b in zip(firsts, firsts[1:])], scores
 
 
-def test_pieces_equal_the_library_line_by_line(unigram):
+def test_pieces_equal_the_library_on_short_texts(unigram):
     texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF_DIR}/documents.parquet' WHERE doc_id < 200").fetchall()]
-    lines = [line for t in texts for line in t.split("\n")]  # the library loses precision after an unknown character
-    got, _ = encode(pieces.vocabulary(pieces.MODEL), lines)
-    assert got == unigram.encode(lines)
+    # the library adds in single precision, which long sums exceed
+    short = [" ".join(w[i : i + 4]) for t in texts for w in [re.split("[ \n\t]", t)] for i in range(0, len(w), 4)]
+    got, scores = encode(pieces.vocabulary(pieces.MODEL), short)
+    want = unigram.encode(short)
+    assert len(short) > 5000 and np.mean([a == b for a, b in zip(got, want)]) > 0.995
+    total = [sum(unigram.get_score(i) for i in ids) for ids in want]
+    assert all(a >= b - 1e-6 for a, b, ids in zip(scores, total, want) if not any(unigram.is_byte(i) for i in ids))
 
 
 def test_best_path_and_byte_fallback():
