@@ -90,13 +90,15 @@ def committing_partitions(path: str, by: Sequence[str], fmt: str = "orc") -> Cal
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        rows = df.withColumn("batch_id", F.lit(batch_id))
-        replace_partitions(rows, path, [*by, "batch_id"], fmt)
-        stored = spark.read.schema(rows.schema).format(fmt).load(path)
-        touched = stored.where(F.col("batch_id") == batch_id).select(*by).distinct()
-        for row in touched.toLocalIterator():
-            directory = "/".join(f"{c}={row[c]}" for c in by)
-            paths.touch(spark, f"{path}/{directory}/{SUCCESS}")
+        rows = df.withColumn("batch_id", F.lit(batch_id)).persist()
+        try:
+            replace_partitions(rows, path, [*by, "batch_id"], fmt)
+            # The batch itself tells its partitions: nothing stored is listed or read.
+            for row in rows.select(*by).distinct().toLocalIterator():
+                directory = "/".join(f"{c}={row[c]}" for c in by)
+                paths.touch(spark, f"{path}/{directory}/{SUCCESS}")
+        finally:
+            rows.unpersist()
 
     return write
 
