@@ -40,8 +40,9 @@ LEAST_WORDS = 5
 BLOCK_BYTES = 4 << 20
 #: the largest item of a class has so many times the words of the smallest
 CLASS_RATIO = 1.35
+#: steps in a signature; one less after each PATIENCE rounds, so that every recall is reached
 SAMPLED = 4
-MOST_ROUNDS = 96
+PATIENCE = 48
 SLICE = 1 << 22
 
 SCHEMA = "id long, item long, edits int, first_word long"
@@ -122,9 +123,10 @@ class Index:
         copy_words, of = np.concatenate(copies), np.arange(len(copies)) % len(own)
         missed = np.ones(len(copies), bool)
         rounds = []
-        while missed.mean() > 1 - recall and len(rounds) < MOST_ROUNDS:
+        while missed.mean() > 1 - recall:
             coins = rng.integers(0, 1 << 63, size=size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-            sampled = np.sort(rng.choice(size, size=min(SAMPLED, size), replace=False))
+            steps = max(1, SAMPLED - len(rounds) // PATIENCE)
+            sampled = np.sort(rng.choice(size, size=min(steps, size), replace=False))
             marks = signatures(words, bounds[:-1], limits, coins, sampled)
             ranks = np.argsort(marks, kind="stable")
             rounds.append((coins, sampled, marks[ranks], ranks + begin))
