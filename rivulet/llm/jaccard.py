@@ -7,12 +7,12 @@ most one of them, so both sets agree on the partition without some one cell: eac
 without each cell gives a signature, and linked sets share one. (With k = 0 the whole set is
 the signature.)
 
-1. Signatures are dealt into buckets; each ties its documents to the smallest of them. That
-   is done first within a task's rows, so a signature that a third of the documents share
-   goes into the shuffle once for each million signatures. Connected, the ties give candidate
-   groups.
+1. Documents with a common signature are connected: first within a task's rows, where one
+   document then stands for all it is connected with, so a signature that a third of the
+   documents share goes into the shuffle once for each million signatures; then by buckets of
+   signatures. Each document has one tie for each time, and the ties give candidate groups.
 2. Sets of a group are compared exactly, each different set once. Groups above `block_bytes`
-   or 4,096 sets are cut into blocks, and blocks are compared pairwise; a task keeps two. A parity
+   or 512 sets are cut into blocks, and blocks are compared pairwise; a task keeps two. A parity
    sketch of 1,024 bits bounds the difference from below, so most pairs need no more.
 3. A comparison hands on a forest of links, not all pairs; the forests' components are the
    result. Numbers of links are summed over the comparisons.
@@ -41,10 +41,10 @@ from rivulet.llm.tables import byte_total, component_labels, parts, settle
 from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, mix, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
 CELLS = 3
-BLOCK_BYTES = 4 << 20
-BLOCK_SETS = 4096
+BLOCK_BYTES = 1 << 20
+BLOCK_SETS = 512
 #: text for each bucket of signatures; signatures that a task sorts at once
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 1 << 19
 FLUSH = 1 << 20
 SKETCH_WORDS = 16
 
@@ -115,16 +115,36 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, threshold: Fraction) -> tup
 
 
 def ties_of(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different marks in order, the smallest id of each, and (id, smallest) pairs of the other ids."""
+    """Different marks in order, an id for each, and (id, smallest) pairs: what the marks connect.
+
+    Ids connected here over any marks have one smallest id, and that stands for them.
+    """
     order = np.argsort(marks)
     marks, ids = marks[order], ids[order]
     heads = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else np.empty(0, np.int64)
     if not len(heads):
         return marks, ids, np.empty((0, 2), np.int64)
-    low = np.minimum.reduceat(ids, heads)
-    each = np.repeat(low, np.diff(np.append(heads, len(ids))))
-    more = ids != each
-    return marks[heads], low, np.unique(np.stack([ids[more], each[more]], axis=1), axis=0)
+    nodes, at = np.unique(ids, return_inverse=True)
+    one = at[heads]
+    root = roots(np.repeat(one, np.diff(np.append(heads, len(ids)))), at, len(nodes))
+    tied = np.flatnonzero(root != np.arange(len(nodes)))
+    return marks[heads], nodes[root[one]], np.stack([nodes[tied], nodes[root[tied]]], axis=1)
+
+
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest node connected with each of 0 to n - 1 over the edges (a, b)."""
+    label = np.arange(n)
+    edges = np.flatnonzero(a != b)
+    a, b = a[edges], b[edges]
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for ends in (a, b, label[a], label[b]):
+            np.minimum.at(new, ends, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def _signer(n: int, threshold: Fraction, buckets: int):
@@ -166,7 +186,7 @@ def _tie(table: pa.Table) -> pa.Table:
         return np.frombuffer(b"".join(parts), kind)
 
     _, _, ties = ties_of(joined("a", False, np.uint64), joined("b", False, np.int64))
-    ties = np.concatenate([ties, np.stack([joined("a", True, np.int64), joined("b", True, np.int64)], axis=1)])
+    ties = np.unique(np.concatenate([ties, np.stack([joined("a", True, np.int64), joined("b", True, np.int64)], axis=1)]), axis=0)
     return pa.table({"a": ties[:, 0], "b": ties[:, 1]})
 
 
@@ -292,7 +312,8 @@ def similar_groups(
     ties = signed.groupBy("bucket").applyInArrow(_tie, "a long, b long")
     groups = component_labels(ties, "a", "b")
 
-    members = named.join(groups.select(F.col("node").alias("id"), F.col("label").alias("grp")), "id").select("grp", "id", "text")
+    # the groups grow with the documents: never a broadcast; hashing spares sorting the texts
+    members = named.join(groups.select(F.col("node").alias("id"), F.col("label").alias("grp")).hint("shuffle_hash"), "id").select("grp", "id", "text")
     sets = settle(members.mapInArrow(_set_maker(n), "grp long, id long, n long, content binary").where("n > 0"), "sets")
     digest = sets.select("grp", "id", "n", F.sha2("content", 256).alias("digest")).distinct()
     alike = settle(digest.groupBy("grp", "n", "digest").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies")), "alike")
