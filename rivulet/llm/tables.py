@@ -39,8 +39,8 @@ def component_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
     it ends when no label changed. Labels live in written tables, so both sides of every
     join are plain shuffles that adaptive execution splits where one node has many edges.
     """
-    both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x != y")
-    both = settle(both.unionByName(both.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
+    ways = F.array(F.struct(F.col(a).alias("x"), F.col(b).alias("y")), F.struct(F.col(b).alias("x"), F.col(a).alias("y")))
+    both = settle(edges.where(F.col(a) != F.col(b)).select(F.inline(ways)).distinct(), "links")
     labels = settle(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("node")).alias("label")), "labels")
     last = None
     while True:
