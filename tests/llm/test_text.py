@@ -167,15 +167,18 @@ def encode(own, texts):
     return [ids[a:b].tolist() for a, b in zip(firsts, firsts[1:])], scores
 
 
-def test_pieces_equal_the_library_on_short_texts(unigram):
+def test_pieces_are_never_worse_than_the_librarys(unigram):
     texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF_DIR}/documents.parquet' WHERE doc_id < 200").fetchall()]
     # the library adds in single precision, which long sums exceed
     short = [" ".join(w[i : i + 4]) for t in texts for w in [re.split("[ \n\t]", t)] for i in range(0, len(w), 4)]
     got, scores = encode(pieces.vocabulary(pieces.MODEL), short)
     want = unigram.encode(short)
-    assert len(short) > 5000 and np.mean([a == b for a, b in zip(got, want)]) > 0.995
     total = [sum(unigram.get_score(i) for i in ids) for ids in want]
-    assert all(a >= b - 1e-6 for a, b, ids in zip(scores, total, want) if not any(unigram.is_byte(i) for i in ids))
+    known = [k for k, ids in enumerate(want) if not any(unigram.is_byte(i) for i in ids)]
+    assert len(known) > 5000 and all(scores[k] >= total[k] - 1e-6 for k in known)
+    # where the sums are equal, so are most pieces; where they differ, ours is the larger sum
+    equal = [k for k in known if abs(scores[k] - total[k]) < 1e-6]
+    assert len(equal) > 0.8 * len(known) and np.mean([got[k] == want[k] for k in equal]) > 0.99
 
 
 def test_best_path_and_byte_fallback():
