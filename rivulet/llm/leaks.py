@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.tables import byte_total, parts, spread
-from rivulet.llm.text_arrays import FOLDED_VALUES, PUNCTUATION, mix, prefix_hashes, span_hashes, text_slices, within, word_bounds
+from rivulet.llm.text_arrays import FOLDED_VALUES, PUNCTUATION, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
 EDIT_SHARE = 0.2
 RECALL = 0.97
