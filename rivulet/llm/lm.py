@@ -33,19 +33,26 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.language import remainder
 from rivulet.llm.tables import settle
-from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, word_bounds
+from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
-MODEL_WORDS = 4096
+MODEL_WORDS = 2048
 COUNT_WORDS = 1 << 16
-CLASS_SIZE = 128
-HIDDEN = 24
+CLASS_SIZE = 64
+EMBEDDING = 16
+HIDDEN = 16
 WINDOW = 32
-STREAMS = 128
+STREAMS = 512
+#: tokens of a text that training takes in one go; scoring takes all
+STRETCH = 512
 ROUNDS = 4
 RATE = 0.05
-SLICE = 1 << 22
+SLICE = 1 << 21
+#: tokens that are scored together: the more, the less time goes to the longest texts alone
+SCORED = 2 << 20
+#: tasks whose weights are added up first
+TASKS = 32
 #: words a task counts before it hands on the sums
-COUNTED = 1 << 22
+COUNTED = 1 << 21
 CHUNK = 1 << 14
 #: hash that stands for the end token
 END = np.uint64(0)
@@ -120,37 +127,41 @@ class Vocabulary:
 class Network:
     """Gated recurrent network over model ids; the input after the last id marks a text's start."""
 
-    NAMES = ("inputs", "state", "classes", "class_bias", "words", "word_bias")
-
+    # values: inputs, state, classes, class bias, words, word bias, projection of the inputs
     def __init__(self, counts: np.ndarray, hidden: int = HIDDEN, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.size, self.hidden = len(counts) - 1, hidden
         self.n_classes = -(-self.size // CLASS_SIZE)
         room = self.n_classes * CLASS_SIZE
         mass = np.append(np.add.reduceat(np.append(counts[:-1], np.zeros(room - self.size)), np.arange(0, room, CLASS_SIZE)) if room else [], counts[-1])
-        shapes = [(self.size + 2, 3 * hidden), (hidden, 3 * hidden), (hidden, self.n_classes + 1), None, (room, hidden), None]
-        values = [rng.normal(0, 0.1, s).astype(np.float32) if s else None for s in shapes]
-        values[3] = np.log(mass + 1.0).astype(np.float32)
+        shapes = [(self.size + 2, EMBEDDING), (hidden, 3 * hidden), (hidden, self.n_classes + 1), None, (room, hidden), None, (EMBEDDING, 3 * hidden)]
+        values = [rng.normal(0, 0.2, s).astype(np.float32) if s else None for s in shapes]
+        values[3] = np.log((mass + 1.0) / (mass + 1.0).sum()).astype(np.float32)
         values[5] = np.full(room, -30.0, np.float32)  # places without a word
-        values[5][: self.size] = np.log(counts[:-1] + 1.0)
+        values[5][: self.size] = np.log((counts[:-1] + 1.0) / (np.repeat(mass[:-1], CLASS_SIZE)[: self.size] + CLASS_SIZE))
         self.values = values
         self.squares = [np.full_like(v, 1e-6) for v in values]
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([v.ravel() for v in self.values + self.squares])
+        """All weights and the roots of the gradients' square sums."""
+        return np.concatenate([v.ravel() for v in self.values] + [np.sqrt(v).ravel() for v in self.squares])
 
     def set_vector(self, flat: np.ndarray) -> None:
         at = 0
-        for group in (self.values, self.squares):
+        for group, power in ((self.values, 1), (self.squares, 2)):
             for i, v in enumerate(group):
-                group[i] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
+                group[i] = (flat[at : at + v.size].reshape(v.shape) ** power).astype(np.float32)
                 at += v.size
 
-    def step(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step of all streams: new state, and what going back needs."""
+    def projected(self) -> np.ndarray:
+        """What each input adds to the gates."""
+        return self.values[0] @ self.values[6]
+
+    def step(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """One step of all streams from their projected inputs: new state, and what going back needs."""
         size = self.hidden
         held = np.where(fresh[:, None], np.float32(0), h)
-        x, u = self.values[0][before], held @ self.values[1]
+        u = held @ self.values[1]
         gates = 1 / (1 + np.exp(-(x[:, : 2 * size] + u[:, : 2 * size])))
         keep, use = gates[:, :size], gates[:, size:]
         new = np.tanh(x[:, 2 * size :] + use * u[:, 2 * size :])
@@ -162,10 +173,13 @@ class Network:
         kind = np.where(target < self.size, target // CLASS_SIZE, self.n_classes)
 
         def soft(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            logits -= logits.max(axis=1, keepdims=True)
+            np.minimum(logits, np.float32(60), out=logits)
+            own = logits[np.arange(len(at)), at]
             np.exp(logits, out=logits)
-            logits /= logits.sum(axis=1, keepdims=True)
-            return np.log(np.maximum(logits[np.arange(len(at)), at], 1e-30)), logits
+            total = logits @ np.ones(logits.shape[1], np.float32)
+            if grads is not None:
+                logits *= (1 / total)[:, None]
+            return own - np.log(total), logits
 
         found, p = soft(h @ self.values[2] + self.values[3], kind)
         back = None
@@ -194,8 +208,10 @@ class Network:
     def learn(self, before: np.ndarray, fresh: np.ndarray, target: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         """One window (steps, streams), targets below 0 being no tokens; returns the state after it."""
         size, steps = self.hidden, []
+        read = self.values[0][before]
+        x = read @ self.values[6]
         for t in range(len(before)):
-            steps.append(self.step(before[t], fresh[t], h))
+            steps.append(self.step(x[t], fresh[t], h))
             h = steps[-1][0]
         grads = [None] + [np.zeros_like(v) for v in self.values[1:]]
         states = np.stack([s[0] for s in steps])
@@ -216,6 +232,9 @@ class Network:
             grads[1] += held.T @ inner
             into[t] = np.concatenate([d_keep, d_use, d_new], axis=1)
             dh = np.where(fresh[t][:, None], np.float32(0), dh * keep + inner @ self.values[1].T)
+        into = into.reshape(-1, 3 * size)
+        grads[6] = read.reshape(len(into), -1).T @ into
+        into = into @ self.values[6].T
         for i in range(1, len(self.values)):
             g = grads[i] / count
             self.squares[i] += g * g
@@ -223,14 +242,16 @@ class Network:
         flat = before.ravel()
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-        rows, g = flat[order][heads], np.add.reduceat(into.reshape(-1, 3 * size)[order], heads) / count
+        rows, g = flat[order][heads], np.add.reduceat(into[order], heads) / count
         self.squares[0][rows] += g * g
         self.values[0][rows] -= rate * g / np.sqrt(self.squares[0][rows])
         return h
 
 
-def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int) -> tuple[np.ndarray, ...]:
-    """Texts laid end to end in streams of about one length, longest first.
+def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int, heads: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Stretches laid end to end in streams of about one length, longest first.
+
+    `heads` tells which stretches begin a text (all, if it is None).
 
     (inputs, fresh, targets, place of each target in ids, streams still running at each step);
     all but the last are (steps, streams).
@@ -250,14 +271,15 @@ def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int) -> tup
     place = np.arange(len(ids))
     row = np.repeat(np.arange(len(sizes)), sizes)
     step, column = place - firsts[row] + offset[row], rank[stream[row]]
-    at = np.full((steps, streams), -1, np.int64)
+    at = np.full((steps, streams), -1, np.int32)
     at[step, column] = place
-    target = np.where(at >= 0, ids[at], -1)
+    target = np.where(at >= 0, ids[at], -1).astype(np.int32)
     fresh = np.zeros((steps, streams), bool)
     fresh[offset, rank[stream]] = True
-    before = np.full((steps, streams), start, np.int64)
+    before = np.full((steps, streams), start, np.int32)
     before[1:] = np.where(target[:-1] >= 0, target[:-1], start)
-    before[fresh] = start
+    first = np.full(len(sizes), start) if heads is None else np.where(heads, start, ids[np.maximum(firsts[:-1] - 1, 0)])
+    before[offset, rank[stream]] = first
     return before, fresh, target, at, (at >= 0).sum(axis=1)
 
 
@@ -265,10 +287,10 @@ def log_likelihoods(net: Network, ids: np.ndarray, firsts: np.ndarray) -> np.nda
     """ln P of each token, the class share alone for words without an id."""
     before, fresh, target, at, running = packed(ids, firsts, net.size + 1, STREAMS)
     h = np.zeros((before.shape[1], net.hidden), np.float32)
-    out = np.zeros(len(ids))
+    out, read = np.zeros(len(ids)), net.projected()
     states, places, waiting = [], [], 0
     for t, n in enumerate(running.tolist()):
-        h = net.step(before[t, :n], fresh[t, :n], h[:n])[0]
+        h = net.step(read[before[t, :n]], fresh[t, :n], h[:n])[0]
         states.append(h)
         places.append(at[t, :n])
         waiting += n
@@ -288,33 +310,36 @@ def _trainer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
             for _, _, data, offsets in text_slices(batch.column("text"), SLICE):
                 words, firsts = sequences(data, offsets)
                 _, ids = vocabulary.value.look_up(words)
-                before, fresh, target, _, running = packed(ids, firsts, own.size + 1, STREAMS)
+                counts = -(-np.diff(firsts) // STRETCH)
+                cuts = np.append(np.repeat(firsts[:-1], counts) + within(counts) * STRETCH, len(words))
+                before, fresh, target, _, running = packed(ids, cuts, own.size + 1, STREAMS, within(counts) == 0)
                 h = np.zeros((before.shape[1], own.hidden), np.float32)
                 for t in range(0, len(before), WINDOW):
                     n = int(running[t])
                     h = own.learn(before[t : t + WINDOW, :n], fresh[t : t + WINDOW, :n], target[t : t + WINDOW, :n], h[:n], RATE)
                 tokens += len(words)
         if tokens:
-            flat = own.vector().astype(np.float64) * tokens
+            flat = own.vector().astype(np.float32)
             pieces = [flat[i : i + CHUNK].tobytes() for i in range(0, len(flat), CHUNK)]
             n = len(pieces)
-            salt = TaskContext.get().partitionId() % 64
+            salt = TaskContext.get().partitionId() // TASKS
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, salt, np.int32)), pa.array(np.full(n, tokens)), pa.array(pieces, pa.binary())],
-                ["piece", "salt", "tokens", "total"],
+                ["piece", "salt", "tokens", "mean"],
             )
 
     return train
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(v, np.float64) for v in table["total"].to_pylist())
+def _average(table: pa.Table) -> pa.Table:
+    weights = table["tokens"].to_numpy()
+    total = sum(np.frombuffer(v, np.float32) * np.float64(w) for v, w in zip(table["mean"].to_pylist(), weights))
+    mean = (total / weights.sum()).astype(np.float32).tobytes()
     first = table.slice(0, 1)
-    tokens = sum(table["tokens"].to_pylist())
-    return pa.table({"piece": first["piece"], "salt": first["salt"], "tokens": [tokens], "total": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"piece": first["piece"], "salt": first["salt"], "tokens": [int(weights.sum())], "mean": pa.array([mean], pa.binary())})
 
 
-PIECES = "piece int, salt int, tokens long, total binary"
+PIECES = "piece int, salt int, tokens long, mean binary"
 
 
 def fit(training: DataFrame, vocabulary: Broadcast[Vocabulary], key: Column, rounds: int = ROUNDS) -> Network:
@@ -325,10 +350,10 @@ def fit(training: DataFrame, vocabulary: Broadcast[Vocabulary], key: Column, rou
         rows = training.where(F.pmod(F.xxhash64(F.lit("round"), key), F.lit(rounds)) == turn).select("text")
         trained = rows.mapInArrow(_trainer(sc.broadcast(net), vocabulary), PIECES)
         for by in (["piece", "salt"], ["piece"]):
-            trained = trained.groupBy(*by).applyInArrow(_add_up, PIECES)
+            trained = trained.groupBy(*by).applyInArrow(_average, PIECES)
         found = sorted(trained.collect(), key=lambda r: r["piece"])
         if found:
-            net.set_vector(np.concatenate([np.frombuffer(r["total"], np.float64) / r["tokens"] for r in found]))
+            net.set_vector(np.concatenate([np.frombuffer(r["mean"], np.float32) for r in found]))
     return net
 
 
@@ -361,29 +386,38 @@ LOCAL = "key long, id long, held_out boolean, n_tokens long, n_known long, n_rar
 def _scorer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
     """What each text's score needs but for the counts of rare words."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(rows: list[pa.RecordBatch], parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         own = vocabulary.value
-        for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text"), SLICE):
-                n = end - first
-                words, firsts = sequences(data, offsets)
-                counts, ids = own.look_up(words)
-                rows = np.repeat(np.arange(n), np.diff(firsts))
-                likely = log_likelihoods(net.value, ids, firsts) / np.log(10)
-                logs = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
-                shared = ids == own.size
+        words = np.concatenate([w for w, _ in parts])
+        sizes = np.concatenate([np.diff(f) for _, f in parts])
+        firsts, n = np.concatenate([[0], np.cumsum(sizes)]), len(sizes)
+        counts, ids = own.look_up(words)
+        row = np.repeat(np.arange(n), sizes)
+        logs = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
+        shared = ids == own.size
+
+        def by_row(values: np.ndarray) -> np.ndarray:
+            return np.bincount(row, weights=values, minlength=n)
+
+        numbers = [sizes, by_row(counts > 0), by_row(counts < 0), by_row(shared)]
+        sums = [by_row(logs), by_row(np.where(shared, logs, 0.0)), by_row(log_likelihoods(net.value, ids, firsts)) / np.log(10)]
+        names = ["key", "id", "held_out", "n_tokens", "n_known", "n_rare", "n_shared", "logs", "shared", "model"]
+        given = [pa.concat_arrays([r.column(c) for r in rows]) for c in names[:3]]
+        return pa.RecordBatch.from_arrays(given + [pa.array(v.astype(np.int64)) for v in numbers] + [pa.array(v) for v in sums], names)
 
-                def by_row(values: np.ndarray) -> np.ndarray:
-                    return np.bincount(rows, weights=values, minlength=n)
-
-                part = batch.slice(first, n)
-                numbers = [np.diff(firsts), by_row(counts > 0), by_row(counts < 0), by_row(shared)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("id"), part.column("held_out")]
-                    + [pa.array(v.astype(np.int64)) for v in numbers]
-                    + [pa.array(v) for v in (by_row(logs), by_row(np.where(shared, logs, 0.0)), by_row(likely))],
-                    ["key", "id", "held_out", "n_tokens", "n_known", "n_rare", "n_shared", "logs", "shared", "model"],
-                )
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[pa.RecordBatch] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            named = batch.select(["key", "id", "held_out"])
+            for first, end, data, offsets in text_slices(batch.column("text")):
+                rows.append(named.slice(first, end - first))
+                parts.append(sequences(data, offsets))
+                if sum(len(w) for w, _ in parts) >= SCORED:
+                    yield scored(rows, parts)
+                    rows, parts = [], []
+        if rows:
+            yield scored(rows, parts)
 
     return score
 
