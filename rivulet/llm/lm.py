@@ -101,7 +101,17 @@ class Vocabulary:
     @classmethod
     def of(cls, counts: DataFrame, most: int, modelled: int) -> Vocabulary:
         total, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-        top = counts.orderBy((F.col("word") != int(END)).cast("int"), F.col("n").desc(), "word").limit(most).collect()
+        # Counts fall into some thousand classes of size; the highest that hold `most` words together are fetched.
+        size = F.floor(F.log2("n") * 64)
+        taken, lowest = 0, None
+        for row in counts.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
+            taken += row["count"]
+            if taken >= most:
+                break
+            lowest = row["size"]
+        frequent = F.lit(False) if lowest is None else size >= lowest
+        top = counts.where(frequent | (F.col("word") == int(END))).collect()
+        top.sort(key=lambda r: (r["word"] != int(END), -r["n"], r["word"]))
         words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
         number = np.array([r["n"] for r in top], np.int64)
         ids = np.where(np.arange(len(top)) < modelled, np.arange(len(top)), -1)
