@@ -5,7 +5,11 @@ differ in at most k elements, k following from the band. Elements are dealt by h
 (k + 2) // 2 partitions of three cells each. If at most k elements differ, one partition has at
 most one of them, so both sets agree on the partition without some one cell: each partition
 without each cell gives a signature, and linked sets share one. (With k = 0 the whole set is
-the signature.)
+the signature.) A signature of no elements would tie what has nothing in common; a pair that
+agrees only there has it on both sides. So it is left out, and sets that have one are dealt
+anew by another hash, up to LEVELS times; the last time it counts. Sets of MANY or more
+partitions are dealt once: of a pair just at the threshold two fifths of the partitions agree
+on average, and the chance that each of those is empty is below 1e-5.
 
 1. Documents with a common signature are connected: first within a task's rows, where one
    document then stands for all it is connected with, so a signature that a third of the
@@ -41,6 +45,8 @@ from rivulet.llm.tables import byte_total, component_labels, parts, settle
 from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, mix, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
 CELLS = 3
+#: times that a set with an empty signature is dealt, unless it has MANY partitions
+LEVELS, MANY = 4, 16
 BLOCK_BYTES = 1 << 20
 BLOCK_SETS = 512
 #: text for each bucket of signatures; signatures that a task sorts at once
@@ -90,27 +96,43 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, threshold: Fraction) -> tup
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     tops, differences = bands(threshold, 4 << int(sizes.max()).bit_length())  # with a band beyond the largest set's
     band = np.searchsorted(tops, sizes)
+    everyone = np.repeat(np.arange(len(sizes)), sizes)
     rows, marks = [], []
     for shift in (0, 1):  # the set's own band, and as the smaller one of a pair
         here = band + shift
         k = differences[here]
-        parts = np.where(sizes > 0, np.maximum(1, (k + 2) // 2), 0)
-        firsts = np.concatenate([[0], np.cumsum(parts * CELLS)])
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        part = (sets & np.uint64(0xFFFFFFFF)).astype(np.int64) % parts[owner]
-        cell = (sets >> np.uint64(33)).astype(np.int64) % CELLS
-        sums = np.zeros(firsts[-1], np.uint64)
-        np.add.at(sums, firsts[owner] + part * CELLS + cell, mix(sets))
-        sums = sums.reshape(-1, CELLS)
-        total = sums.sum(axis=1, dtype=np.uint64)
-        of = np.repeat(np.arange(len(sizes)), parts)
-        salt = mix((here[of].astype(np.uint64) << np.uint64(32)) + (within(parts).astype(np.uint64) << np.uint64(2)) + np.uint64(1))
-        whole = k[of] == 0
-        for drop in range(CELLS):
-            left = np.where(whole, total, total - sums[:, drop])
-            use = ~whole if drop else np.ones(len(of), bool)
-            rows.append(of[use])
-            marks.append(mix(left + salt * np.uint64(2 * drop + 3))[use])
+        open_ = sizes > 0
+        for level in range(LEVELS):
+            parts = np.where(open_, np.maximum(1, (k + 2) // 2), 0)
+            firsts = np.concatenate([[0], np.cumsum(parts * CELLS)])
+            chosen = open_[everyone]
+            owner, elements = everyone[chosen], sets[chosen]
+            dealt = mix(elements + np.uint64(level)) if level else elements
+            part = (dealt & np.uint64(0xFFFFFFFF)).astype(np.int64) % parts[owner]
+            cell = (dealt >> np.uint64(33)).astype(np.int64) % CELLS
+            place = firsts[owner] + part * CELLS + cell
+            sums = np.zeros(firsts[-1], np.uint64)
+            np.add.at(sums, place, mix(elements))
+            sums = sums.reshape(-1, CELLS)
+            total = sums.sum(axis=1, dtype=np.uint64)
+            held = np.bincount(place, minlength=firsts[-1]).reshape(-1, CELLS)
+            of = np.repeat(np.arange(len(sizes)), parts)
+            salt = (here[of].astype(np.uint64) << np.uint64(32)) + (within(parts).astype(np.uint64) << np.uint64(4))
+            salt = mix(salt + np.uint64(2 * level + 1))
+            whole = k[of] == 0
+            again = np.zeros(len(sizes), bool)
+            for drop in range(CELLS):
+                left = np.where(whole, total, total - sums[:, drop])
+                empty = ~whole & (held.sum(axis=1) == held[:, drop])
+                again[of[empty]] = True
+                use = ~whole if drop else np.ones(len(of), bool)
+                if level + 1 < LEVELS:
+                    use &= ~empty
+                rows.append(of[use])
+                marks.append(mix(left + salt * np.uint64(2 * drop + 3))[use])
+            open_ = again & (parts < MANY)
+            if not open_.any():
+                break
     return np.concatenate(rows), np.concatenate(marks)
 
 
