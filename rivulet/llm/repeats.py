@@ -27,17 +27,21 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.tables import byte_total, parts, spread
-from rivulet.llm.text_arrays import mix, powers, prefix_hashes, raw_span_hashes, span_hashes, text_slices, within
+from rivulet.llm.text_arrays import mix, prefix_hashes, raw_span_hashes, span_hashes, text_slices, within
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 HOT = 256
-SEGMENT = 1 << 20
+#: windows that are sorted at once, unless one anchor has more
+SORTED = 1 << 16
+SEGMENT = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 PLACE = np.uint64((1 << 21) - 1)
 
@@ -54,17 +58,23 @@ class Block:
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         self.ids = table["id"].fill_null(NO_ID).to_numpy().astype(np.int64)
         self.prefixes = prefix_hashes(self.data)
-        self.keys = span_hashes(self.prefixes, self.offsets[:-1], self.offsets[1:])
+        # a row's number follows from its id and text, not from the order in which rows arrive
+        keys = span_hashes(self.prefixes, self.offsets[:-1], self.offsets[1:])
+        order = np.lexsort((keys, self.ids))
+        change = np.ones(len(order), bool)
+        change[1:] = (self.ids[order][1:] != self.ids[order][:-1]) | (keys[order][1:] != keys[order][:-1])
+        self.numbers = np.empty(len(order), np.int32)
+        self.numbers[order] = np.cumsum(change) - 1
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Contexts (first window, last window, anchor's place, anchor's hash)."""
         n = len(self.data)
-        marks = np.zeros(n + 2, np.int64)
+        marks = np.zeros(n + 2, np.int32)
         sizes = np.diff(self.offsets)
         long = sizes >= length
         np.add.at(marks, self.offsets[:-1][long], 1)
         np.add.at(marks, self.offsets[1:][long] - length + 1, -1)
-        inside = np.cumsum(marks)[:n] > 0
+        inside = np.cumsum(marks, dtype=np.int32)[:n] > 0
         found = []
         span = length - GRAM + 1
         for begin in range(0, n, SEGMENT):
@@ -104,7 +114,8 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Bucket of each anchor, whatever its lowest bit; mixed again, as anchors are the least of many hashes."""
+    return ((mix(hashes | np.uint64(1)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def runs(values: np.ndarray) -> list[tuple[int, int]]:
@@ -128,6 +139,8 @@ def _anchors(length: int, buckets: int):
         several = rows[heads] != rows[tails]  # the lowest bit tells of a second document in the block
         grams = grams[heads] | several.astype(np.uint64)
         own = bucket_of(grams, buckets)
+        order = np.argsort(own, kind="stable")
+        own, grams = own[order], grams[order]
         cuts = runs(own)
         return pa.table(
             {
@@ -168,7 +181,7 @@ def _shared(hot: int):
 
 
 #: target: a bucket, or -1 - block for stretches that need no bucket
-CONTEXTS = "target int, block int, grams binary, ids binary, keys binary, starts binary, turns binary, sizes binary, content binary"
+CONTEXTS = "target int, block int, ids binary, rows binary, starts binary, turns binary, sizes binary, content binary"
 
 
 def _contexts(length: int, buckets: int):
@@ -214,17 +227,20 @@ def _contexts(length: int, buckets: int):
                 same[later] = alike & (equal == 0)
             gone = order[same]
             keep = order[~same]
+            begins = (first - block.offsets[rows]).astype(np.int32)
+            turns, sizes = (place - first).astype(np.uint8), sizes.astype(np.int32)
             if len(gone):
-                out.append((-1 - number, number, b"", block.ids[rows[gone]].tobytes(), block.keys[rows[gone]].tobytes(),
-                            (first[gone] - block.offsets[rows[gone]]).tobytes(), b"", sizes[gone].tobytes(), b""))
-            keep = keep[np.argsort(grams[keep], kind="stable")]
+                own = block.numbers[rows[gone]].tobytes()
+                out.append((-1 - number, number, b"", own, begins[gone].tobytes(), b"", sizes[gone].tobytes(), b""))
             own = bucket_of(grams[keep], buckets)
+            ordered = np.argsort(own, kind="stable")
+            own, keep = own[ordered], keep[ordered]
             for a, b in runs(own):
                 k = keep[a:b]
-                out.append((int(own[a]), number, grams[k].tobytes(), ids[k].tobytes(), block.keys[rows[k]].tobytes(),
-                            (first[k] - block.offsets[rows[k]]).tobytes(), (place[k] - first[k]).tobytes(), sizes[k].tobytes(),
-                            block.gather(first[k], sizes[k]).tobytes()))
-        names = ["target", "block", "grams", "ids", "keys", "starts", "turns", "sizes", "content"]
+                numbers = [ids[k], block.numbers[rows[k]], begins[k], turns[k], sizes[k]]
+                packed = zstandard.compress(block.gather(first[k], sizes[k]).tobytes())
+                out.append((int(own[a]), number, *(v.tobytes() for v in numbers), packed))
+        names = ["target", "block", "ids", "rows", "starts", "turns", "sizes", "content"]
         columns = list(zip(*out)) if out else [[] for _ in names]
         return pa.table({n: pa.array(c, pa.int32() if i < 2 else pa.binary()) for i, (n, c) in enumerate(zip(names, columns))})
 
@@ -289,74 +305,103 @@ def suffix_order(data: np.ndarray, prefixes: np.ndarray, starts: np.ndarray, gro
 
 
 def covered(
-    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, turns: np.ndarray, grams: np.ndarray, ids: np.ndarray, length: int
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, turns: np.ndarray, ids: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(context, window) pairs whose string another context with a smaller id has."""
+    """(context, window) pairs whose string another context with a smaller id has.
+
+    `turns` tells where in a context its anchor lies; contexts with other anchors have no
+    window in common.
+    """
     prefixes = prefix_hashes(data)
     counts = sizes - length + 1
+    anchors = span_hashes(prefixes, starts + turns, starts + turns + GRAM)
     # equal contexts: all windows of the later ids
-    whole = mix(span_hashes(prefixes, starts, starts + sizes) + turns.astype(np.uint64) + grams)
+    whole = mix(span_hashes(prefixes, starts, starts + sizes) + turns.astype(np.uint64))
     order = np.lexsort((ids, whole))
     cuts = runs(whole[order])
     head = np.repeat([a for a, _ in cuts], [b - a for a, b in cuts]) if cuts else np.empty(0, np.int64)
     first = order[head] if len(order) else order
     later = np.flatnonzero((ids[order] > ids[first]) & (sizes[order] == sizes[first]))
-    a, b = order[later], first[later]
+    left = np.ones(len(starts), bool)
     out = []
-    if len(later):
+    for at in range(0, len(later), SORTED // 8):
+        a, b = order[later[at : at + SORTED // 8]], first[later[at : at + SORTED // 8]]
         differ = (gather(data, starts[a], sizes[a]) != gather(data, starts[b], sizes[a])).astype(np.int64)
-        sure = np.add.reduceat(differ, np.cumsum(sizes[a]) - sizes[a]) == 0
-        a = a[sure]
+        a = a[np.add.reduceat(differ, np.cumsum(sizes[a]) - sizes[a]) == 0]
         out.append((np.repeat(a, counts[a]), within(counts[a])))
-    left = np.ones(len(starts), bool)
-    left[a] = False
-    # suffixes of the rest, by anchor and the anchor's place in the window
+        left[a] = False
+    # suffixes of the rest, some anchors at a time
     rest = np.flatnonzero(left)
-    _, which, many = np.unique(grams[rest], return_inverse=True, return_counts=True)
+    _, which, many = np.unique(anchors[rest], return_inverse=True, return_counts=True)
     rest = rest[many[which] > 1]
-    context = np.repeat(rest, counts[rest])
-    turn = within(counts[rest])
-    if len(context):
-        order = np.lexsort((turns[context] - turn, grams[context]))
-        context, turn = context[order], turn[order]
-        ahead = turns[context] - turn
-        change = np.concatenate([[True], (grams[context][1:] != grams[context][:-1]) | (ahead[1:] != ahead[:-1])])
-        groups = np.cumsum(change) - 1
-        places = starts[context] + turn
-        order = suffix_order(data, prefixes, places, groups, length)
-        places, context, turn = places[order], context[order], turn[order]
-        same = np.zeros(len(places), bool)
-        same[1:] = (groups[1:] == groups[:-1]) & (common(prefixes, places[1:], places[:-1], length) >= length)
-        pairs = np.flatnonzero(same)
-        for at in range(0, len(pairs), SEGMENT // 16):  # verified byte by byte
-            part = pairs[at : at + SEGMENT // 16]
-            step = np.arange(length)
-            same[part] = (data[places[part][:, None] + step] == data[places[part - 1][:, None] + step]).all(axis=1)
-        run = np.cumsum(~same) - 1
-        lowest = np.minimum.reduceat(ids[context], np.flatnonzero(~same))
-        hit = ids[context] > lowest[run]
-        out.append((context[hit], turn[hit]))
+    rest = rest[np.argsort(anchors[rest], kind="stable")]
+    windows = np.cumsum(counts[rest])
+    anew = np.flatnonzero(np.concatenate([[True], anchors[rest][1:] != anchors[rest][:-1]])) if len(rest) else rest
+    begin = 0
+    while begin < len(rest):
+        done = windows[begin - 1] if begin else 0
+        end = int(np.searchsorted(windows, done + SORTED, side="right"))
+        later_cuts = anew[anew > begin]
+        fits = later_cuts[later_cuts <= end]
+        end = int(fits[-1]) if len(fits) and end < len(rest) else int(later_cuts[0]) if len(later_cuts) and end < len(rest) else len(rest)
+        out.append(_sorted_windows(data, prefixes, starts, turns, anchors, ids, counts, rest[begin:end], length))
+        begin = end
     if not out:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-SPANS = "block int, ids binary, keys binary, starts binary, sizes binary"
+def _sorted_windows(
+    data: np.ndarray,
+    prefixes: np.ndarray,
+    starts: np.ndarray,
+    turns: np.ndarray,
+    anchors: np.ndarray,
+    ids: np.ndarray,
+    counts: np.ndarray,
+    chosen: np.ndarray,
+    length: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the chosen contexts that equal one of a smaller id, by sorting them."""
+    context, turn = np.repeat(chosen, counts[chosen]), within(counts[chosen])
+    ahead = turns[context] - turn
+    order = np.lexsort((ahead, anchors[context]))
+    context, turn, ahead = context[order], turn[order], ahead[order]
+    change = np.concatenate([[True], (anchors[context][1:] != anchors[context][:-1]) | (ahead[1:] != ahead[:-1])])
+    groups = np.cumsum(change) - 1
+    places = starts[context] + turn
+    order = suffix_order(data, prefixes, places, groups, length)
+    places, context, turn = places[order], context[order], turn[order]
+    same = np.zeros(len(places), bool)
+    same[1:] = (groups[1:] == groups[:-1]) & (common(prefixes, places[1:], places[:-1], length) >= length)
+    pairs = np.flatnonzero(same)
+    for at in range(0, len(pairs), SORTED // 8):  # verified byte by byte
+        part = pairs[at : at + SORTED // 8]
+        step = np.arange(length)
+        same[part] = (data[places[part][:, None] + step] == data[places[part - 1][:, None] + step]).all(axis=1)
+    run = np.cumsum(~same) - 1
+    lowest = np.minimum.reduceat(ids[context], np.flatnonzero(~same))
+    hit = ids[context] > lowest[run]
+    return context[hit], turn[hit]
+
+
+SPANS = "block int, rows binary, starts binary, sizes binary"
 
 
 def _match(length: int):
     def match(table: pa.Table) -> pa.Table:
-        names = ("ids", "keys", "starts", "sizes")
+        names = ("rows", "starts", "sizes")
         if table["target"][0].as_py() < 0:
             return table.select(["block", *names])
 
         def joined(name: str, kind: type) -> np.ndarray:
             return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
-        data, sizes, turns = joined("content", np.uint8), joined("sizes", np.int64), joined("turns", np.int64)
-        grams, ids, keys, firsts = joined("grams", np.uint64), joined("ids", np.int64), joined("keys", np.uint64), joined("starts", np.int64)
+        data = np.frombuffer(b"".join(map(zstandard.decompress, table["content"].to_pylist())), np.uint8)
+        sizes, turns = joined("sizes", np.int32).astype(np.int64), joined("turns", np.uint8).astype(np.int64)
+        ids, numbers, firsts = joined("ids", np.int64), joined("rows", np.int32), joined("starts", np.int32)
         block = np.repeat(table["block"].to_numpy(), [len(v) // 8 for v in table["ids"].to_pylist()])
-        context, turn = covered(data, np.cumsum(sizes) - sizes, sizes, turns, grams, ids, length)
+        context, turn = covered(data, np.cumsum(sizes) - sizes, sizes, turns, ids, length)
         order = np.lexsort((turn, context))
         context, turn = context[order], turn[order]
         # neighbouring windows as one stretch
@@ -367,8 +412,9 @@ def _match(length: int):
         who, begin, size = context[heads], firsts[context[heads]] + turn[heads], turn[tails] - turn[heads] + length
         order = np.argsort(block[who], kind="stable")
         who, begin, size = who[order], begin[order], size[order]
-        rows = [(int(block[who[a]]), ids[who[a:b]].tobytes(), keys[who[a:b]].tobytes(), begin[a:b].tobytes(), size[a:b].tobytes()) for a, b in runs(block[who])]
-        columns = list(zip(*rows)) if rows else [[] for _ in range(5)]
+        begin, size = begin.astype(np.int32), size.astype(np.int32)
+        rows = [(int(block[who[a]]), numbers[who[a:b]].tobytes(), begin[a:b].tobytes(), size[a:b].tobytes()) for a, b in runs(block[who])]
+        columns = list(zip(*rows)) if rows else [[] for _ in range(4)]
         return pa.table({n: pa.array(c, pa.binary() if i else pa.int32()) for i, (n, c) in enumerate(zip(("block", *names), columns))})
 
     return match
@@ -380,15 +426,12 @@ def _cut(with_text: bool):
         block = Block(documents) if n else None
         removed = np.zeros(len(block.data) + 1 if n else 1, np.int64)
         if n and spans.num_rows:
-            ids, keys, starts, sizes = (
-                np.frombuffer(b"".join(spans[c].to_pylist()), k)
-                for c, k in (("ids", np.int64), ("keys", np.uint64), ("starts", np.int64), ("sizes", np.int64))
-            )
-            named: dict[tuple[int, int], list[int]] = {}
-            for r, key in enumerate(zip(block.ids.tolist(), block.keys.tolist())):
-                named.setdefault(key, []).append(r)
-            each = [(r, s, z) for i, k, s, z in zip(ids.tolist(), keys.tolist(), starts.tolist(), sizes.tolist()) for r in named[i, k]]
-            rows, starts, sizes = (np.array(c, np.int64) for c in zip(*each))
+            numbers, starts, sizes = (np.frombuffer(b"".join(spans[c].to_pylist()), np.int32) for c in ("rows", "starts", "sizes"))
+            # repeated rows have one number and get the same stretches
+            order = np.argsort(block.numbers, kind="stable")
+            low, high = (np.searchsorted(block.numbers[order], numbers, side=side) for side in ("left", "right"))
+            rows = order[np.repeat(low, high - low) + within(high - low)]
+            starts, sizes = np.repeat(starts, high - low), np.repeat(sizes, high - low)
             np.add.at(removed, block.offsets[rows] + starts, 1)
             np.add.at(removed, block.offsets[rows] + starts + sizes, -1)
         gone = np.cumsum(removed)[:-1] > 0
@@ -427,11 +470,12 @@ def remove_repeats(
     if length <= GRAM:
         raise ValueError(f"length must be above {GRAM}")
     rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    n = parts(byte_total(rows, "text"), block_bytes)
-    dealt = rows.withColumn("block", spread("id", n))
-    anchors = dealt.groupBy("block").applyInArrow(_anchors(length, n), ANCHORS)
+    total = byte_total(rows, "text")
+    buckets = parts(total, BUCKET_BYTES)
+    dealt = rows.withColumn("block", spread("id", parts(total, block_bytes)))
+    anchors = dealt.groupBy("block").applyInArrow(_anchors(length, buckets), ANCHORS)
     answers = anchors.groupBy("bucket").applyInArrow(_shared(hot), SHARED)
-    contexts = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(length, n), CONTEXTS)
+    contexts = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(length, buckets), CONTEXTS)
     spans = contexts.groupBy("target").applyInArrow(_match(length), SPANS)
     out = dealt.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_cut(with_text), SCHEMA)
     return out.withColumnRenamed("id", id)
