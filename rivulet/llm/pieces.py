@@ -34,7 +34,7 @@ from rivulet.llm.text_arrays import prefix_hashes, span_hashes, text_slices, wit
 MARKER = "▁"
 #: what an unknown character costs beyond the lowest score
 PENALTY = 10.0
-SLICE = 1 << 22
+SLICE = 1 << 21
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: a model is sent to every executor; larger files are refused
 MOST_MODEL_BYTES = 64 << 20
