@@ -35,13 +35,16 @@ from rivulet.llm.language import remainder
 from rivulet.llm.tables import settle
 from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, within, word_bounds
 
-MODEL_WORDS = 2048
+MODEL_WORDS = 4096
 COUNT_WORDS = 1 << 16
-CLASS_SIZE = 64
+CLASS_SIZE = 128
 EMBEDDING = 16
-HIDDEN = 16
+HIDDEN = 24
 WINDOW = 32
-STREAMS = 512
+#: texts learnt from side by side; an update covers WINDOW tokens of each
+STREAMS = 128
+#: texts scored side by side, which changes no score
+SCORE_STREAMS = 512
 #: tokens of a text that training takes in one go; scoring takes all
 STRETCH = 512
 ROUNDS = 4
@@ -295,7 +298,7 @@ def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int, heads:
 
 def log_likelihoods(net: Network, ids: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """ln P of each token, the class share alone for words without an id."""
-    before, fresh, target, at, running = packed(ids, firsts, net.size + 1, STREAMS)
+    before, fresh, target, at, running = packed(ids, firsts, net.size + 1, SCORE_STREAMS)
     h = np.zeros((before.shape[1], net.hidden), np.float32)
     out, read = np.zeros(len(ids)), net.projected()
     states, places, waiting = [], [], 0

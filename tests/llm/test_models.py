@@ -137,6 +137,17 @@ def test_probabilities_add_up_and_state_crosses_windows():
     assert np.allclose(one, many[7:97], atol=1e-4) and np.allclose(one[:7], many[:7], atol=1e-4)
 
 
+def test_vocabulary_and_state_keep_their_size(spark):
+    counts = spark.range(6001).selectExpr("id AS word", "9000 - id AS n")
+    own = lm.Vocabulary.of(counts, lm.COUNT_WORDS, lm.MODEL_WORDS)
+    _, ids = own.look_up(np.arange(4096, dtype=np.uint64))
+    assert sorted(ids) == list(range(4096)) and own.size == 4096
+    net = lm.Network(own.model_counts())
+    assert net.hidden == 24 and lm.STREAMS * lm.WINDOW == 4096
+    found, _ = net.output(np.zeros((3, 24), np.float32), np.array([2100, 4095, 4096]))
+    assert np.isfinite(found).all() and len(set(found.tolist())) == 3
+
+
 def test_gradients_match_differences():
     counts = np.array([50, 40, 30, 20, 10, 5, 25])
     net = lm.Network(counts, hidden=4)
