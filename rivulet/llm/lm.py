@@ -10,7 +10,7 @@ output is the unigram distribution.
 Counting covers all training texts: each task counts its own words before the shuffle. Training
 covers them, too: every text is learnt from once, in ROUNDS jobs over a hashed share of them;
 in a job each task trains the network on its own rows by truncated backpropagation in numpy,
-with the state carried from window to window, and the tasks' weights are averaged, by tokens
+with the state carried from a text's first window to its last, and the tasks' weights are averaged, by tokens
 and piece by piece. Counts of frequent words (COUNT_WORDS) are sent to the executors; those of
 the others are joined, which no frequent word can skew.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.language import remainder
 from rivulet.llm.tables import settle
-from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, within, word_bounds
+from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, word_bounds
 
 MODEL_WORDS = 4096
 COUNT_WORDS = 1 << 16
@@ -45,11 +46,11 @@ WINDOW = 32
 STREAMS = 128
 #: texts scored side by side, which changes no score
 SCORE_STREAMS = 512
-#: tokens of a text that training takes in one go; scoring takes all
-STRETCH = 512
 ROUNDS = 4
 RATE = 0.05
 SLICE = 1 << 21
+#: tokens that training reads ahead: so many that a long text seldom starts last and runs alone
+POOL = 1 << 22
 #: tokens that are scored together: the more, the less time goes to the longest texts alone
 SCORED = 2 << 20
 #: tasks whose weights are added up first
@@ -261,10 +262,8 @@ class Network:
         return h
 
 
-def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int, heads: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Stretches laid end to end in streams of about one length, longest first.
-
-    `heads` tells which stretches begin a text (all, if it is None).
+def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int) -> tuple[np.ndarray, ...]:
+    """Texts laid end to end in streams of about one length, longest first.
 
     (inputs, fresh, targets, place of each target in ids, streams still running at each step);
     all but the last are (steps, streams).
@@ -291,11 +290,57 @@ def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int, heads:
     fresh[offset, rank[stream]] = True
     before = np.full((steps, streams), start, np.int32)
     before[1:] = np.where(target[:-1] >= 0, target[:-1], start)
-    first = np.full(len(sizes), start) if heads is None else np.where(heads, start, ids[np.maximum(firsts[:-1] - 1, 0)])
-    before[offset, rank[stream]] = first
+    before[fresh] = start
     return before, fresh, target, at, (at >= 0).sum(axis=1)
 
 
+def windows(texts: Iterator[np.ndarray], start: int, streams: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(streams that run, inputs, fresh, targets) of one window after another; all but the first are (steps, streams).
+
+    A text stays in its stream from its first token to its last. A stream that is through takes the
+    longest of the waiting texts, of which about POOL tokens are read ahead.
+    """
+    waiting: list[tuple[int, int, np.ndarray]] = []
+    ahead, order = 0, count()
+    own: list[np.ndarray | None] = [None] * streams
+    places = [0] * streams
+    more = True
+    while True:
+        before = np.full((streams, WINDOW), start, np.int32)
+        target = np.full((streams, WINDOW), -1, np.int32)
+        fresh = np.zeros((streams, WINDOW), bool)
+        for s in range(streams):
+            at = 0
+            while at < WINDOW:
+                if own[s] is None:
+                    while more and ahead < POOL:
+                        ids = next(texts, None)
+                        if ids is None:
+                            more = False
+                        else:
+                            heapq.heappush(waiting, (-len(ids), next(order), ids))
+                            ahead += len(ids)
+                    if not waiting:
+                        break
+                    own[s], places[s] = heapq.heappop(waiting)[2], 0
+                    ahead -= len(own[s])
+                    fresh[s, at] = True
+                ids, place = own[s], places[s]
+                n = min(WINDOW - at, len(ids) - place)
+                target[s, at : at + n] = ids[place : place + n]
+                if place:
+                    before[s, at : at + n] = ids[place - 1 : place - 1 + n]
+                else:
+                    before[s, at + 1 : at + n] = ids[: n - 1]
+                at, places[s] = at + n, place + n
+                if places[s] == len(ids):
+                    own[s] = None
+        run = np.flatnonzero(target[:, 0] >= 0)
+        if not len(run):
+            return
+        yield run, *(np.ascontiguousarray(v[run].T) for v in (before, fresh, target))
+
+
 def log_likelihoods(net: Network, ids: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """ln P of each token, the class share alone for words without an id."""
     before, fresh, target, at, running = packed(ids, firsts, net.size + 1, SCORE_STREAMS)
@@ -319,18 +364,19 @@ def _trainer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
         own = Network.__new__(Network)
         own.__dict__ = {**net.value.__dict__, "values": [v.copy() for v in net.value.values], "squares": [v.copy() for v in net.value.squares]}
         tokens = 0
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column("text"), SLICE):
-                words, firsts = sequences(data, offsets)
-                _, ids = vocabulary.value.look_up(words)
-                counts = -(-np.diff(firsts) // STRETCH)
-                cuts = np.append(np.repeat(firsts[:-1], counts) + within(counts) * STRETCH, len(words))
-                before, fresh, target, _, running = packed(ids, cuts, own.size + 1, STREAMS, within(counts) == 0)
-                h = np.zeros((before.shape[1], own.hidden), np.float32)
-                for t in range(0, len(before), WINDOW):
-                    n = int(running[t])
-                    h = own.learn(before[t : t + WINDOW, :n], fresh[t : t + WINDOW, :n], target[t : t + WINDOW, :n], h[:n], RATE)
-                tokens += len(words)
+
+        def texts() -> Iterator[np.ndarray]:
+            nonlocal tokens
+            for batch in batches:
+                for _, _, data, offsets in text_slices(batch.column("text"), SLICE):
+                    words, firsts = sequences(data, offsets)
+                    tokens += len(words)
+                    ids = vocabulary.value.look_up(words)[1].astype(np.int32)
+                    yield from (part.copy() for part in np.split(ids, firsts[1:-1]))
+
+        h = np.zeros((STREAMS, own.hidden), np.float32)
+        for run, before, fresh, target in windows(texts(), own.size + 1, STREAMS):
+            h[run] = own.learn(before, fresh, target, h[run], RATE)
         if tokens:
             flat = own.vector().astype(np.float32)
             pieces = [flat[i : i + CHUNK].tobytes() for i in range(0, len(flat), CHUNK)]

@@ -3,9 +3,11 @@
 import collections
 import math
 import random
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from helpers import AWKWARD, table, words
 
 import corpus_pipeline
@@ -148,6 +150,63 @@ def test_vocabulary_and_state_keep_their_size(spark):
     assert np.isfinite(found).all() and len(set(found.tolist())) == 3
 
 
+def test_training_carries_the_state_through_long_texts(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcde") for _ in range(n)) for n in (1300, 3, 2000, 40, 0, 700)]
+    tokens, firsts = lm.sequences(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t) for t in texts]))
+    found, counts = np.unique(tokens, return_counts=True)
+    vocabulary = lm.Vocabulary(found, counts, np.arange(len(found)), len(found), len(tokens), len(found))
+    net = lm.Network(vocabulary.model_counts())
+    rate, learn, seen = 0.0, lm.Network.learn, []
+
+    def watched(self, before, fresh, target, h, rate_):
+        out = learn(self, before, fresh, target, h, rate)
+        seen.append((before, fresh, target, h))
+        return out
+
+    monkeypatch.setattr(lm.Network, "learn", watched)
+    monkeypatch.setattr(lm, "STREAMS", 1)
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    sent = lambda value: types.SimpleNamespace(value=value)
+    list(lm._trainer(sent(net), sent(vocabulary))(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    before, fresh, target = (np.concatenate([w[i][:, 0] for w in seen]) for i in range(3))
+    real = target >= 0
+    ids = vocabulary.look_up(tokens)[1]
+    lengths = np.diff(firsts)
+    begins = np.flatnonzero(fresh[real])
+    assert sorted(np.diff(np.append(begins, real.sum()))) == sorted(lengths)
+    for begin, n in zip(begins, np.diff(np.append(begins, real.sum()))):
+        k = lengths.tolist().index(n)
+        assert (target[real][begin : begin + n] == ids[firsts[k] : firsts[k + 1]]).all()
+        assert before[real][begin] == net.size + 1 and (before[real][begin + 1 : begin + n] == ids[firsts[k] : firsts[k + 1] - 1]).all()
+    h = np.zeros((1, net.hidden), np.float32)
+    for b, f, t, given in seen:  # without a rate the weights stay, and the states are those of scoring
+        assert np.allclose(given, h, atol=1e-5) and (f[0, 0] or np.abs(given).max() > 0)
+        for step in range(len(b)):
+            h = net.step(net.projected()[b[step]], f[step], h)[0]
+
+
+def test_training_windows_take_every_token_once(monkeypatch):
+    monkeypatch.setattr(lm, "POOL", 200)
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 50, n).astype(np.int32) for n in rng.integers(1, 400, 30)]
+    columns, found = [[] for _ in range(4)], []
+    for run, before, fresh, target in lm.windows(iter(texts), 51, 4):
+        for c, s in enumerate(run):
+            columns[s] += list(zip(before[:, c].tolist(), fresh[:, c].tolist(), target[:, c].tolist()))
+    for column in columns:
+        for before, fresh, target in column:
+            if fresh:
+                found.append([])
+                assert before == 51
+            elif target >= 0:
+                assert before == found[-1][-1]
+            if target >= 0:
+                found[-1].append(target)
+    assert sorted(found) == sorted(t.tolist() for t in texts)
+    assert list(lm.windows(iter([]), 51, 4)) == []
+
+
 def test_gradients_match_differences():
     counts = np.array([50, 40, 30, 20, 10, 5, 25])
     net = lm.Network(counts, hidden=4)
