@@ -174,12 +174,16 @@ class Network:
     def step(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """One step of all streams from their projected inputs: new state, and what going back needs."""
         size = self.hidden
-        held = np.where(fresh[:, None], np.float32(0), h)
+        held = np.where(fresh[:, None], np.float32(0), h) if fresh.any() else h
         u = held @ self.values[1]
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * size] + u[:, : 2 * size])))
-        keep, use = gates[:, :size], gates[:, size:]
-        new = np.tanh(x[:, 2 * size :] + use * u[:, 2 * size :])
-        return keep * held + (1 - keep) * new, held, keep, use, new, u[:, 2 * size :]
+        gates = x[:, : 2 * size] + u[:, : 2 * size]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        keep, use, u = gates[:, :size], gates[:, size:], u[:, 2 * size :]
+        new = np.tanh(x[:, 2 * size :] + use * u)
+        return keep * (held - new) + new, held, keep, use, new, u
 
     def output(self, h: np.ndarray, target: np.ndarray, grads: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """ln P of each target; with `grads`, adds to the gradients and returns that of the states."""
@@ -195,6 +199,8 @@ class Network:
                 logits *= (1 / total)[:, None]
             return own - np.log(total), logits
 
+        order = np.argsort(kind.astype(np.int16), kind="stable")
+        h, kind, target = h[order], kind[order], target[order]
         found, p = soft(h @ self.values[2] + self.values[3], kind)
         back = None
         if grads is not None:
@@ -202,22 +208,23 @@ class Network:
             grads[2] += h.T @ p
             grads[3] += p.sum(axis=0)
             back = p @ self.values[2].T
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(self.n_classes + 1))
+        cuts = np.searchsorted(kind, np.arange(self.n_classes + 1))
         for c in range(self.n_classes):
-            own = order[cuts[c] : cuts[c + 1]]
-            if not len(own):
+            own = slice(cuts[c], cuts[c + 1])
+            if cuts[c] == cuts[c + 1]:
                 continue
             part = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
             at = target[own] - c * CLASS_SIZE
             more, q = soft(h[own] @ self.values[4][part].T + self.values[5][part], at)
             found[own] += more
             if grads is not None:
-                q[np.arange(len(at)), at] -= 1
+                q[rows[: len(at)], at] -= 1
                 grads[4][part] += q.T @ h[own]
                 grads[5][part] += q.sum(axis=0)
                 back[own] += q @ self.values[4][part]
-        return found, back
+        place = np.empty_like(order)
+        place[order] = rows
+        return found[place], None if back is None else back[place]
 
     def learn(self, before: np.ndarray, fresh: np.ndarray, target: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         """One window (steps, streams), targets below 0 being no tokens; returns the state after it."""
@@ -228,31 +235,40 @@ class Network:
             steps.append(self.step(x[t], fresh[t], h))
             h = steps[-1][0]
         grads = [None] + [np.zeros_like(v) for v in self.values[1:]]
-        states = np.stack([s[0] for s in steps])
+        states, held, keep, use, new, u = (np.stack(v) for v in zip(*steps))
         real = target >= 0
         count = max(1, int(real.sum()))
         _, back = self.output(states[real], target[real], grads)
         onto = np.zeros_like(states)
         onto[real] = back
-        into = np.empty((*before.shape, 3 * size), np.float32)
-        dh = np.zeros_like(h)
+        by_new = (1 - keep) * (1 - new * new)
+        by_keep = (held - new) * keep * (1 - keep)
+        by_use = u * use * (1 - use)
+        inner = np.empty((*before.shape, 3 * size), x.dtype)
+        into = np.empty_like(inner)
+        dh, onwards, cut = np.zeros_like(h), np.ascontiguousarray(self.values[1].T), fresh.any(axis=1)
         for t in range(len(before) - 1, -1, -1):
-            _, held, keep, use, new, u = steps[t]
-            dh = dh + onto[t]
-            d_new = dh * (1 - keep) * (1 - new * new)
-            d_keep = dh * (held - new) * keep * (1 - keep)
-            d_use = d_new * u * use * (1 - use)
-            inner = np.concatenate([d_keep, d_use, d_new * use], axis=1)
-            grads[1] += held.T @ inner
-            into[t] = np.concatenate([d_keep, d_use, d_new], axis=1)
-            dh = np.where(fresh[t][:, None], np.float32(0), dh * keep + inner @ self.values[1].T)
+            dh += onto[t]
+            d_new = np.multiply(dh, by_new[t], out=into[t, :, 2 * size :])
+            np.multiply(dh, by_keep[t], out=inner[t, :, :size])
+            np.multiply(d_new, by_use[t], out=inner[t, :, size : 2 * size])
+            np.multiply(d_new, use[t], out=inner[t, :, 2 * size :])
+            dh *= keep[t]
+            dh += inner[t] @ onwards
+            if cut[t]:
+                dh[fresh[t]] = 0
+        into[:, :, : 2 * size] = inner[:, :, : 2 * size]
+        grads[1] = held.reshape(-1, size).T @ inner.reshape(-1, 3 * size)
         into = into.reshape(-1, 3 * size)
         grads[6] = read.reshape(len(into), -1).T @ into
         into = into @ self.values[6].T
         for i in range(1, len(self.values)):
-            g = grads[i] / count
+            g = grads[i]
+            g /= count
             self.squares[i] += g * g
-            self.values[i] -= rate * g / np.sqrt(self.squares[i])
+            g /= np.sqrt(self.squares[i])
+            g *= rate
+            self.values[i] -= g
         flat = before.ravel()
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
