@@ -105,17 +105,27 @@ class Vocabulary:
     @classmethod
     def of(cls, counts: DataFrame, most: int, modelled: int) -> Vocabulary:
         total, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-        # Counts fall into some thousand classes of size; the highest that hold `most` words together are fetched.
-        size = F.floor(F.log2("n") * 64)
-        taken, lowest = 0, None
-        for row in counts.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
-            taken += row["count"]
-            if taken >= most:
+        # The first `most` words by (n desc, word): whole groups of words while they fit, then groups inside the first that
+        # does not fit. Counts fall into some thousand classes of size, and words, being hashes, are even in their upper bits.
+        rest, inside, fetched = most, F.lit(True), F.col("word") == int(END)
+        for key in (-F.floor(F.log2("n") * 64), -F.col("n"), *(F.shiftright("word", bits) for bits in (48, 32, 16, 0))):
+            full, cut = None, None
+            for row in counts.where(inside).groupBy(key.alias("group")).count().orderBy("group").collect():
+                if row["count"] > rest:
+                    cut = row
+                    break
+                full, rest = row["group"], rest - row["count"]
+            if full is not None:
+                fetched |= inside & (key <= full)
+            if cut is None or not rest:
                 break
-            lowest = row["size"]
-        frequent = F.lit(False) if lowest is None else size >= lowest
-        top = counts.where(frequent | (F.col("word") == int(END))).collect()
+            inside &= key == cut["group"]
+            if cut["count"] <= most:
+                fetched |= inside
+                break
+        top = counts.where(fetched).collect()
         top.sort(key=lambda r: (r["word"] != int(END), -r["n"], r["word"]))
+        top = top[:most]
         words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
         number = np.array([r["n"] for r in top], np.int64)
         ids = np.where(np.arange(len(top)) < modelled, np.arange(len(top)), -1)

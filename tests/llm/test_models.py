@@ -150,6 +150,19 @@ def test_vocabulary_and_state_keep_their_size(spark):
     assert np.isfinite(found).all() and len(set(found.tolist())) == 3
 
 
+def test_the_most_frequent_words_are_modelled_in_flat_vocabularies(spark):
+    hashed = "CASE WHEN id = 0 THEN 0 ELSE xxhash64(id) END AS word"
+    for n in ("1", "IF(id < 7, 3, 1)", "IF(id < 150, 2, 1)", "1000000 + id % 3", "1 + id"):
+        counts = spark.range(1000).selectExpr(hashed, f"CAST({n} AS long) AS n")
+        rows = sorted(counts.collect(), key=lambda r: (r.word != 0, -r.n, r.word))
+        for most in (1, 100, 2000):
+            own = lm.Vocabulary.of(counts, most, 50)
+            order = np.argsort(np.where(own.ids >= 0, own.ids, 1 << 40), kind="stable")
+            assert own.words.view(np.int64)[order][: own.size].tolist() == [r.word for r in rows[: min(50, most)]]
+            assert sorted(own.words.view(np.int64).tolist()) == sorted(r.word for r in rows[:most])
+            assert own.total == sum(r.n for r in rows) and own.different == 1000
+
+
 def test_training_carries_the_state_through_long_texts(monkeypatch):
     rng = random.Random(4)
     texts = [" ".join(rng.choice("abcde") for _ in range(n)) for n in (1300, 3, 2000, 40, 0, 700)]
