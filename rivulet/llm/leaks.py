@@ -16,7 +16,9 @@ Windows with too few words that occur in any item of the class cannot be within
 are not embedded; that loses nothing. The items' tables are sent to the executors in blocks of
 at most `block_bytes` of text; each block is one pass over the documents.
 
-NULL texts and items have no words; items of fewer than `least_words` words are not searched.
+Items of fewer than `least_words` words take no edits: they are found by the hash of all their
+words and compared word by word. NULL texts and items have no words, and items without words are
+not searched. A run of letters without spaces or punctuation is one word, in every script.
 Each row of documents and items counts for itself; repeated rows give repeated matches.
 """
 
@@ -70,6 +72,15 @@ def signatures(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, coins:
     return out
 
 
+def marked(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the `size` words from each start."""
+    out = np.zeros(len(starts), np.uint64)
+    for step in range(size):
+        out = (out ^ words[starts + step]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 @dataclass
 class SizeClass:
     """Items of about one size."""
@@ -97,13 +108,22 @@ class Index:
         content = [t.encode() for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in content])]).astype(np.int64)
         hashes, firsts = word_hashes(np.frombuffer(b"".join(content), np.uint8), offsets)
-        order = [i for i in np.argsort(np.diff(firsts), kind="stable") if firsts[i + 1] - firsts[i] >= least_words]
+        order = [i for i in np.argsort(np.diff(firsts), kind="stable") if firsts[i + 1] > firsts[i]]
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.items = [hashes[firsts[i] : firsts[i + 1]] for i in order]
         self.edits = np.array([int(edit_share * len(w)) for w in self.items], np.int64)
         self.classes: list[SizeClass] = []
         rng = np.random.default_rng(seed)
+        self.short: list[tuple[int, np.ndarray, np.ndarray]] = []
         begin = 0
+        while begin < len(self.items) and len(self.items[begin]) < least_words:
+            size = len(self.items[begin])
+            end = begin + sum(len(w) == size for w in self.items[begin:])
+            marks = marked(np.concatenate(self.items[begin:end]), np.arange(end - begin) * size, size)
+            ranks = np.argsort(marks, kind="stable")
+            self.short.append((size, marks[ranks], ranks + begin))
+            self.edits[begin:end] = 0
+            begin = end
         while begin < len(self.items):
             size = len(self.items[begin])
             end = begin
@@ -140,6 +160,7 @@ class Index:
     def search(self, words: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(row, item, edits, first word) of the verified matches, the best place of each row and item."""
         rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+        yield from self._search_short(words, rows, firsts)
         pairs = []
         for own in self.classes:
             places, limits = own.windows(words, rows, firsts)
@@ -162,6 +183,21 @@ class Index:
             good = edits <= self.edits[part[:, 1]]
             yield row[good], part[good, 1], edits[good], (place - firsts[row])[good]
 
+    def _search_short(self, words: np.ndarray, rows: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """As search(), for the short items: the first place of each row and item."""
+        for size, marks, items in self.short:
+            places = np.flatnonzero(np.arange(len(words)) + size <= firsts[1:][rows])
+            got = marked(words, places, size)
+            low, high = np.searchsorted(marks, got, "left"), np.searchsorted(marks, got, "right")
+            for k in range(int((high - low).max()) if len(places) else 0):  # more than one: items with the same words
+                hit = np.flatnonzero(high - low > k)
+                place, item = places[hit], items[low[hit] + k]
+                _, first = np.unique(np.stack([rows[place], item], axis=1), axis=0, return_index=True)
+                place, item = place[first], item[first]
+                same = [bool((words[p : p + size] == self.items[i]).all()) for p, i in zip(place.tolist(), item.tolist())]
+                place, item = place[same], item[same]
+                yield rows[place], item, np.zeros(len(place), np.int64), place - firsts[rows[place]]
+
     def verify(self, words: np.ndarray, firsts: np.ndarray, rows: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least edit distance of each pair's item to a stretch near the place, and where that stretch ends."""
         place, item = pairs[:, 0], pairs[:, 1]

@@ -76,6 +76,16 @@ def test_leaks_on_awkward_texts(spark):
     assert leaks.without_leaks(df, benchmark).count() == len(AWKWARD) + 1
 
 
+def test_short_items_are_found_word_by_word(spark):
+    items = ["a b", "b a", "b", "A, b!", "x y z w", "日本語", "...", "a b c d e"]
+    texts = ["a b a", "b", "q x y z w q", "x y z", "日本語 です", "日本語です", "a", None, "a b c d e"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = sorted(tuple(r) for r in leaks.find_leaks(table(spark, texts), benchmark).collect())
+    short = [(0, 0, 0, 0), (0, 1, 0, 1), (0, 2, 0, 1), (0, 3, 0, 0), (1, 2, 0, 0), (2, 4, 0, 1), (4, 5, 0, 0), (8, 0, 0, 0), (8, 2, 0, 1), (8, 3, 0, 0)]
+    assert [r for r in found if r[1] != 7] == short and (8, 7, 0, 0) in found
+    assert sorted(r.doc_id for r in leaks.without_leaks(table(spark, texts), benchmark).collect()) == [3, 5, 6, 7]
+
+
 def expected_base(ids, texts):
     tokens = [words(t) + [None] for t in texts]
     counts = collections.Counter()
