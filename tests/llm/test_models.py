@@ -287,6 +287,37 @@ def test_pipeline_stages_match_brute_force(spark):
         docs = out
 
 
+def test_pipeline_stages_remove_what_they_must(spark, tmp_path):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    junk = table(spark, ["", "12 34 !!", None, "..."], ids=[-1, -2, -3, -4]).select(docs.columns)
+    kept = {r.doc_id for r in stages["language"](spark, docs.unionByName(junk), SF_DIR).collect()}
+    assert kept and min(kept) >= 0
+
+    line, rare = "read more of this", "this line is rare"
+    texts = [f"{line}\nown {i}" for i in range(14)] + [line, f"{rare}\n {line} \n{line}", None, "", f"{rare}\n\nno"]
+    sources = [f"s{i}" for i in range(14)] + ["s0"] * 5
+    out = stages["lines"](spark, table(spark, texts, sources), SF_DIR).collect()
+    first, want = True, {}
+    for i, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        left = []
+        for own in lines:
+            if own.strip(" ") != line or first:
+                left.append(own)
+            first = first and own.strip(" ") != line
+        if len(left) == len(lines) or "".join(left).strip():
+            want[i] = None if text is None else "\n".join(left)
+    assert {r.doc_id: r.text for r in out} == want and 14 not in want
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
+
+    items, texts, truth = planted()
+    spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {r.doc_id for r in stages["leaks"](spark, table(spark, [" ".join(t) for t in texts]), str(tmp_path)).collect()}
+    leaking = {d for d, _ in truth}
+    assert left >= set(range(len(texts))) - leaking and len(leaking & left) <= 0.05 * len(leaking)
+
+
 def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
