@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rivulet.llm import exact, jaccard, language, leaks, licences, linededup, lm, pieces, repeats, secrets
+from rivulet.llm import alignment, exact, jaccard, language, leaks, licences, linededup, lm, minmax, pieces, repeats, secrets, turntrie
 from rivulet.llm.tables import documents
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_sentencepiece": lambda spark, sf_dir: pieces.encode(documents(spark, sf_dir)),
     "op9_decontamination": leaks.leak_report,
     "op10_secret_scan": lambda spark, sf_dir: secrets.secret_report(documents(spark, sf_dir)),
+    "op11_min_max_near": lambda spark, sf_dir: minmax.near_duplicates(documents(spark, sf_dir), n=4),
+    "op12_turn_trie": lambda spark, sf_dir: turntrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")),
+    "op13_token_alignment": lambda spark, sf_dir: alignment.align_tokenizers(documents(spark, sf_dir)),
 }
 
 ORACLES = {
@@ -24,4 +27,6 @@ ORACLES = {
     "op5_suffix_dedup": repeats.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
     "op10_secret_scan": secrets.oracle(),
+    "op11_min_max_near": minmax.ORACLE,
+    "op12_turn_trie": turntrie.ORACLE,
 }
