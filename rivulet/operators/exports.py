@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rivulet.operators.predicates import partition_equals
+from rivulet.sinks.keyed import MergedTable
 
 
 @dataclass(frozen=True)
@@ -20,10 +22,14 @@ class ExportSource:
 
 @dataclass(frozen=True)
 class ExportTarget:
+    """An index and its documents' id; ``delete_config`` names the values of fields, as they are
+    in the source, that take a document away; a ``partial`` target sets the exported fields alone."""
+
     index: str
     id_column: str
     delete_config: dict[str, str] = field(default_factory=dict)
     mapping: dict[str, str] = field(default_factory=dict)
+    partial: bool = False
 
 
 @dataclass(frozen=True)
@@ -47,6 +53,30 @@ def export_rows(spec: ExportSpec, load: Callable[[str], DataFrame]) -> DataFrame
     return rows.select(*[rows[f].alias(mapping.get(f, f)) for f in source.fields])
 
 
+def deleted(target: ExportTarget) -> Column:
+    """Whether an exported row takes its document away: all fields of the delete configuration have their value."""
+    gone = F.lit(bool(target.delete_config))
+    for name, value in target.delete_config.items():
+        gone = gone & (F.col(target.mapping.get(name, name)).cast("string") == value)
+    return F.coalesce(gone, F.lit(False))
+
+
+def index_writer(tables: Mapping[str, MergedTable]) -> Callable[[ExportTarget, DataFrame], None]:
+    """Writes each spec's rows as the next batch of its index: sets documents or fields of them, or takes them away."""
+    batches = dict.fromkeys(tables, 0)
+
+    def write(target: ExportTarget, rows: DataFrame) -> None:
+        index = tables[target.index]
+        keep = rows.where(~deleted(target))
+        changes = index.partial(keep) if target.partial else index.full(keep)
+        if target.delete_config:
+            changes = changes.unionByName(index.removed(rows.where(deleted(target))))
+        index.upsert(changes, batches[target.index])
+        batches[target.index] += 1
+
+    return write
+
+
 def run_exports(
     registry: Iterable[object],
     load: Callable[[str], DataFrame],

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.vector import euclidean
 from rivulet.operators import clusters, patterns, routing, windows
+from rivulet.operators.sequences import Pattern, match
 from rivulet.plans.registry import query
 from rivulet.tables import table
 
@@ -95,6 +96,49 @@ def fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fail_pair(kind: str = "event_type") -> Pattern:
+    """Two errors one right after the other, less than seven hours apart."""
+    error = F.col(kind) == "error"
+    return Pattern.begin("first", error).next("last", error).within(7 * 3600)
+
+
+@query("match_fail_pair", FAIL_PATTERN_SQL)
+def match_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
+    found = match(table(spark, sf, "events"), fail_pair(), "user_id", "ts", ["ts", "event_id"], ["ts"])
+    return found.select("user_id", F.col("first.ts").alias("first_fail"), F.col("last.ts").alias("last_fail"), F.lit("login fail!").alias("warning"))
+
+
+THREE_STEPS_SQL = """
+    WITH placed AS (SELECT user_id, ts, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    ahead AS (
+      SELECT *, min(CASE WHEN event_type = 'purchase' THEN rn END)
+        OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS buys
+      FROM placed)
+    SELECT a.user_id, a.event_id AS seen_id, b.event_id AS bought_id, c.event_id AS failed_id, c.ts AS failed_at
+    FROM ahead a JOIN placed b ON b.user_id = a.user_id AND b.rn = a.buys
+    JOIN placed c ON c.user_id = a.user_id AND c.rn = b.rn + 1 AND c.event_type = 'error'
+    WHERE a.event_type = 'view' AND c.ts < a.ts + INTERVAL '48 hours'
+    """
+
+
+def three_steps(kind: str = "event_type") -> Pattern:
+    """A view, later a purchase, and an error right after it, all in less than two days."""
+    pattern = Pattern.begin("seen", F.col(kind) == "view").followed_by("bought", F.col(kind) == "purchase")
+    return pattern.next("failed", F.col(kind) == "error").within(48 * 3600)
+
+
+def step_ids(found: DataFrame, ident: str, time: str) -> DataFrame:
+    """Ids of the three events, and when the last one was."""
+    ids = [F.col(f"{s}.{ident}").alias(f"{s}_id") for s in ("seen", "bought", "failed")]
+    return found.select("user_id", *ids, F.col(f"failed.{time}").alias("failed_at"))
+
+
+@query("match_three_steps", THREE_STEPS_SQL)
+def match_three_steps(spark: SparkSession, sf: str) -> DataFrame:
+    found = match(table(spark, sf, "events"), three_steps(), "user_id", "ts", ["ts", "event_id"], ["event_id", "ts"])
+    return step_ids(found, "event_id", "ts")
+
+
 BURST_SPAN = 24 * 3600
 BURST_SQL = """
     WITH RECURSIVE numbered AS (
@@ -151,22 +195,26 @@ ROUTE_SQL = """
     """
 
 
-def document_route() -> routing.Route:
+def document_route() -> routing.RowRoute:
     """Documents by language; long western ones reach two ends, Spanish ones none."""
+
+    def only_id(row: Column) -> Column:
+        return F.struct(row["doc_id"].alias("doc_id"))
+
     return (
-        routing.Route()
-        .point("all", lambda df: df.select("doc_id", "lang", "n_chars"))
-        .point("west", lambda df: df.drop("lang"))
-        .point("ids", lambda df: df.select("doc_id"))
-        .point("short_ids", lambda df: df.select("doc_id"))
-        .point("de", lambda df: df.select("doc_id"))
+        routing.RowRoute()
+        .point("all", lambda row: row)
+        .point("west", lambda row: row.dropFields("lang"))
+        .point("ids", only_id)
+        .point("short_ids", only_id)
+        .point("de", only_id)
         .end("western")
         .end("long")
         .end("german")
-        .edge("all", "west", F.col("lang").isin("en", "fr"))
-        .edge("all", "de", F.col("lang") == "de")
+        .edge("all", "west", lambda row: row["lang"].isin("en", "fr"))
+        .edge("all", "de", lambda row: row["lang"] == "de")
         .edge("west", "ids")
-        .edge("west", "short_ids", F.col("n_chars") > 2000)
+        .edge("west", "short_ids", lambda row: row["n_chars"] > 2000)
         .edge("ids", "western")
         .edge("short_ids", "long")
         .edge("de", "german")
@@ -175,7 +223,7 @@ def document_route() -> routing.Route:
 
 @query("route", ROUTE_SQL)
 def route(spark: SparkSession, sf: str) -> DataFrame:
-    return document_route().combined(table(spark, sf, "documents"))
+    return document_route().combined(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions import udx
+from rivulet.functions import udaf, udx
 from rivulet.plans.registry import query
 from rivulet.tables import table
 
@@ -31,6 +31,20 @@ def udaf_floored_max(spark: SparkSession, sf: str) -> DataFrame:
     return udx.merged(rows, ["s_nationkey", "block"], "balance", lambda c: F.call_function("floored_max", c), "top")
 
 
+@query(
+    "udaf_mean",
+    """
+    SELECT o_custkey, round(CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100, 6) AS mean
+    FROM orders GROUP BY o_custkey
+    """,
+)
+def udaf_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's own aggregate whose buffer, a sum and a count, is not its result."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    means = udaf.aggregate(table(spark, sf, "orders").select("o_custkey", cents), ["o_custkey"], "cents", udaf.MEAN, "mean")
+    return means.select("o_custkey", F.round(F.col("mean") / 100, 6).alias("mean"))
+
+
 @query("udtf_columns", "SELECT event_id, event_type AS name, CAST(user_id AS INTEGER) AS age, 'A' AS grade FROM events")
 def udtf_columns(spark: SparkSession, sf: str) -> DataFrame:
     udx.register(spark)

@@ -44,22 +44,25 @@ def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
     return joins.lookup_join(_asking(spark, sf), _customers(spark, sf), "user_id", "c_custkey", "left")
 
 
-@query(
-    "lookup_group",
-    f"""
+LOOKUP_GROUP_SQL = f"""
     SELECT user_id, part, string_agg(label, ',' ORDER BY seq) AS items FROM (
       SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY seq, label) - 1) // 100000 AS part FROM (
         SELECT user_id, concat_ws(':', event_type, c_name) AS label, min(event_id) AS seq FROM {_ASKING_SQL}
         LEFT JOIN customer ON user_id = c_custkey GROUP BY 1, 2))
     GROUP BY user_id, part
-    """,
-)
-def lookup_group(spark: SparkSession, sf: str) -> DataFrame:
-    # A user's rows shrink to the first of each kind before the lookup, which then cannot be skewed.
-    first = _asking(spark, sf, "event_type").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    """
+
+
+def labelled(asking: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """First event of each user and label. A user's rows shrink to the first of each kind before the lookup, which then cannot be skewed."""
+    first = asking.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
     enriched = joins.lookup_join(first, _customers(spark, sf), "user_id", "c_custkey", "left")
-    labelled = enriched.withColumn("label", F.concat_ws(":", "event_type", "c_name"))
-    return agg.distinct_list(labelled, ["user_id"], "label", "event_id")
+    return enriched.select("user_id", F.concat_ws(":", "event_type", "c_name").alias("label"), "event_id")
+
+
+@query("lookup_group", LOOKUP_GROUP_SQL)
+def lookup_group(spark: SparkSession, sf: str) -> DataFrame:
+    return agg.distinct_list(labelled(_asking(spark, sf, "event_type"), spark, sf), ["user_id"], "label", "event_id")
 
 
 @query(

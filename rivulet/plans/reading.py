@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from rivulet.functions import json_rows, times
 from rivulet.functions.text import compose_key, positional
-from rivulet.operators.exports import ExportSource, ExportSpec, ExportTarget, export_rows
+from rivulet.operators.exports import ExportSource, ExportSpec, ExportTarget, event_day, export_rows, index_writer, run_exports
 from rivulet.operators.ordered import ordered_lists
 from rivulet.plans.registry import query
+from rivulet.session import fresh_dir
+from rivulet.sinks.keyed import MergedTable
 from rivulet.sinks.topics import json_records, routed_records
 from rivulet.sources import topics
 from rivulet.sources.files import login_events
@@ -344,6 +346,52 @@ def export_job(spark: SparkSession, sf: str) -> DataFrame:
     return first.union(second)
 
 
+#: members of a registry: documents with a delete configuration, more fields of them, one app's day, and a plain entry
+REGISTRY = (
+    ExportSpec(
+        ExportSource("orders", {}, ("o_orderkey", "o_orderstatus", "o_totalprice"), lambda: F.col("o_totalprice") > 100000),
+        ExportTarget("index_orders", "id", {"o_orderstatus": "F"}, {"o_orderkey": "id", "o_orderstatus": "label", "o_totalprice": "amount"}),
+    ),
+    "a plain entry",
+    ExportSpec(
+        ExportSource("orders", {}, ("o_orderkey", "o_orderpriority"), lambda: (F.col("o_totalprice") > 200000) & (F.col("o_orderstatus") != "F")),
+        ExportTarget("index_orders", "id", {}, {"o_orderkey": "id", "o_orderpriority": "label"}, partial=True),
+    ),
+    ExportSpec(
+        ExportSource("app_events", {}, ("event_id", "event", "value"), lambda: event_day("app1", "2024-01-05", "click")),
+        ExportTarget("index_events", "id", {}, {"event_id": "id", "event": "label", "value": "amount"}),
+    ),
+)
+
+
+@query(
+    "export_registry",
+    """
+    SELECT 'index_orders' AS target, o_orderkey AS id,
+           CASE WHEN o_totalprice > 200000 THEN o_orderpriority ELSE o_orderstatus END AS label, CAST(o_totalprice AS DOUBLE) AS amount
+    FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'F'
+    UNION ALL
+    SELECT 'index_events', event_id, event_type, CAST(value AS DOUBLE) FROM events
+    WHERE user_id % 3 = 1 AND strftime(ts, '%Y-%m-%d') = '2024-01-05' AND event_type = 'click'
+    """,
+)
+def export_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Every spec of the registry in turn: a full export with deletes, a partial update, a day's events."""
+
+    def load(name: str) -> DataFrame:
+        if name != "app_events":
+            return table(spark, sf, name)
+        app = F.concat(F.lit("app"), F.col("user_id") % 3).alias("app")
+        return table(spark, sf, "events").select("event_id", "value", app, F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.col("event_type").alias("event"))
+
+    document = T.StructType.fromDDL("id bigint, label string, amount double")
+    root = fresh_dir(spark, "exports")
+    indexes = {name: MergedTable(spark, f"{root}/{name}", document, ["id"]) for name in ("index_orders", "index_events")}
+    run_exports(REGISTRY, load, index_writer(indexes))
+    first, second = (indexes[name].rows().select(F.lit(name).alias("target"), "id", "label", "amount") for name in indexes)
+    return first.union(second)
+
+
 @query(
     "composed_key",
     "SELECT c_custkey, concat('userInfo:userId:', c_custkey, ':userName') AS k FROM customer",

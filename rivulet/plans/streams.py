@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from rivulet.operators import windows
 from rivulet.operators.joins import lookup_join
+from rivulet.operators.sequences import Pattern
 from rivulet.operators.sets import union_distinct_stream
-from rivulet.plans import detecting
+from rivulet.plans import detecting, joining
 from rivulet.plans.registry import query
 from rivulet.plans.writing import LATEST_SQL
 from rivulet.session import fresh_dir, use_utc
@@ -20,7 +21,7 @@ from rivulet.sinks import files, keyed
 from rivulet.sinks.ledger import BatchLedger
 from rivulet.sinks.topics import json_records
 from rivulet.sources import topics
-from rivulet.streaming import jobs, processors
+from rivulet.streaming import carried, jobs, processors
 from rivulet.tables import table, zoned, zoneless
 
 
@@ -73,9 +74,10 @@ def stream_clock_windows(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_running_sum(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf, "user_id", "event_id", "value")
-    sums = processors.running_sums(events, "user_id", "event_id", F.round(F.col("value") * 100))
-    return jobs.drained(sums, "append", "running").drop("batch_id")
+    cents = F.round(F.col("value") * 100).cast("bigint").alias("cents")
+    events = _events(spark, sf, "user_id", "event_id", "value").select("user_id", "event_id", cents)
+    job = carried.running_sums(spark, fresh_dir(spark, "running"), events.schema, "user_id", "event_id", "cents")
+    return carried.output(events, job).drop("batch_id")
 
 
 def _keyed_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,18 +86,72 @@ def _keyed_events(spark: SparkSession, sf: str) -> DataFrame:
 
 #: the watermark when all files are read: five seconds, in whole milliseconds, behind the latest event
 WATERMARK_SQL = "(SELECT (epoch_ms(max(ts)) - 5000) * 1000 FROM events)"
+RATES_WATERMARK_SQL = WATERMARK_SQL.replace("FROM events", "FROM events WHERE event_type IN ('click', 'purchase')")
 
 
 @query("stream_fail_pairs", detecting.FAIL_PAIRS_SQL)
 def stream_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    found = processors.arrival_pairs(_keyed_events(spark, sf), 3 * 3600, "error", "fails within 3 hours")
-    return zoneless(jobs.drained(found, "append", "fail-pairs").drop("batch_id"), "first_fail", "last_fail")
+    events = _keyed_events(spark, sf)
+    path, within = fresh_dir(spark, "fail-pairs"), F.expr("INTERVAL 3 HOURS")
+    job = carried.arrival_pairs(spark, path, events.schema, within, "error", "fails within 3 hours")
+    return zoneless(carried.output(events, job).drop("batch_id"), "first_fail", "last_fail")
 
 
 @query("stream_fail_pattern", f"SELECT * FROM ({detecting.FAIL_PATTERN_SQL}) WHERE epoch_us(last_fail) <= {WATERMARK_SQL}")
 def stream_fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
-    found = processors.event_time_pairs(_keyed_events(spark, sf), 7 * 3600, "5 seconds", "error")
-    return zoneless(jobs.drained(found, "append", "fail-pattern").drop("batch_id"), "first_fail", "last_fail")
+    found = _matches(spark, sf, detecting.fail_pair("kind"), "fail-pattern")
+    pair = found.select("user_id", F.col("first.event_time").alias("first_fail"), F.col("last.event_time").alias("last_fail"))
+    return zoneless(pair.withColumn("warning", F.lit("login fail!")), "first_fail", "last_fail")
+
+
+@query("stream_match_pattern", f"SELECT * FROM ({detecting.THREE_STEPS_SQL}) WHERE epoch_us(failed_at) <= {WATERMARK_SQL}")
+def stream_match_pattern(spark: SparkSession, sf: str) -> DataFrame:
+    found = _matches(spark, sf, detecting.three_steps("kind"), "three-steps")
+    return zoneless(detecting.step_ids(found, "seq", "event_time"), "failed_at")
+
+
+def _matches(spark: SparkSession, sf: str, pattern: Pattern, name: str) -> DataFrame:
+    events = _keyed_events(spark, sf)
+    order, columns = ["event_time", "seq"], ["event_time", "seq"]
+    job = carried.matches(spark, fresh_dir(spark, name), events.schema, pattern, "user_id", "event_time", order, columns, 5)
+    return carried.output(events, job).drop("batch_id")
+
+
+@query(
+    "stream_asof_rate",
+    f"""
+    SELECT c.event_id, c.user_id, c.ts, p.value AS rate
+    FROM (SELECT * FROM events WHERE event_type = 'click') c
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+      ON c.user_id = p.user_id AND c.ts >= p.ts
+    WHERE epoch_us(c.ts) <= {RATES_WATERMARK_SQL}
+    """,
+)
+def stream_asof_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks and the rates they need come from one stream; a click waits until no earlier rate can come."""
+    events = zoned(_events(spark, sf, "event_id", "user_id", "ts", "event_type", "value"), "ts")
+    mixed = events.where("event_type IN ('click', 'purchase')").withColumnRenamed("value", "rate")
+    clicks, rates = (mixed.select("user_id", "ts", "event_id", *more).schema for more in ([], ["rate"]))
+    rows = carried.as_of_rows(mixed, F.col("event_type") == "purchase", "user_id", "ts", "rate", "event_id", ["event_id"])
+    job = carried.as_of(spark, fresh_dir(spark, "asof"), clicks, rates, "user_id", "ts", "rate", "event_id", 5)
+    return zoneless(carried.output(rows, job).drop("batch_id"), "ts")
+
+
+@query("stream_lookup_group", joining.LOOKUP_GROUP_SQL)
+def stream_lookup_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Each batch looks up its users and emits the lists it changes; the last one of a key is its list."""
+    rows = T.StructType.fromDDL("user_id bigint, label string, event_id bigint")
+    lists = carried.DistinctLists(spark, fresh_dir(spark, "lists"), rows, ["user_id"], "label", "event_id")
+
+    class Enriched:
+        out = lists.out
+
+        @staticmethod
+        def write(batch: DataFrame, batch_id: int) -> None:
+            lists.write(joining.labelled(batch, spark, sf), batch_id)
+
+    events = _events(spark, sf, "event_id", "user_id", "event_type").withColumn("user_id", F.col("user_id") * 7)
+    return jobs.latest_updates(carried.output(events, Enriched), ["user_id", "part"])
 
 
 @query(
@@ -106,14 +162,16 @@ def stream_fail_pattern(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_fail_burst(spark: SparkSession, sf: str) -> DataFrame:
-    bursts = processors.ordered_bursts(_keyed_events(spark, sf), detecting.BURST_SPAN, 2, "5 seconds", "error")
-    return zoneless(jobs.drained(bursts, "append", "fail-burst").drop("batch_id"), "first_fail", "last_fail")
+    with processors.rocks_state(spark):
+        bursts = processors.ordered_bursts(_keyed_events(spark, sf), detecting.BURST_SPAN, 2, "5 seconds", "error")
+        return zoneless(jobs.drained(bursts, "append", "fail-burst").drop("batch_id"), "first_fail", "last_fail")
 
 
 @query("stream_changelog", KEYED_COUNT_SQL)
 def stream_changelog(spark: SparkSession, sf: str) -> DataFrame:
     """What is left when every withdrawal has taken its row back."""
-    changes = jobs.drained(processors.count_changelog(_events(spark, sf, "event_type"), "event_type"), "append", "changelog")
+    counts = jobs.running_counts(_events(spark, sf, "event_type"), "event_type")
+    changes = carried.output(counts, carried.ChangeLog(spark, fresh_dir(spark, "changelog"), counts.schema, ["event_type"]), "update")
     sign = F.when(F.col("is_add"), 1).otherwise(-1)
     return changes.groupBy("event_type").agg(F.sum(sign * F.col("n")).alias("n"))
 

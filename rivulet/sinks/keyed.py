@@ -9,6 +9,8 @@ batch is replayed; a base is written once and never again.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,18 +86,27 @@ class KeyedTable:
             union = newer if union is None else union.union(newer)
         return union
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows one batch has written."""
+        return self.spark.read.schema(self.schema).parquet(self._delta(batch_id))
+
     def current(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The table as of the last committed batch, or as of the one before ``before``.
 
-        ``only`` holds the keys wanted; others are left out before the merge.
+        ``only`` holds the keys wanted, or some columns of them, NULLs included; others are left out before the merge.
         """
-        versions = self._versions(before)
+        versions = self._wanted(self._versions(before), only)
         if versions is None:
             return self.spark.createDataFrame([], self.schema)
-        if only is not None:
-            versions = versions.join(only.select(*self.keys), self.keys, "left_semi")
         return newest(versions, self.keys, [VERSION, *self.order]).select(*self.schema.names)
 
+    def _wanted(self, versions: DataFrame | None, only: DataFrame | None) -> DataFrame | None:
+        if versions is None or only is None:
+            return versions
+        wanted = only.toDF(*[f"_only_{c}" for c in only.columns])
+        same = [F.col(c).eqNullSafe(F.col(f"_only_{c}")) for c in only.columns]
+        return versions.join(wanted, reduce(and_, same), "left_semi")
+
     def compact(self, before: int | None = None) -> None:
         """Fold all batches so far into a new base; a base that is there already stays."""
         _, deltas = self._parts(before)
@@ -103,6 +114,75 @@ class KeyedTable:
             self.current(before).write.mode("overwrite").parquet(self._base(deltas[-1]))
 
 
+class MergedTable(KeyedTable):
+    """Upsert target whose batches may also set single columns or take keys away.
+
+    A batch's rows say what they do: set all columns, set some, or remove the key. Reading takes each
+    column from the newest row that set it; a removal sets all to NULL and hides the key until a
+    later row sets something. Rows of one key in one batch are ranked by ``order``.
+    """
+
+    SET, GONE = "_set", "_gone"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        order: Sequence[str] = (),
+        fold_every: int = FOLD_EVERY,
+    ):
+        marks = [T.StructField(self.SET, T.ArrayType(T.StringType())), T.StructField(self.GONE, T.BooleanType())]
+        super().__init__(spark, path, T.StructType([*schema.fields, *marks]), keys, order, fold_every)
+        self.values = [c for c in schema.names if c not in self.keys]
+        self.visible = schema.names
+
+    def full(self, df: DataFrame) -> DataFrame:
+        """Rows that set all columns."""
+        return self.partial(df.select(*self.visible))
+
+    def partial(self, df: DataFrame) -> DataFrame:
+        """Rows that set the columns they have and leave the others as they are."""
+        has = [c for c in self.values if c in df.columns]
+        return self._marked(df, has, False)
+
+    def removed(self, df: DataFrame) -> DataFrame:
+        """Rows that take their keys away."""
+        return self._marked(df.select(*self.keys), self.values, True)
+
+    def _marked(self, df: DataFrame, has: Sequence[str], gone: bool) -> DataFrame:
+        kinds = {f.name: f.dataType for f in self.schema.fields}
+        columns = [(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in self.visible]
+        return df.select(*columns, F.array(*map(F.lit, has)).cast("array<string>").alias(self.SET), F.lit(gone).alias(self.GONE))
+
+    def _merged(self, rows: DataFrame, place: Sequence[str]) -> DataFrame:
+        """One row per key: each column from the last row that set it."""
+        at = F.struct(*place)
+        newest_of = [
+            F.max_by(F.struct(c), F.when(F.array_contains(self.SET, c), at)).alias(f"_{i}") for i, c in enumerate(self.values)
+        ]
+        every = F.array_distinct(F.flatten(F.collect_set(self.SET))).alias(self.SET)
+        best = rows.groupBy(*self.keys).agg(*newest_of, every, F.max_by(self.GONE, at).alias(self.GONE))
+        columns = [F.col(f"_{i}")[c].alias(c) for i, c in enumerate(self.values)]
+        return best.select(*self.keys, *columns, self.SET, self.GONE).select(*self.schema.names)
+
+    def upsert(self, df: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` body for rows made by ``full``, ``partial`` and ``removed``."""
+        if batch_id and batch_id % self.fold_every == 0:
+            self.compact(batch_id)
+        rows = self._merged(df.select(*self.schema.names), [self.GONE, *self.order])
+        rows.write.mode("overwrite").parquet(self._delta(batch_id))
+
+    def rows(self, before: int | None = None) -> DataFrame:
+        """The keys that are there, with their columns."""
+        return self.current(before).where(~F.col(self.GONE)).select(*self.visible)
+
+    def current(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        versions = self._wanted(self._versions(before), only)
+        return self.spark.createDataFrame([], self.schema) if versions is None else self._merged(versions, [VERSION])
+
+
 def without_fields(documents: DataFrame, *fields: str) -> DataFrame:
     """Documents after a scripted removal of fields."""
     return documents.drop(*fields)

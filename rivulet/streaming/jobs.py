@@ -85,9 +85,10 @@ def running_counts(df: DataFrame, key: str | Column) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1000) -> DataFrame:
-    """A table's files as a stream, ``files_per_batch`` in each micro-batch, oldest first."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None, bytes_per_batch: int = 256 << 30) -> DataFrame:
+    """A table's files as a stream, oldest first; a micro-batch holds about ``bytes_per_batch``, or so many files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     # A pattern, as a stream's plain path must be a directory and a table may be one file.
     path = f"{sf_dir}/{name}.parque[t]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    limit = ("maxBytesPerTrigger", bytes_per_batch) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
+    return spark.readStream.schema(schema).option(*limit).parquet(path)

@@ -1,210 +1,127 @@
-"""Keyed detection on streams with the engine's own state.
+"""A keyed process function with state and timers (U08): bursts of fails on a stream.
 
-Input columns are ``user_id, event_time, seq, kind``. A key's state is one small row and, in
-event time, the rows the watermark has not passed yet; Spark keeps it, drops late rows and
-calls back when the watermark passes. Which state store holds it is the deployment's choice.
+Input columns are ``user_id, event_time, seq, kind``. Rows wait in a list state until the watermark
+has passed their second; a timer per second then calls. Rows are appended to the list as they come; it
+is rewritten only when a timer fires. The open burst is a value state, and its end a timer of its own.
 
-One task holds a key's share of one micro-batch as three numbers per row, so the source's
-batch limit (``maxFilesPerTrigger`` and the like) bounds memory even if one key has most rows.
+It needs a state store that holds lists and timers: RocksDB, whose changelog checkpoints write
+what a batch changed (``rocks_state`` sets both for the streams started inside it). A key's share of a micro-batch
+is handed to one task in Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-# Rows waiting for the watermark, as parallel arrays; times are in microseconds.
-WAITING = "times array<bigint>, seqs array<bigint>, fails array<boolean>"
-OPEN_BURST = "first bigint, last bigint, count bigint"
-LAST_EVENT = "time bigint, failed boolean"
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+SECOND = 1_000_000
 BURST = "user_id bigint, first_fail bigint, last_fail bigint, fails bigint"
-PAIR = "user_id bigint, first_fail bigint, last_fail bigint"
-
-KeyedFunction = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
-# Takes the user, times and fails in order, its memory and the watermark; gives output,
-# new memory and a time at which it wants to be called again.
-Release = Callable[
-    [int, np.ndarray, np.ndarray, tuple | None, int],
-    tuple[pd.DataFrame | None, tuple | None, int | None],
-]
-
-
-def _columns(rows: Iterator[pd.DataFrame], *held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Times, sequence numbers and fails of the held rows and the new ones."""
-    batches = list(rows)
-    kinds = ("int64", "int64", bool)
-    return tuple(
-        np.concatenate([np.array(h, dtype=k), *(b[n].to_numpy() for b in batches)]).astype(k)
-        for h, k, n in zip(held, kinds, ("t", "seq", "fail"))
-    )
 
-
-def _in_event_time(memory_width: int, release: Release) -> KeyedFunction:
-    """Holds rows back until the watermark passes them, then hands them on in time order."""
-
-    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else ([], [], [], *[None] * memory_width)
-        memory = held[3:] if held[3] is not None else None
-        t, seq, fail = _columns(iter(()) if state.hasTimedOut else rows, *held[:3])
-        watermark = state.getCurrentWatermarkMs() * 1000
-        due = t <= watermark
-        order = np.lexsort((seq[due], t[due]))
-        output, memory, wake = release(key[0], t[due][order], fail[due][order], memory, watermark)
-        t, seq, fail = t[~due], seq[~due], fail[~due]
-        if len(t) or memory is not None:
-            state.update((t.tolist(), seq.tolist(), fail.tolist(), *(memory or [None] * memory_width)))
-            later = [int(t.min())] if len(t) else []
-            later += [wake] if wake is not None else []
-            if later:
-                state.setTimeoutTimestamp(max(min(later) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if output is not None:
-            yield output
-
-    return step
-
-
-def _in_arrival_order(release: Release) -> KeyedFunction:
-    """Hands a batch's rows on in the order of their sequence numbers."""
-
-    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        memory = tuple(state.get) if state.exists else None
-        t, seq, fail = _columns(rows, [], [], [])
-        order = np.argsort(seq, kind="stable")
-        output, memory, _ = release(key[0], t[order], fail[order], memory, 0)
-        state.update(memory)
-        if output is not None:
-            yield output
-
-    return step
-
-
-def _pairs(within: int) -> Release:
-    """Fails next to each other, less than ``within`` microseconds apart; remembers the last event."""
-
-    def release(user, times, fails, last, watermark):
-        if not len(times):
-            return None, last, None
-        before = np.concatenate([[0 if last is None else last[0]], times[:-1]])
-        failed = np.concatenate([[last is not None and last[1]], fails[:-1]])
-        hit = fails & failed & (times < before + within)
-        output = pd.DataFrame({"user_id": user, "first_fail": before[hit], "last_fail": times[hit]}) if hit.any() else None
-        return output, (int(times[-1]), bool(fails[-1])), None
-
-    return release
-
-
-def _ordered_bursts(span: int, min_fails: int) -> Release:
-    """Fails gathered from a first one; remembers the open burst, in whole seconds."""
-
-    def release(user, times, fails, burst, watermark):
-        closed = []
-        for micros, failed in zip(times.tolist(), fails.tolist()):
-            t = micros // 1_000_000
-            if burst is not None and t > burst[0] + span:
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB; the session's settings come back after."""
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def per_second(times: np.ndarray, seqs: np.ndarray, fails: np.ndarray) -> Iterator[tuple[int, bool, int]]:
+    """(second, whether a non-fail is in it, fails after the last one) in the order of time, then sequence."""
+    order = np.lexsort((seqs, times))
+    seconds, failed = times[order] // SECOND, fails[order]
+    starts = np.flatnonzero(np.concatenate([[True], seconds[1:] != seconds[:-1]]))
+    ends = np.append(starts[1:], len(seconds))
+    upto = np.concatenate([[0], np.cumsum(failed)])
+    stop = np.maximum.accumulate(np.where(failed, -1, np.arange(len(failed))))[ends - 1]
+    stopped = stop >= starts
+    counts = upto[ends] - upto[np.where(stopped, stop + 1, starts)]
+    yield from zip(seconds[starts].tolist(), stopped.tolist(), counts.tolist())
+
+
+class Bursts(StatefulProcessor):
+    """Gathers fails from a first one for ``span`` seconds; a non-fail before that drops them."""
+
+    def __init__(self, span: int, min_fails: int):
+        self.span, self.min_fails = span, min_fails
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "t bigint, seq bigint, fail boolean")
+        self.open = handle.getValueState("open", "first bigint, last bigint, fails bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            columns = [batch[c].tolist() for c in ("t", "seq", "fail")]
+            self.waiting.appendList(list(zip(*columns)))
+            for second in sorted({t // SECOND for t in columns[0]}):
+                self.handle.registerTimer((second + 1) * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        limit = timerValues.getCurrentWatermarkInMs() // 1000  # seconds before this one are over
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        due = [r for r in held if r[0] // SECOND < limit]
+        if due:
+            rest = [tuple(r) for r in held if r[0] // SECOND >= limit]
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        before = tuple(self.open.get()) if self.open.exists() else None
+        closed, burst = [], before
+        columns = [np.array(c, dtype=k) for c, k in zip(zip(*due), ("int64", "int64", bool))] if due else None
+        for second, stopped, fails in per_second(*columns) if due else ():
+            if burst is not None and second > burst[0] + self.span:
                 closed.append(burst)
                 burst = None
-            if not failed:
+            if stopped:
                 burst = None
-            elif burst is None:
-                burst = (t, t, 1)
-            else:
-                burst = (burst[0], t, burst[2] + 1)
-        ends = None if burst is None else (burst[0] + span + 1) * 1_000_000
-        if ends is not None and watermark >= ends:
+            if fails:
+                burst = (second, second, fails) if burst is None else (burst[0], second, burst[2] + fails)
+        if burst is not None and burst[0] + self.span + 1 <= limit:
             closed.append(burst)
-            burst, ends = None, None
-        enough = np.array([b for b in closed if b[2] >= min_fails], dtype="int64").reshape(-1, 3)
-        if not len(enough):
-            return None, burst, ends
-        first, last, count = enough[:, 0] * 1_000_000, enough[:, 1] * 1_000_000, enough[:, 2]
-        output = pd.DataFrame({"user_id": user, "first_fail": first, "last_fail": last, "fails": count})
-        return output, burst, ends
+            burst = None
+        if burst is None:
+            if before is not None:
+                self.open.clear()
+        elif burst != before:
+            self.open.update(burst)
+            self.handle.registerTimer((burst[0] + self.span + 1) * 1000)
+        found = [(key[0], first * SECOND, last * SECOND, n) for first, last, n in closed if n >= self.min_fails]
+        if found:
+            yield pd.DataFrame(found, columns=["user_id", "first_fail", "last_fail", "fails"])
 
-    return release
 
-
-def _flagged(events: DataFrame, fail: str) -> DataFrame:
-    """Times and fails as plain values, which cross to Python and back."""
-    return events.select(
+def ordered_bursts(events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail") -> DataFrame:
+    """T08b on a stream: bursts of fails, reported when the watermark has passed their span."""
+    rows = events.withWatermark("event_time", delay).select(
         "user_id",
         "event_time",
         F.unix_micros("event_time").alias("t"),
         "seq",
         F.coalesce(F.col("kind") == fail, F.lit(False)).alias("fail"),
     )
-
-
-def _detect(events: DataFrame, delay: str, fail: str, release: Release, memory: str, output: str) -> DataFrame:
-    """Run a release function per user in event time."""
-    rows = _flagged(events.withWatermark("event_time", delay), fail)
-    step = _in_event_time(memory.count(",") + 1, release)
-    found = rows.groupBy("user_id").applyInPandasWithState(
-        step, output, f"{WAITING}, {memory}", "append", GroupStateTimeout.EventTimeTimeout
+    found = rows.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=Bursts(span_seconds, min_fails), outputStructType=BURST, outputMode="Append", timeMode="EventTime"
     )
     return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")})
-
-
-def ordered_bursts(events: DataFrame, span_seconds: int, min_fails: int, delay: str, fail: str = "fail") -> DataFrame:
-    """T08b on a stream: bursts of fails, reported when their span is over."""
-    return _detect(events, delay, fail, _ordered_bursts(span_seconds, min_fails), OPEN_BURST, BURST)
-
-
-def event_time_pairs(
-    events: DataFrame, within_seconds: int, delay: str, fail: str = "fail", message: str = "login fail!"
-) -> DataFrame:
-    """T09 on a stream: adjacent fails in event-time order, once the watermark has passed them."""
-    found = _detect(events, delay, fail, _pairs(within_seconds * 1_000_000), LAST_EVENT, PAIR)
-    return found.withColumn("warning", F.lit(message))
-
-
-def arrival_pairs(events: DataFrame, within_seconds: int, fail: str = "fail", message: str = "login fail!") -> DataFrame:
-    """T08 on a stream: adjacent fails in arrival order, given by ``seq``."""
-    step = _in_arrival_order(_pairs(within_seconds * 1_000_000))
-    found = _flagged(events, fail).groupBy("user_id").applyInPandasWithState(
-        step, PAIR, LAST_EVENT, "append", GroupStateTimeout.NoTimeout
-    )
-    return found.withColumns({c: F.timestamp_micros(c) for c in ("first_fail", "last_fail")}).withColumn("warning", F.lit(message))
-
-
-def count_changelog(df: DataFrame, key: str) -> DataFrame:
-    """T12 on a stream: rows per key as ``(key, is_add, n)``.
-
-    Each micro-batch withdraws a key's count, if it has sent one, and adds the new one. The
-    rows reach Python as a constant each; the state is the count.
-    """
-
-    def step(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        old = state.get[0] if state.exists else None
-        new = (old or 0) + sum(len(b) for b in rows)
-        state.update((new,))
-        changes = [(group[0], True, new)] if old is None else [(group[0], False, old), (group[0], True, new)]
-        yield pd.DataFrame(changes, columns=[key, "is_add", "n"])
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, F.lit(1).alias("one")).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, is_add boolean, n bigint", "n bigint", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def running_sums(df: DataFrame, key: str, seq: str, value: Column) -> DataFrame:
-    """A03 on a stream: the sum of whole numbers up to each row, ``(key, seq, running)``, in the order of ``seq``."""
-
-    def step(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("_seq", kind="stable")
-        running = (state.get[0] if state.exists else 0) + batch["_value"].cumsum()
-        state.update((int(running.iloc[-1]),))
-        yield pd.DataFrame({key: group[0], seq: batch["_seq"], "running": running})
-
-    types = {c: df.schema[c].dataType.simpleString() for c in (key, seq)}
-    picked = df.select(key, F.col(seq).alias("_seq"), F.coalesce(value, F.lit(0)).cast("bigint").alias("_value"))
-    return picked.groupBy(key).applyInPandasWithState(
-        step, f"{key} {types[key]}, {seq} {types[seq]}, running bigint", "total bigint", "append", GroupStateTimeout.NoTimeout
-    )

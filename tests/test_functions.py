@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.functions import json_rows, times, udx
+from rivulet.functions import json_rows, times, udaf, udx
 from rivulet.functions.vector import euclidean
 from rivulet.sources.files import login_events
 
@@ -206,3 +206,18 @@ def test_clock_and_uuid(spark):
     assert spark.range(3).select(F.uuid()).distinct().count() == 3
     assert one(spark, times.now().isNotNull())
     assert one(spark, times.now(F.lit("x"))) == "x"
+
+
+def test_user_aggregate_merges_its_buffers(spark, rows):
+    data = [(None if i % 7 == 0 else i % 3, "k" if i % 2 else None, None if i % 5 == 0 else i * (1 << 40)) for i in range(2000)] + [(9, "only", None)]
+    df = spark.createDataFrame(data, "a long, b string, v long").repartition(5)
+    got = udaf.aggregate(df, ["a", "b"], "v", udaf.MEAN, "mean")
+    assert got.columns == ["a", "b", "mean"]
+    groups = {}
+    for a, b, v in data:
+        groups.setdefault((a, b), []).extend([] if v is None else [v])
+    want = [(*k, sum(v) / len(v) if v else None) for k, v in groups.items()]
+    assert rows(got) == sorted(want, key=repr)
+    assert udaf.aggregate(df.limit(0), ["a"], "v", udaf.MEAN, "mean").count() == 0
+    hot = spark.range(50_000).select(F.lit(1).alias("k"), "id")
+    assert udaf.aggregate(hot, ["k"], "id", udaf.MEAN, "m").collect() == [(1, 24999.5)]

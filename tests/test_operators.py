@@ -1,19 +1,25 @@
 """Small worked examples of the batch operators."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import java_tokens
 from rivulet.operators import aggregates, joins, predicates, sets, windows
-from rivulet.operators.exports import ExportSource, ExportSpec, ExportTarget, event_day, run_exports
+from rivulet.operators.exports import ExportSource, ExportSpec, ExportTarget, event_day, index_writer, run_exports
 from rivulet.operators.patterns import consecutive_fails
-from rivulet.operators.routing import Route, late_split
-from rivulet.sinks.keyed import put_cells
+from rivulet.operators.routing import Route, RowRoute, late_split
+from rivulet.operators.sequences import Pattern, match
+from rivulet.sinks.keyed import MergedTable, put_cells
 from rivulet.sources.tables import one_cell, point_get, wide_rows
 
 
+def at(seconds):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=seconds)
+
+
 def test_word_count(spark, rows):
     lines = spark.createDataFrame([("a b",), ("c",), ("d",), ("a b c",)], "value string")
     assert rows(aggregates.word_counts(lines)) == [("a", 2), ("b", 2), ("c", 2), ("d", 1)]
@@ -276,6 +282,110 @@ def test_route_rejects_bad_graphs(spark):
         loop.ends(spark.range(1))
 
 
+def example_row_route():
+    def value(row):
+        return F.struct(row["value"].alias("value"))
+
+    return (
+        RowRoute()
+        .point("1", lambda row: F.from_json(row["value"], "topic string, value string"))
+        .point("2", value)
+        .point("3", value)
+        .end("4")
+        .end("5")
+        .edge("1", "2", lambda row: row["topic"] == "test")
+        .edge("2", "4")
+        .edge("1", "3", lambda row: row["topic"].isin("test1", "both"))
+        .edge("3", "5")
+        .edge("1", "2", lambda row: row["topic"] == "both")
+    )
+
+
+def test_row_route_is_one_scan(spark, rows, fresh):
+    data = [('{"topic":"%s","value":"%s"}' % p,) for p in [("test", "a"), ("test1", "b"), ("none", "c"), ("both", "d")]] + [(None,), ("bad",)]
+    path = fresh()
+    spark.createDataFrame(data, "value string").write.parquet(path)
+    route = example_row_route()
+    assert route.roots() == ["1"] and route.ordered()[0] == "1"
+    got = route.combined(spark.read.parquet(path))
+    assert rows(got) == rows(example_route().combined(spark.read.parquet(path))) == [("4", "a"), ("4", "d"), ("5", "b"), ("5", "d")]
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_row_route_follows_every_path_of_a_diamond(spark, rows):
+    def plus(n):
+        return lambda row: F.struct((row["n"] + n).alias("n"))
+
+    route = RowRoute().point("r", plus(0)).point("a", plus(10)).point("b", plus(20)).point("c", plus(100)).end("e").end("rest")
+    route.edge("r", "a").edge("r", "b", lambda row: row["n"] > 1).edge("a", "c").edge("b", "c").edge("c", "e").edge("c", "rest", lambda row: row["n"] > 121)
+    got = route.combined(spark.createDataFrame([(1,), (2,), (None,)], "n long"), "at")
+    assert rows(got) == sorted([("e", 111), ("e", 112), ("e", 122), ("e", None), ("rest", 122)], key=repr)
+    assert route.ordered()[-3:] != ["a", "b", "c"] and route.ordered().index("c") > max(route.ordered().index(p) for p in "ab")
+
+
+def test_row_route_rejects_bad_graphs(spark):
+    with pytest.raises(ValueError):
+        RowRoute().point("a", lambda row: row).edge("a", "missing")
+    with pytest.raises(ValueError):
+        RowRoute().end("e").point("a", lambda row: row).edge("e", "a")
+    loop = RowRoute().point("r", lambda r: r).point("a", lambda r: r).point("b", lambda r: r).end("e")
+    loop.edge("r", "a").edge("a", "b").edge("b", "a")
+    with pytest.raises(ValueError):
+        loop.combined(spark.range(1))
+    with pytest.raises(ValueError):
+        RowRoute().point("a", lambda r: r).point("b", lambda r: r).edge("a", "b").combined(spark.range(1))
+
+
+def matches_of(rows, steps, bound):
+    """Plain walk: for each row that fits the first step, the row each later step takes."""
+    found = []
+    for user in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == user), key=lambda r: (r[1], r[2]))
+        for i, row in enumerate(mine):
+            if row[3] not in steps[0][0]:
+                continue
+            taken, at_ = [row], i
+            for kinds, strict in steps[1:]:
+                later = range(at_ + 1, len(mine))
+                nxt = next((j for j in later if mine[j][3] in kinds), None)
+                if strict:
+                    nxt = at_ + 1 if at_ + 1 < len(mine) and mine[at_ + 1][3] in kinds else None
+                if nxt is None:
+                    break
+                taken.append(mine[nxt])
+                at_ = nxt
+            if len(taken) == len(steps) and taken[-1][1] - taken[0][1] < bound:
+                found.append((user, *[r[2] for r in taken]))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("slices", [1, 4, 40])
+@pytest.mark.parametrize("strict", [(False, False), (True, False), (False, True), (True, True)])
+def test_patterns_match_a_plain_walk(spark, slices, strict):
+    rng = random.Random(slices)
+    data = [(0 if rng.random() < 0.6 else rng.randrange(5), rng.randrange(60), i, rng.choice("abcx")) for i in range(160)]
+    kind = F.col("kind")
+    pattern = Pattern.begin("one", kind == "a")
+    steps = [("a", False)]
+    for name, k, s in zip(("two", "three"), "bc", strict):
+        pattern = pattern.next(name, kind == k) if s else pattern.followed_by(name, kind == k)
+        steps.append((k, s))
+    df = spark.createDataFrame([(u, at(t), i, k) for u, t, i, k in data], "u int, t timestamp, i int, kind string").repartition(3)
+    got = match(df, pattern.within(30), "u", "t", ["t", "i"], ["i", "kind"], slices)
+    ids = [F.col(f"{s.name}.i").alias(s.name) for s in pattern.steps]
+    assert sorted(map(tuple, got.select("u", *ids).collect())) == matches_of(data, steps, 30)
+
+
+def test_patterns_with_nulls_and_one_step(spark, rows):
+    df = spark.createDataFrame([(1, at(1), 0, "a"), (1, None, 1, "a"), (None, at(2), 2, "a"), (1, at(3), 3, None)], "u int, t timestamp, i int, kind string")
+    one = Pattern.begin("x", F.col("kind") == "a")
+    assert rows(match(df, one, "u", "t", ["t", "i"], ["i"]).select("x.i")) == [(0,), (1,), (2,)]
+    two = one.followed_by("y", F.col("kind") == "a")
+    assert rows(match(df, two, "u", "t", ["t", "i"], ["i"]).select("x.i", F.col("y.i").alias("j"))) == [(1, 0)]
+    with pytest.raises(ValueError):
+        two.next("x", F.lit(True))
+
+
 def test_late_rows_get_a_message(spark, rows):
     df = spark.createDataFrame([("1", 950), ("2", 900), ("3", 100)], "id string, time bigint")
     tagged = late_split(df, F.lit(1000) - F.col("time"), 100, F.concat(F.lit("late: "), F.col("id")))
@@ -297,6 +407,24 @@ def test_exports_skip_members_that_are_no_specs(spark, rows):
     assert days.where(event_day("yys", "2020-05-23")).count() == 1
 
 
+def test_exports_delete_and_update_documents(spark, rows, fresh):
+    tables = {
+        "docs": spark.createDataFrame([(1, "on", 5), (2, "off", 6), (3, "on", 7), (4, None, 8)], "id int, state string, n int"),
+        "more": spark.createDataFrame([(1, 50), (9, 90)], "id int, n int"),
+        "gone": spark.createDataFrame([(3, "off", 0)], "id int, state string, n int"),
+    }
+    index = MergedTable(spark, fresh(), spark.createDataFrame([], "id int, state string, n int").schema, ["id"])
+    full = ExportTarget("x", "id", {"state": "off"})
+    registry = [
+        ExportSpec(ExportSource("docs", {}, ("id", "state", "n")), full),
+        ExportSpec(ExportSource("more", {}, ("id", "n")), ExportTarget("x", "id", partial=True)),
+        ExportSpec(ExportSource("gone", {}, ("id", "state", "n")), full),
+    ]
+    assert run_exports(registry, tables.get, index_writer({"x": index})) == ["x"] * 3
+    assert rows(index.rows()) == sorted([(1, "on", 50), (4, None, 8), (9, None, 90)], key=repr)
+    assert rows(index.rows(before=1)) == sorted([(1, "on", 5), (3, "on", 7), (4, None, 8)], key=repr)
+
+
 def test_wide_rows_and_point_gets(spark, rows):
     cells = spark.createDataFrame(
         [("r1", "info", "name", 1, "old"), ("r1", "info", "name", 2, "new"), ("r1", "info", "age", 1, "7"),

@@ -125,6 +125,35 @@ def test_folding_a_replayed_batch_leaves_the_base_alone(spark, fresh, rows):
     assert bases == {d: os.stat(d).st_mtime_ns for d in glob.glob(f"{table.path}/base/*/_SUCCESS")}
 
 
+def test_merged_tables_take_columns_and_removals(spark, fresh, rows):
+    schema = spark.createDataFrame([], "id int, a string, b int").schema
+    table = keyed.MergedTable(spark, fresh(), schema, ["id"], fold_every=3)
+
+    def df(data, ddl):
+        return spark.createDataFrame(data, ddl)
+
+    steps = [
+        table.full(df([(1, "x", 1), (2, "y", None), (3, "z", 3), (None, "n", 0)], "id int, a string, b int")),
+        table.partial(df([(1, 10), (None, 9)], "id int, b int")),
+        table.removed(df([(2,), (3,)], "id int")).unionByName(table.partial(df([(1, None)], "id int, a string"))),
+        table.partial(df([(3, 30)], "id int, b int")),
+        table.full(df([(2, None, 2)], "id int, a string, b int")).unionByName(table.removed(df([(None,)], "id int"))),
+    ]
+    want = [
+        [(1, "x", 1), (2, "y", None), (3, "z", 3), (None, "n", 0)],
+        [(1, "x", 10), (2, "y", None), (3, "z", 3), (None, "n", 9)],
+        [(1, None, 10), (None, "n", 9)],
+        [(1, None, 10), (3, None, 30), (None, "n", 9)],
+        [(1, None, 10), (2, None, 2), (3, None, 30)],
+    ]
+    for batch, (step, expected) in enumerate(zip(steps, want)):
+        table.upsert(step, batch)
+        table.upsert(step, batch)  # a replay
+        assert rows(table.rows()) == sorted(expected, key=repr)
+    table.compact()
+    assert rows(table.rows()) == sorted(want[-1], key=repr) and table._parts(None)[0] == 4
+
+
 def test_ledger_of_many_batches_stays_short(spark, fresh):
     schema = spark.createDataFrame([], "n bigint").schema
     book = ledger.BatchLedger(spark, fresh(), schema, group=10)

@@ -3,20 +3,23 @@
 import datetime
 import os
 import random
+import shutil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import patterns, windows
+from rivulet.operators.sequences import Pattern, match
 from rivulet.operators.sets import union_distinct_stream
 from rivulet.sinks import files
 from rivulet.sinks.ledger import BatchLedger
 from rivulet.sinks.topics import console_writer
 from rivulet.sources import files as file_sources
 from rivulet.sources.topics import LOG_SCHEMA, log_table
-from rivulet.streaming import jobs, processors
+from rivulet.streaming import carried, jobs, processors
 from test_ordered import bursts_of
-from test_operators import example_route
+from test_operators import example_route, example_row_route
 
 EVENT = "user_id bigint, event_time timestamp, seq bigint, kind string"
 START = datetime.datetime(2024, 1, 1)
@@ -65,57 +68,88 @@ def flat(spark, batches):
     return spark.createDataFrame([r for b in batches for r in b], EVENT)
 
 
+def schema_of(spark, ddl):
+    return spark.createDataFrame([], ddl).schema
+
+
+def pairs_job(spark, path, interval="INTERVAL 3 SECONDS"):
+    return carried.arrival_pairs(spark, path, schema_of(spark, EVENT), F.expr(interval))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_fails_in_arrival_order_carry_over(spark, fresh, seed):
     batches = stream_events(seed)
-    found = jobs.drained(processors.arrival_pairs(feed(spark, fresh(), batches, EVENT), 3), "append", "pairs")
+    found = carried.output(feed(spark, fresh(), batches, EVENT), pairs_job(spark, fresh("job")))
     want = patterns.consecutive_fails(flat(spark, batches), "user_id", "kind", "event_time", ["seq"], F.expr("INTERVAL 3 SECONDS"))
     got = sorted(tuple(r)[:4] for r in found.collect())
     assert got == sorted(map(tuple, want.collect())) and got
     assert found.select("batch_id").distinct().count() > 1
 
 
+def pattern_job(spark, path, pattern=None, delay=20):
+    pattern = pattern or Pattern.begin("a", F.col("kind") == "fail").next("b", F.col("kind") == "fail").within(7)
+    columns = ["event_time", "seq"]
+    return carried.matches(spark, path, schema_of(spark, EVENT), pattern, "user_id", "event_time", columns, columns, delay)
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_event_time_pattern_across_batches(spark, fresh, seed):
     batches = stream_events(seed)
     stream = feed(spark, fresh(), batches + CLOSING, EVENT)
-    found = jobs.drained(processors.event_time_pairs(stream, 7, "20 seconds"), "append", "pattern")
+    found = carried.output(stream, pattern_job(spark, fresh("job")))
     want = patterns.consecutive_fails(
         flat(spark, batches), "user_id", "kind", "event_time", ["event_time", "seq"], F.expr("INTERVAL 7 SECONDS")
     )
-    got = sorted(tuple(r)[:4] for r in found.collect())
-    assert got == sorted(map(tuple, want.collect())) and got
+    got = sorted((r.user_id, r.a.event_time, r.b.event_time) for r in found.collect())
+    assert got == sorted(tuple(r)[:3] for r in want.collect()) and got
     # Part of the alerts comes out before the stream ends.
     assert found.select("batch_id").distinct().count() > 1
 
 
+def test_longer_patterns_across_batches(spark, fresh):
+    kind = F.col("kind")
+    pattern = Pattern.begin("a", kind == "success").followed_by("b", kind == "success").next("c", kind == "fail").within(9)
+    batches = stream_events(8, batches=4)
+    found = carried.output(feed(spark, fresh(), batches + CLOSING, EVENT), pattern_job(spark, fresh("job"), pattern))
+    want = match(flat(spark, batches), pattern, "user_id", "event_time", ["event_time", "seq"], ["seq"])
+    ids = [F.col(f"{n}.seq").alias(n) for n in "abc"]
+    got = sorted(map(tuple, found.select("user_id", *ids).collect()))
+    assert got == sorted(map(tuple, want.select("user_id", *ids).collect())) and got
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_bursts_across_batches(spark, fresh, seed):
     batches = stream_events(seed)
     stream = feed(spark, fresh(), batches + CLOSING, EVENT)
-    found = jobs.drained(processors.ordered_bursts(stream, 3, 2, "30 seconds"), "append", "t")
+    with processors.rocks_state(spark):
+        found = jobs.drained(processors.ordered_bursts(stream, 3, 2, "30 seconds"), "append", "t")
     want = []
     for user in range(4):
         mine = sorted((r[1], r[2], r[3]) for b in batches for r in b if r[0] == user)
         want += [(user, *b) for b in bursts_of([(seconds(t), k) for t, _, k in mine], 3, 2)]
     got = [(r.user_id, seconds(r.first_fail), seconds(r.last_fail), r.fails) for r in found.collect()]
     assert sorted(got) == sorted(want) and got
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_seconds_keep_what_follows_their_last_success():
+    times = np.array([1_200_000, 1_100_000, 1_300_000, 5_000_000, 5_000_000, 9_000_000])
+    seqs, fails = np.array([2, 1, 3, 5, 4, 6]), np.array([False, True, True, True, True, False])
+    assert list(processors.per_second(times, seqs, fails)) == [(1, True, 1), (5, False, 2), (9, True, 0)]
 
 
 def test_rows_behind_the_watermark_are_dropped(spark, fresh):
     batches = [
-        [(1, at(0), 0, "fail"), (1, at(100), 1, "success")],
+        [(1, at(0), 0, "fail"), (1, at(100), 1, "success"), (1, None, 9, "fail")],
         [(2, at(200), 2, "success")],
         [(1, at(1), 3, "fail"), (2, at(201), 4, "success")],
     ]
     found = {
-        delay: jobs.drained(
-            processors.event_time_pairs(feed(spark, fresh(), batches + CLOSING, EVENT), 7, f"{delay} seconds"), "append", "late"
-        ).collect()
+        delay: carried.output(feed(spark, fresh(), batches + CLOSING, EVENT), pattern_job(spark, fresh("job"), delay=delay)).collect()
         for delay in (5, 500)
     }
     assert found[5] == []
-    assert [(r.user_id, seconds(r.first_fail), seconds(r.last_fail)) for r in found[500]] == [(1, 0, 1)]
+    assert [(r.user_id, seconds(r.a.event_time), seconds(r.b.event_time)) for r in found[500]] == [(1, 0, 1)]
 
 
 def test_pattern_state_survives_a_restart(spark, fresh):
@@ -123,26 +157,93 @@ def test_pattern_state_survives_a_restart(spark, fresh):
     found = []
     for rows in ([(1, at(0), 0, "fail")], [(1, at(1), 1, "fail")]):
         spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(path)
-        stream = spark.readStream.schema(EVENT).parquet(path)
-        pairs = processors.arrival_pairs(stream, 3)
-        book = BatchLedger(spark, out, spark.createDataFrame([], pairs.schema).schema)
-        jobs.drain(pairs, book.write, "append", checkpoint)
-        found.append(book.read().count())
+        job = pairs_job(spark, out)
+        jobs.drain(spark.readStream.schema(EVENT).parquet(path), job.write, "append", checkpoint)
+        found.append(job.out.read().count())
     assert found == [0, 1]
 
 
+@pytest.mark.parametrize("kind", ["pairs", "pattern"])
+def test_a_replayed_batch_changes_nothing(spark, fresh, rows, kind):
+    batches = [flat(spark, [b]) for b in stream_events(9, batches=3) + CLOSING]
+    once, again = ({"pairs": pairs_job, "pattern": pattern_job}[kind](spark, fresh(f"job{i}")) for i in range(2))
+    for i, batch in enumerate(batches):
+        once.write(batch, i)
+        again.write(batch, i)
+        again.write(batch, i)
+    # a crash between the output and the carried rows: the batch is written again from the same state
+    shutil.rmtree(f"{again.path}/{'carried' if kind == 'pairs' else 'marks'}/delta/group=0/_batch=3")
+    again.write(batches[3], 3)
+    assert rows(again.out.read()) == rows(once.out.read()) and once.out.read().count()
+
+
 def test_changelog_withdraws_before_it_adds(spark, fresh, rows):
-    stream = feed(spark, fresh(), [[("a",), ("a",), ("b",)], [("a",)], [("c",), (None,)]], "w string")
-    changes = jobs.drained(processors.count_changelog(stream, "w"), "append", "changes")
-    assert rows(changes.select("batch_id", "w", "is_add", "n")) == sorted(
-        [(0, "a", True, 2), (0, "b", True, 1), (1, "a", False, 2), (1, "a", True, 3), (2, "c", True, 1), (2, None, True, 1)], key=repr
-    )
+    stream = feed(spark, fresh(), [[("a",), ("a",), ("b",)], [("a",)], [("c",), (None,)], [(None,)]], "w string")
+    counts = jobs.running_counts(stream, "w")
+    changes = carried.output(counts, carried.ChangeLog(spark, fresh("log"), counts.schema, ["w"]), "update")
+    want = [(0, "a", True, 2), (0, "b", True, 1), (1, "a", False, 2), (1, "a", True, 3), (2, "c", True, 1), (2, None, True, 1)]
+    want += [(3, None, False, 1), (3, None, True, 2)]
+    assert rows(changes.select("batch_id", "w", "is_add", "n")) == sorted(want, key=repr)
+
+
+def test_changelog_leaves_out_what_did_not_change(spark, fresh, rows):
+    log = carried.ChangeLog(spark, fresh("log"), schema_of(spark, "w string, n bigint"), ["w"])
+    for i, n in enumerate([1, 1, 2]):
+        log.write(spark.createDataFrame([("a", n)], "w string, n bigint"), i)
+    assert rows(log.out.read()) == [("a", 1, False, 2), ("a", 1, True, 0), ("a", 2, True, 2)]
+
+
+SUMS = "k string, i bigint, v bigint"
 
 
 def test_running_sums_go_on_across_batches(spark, fresh, rows):
-    stream = feed(spark, fresh(), [[("a", 2, 5), ("a", 1, 1), ("b", 3, 2)], [("a", 4, -3), ("b", 5, None)]], "k string, i bigint, v bigint")
-    sums = jobs.drained(processors.running_sums(stream, "k", "i", F.col("v")), "append", "sums")
-    assert rows(sums.select("k", "i", "running")) == [("a", 1, 1), ("a", 2, 6), ("a", 4, 3), ("b", 3, 2), ("b", 5, 2)]
+    stream = feed(spark, fresh(), [[("a", 2, 5), ("a", 1, 1), ("b", 3, 2)], [("a", 4, -3), ("b", 5, None), (None, 6, 1)], [(None, 7, 1)]], SUMS)
+    sums = carried.output(stream, carried.running_sums(spark, fresh("job"), schema_of(spark, SUMS), "k", "i", "v"))
+    want = [("a", 1, 1), ("a", 2, 6), ("a", 4, 3), ("b", 3, 2), ("b", 5, 2), (None, 6, 1), (None, 7, 2)]
+    assert rows(sums.select("k", "i", "running")) == sorted(want, key=repr)
+
+
+def test_no_task_holds_a_hot_keys_share_of_a_batch(spark, fresh):
+    one = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("i"), F.lit(1).cast("bigint").alias("v"))
+    job = carried.running_sums(spark, fresh("job"), schema_of(spark, SUMS), "k", "i", "v")
+    for batch in range(2):
+        job.write(one.withColumn("i", F.col("i") + 4000 * batch), batch)
+    assert job.out.read().agg(F.max("running"), F.count("*")).first() == (8000, 8000)
+    plan = job.run(one.withColumn(carried.NEW, F.lit(True)))._jdf.queryExecution().executedPlan().toString()
+    windows_ = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert windows_ and all("_slice" in line.split("windowspecdefinition")[1] for line in windows_) and "InPandas" not in plan
+
+
+def test_temporal_join_on_a_stream(spark, fresh):
+    rng = random.Random(2)
+    rows, t = [], 0
+    for seq in range(300):
+        t += rng.randrange(3)
+        is_rate = rng.random() < 0.3
+        value = None if is_rate and rng.random() < 0.1 else float(seq) if is_rate else None
+        rows.append((rng.randrange(3), at(t - rng.randrange(4)), seq, "rate" if is_rate else "fact", value))
+    ddl = "k int, t timestamp, seq bigint, kind string, rate double"
+    batches = [rows[i : i + 60] for i in range(0, 300, 60)] + [[(-1, at(10_000_000), -1, "rate", 0.0)]]
+    stream = feed(spark, fresh(), batches, ddl)
+    mixed = carried.as_of_rows(stream, F.col("kind") == "rate", "k", "t", "rate", "seq", ["seq"])
+    facts, history = (schema_of(spark, d) for d in ("k int, t timestamp, seq bigint", "k int, t timestamp, seq bigint, rate double"))
+    found = carried.output(mixed, carried.as_of(spark, fresh("job"), facts, history, "k", "t", "rate", "seq", 20))
+    want = []
+    for k, when, seq, kind, _ in rows:
+        if kind == "fact":
+            known = [(u, s, v) for key, u, s, other, v in rows if key == k and other == "rate" and v is not None and u <= when]
+            want.append((k, when, seq, max(known)[2] if known else None))
+    assert sorted((tuple(r) for r in found.select("k", "t", "seq", "rate").collect()), key=repr) == sorted(want, key=repr)
+    assert found.select("batch_id").distinct().count() > 2
+
+
+def test_distinct_lists_grow_batch_by_batch(spark, fresh, rows):
+    ddl = "k string, v string, i bigint"
+    batches = [[("a", "x", 5), ("a", "y", 6), ("b", "z", 7), (None, "n", 1)], [("a", "x", 8), ("b", None, 9)], [("a", "w", 3), ("a", "y", 1), (None, "m", 2)]]
+    stream = feed(spark, fresh(), batches, ddl)
+    lists = carried.output(stream, carried.DistinctLists(spark, fresh("job"), schema_of(spark, ddl), ["k"], "v", "i"))
+    want = [(0, "a", "x,y"), (0, "b", "z"), (0, None, "n"), (2, "a", "y,w,x"), (2, None, "n,m")]
+    assert rows(lists.select("batch_id", "k", "items")) == sorted(want, key=repr)
 
 
 def test_distinct_union_remembers_rows_of_long_ago(spark, fresh, rows):
@@ -202,6 +303,17 @@ def test_route_writes_every_end(spark, fresh, rows):
     assert rows(books["4"].read()) == [("a", 0), ("c", 1)] and rows(books["5"].read()) == [("b", 0), ("c", 1)]
 
 
+def test_row_route_writes_every_end_from_one_pass(spark, fresh, rows):
+    data = [[('{"topic":"test","value":"a"}',), ('{"topic":"test1","value":"b"}',)], [('{"topic":"both","value":"c"}',)]]
+    route = example_row_route()
+    schema = spark.createDataFrame([], "value string").schema
+    books = {name: BatchLedger(spark, fresh(name), schema) for name in ("4", "5")}
+    for name, book in books.items():
+        route.end(name, book.write)
+    jobs.drain(feed(spark, fresh(), data, "value string"), route.write, "append", fresh("cp"))
+    assert rows(books["4"].read()) == [("a", 0), ("c", 1)] and rows(books["5"].read()) == [("b", 0), ("c", 1)]
+
+
 def test_standing_job_runs_at_its_cadence(spark, fresh, rows):
     stream = feed(spark, fresh(), [[("a",)], [("a",)]], "w string")
     book = BatchLedger(spark, fresh("out"), spark.createDataFrame([], "w string, n bigint").schema)
