@@ -17,6 +17,8 @@ from rivulet.sinks import paths
 
 MAX_FILE_ROWS = 5_000_000
 SUCCESS = "_SUCCESS"
+#: directory of the rows without a partition value
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 # Fixed codecs of the file formats.
 CODECS = {"orc": "zlib", "parquet": "snappy"}
@@ -81,24 +83,22 @@ def parquet_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     )
 
 
-def committing_partitions(path: str, by: Sequence[str], fmt: str = "orc") -> Callable[[DataFrame, int], None]:
-    """Sink that puts a ``_SUCCESS`` marker in each partition the batch touched.
+def committing_partitions(
+    path: str, by: Sequence[str], fmt: str = "orc", finished: Callable[[DataFrame], DataFrame] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Sink that puts a ``_SUCCESS`` marker in each partition a batch finished.
 
     Files go below ``by../batch_id=<n>``, so a replayed batch replaces its own files
-    and no others. Markers are set last, one per partition directory.
+    and no others. ``finished`` takes the batch and tells the partitions that are complete
+    with it; by default those it touched. Markers are set last, by tasks; setting one again changes nothing.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        rows = df.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            replace_partitions(rows, path, [*by, "batch_id"], fmt)
-            # The batch itself tells its partitions: nothing stored is listed or read.
-            for row in rows.select(*by).distinct().toLocalIterator():
-                directory = "/".join(f"{c}={row[c]}" for c in by)
-                paths.touch(spark, f"{path}/{directory}/{SUCCESS}")
-        finally:
-            rows.unpersist()
+        replace_partitions(df.withColumn("batch_id", F.lit(batch_id)), path, [*by, "batch_id"], fmt)
+        # The batch itself tells its partitions: nothing stored is listed or read.
+        done = (finished(df) if finished else df).select(*by).distinct()
+        names = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by]
+        paths.touch_each(done.select(F.concat_ws("/", *names, F.lit(SUCCESS)).alias("file")), path)
 
     return write
 

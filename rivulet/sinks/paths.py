@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _path(spark: SparkSession, path: str):
@@ -29,5 +34,18 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in _fs(spark, pattern).globStatus(_path(spark, pattern)) or [])
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    _fs(spark, path).create(_path(spark, path), True).close()
+def touch_each(files: DataFrame, root: str) -> None:
+    """Creates the empty files named in the first column, below the root; the tasks do it, not the driver."""
+    spark = files.sparkSession
+    base = str(_path(spark, root).makeQualified(_fs(spark, root).getUri(), _fs(spark, root).getWorkingDirectory()).toString())
+    if base.startswith("file:"):
+        base = "file://" + base.removeprefix("file:").removeprefix("//")
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, directory = FileSystem.from_uri(base)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                system.open_output_stream(f"{directory}/{name}").close()
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    files.mapInArrow(touch, "n long").agg(F.sum("n")).collect()

@@ -55,6 +55,14 @@ def test_success_marks_in_touched_partitions(spark, fresh, rows):
     assert rows(stored.select("n", "h", "batch_id")) == [(1, "07", 0), (2, "08", 0), (3, "07", 1)]
 
 
+def test_only_finished_partitions_are_marked(spark, fresh):
+    path = fresh()
+    sink = files.committing_partitions(path, ["h"], finished=lambda df: df.where("h < 9 OR h IS NULL"))
+    sink(spark.createDataFrame([(1, 7), (2, 8), (3, 9), (4, None)], "n int, h int").repartition(3), 0)
+    assert files.committed_partitions(spark, path, ["h"]) == [("7",), ("8",), ("__HIVE_DEFAULT_PARTITION__",)]
+    assert spark.read.orc(path).count() == 4
+
+
 def test_csv_and_text_rows(spark, fresh, rows):
     df = spark.createDataFrame([(1, "a b", None), (2, "c", "d")], "n int, s string, t string")
     path = fresh()
