@@ -6,13 +6,7 @@ number of unbiased signature values. A band of ROWS values takes the minima of s
 permutations and the maxima of others, so that a band's values are independent.
 
 1. Equal sets are one: the smallest id stands for them. Each different set gives BANDS keys.
-2. Sets with a common key are candidates. Links are confirmed on full sets, in two rounds of stars:
-   each set against the smallest one it meets most often, then what is still apart from others in
-   a bucket against one member of the bucket's main part. Stars are dealt in chunks, so a set
-   that many others meet is compared with them in many tasks.
-3. In buckets that still hold more than one component, sets of different components are compared
-   exactly. Jaccard distance is a metric, so two sets whose distances to the same third set
-   differ by more than a link allows need no comparison; the others do, in blocks if many.
+2. Sets with a common key are candidates; links are confirmed on full sets, see `linking`.
 
 A pair exactly at the similarity of 0.8 shares no band with a probability of 3e-6, one at 0.85 of
 1e-9. A text of fewer than n words has its whole sequence as its one shingle; without words
@@ -23,7 +17,6 @@ whose sets all count; a NULL id has no component and is kept. Empty tables give
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -32,36 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.linking import CHUNK, confirmed, set_table, shingles
 from rivulet.llm.tables import component_labels, settle
-from rivulet.llm.text_arrays import SPACES, mix, span_names, text_slices, word_bounds
+from rivulet.llm.text_arrays import mix, text_slices
 
 BANDS, ROWS = 42, 6
 PERMUTATIONS = BANDS * ROWS // 2
-#: sets in one chunk of a star, and in one block of a bucket
-CHUNK = 256
 SIGNED = "id long, n long, digest binary, bands array<long>"
-_PIECE = 1 << 15
-
-
-def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct names of each row's n-word sequences, A-Z as a-z, and where each row's begin."""
-    starts, ends, firsts = word_bounds(data, offsets, SPACES)
-    words = span_names(data, starts, ends, fold=True)
-    counts = np.diff(firsts)
-    sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    row = np.repeat(np.arange(len(counts)), sizes)
-    at = firsts[row] + np.arange(bounds[-1]) - bounds[row]
-    lengths = np.minimum(counts, n)[row]
-    names = mix(lengths.astype(np.uint64))
-    for i in range(n):
-        more = i < lengths
-        names[more] = mix(names[more] * np.uint64(0xD1342543DE82EF95) + words[at[more] + i])
-    order = np.lexsort((names, row))
-    names = names[order]
-    fresh = np.ones(len(names), bool)
-    fresh[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1])
-    return names[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
 
 
 def permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -116,147 +86,6 @@ def _signer(n: int):
     return run
 
 
-def _set_maker(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                sets, bounds = shingles(data, offsets, n)
-                content = [sets[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, end - first), pa.array(content, pa.binary())], ["rep", "content"])
-
-    return run
-
-
-def shared(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-
-
-def _star_tester(threshold: Fraction):
-    """Over rows sorted by (hub, chunk), the hub's own sets first: (rep, hub, distance, linked) for each other one."""
-    over, under = threshold.numerator, threshold.denominator
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hubs = None, []
-        for batch in batches:
-            out = []
-            for hub, chunk, rep, content in zip(*[batch.column(c).to_pylist() for c in ("hub", "chunk", "rep", "content")]):
-                if (hub, chunk) != key:
-                    key, hubs = (hub, chunk), []
-                own = np.frombuffer(content, np.uint64)
-                if rep == hub:
-                    hubs.append(own)
-                    continue
-                both = [(shared(own, h), len(own) + len(h)) for h in hubs]
-                # several sets of one id have no distance of their own
-                distance = 1 - both[0][0] / (both[0][1] - both[0][0]) if len(both) == 1 else math.nan
-                out.append((rep, hub, distance, any(under * s >= over * (t - s) for s, t in both)))
-            columns = list(zip(*out)) if out else [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["rep", "hub", "distance", "linked"])
-
-    return run
-
-
-def compare(reps: list[int], labels: list[int], sets: list[np.ndarray], near: list[bool], threshold: Fraction) -> list[tuple[int, int]]:
-    """Links that join components: of sets with different labels, until they are connected.
-
-    Sets that are not `near` belong to another block; two of one side are compared elsewhere.
-    """
-    over, under = threshold.numerator, threshold.denominator
-    root = {label: label for label in labels}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    two_sides = not all(near)
-    out = []
-    for i in range(len(reps)):
-        for j in range(i):
-            if two_sides and near[i] == near[j] or under * min(len(sets[i]), len(sets[j])) < over * max(len(sets[i]), len(sets[j])):
-                continue
-            a, b = find(labels[i]), find(labels[j])
-            if a == b:
-                continue
-            both = shared(sets[i], sets[j])
-            if under * both >= over * (len(sets[i]) + len(sets[j]) - both):
-                root[max(a, b)] = min(a, b)
-                out.append((reps[i], reps[j]))
-    return out
-
-
-def _bucket_tester(threshold: Fraction):
-    """Over rows sorted by (key, i, j): links between the components of each block pair."""
-
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        reps, labels, near, contents = (list(c) for c in zip(*rows))
-        found = compare(reps, labels, [np.frombuffer(c, np.uint64) for c in contents], near, threshold)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["rep", "hub"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "rep", "label", "near", "content")]
-            for bucket, i, j, *row in zip(*columns):
-                if (bucket, i, j) != key:
-                    if rows:
-                        yield flush(rows)
-                    key, rows = (bucket, i, j), []
-                rows.append(row)
-        if rows:
-            yield flush(rows)
-
-    return run
-
-
-def tested(stars: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """(rep, hub, distance, linked) for each different pair (rep, hub), on full sets."""
-    chunks = stars.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    dealt = stars.join(chunks, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk"), "rep")
-    dealt = settle(dealt, "stars")
-    middle = dealt.select("hub", "chunk", F.col("hub").alias("rep")).distinct()
-    both = dealt.unionByName(middle).join(sets, "rep").select("hub", "chunk", "rep", "content")
-    ordered = both.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("rep") != F.col("hub"))
-    return settle(ordered.mapInArrow(_star_tester(threshold), "rep long, hub long, distance double, linked boolean"), "tested")
-
-
-def _labelled(near: DataFrame, links: DataFrame) -> DataFrame:
-    """Adds the label of each set's component."""
-    labels = component_labels(links, "rep", "hub")
-    return near.join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep")).drop("node")
-
-
-def apart(near: DataFrame, links: DataFrame, distances: DataFrame, threshold: Fraction) -> DataFrame:
-    """(key, rep, label, main, pick): the sets of each bucket that may link to another component of it.
-
-    The main component is that of the bucket's smallest set. Of it, only sets no farther from that set
-    than a link allows beside the nearest set of another component are needed; `pick` is one of them.
-    """
-    known = distances.where("NOT isnan(distance)").select("rep", F.col("hub"), "distance")
-    rows = _labelled(near, links).join(known, ["rep", "hub"], "left")
-    rows = rows.withColumn("distance", F.when(F.col("rep") == F.col("hub"), 0.0).otherwise(F.col("distance")))
-    main = rows.where("rep = hub").select("key", F.col("label").alias("main_label"))
-    rows = settle(rows.join(main, "key").withColumn("main", F.col("label") == F.col("main_label")).drop("main_label"), "buckets")
-    away = F.when(~F.col("main"), F.col("label"))
-    reach = F.lit(float(1 - threshold) + 1e-9)
-    open_ = rows.groupBy("key").agg(
-        F.min(away).alias("low"),
-        F.max(away).alias("high"),
-        F.min(F.when(~F.col("main"), F.coalesce("distance", F.lit(0.0)))).alias("nearest"),
-        F.max(F.when(F.col("main"), F.coalesce("distance", F.lit(1.0)))).alias("farthest"),
-        F.max_by("rep", F.when(F.col("main"), F.xxhash64("rep", "key"))).alias("pick"),
-    )
-    inside = F.coalesce("distance", F.lit(1.0)) + reach >= F.col("nearest")
-    outside = (F.col("low") != F.col("high")) | (F.coalesce("distance", F.lit(0.0)) - reach <= F.col("farthest"))
-    needed = rows.join(open_.where("low IS NOT NULL"), "key").where(F.when(F.col("main"), inside).otherwise(outside))
-    return needed.select("key", "rep", "label", "main", "pick")
-
-
 def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", n: int = 5, threshold: str = "0.8", block: int = CHUNK) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row."""
     share = Fraction(threshold)
@@ -267,35 +96,13 @@ def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", n: in
 
     # buckets with more than one set; the smallest set is the hub
     keys = different.select("rep", F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub != top").select("key", "hub")
-    near = settle(keys.join(hubs, "key").distinct(), "near")
-    wanted = near.select(F.col("rep").alias("id")).distinct()
-    sets = settle(rows.join(wanted.hint("shuffle_hash"), "id").mapInArrow(_set_maker(n), "rep long, content binary").where("octet_length(content) > 0"), "sets")
-
-    votes = near.where("rep != hub").groupBy("rep", "hub").agg(F.count("*").alias("n"))
-    stars = votes.groupBy("rep").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-    first = tested(stars, sets, share)
-    links = first.where("linked").select("rep", "hub")
-    again = apart(near, links, first, share).where("NOT main AND pick IS NOT NULL").select("rep", F.col("pick").alias("hub")).distinct()
-    second = tested(again, sets, share)
-    links = links.unionByName(second.where("linked").select("rep", "hub"))
-
-    left = settle(apart(near, links, first, share).select("key", "rep", "label"), "apart")
-    blocks = left.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.min("label").alias("a"), F.max("label").alias("b"))
-    left = left.join(blocks.where("a != b").drop("a", "b"), "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "rep",
-        "label",
-        (F.col("own") <= F.col("other")).alias("near"),
-    )
-    ordered = dealt.join(sets, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    third = settle(ordered.mapInArrow(_bucket_tester(share), "rep long, hub long"), "rest")
+    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"), (F.count("*") > 2).alias("several"))
+    near = settle(keys.join(hubs.where("hub != top").drop("top"), "key").groupBy("rep", "hub").agg(F.max("several").alias("several")), "near")
+    sets = settle(set_table(rows, near.select(F.col("rep").alias("id")).distinct(), n).withColumnRenamed("id", "rep"), "sets")
+    links = confirmed(near, sets, share, block)
 
     copies = named.join(different.select("digest", "rep"), "digest").where("id != rep").select(F.col("id").alias("rep"), F.col("rep").alias("hub"))
-    labels = component_labels(links.unionByName(third).unionByName(copies), "rep", "hub")
+    labels = component_labels(links.unionByName(copies), "rep", "hub")
     out = signed.join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("label", "id"))
     return out.select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")

@@ -127,67 +127,32 @@ def hash_of(word: str, fold: bool = False) -> int:
     return int(span_hashes(prefixes, np.array([0]), np.array([len(data)]))[0])
 
 
-_PRIME = np.uint64((1 << 61) - 1)
-_FIELD_BASE = 0x0F3A6B5C9D2E4817
-_LONG_SPAN = 1 << 20
-
-
-def _reduce(x: np.ndarray) -> np.ndarray:
-    """Values modulo 2^61 - 1."""
-    x = (x & _PRIME) + (x >> np.uint64(61))
-    return np.where(x >= _PRIME, x - _PRIME, x)
-
-
-def _multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products modulo 2^61 - 1 of values below it, in halves of 32 bits."""
-    low = np.uint64(0xFFFFFFFF)
-    half = np.uint64(32)
-    ah, al, bh, bl = a >> half, a & low, b >> half, b & low
-    middle = ah * bl + al * bh
-    last = al * bl
-    total = ah * bh * np.uint64(8) + (middle >> np.uint64(29)) + ((middle & np.uint64((1 << 29) - 1)) << half)
-    return _reduce(total + (last & _PRIME) + (last >> np.uint64(61)))
-
-
-@lru_cache(maxsize=2)
-def _field_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def series(base: int) -> np.ndarray:
-        out = np.ones(size, np.uint64)
-        have = 1
-        while have < size:
-            more = min(have, size - have)
-            out[have : have + more] = _multiply(out[:more], np.uint64(pow(base, have, int(_PRIME))))
-            have += more
-        return out
-
-    return series(_FIELD_BASE), series(pow(_FIELD_BASE, -1, int(_PRIME)))
+#: a random odd factor for each place in a span; longer spans are digested instead
+_LONG_SPAN = 1 << 12
+_PLACE_FACTORS = mix(np.arange(1, _LONG_SPAN + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
 def span_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
-    """64-bit names of spans that depend on their bytes (A-Z as a-z if `fold`) alone.
+    """64-bit names of spans, which follow one another, that depend on their bytes (A-Z as a-z if `fold`) alone.
 
-    A name mixes two polynomial hashes, one modulo 2^64 and one modulo 2^61 - 1: bytes built
-    so that the first one collides, as can be done for it, have different second ones.
+    A name mixes two hashes: a polynomial, and the sum of the bytes times a random factor for each
+    place. Bytes built so that the first one collides, as can be done for it, have different second ones.
     """
     if not len(starts):
         return np.empty(0, np.uint64)
     first = span_hashes(prefix_hashes(data, FOLDED_VALUES if fold else BYTE_VALUES), starts, ends)
-    room = 1 << 21
-    while room < len(data) + 1:
-        room *= 2
-    ahead, back = _field_powers(room)
-    plain = (LOWER[data] if fold else data).astype(np.uint64) + np.uint64(1)
-    sums = np.zeros((2, len(data) + 1), np.uint64)  # of high and low halves; differences are exact for spans below 2^24 bytes
-    np.cumsum(plain * (ahead[: len(data)] >> np.uint64(32)), out=sums[0, 1:])
-    np.cumsum(plain * (ahead[: len(data)] & np.uint64(0xFFFFFFFF)), out=sums[1, 1:])
-    high, low = (_reduce(s[ends] - s[starts]) for s in sums)
-    high = (high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32))
-    second = _multiply(_reduce(high + low), back[starts])
-    for i in np.flatnonzero(ends - starts >= _LONG_SPAN).tolist():
-        own = data[starts[i] : ends[i]]
-        second[i] = int.from_bytes(hashlib.blake2b((LOWER[own] if fold else own).tobytes(), digest_size=8).digest(), "big") >> 3
+    own = data[starts[0] :]
+    place = np.arange(len(own)) - np.repeat(starts - starts[0], np.diff(np.append(starts, len(data))))
+    np.minimum(place, _LONG_SPAN - 1, out=place)
+    sums = np.zeros(len(own) + 1, np.uint64)
+    np.cumsum((LOWER[own] if fold else own).astype(np.uint64) * _PLACE_FACTORS[place], out=sums[1:])
+    second = sums[ends - starts[0]] - sums[starts - starts[0]]
+    for i in np.flatnonzero(ends - starts > _LONG_SPAN).tolist():
+        long = data[starts[i] : ends[i]]
+        second[i] = int.from_bytes(hashlib.blake2b((LOWER[long] if fold else long).tobytes(), digest_size=8).digest(), "big")
     return mix(first ^ mix(second * np.uint64(0x9FB21C651E98DF25) + np.uint64(1)))
 
+
 def within(counts: np.ndarray) -> np.ndarray:
     """0, 1, 2, ... inside each group, for groups of these sizes one after another."""
     ends = np.cumsum(counts)
