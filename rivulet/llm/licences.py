@@ -12,8 +12,10 @@ repeated ones give repeated results.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -109,12 +111,35 @@ class Notices:
                 for match in self.patterns[i].finditer(text, a, min(b, len(text))):
                     edits = sum(match.fuzzy_counts)
                     found.append((match.start(), match.end(), label, edits, 1 - edits / len(notice)))
-        return sorted(f for f in found if not any(_better(g, f) for g in found))
+        return sorted(without_worse(found))
 
 
-def _better(a: tuple, b: tuple) -> bool:
-    """Whether match a has fewer edits than b and takes up b's place."""
-    return a[3] < b[3] and a[0] <= b[0] + b[3] and b[1] <= a[1] + b[3]
+def without_worse(found: list[tuple[int, int, str, int, float]]) -> list[tuple[int, int, str, int, float]]:
+    """Matches whose place no match of fewer edits takes up: one that begins and ends no more than the match's edits inside it.
+
+    One sweep for each number of edits: of those with fewer that begin early enough, the one that ends last decides.
+    """
+    found = sorted(found)
+    out = []
+    for edits in sorted({f[3] for f in found}):
+        fewer = [f for f in found if f[3] < edits]
+        starts = [f[0] for f in fewer]
+        ends = list(accumulate((f[1] for f in fewer), max))
+        for f in found:
+            if f[3] == edits:
+                at = bisect_right(starts, f[0] + edits)
+                if not at or ends[at - 1] + edits < f[1]:
+                    out.append(f)
+    return out
+
+
+def word_places(text: str, places: list[int]) -> dict[int, int]:
+    """How many spaces are before each of the places, in one walk over the text."""
+    out, upto, count = {}, 0, 0
+    for place in sorted(set(places)):
+        count += text.count(" ", upto, place)
+        out[place], upto = count, place
+    return out
 
 
 @lru_cache(maxsize=4)
@@ -171,7 +196,8 @@ def _scanner(phrases: dict[str, str], notices: tuple[tuple[str, str], ...]):
                     found = search.find(text)
                     labels.append(",".join(sorted(base[r] | {f[2] for f in found})))
                     scores.append(1.0 if base[r] else max((f[4] for f in found), default=0.0))
-                    spans.append(",".join(f"{f[2]}:{text.count(' ', 0, f[0])}:{text.count(' ', 0, f[1])}:{f[3]}" for f in found))
+                    words = word_places(text, [p for f in found for p in f[:2]])
+                    spans.append(",".join(f"{f[2]}:{words[f[0]]}:{words[f[1]]}:{f[3]}" for f in found))
                 none = n_base == 0
                 yield pa.RecordBatch.from_arrays(
                     [
