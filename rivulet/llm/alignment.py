@@ -6,14 +6,16 @@ for in the longer one by steps that double from the last place found, then by ha
 offsets cut both token lists into groups; differences of neighbouring ranks give the tokens of
 each group, and the two tokens that end at a common offset are linked.
 
-1. A task encodes texts slice by slice, aligns them, and keeps a slice's links as places in the
-   slice's list of different id pairs, with how often each occurs.
+Both tokenizers always cut at a single space between other characters. So texts are split there, and each
+different chunk of a slice of texts is encoded and aligned once.
+
+1. A task aligns texts slice by slice, and keeps a slice's links as places in the slice's list of
+   different id pairs, with how often each occurs.
 2. Pairs are counted over all slices, so a pair goes into the shuffle once a slice, however
    common it is; the highest count of each B id follows.
 3. Counts return to their slice, where the documents' links wait for them.
 
-Texts above CUT_BYTES are encoded in pieces, cut at single spaces between other characters, where
-both tokenizers always cut; results are those of the whole text. NULL and empty texts, and
+NULL and empty texts, and
 those that the tokens of A or B do not spell, have no tokens: zeros and an empty string. Rows with
 the same or a NULL id are rows of their own; each counts. Empty tables give none.
 """
@@ -27,6 +29,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +46,8 @@ MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
 MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 SLICE_BYTES = 4 << 20
-#: texts encoded at once, and the length from which a text is cut
-BATCH_BYTES = 1 << 17
-CUT_BYTES = 1 << 18
+#: characters encoded at once
+BATCH = 1 << 17
 LANE = 64
 
 ALIGNED = "slice long, id long, n_a long, n_b long, n_groups long, groups_sha256 string, slots binary, pairs array<long>, counts array<long>"
@@ -107,44 +109,56 @@ class Pair:
         #: no piece goes on after a space inside it, so texts may be cut before spaces
         self.cuttable = not any(MARKER in p.lstrip(MARKER) for p in pieces)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of A, tokens of each text, and the same of B, for non-empty texts."""
-        spans, owner = [], []
-        for i, text in enumerate(texts):
-            for part in cut_at_spaces(text) if self.cuttable else [text]:
-                spans.append(part)
-                owner.append(i)
+    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B for each text."""
+        found = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in found], self.b.encode(texts, num_threads=1)
+
+    def joins(self, chunk: str) -> bool:
+        """Whether a chunk may be encoded among others; one with a marker, which B does not spell, goes alone."""
+        return self.cuttable and MARKER not in chunk and not chunk[0].isspace() and not chunk[-1].isspace()
+
+    def encode(self, chunks: list[str], joined: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A, tokens of each chunk, and the same of B, for non-empty chunks.
+
+        The first `joined` chunks are joined by spaces again, as a call for each would cost more than its tokens.
+        """
         ids: tuple[list, list] = ([], [])
+        counts: tuple[list, list] = ([], [])
         first = 0
-        while first < len(spans):
-            end, held = first, 0
-            while end < len(spans) and (end == first or held + len(spans[end]) <= BATCH_BYTES):
-                held += len(spans[end])
+        while first < len(chunks):
+            end, size, most = first, 0, joined if first < joined else len(chunks)
+            while end < most and (end == first or size + len(chunks[end]) <= BATCH):
+                size += len(chunks[end]) + 1
                 end += 1
-            part = spans[first:end]
-            ids[0].extend(np.array(e.ids, np.int32) for e in self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False))
-            ids[1].extend(np.array(e, np.int32) for e in self.b.encode(part, num_threads=1))
+            batch = chunks[first:end]
+            cut = None
+            if first < joined:
+                ends = np.cumsum(np.fromiter((len(c.encode()) + 1 for c in batch), np.int64, len(batch)))
+                found = [np.array(own[0], np.int32) for own in self.ids([" ".join(batch)])]
+                cut = [_counts(own, spelling, ends) for own, spelling in zip(found, (self.spelling_a, self.spelling_b))]
+            if cut is None or any(c is None for c in cut):
+                single = self.ids(batch)
+                cut = [np.fromiter(map(len, own), np.int64, len(batch)) for own in single]
+                found = [np.fromiter(chain.from_iterable(own), np.int32, int(c.sum())) for own, c in zip(single, cut)]
+            for side in (0, 1):
+                ids[side].append(found[side])
+                counts[side].append(cut[side])
             first = end
-        out = []
-        for side in ids:
-            counts = np.bincount(np.array(owner, np.int64), weights=[len(s) for s in side], minlength=len(texts)).astype(np.int64)
-            out += [np.concatenate(side) if side else np.empty(0, np.int32), counts]
-        return tuple(out)
-
-
-def cut_at_spaces(text: str) -> list[str]:
-    """Parts of a long text without the single spaces between them."""
-    if len(text) <= CUT_BYTES:
-        return [text]
-    parts, first = [], 0
-    while len(text) - first > CUT_BYTES:
-        found = _SINGLE_SPACE.search(text, first + CUT_BYTES)
-        if found is None:
-            break
-        parts.append(text[first : found.start()])
-        first = found.end()
-    parts.append(text[first:])
-    return parts
+        return np.concatenate(ids[0]), np.concatenate(counts[0]), np.concatenate(ids[1]), np.concatenate(counts[1])
+
+    def chunks(self, text: str) -> list[str]:
+        """Parts of a text without the single spaces between them, where both tokenizers always cut."""
+        return _SINGLE_SPACE.split(text) if self.cuttable else [text]
+
+
+def _counts(ids: np.ndarray, spelling: Spelling, ends: np.ndarray) -> np.ndarray | None:
+    """How many of the ids spell each chunk; None if a token goes over an end."""
+    upto = np.cumsum(spelling.sizes[ids])
+    last = np.searchsorted(upto, ends)
+    if last[-1] + 1 != len(upto) or (upto[last] != ends).any():
+        return None
+    return np.diff(last, prepend=-1)
 
 
 def gallop(short: np.ndarray, short_bounds: np.ndarray, long: np.ndarray, long_bounds: np.ndarray) -> np.ndarray:
@@ -254,37 +268,44 @@ def decimals(most: int) -> tuple[np.ndarray, np.ndarray]:
     return _decimals(room)
 
 
-def align(pair: Pair, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """For non-empty texts: tokens of A, of B, groups, the groups' digests, and all links (text, id pair)."""
-    n = len(texts)
-    a, a_counts, b, b_counts = pair.encode(texts)
-    raw = [(" " + t).encode() for t in texts]
+@dataclass
+class Chunks:
+    """Of each chunk: tokens of A and B, both -1 if they do not spell it; its groups' text; its links."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    texts: list[bytes]
+    n_links: np.ndarray
+    pairs: np.ndarray
+
+
+def align(pair: Pair, chunks: list[str], joined: int = 0) -> Chunks:
+    """Both tokenizers over a space and each chunk, which is not empty; `joined` as in encode()."""
+    n = len(chunks)
+    a, a_counts, b, b_counts = pair.encode(chunks, joined)
+    raw = np.frombuffer("".join([" " + c for c in chunks]).encode(), np.uint8)
+    sizes = np.fromiter((len(c.encode()) + 1 for c in chunks), np.int64, n)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
     good = np.ones(n, bool)
-    sizes = np.array([len(r) for r in raw])
     for spelling, ids, counts in ((pair.spelling_a, a, a_counts), (pair.spelling_b, b, b_counts)):
-        spelt = spelling.spelt(ids)
         ends = np.concatenate([[0], np.cumsum(spelling.sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-        for i, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-            good[i] &= y - x == sizes[i] and spelt[x:y].tobytes() == raw[i]
-    keep_a, keep_b = np.repeat(good, a_counts), np.repeat(good, b_counts)
-    a, b = a[keep_a].astype(np.int64), b[keep_b].astype(np.int64)
-    a_counts, b_counts = np.where(good, a_counts, 0), np.where(good, b_counts, 0)
-    a_bounds, b_bounds = np.concatenate([[0], np.cumsum(a_counts)]), np.concatenate([[0], np.cumsum(b_counts)])
-    # texts follow one another, so ends grow over all of them
+        good &= np.diff(ends) == sizes
+        # of those of the right length, all bytes
+        spelt = spelling.spelt(ids[np.repeat(good, counts)])
+        own = np.repeat(good, sizes)
+        differ = np.flatnonzero(spelt != raw[own])
+        good[np.repeat(np.arange(n), sizes)[own][differ]] = False
+    a, b = a[np.repeat(good, a_counts)].astype(np.int64), b[np.repeat(good, b_counts)].astype(np.int64)
+    a_bounds, b_bounds = (np.concatenate([[0], np.cumsum(np.where(good, c, 0))]) for c in (a_counts, b_counts))
+    # chunks follow one another, so ends grow over all of them
     in_a, in_b = common_ends(np.cumsum(pair.spelling_a.sizes[a]), a_bounds, np.cumsum(pair.spelling_b.sizes[b]), b_bounds)
-    owner = np.repeat(np.arange(n), a_counts)[in_a]
-    n_groups = np.bincount(owner, minlength=n)
+    n_links = np.bincount(np.repeat(np.arange(n), np.diff(a_bounds))[in_a], minlength=n)
     text, stops = group_text(a, b, in_a, in_b)
-    last = np.cumsum(n_groups)
-    digests, begin = [], 0
-    for i in range(n):
-        if not n_groups[i]:
-            digests.append("")
-            continue
-        stop = int(stops[last[i] - 1])
-        digests.append(hashlib.sha256(text[begin : stop - 1].tobytes()).hexdigest())
-        begin = stop
-    return a_counts, b_counts, n_groups, digests, owner, (a[in_a] << 32) | b[in_b]
+    stops = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(n_links)])].tolist()
+    text = text.tobytes()
+    texts = [text[x : y - 1] for x, y in zip(stops[:-1], stops[1:])]
+    bad = np.int64(-1)
+    return Chunks(np.where(good, a_counts, bad), np.where(good, b_counts, bad), texts, n_links, (a[in_a] << 32) | b[in_b])
 
 
 def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list]]:
@@ -312,18 +333,37 @@ def _aligner(model_a: str, model_b: bytes, limit: int):
         pair = Pair(model_a, model_b)
         number = TaskContext.get().partitionId() << 32
         for ids, texts in _slices(batches, limit):
-            full = [i for i, t in enumerate(texts) if t]
+            place: dict[str, int] = {}
+            parts = [[place.setdefault(c, len(place)) for c in pair.chunks(t)] if t else [] for t in texts]
             n_a, n_b, n_groups = (np.zeros(len(texts), np.int64) for _ in range(3))
             digests, slots = [""] * len(texts), [b""] * len(texts)
             pairs, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-            if full:
-                n_a[full], n_b[full], n_groups[full], own, owner, links = align(pair, [texts[i] for i in full])
-                pairs, places, counts = np.unique(links, return_inverse=True, return_counts=True)
-                places = places.astype(np.int32)
-                bounds = np.searchsorted(owner, np.arange(len(full) + 1))
-                for k, i in enumerate(full):
-                    digests[i] = own[k]
-                    slots[i] = places[bounds[k] : bounds[k + 1]].tobytes()
+            if place:
+                chunks = list(place)
+                plain = np.fromiter(map(pair.joins, chunks), bool, len(chunks))
+                order = np.argsort(~plain, kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                own = align(pair, [chunks[k] for k in order.tolist()], int(plain.sum()))
+                pairs, links = np.unique(own.pairs, return_inverse=True)
+                counts = np.zeros(len(pairs), np.int64)
+                links = links.astype(np.int32)
+                firsts = np.cumsum(own.n_links) - own.n_links
+                for i, part in enumerate(parts):
+                    part = rank[part]
+                    if not len(part) or (own.n_a[part] < 0).any():
+                        continue
+                    sizes = own.n_links[part]
+                    held = links[np.repeat(firsts[part], sizes) + within(sizes)]
+                    np.add.at(counts, held, 1)
+                    n_a[i], n_b[i], n_groups[i] = own.n_a[part].sum(), own.n_b[part].sum(), len(held)
+                    digests[i] = hashlib.sha256(b";".join([own.texts[k] for k in part.tolist()])).hexdigest()
+                    slots[i] = held.tobytes()
+                used = np.flatnonzero(counts)  # chunks of texts without tokens may hold other pairs
+                if len(used) < len(pairs):
+                    renamed = np.cumsum(counts > 0) - 1
+                    slots = [renamed[np.frombuffer(s, np.int32)].astype(np.int32).tobytes() for s in slots]
+                    pairs, counts = pairs[used], counts[used]
             more = [None]
             columns = [
                 [number] * (len(texts) + 1), ids + more, n_a.tolist() + more, n_b.tolist() + more, n_groups.tolist() + more, digests + more,

@@ -209,17 +209,18 @@ def test_alignment_of_an_empty_table(spark):
     assert alignment.align_tokenizers(table(spark, [])).count() == 0
 
 
-def test_long_texts_are_cut_without_a_trace():
+def test_texts_are_cut_without_a_trace():
     with open(alignment.MODEL_A, encoding="utf-8") as a, open(alignment.MODEL_B, "rb") as b:
         pair = alignment.Pair(a.read(), b.read())
     rng = random.Random(7)
-    text = "".join(rng.choice(["word ", "été  ", "don't ", "12 ", "\n", " ", "a　 b", "x", " "]) for _ in range(200_000))
-    assert len(alignment.cut_at_spaces(text)) > 1
-    ids_a, n_a, ids_b, n_b = pair.encode([text, "short"])
-    whole_a = pair.a.encode(" " + text, add_special_tokens=False).ids
-    whole_b = pair.b.encode(text)
-    assert n_a[0] == len(whole_a) and n_b[0] == len(whole_b)
-    assert ids_a[: n_a[0]].tolist() == whole_a and ids_b[: n_b[0]].tolist() == whole_b
+    text = "".join(rng.choice(["word ", "été  ", "don't ", "'s ", "12 ", "\n", " ", "a　 b", "x", " ", "\x1f ", "\x85"]) for _ in range(60_000))
+    chunks = pair.chunks(text)
+    assert len(chunks) > 1000 and " ".join(chunks) == text
+    ids_a, n_a, ids_b, n_b = pair.encode(chunks)
+    assert ids_a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids
+    assert ids_b.tolist() == pair.b.encode(text)
+    plain = [c for c in dict.fromkeys(chunks) if pair.joins(c)]
+    assert all(np.array_equal(x, y) for x, y in zip(pair.encode(plain, len(plain)), pair.encode(plain)))
 
 
 def test_galloping_finds_all_common_ends():
