@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.language import remainder
 from rivulet.llm.tables import settle
-from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, prefix_hashes, span_hashes, text_slices, word_bounds
+from rivulet.llm.text_arrays import SPACES, span_names, text_slices, word_bounds
 
 MODEL_WORDS = 4096
 COUNT_WORDS = 1 << 16
@@ -65,7 +65,7 @@ END = np.uint64(0)
 def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's words with END behind them, and where each text begins."""
     starts, ends, firsts = word_bounds(data, offsets, SPACES)
-    words = span_hashes(prefix_hashes(data, FOLDED_VALUES), starts, ends)
+    words = span_names(data, starts, ends, fold=True)
     n = len(offsets) - 1
     firsts = firsts + np.arange(n + 1)
     out = np.full(len(words) + n, END, np.uint64)
