@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.tables import byte_total, parts, spread
-from rivulet.llm.text_arrays import FOLDED_VALUES, PUNCTUATION, prefix_hashes, span_hashes, text_slices, within, word_bounds
+from rivulet.llm.text_arrays import PUNCTUATION, span_names, text_slices, within, word_bounds
 
 EDIT_SHARE = 0.2
 RECALL = 0.97
@@ -54,7 +54,7 @@ ARROW = pa.schema([("id", pa.int64()), ("item", pa.int64()), ("edits", pa.int32(
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and the index of each row's first."""
     starts, ends, firsts = word_bounds(data, offsets, PUNCTUATION)
-    return span_hashes(prefix_hashes(data, FOLDED_VALUES), starts, ends), firsts
+    return span_names(data, starts, ends, fold=True), firsts
 
 
 def signatures(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, coins: np.ndarray, sampled: np.ndarray) -> np.ndarray:
