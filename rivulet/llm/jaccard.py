@@ -5,23 +5,21 @@ differ in at most k elements, k following from the band. Elements are dealt by h
 (k + 2) // 2 partitions of three cells each. If at most k elements differ, one partition has at
 most one of them, so both sets agree on the partition without some one cell: each partition
 without each cell gives a signature, and linked sets share one. (With k = 0 the whole set is
-the signature.) A signature of no elements would tie what has nothing in common; a pair that
-agrees only there has it on both sides. So it is left out, and sets that have one are dealt
-anew by another hash, up to LEVELS times; the last time it counts. Sets of MANY or more
-partitions are dealt once: of a pair just at the threshold two fifths of the partitions agree
-on average, and the chance that each of those is empty is below 1e-5.
-
-1. Documents with a common signature are connected: first within a task's rows, where one
-   document then stands for all it is connected with, so a signature that a third of the
-   documents share goes into the shuffle once for each million signatures; then by buckets of
-   signatures. Each document has one tie for each time, and the ties give candidate groups.
-2. Sets of a group are compared exactly, each different set once. Groups above `block_bytes`
-   or 512 sets are cut into blocks, and blocks are compared pairwise; a task keeps two. A parity
-   sketch of 1,024 bits bounds the difference from below, so most pairs need no more.
-3. A comparison hands on a forest of links, not all pairs; the forests' components are the
-   result. Numbers of links are summed over the comparisons.
-
-Shingles are compared by 64-bit hashes. A text of fewer than n words has its whole sequence as
+the signature.) A signature of no elements would tie what has nothing in common, so it is left
+out. Of every SPARE partitions one is to spare: with s of them at least s + 1 agree, so a pair is only lost if
+both sets have empty signatures in more than s partitions. Such sets are dealt anew by another hash, up to
+LEVELS times; the last time empty signatures count.
+
+1. Equal sets are one: a set is named by 63 bits of its digest, and other bits are taken if two digests
+   ever shared a name. Signatures go into the shuffle packed by buckets.
+   Sets with a common signature are candidates, pair by pair; nothing is inferred from
+   chains of candidates. They are confirmed on full sets, see `linking`, which gives the
+   components, and inside these all links lie.
+2. For the numbers of links the sets of a component are compared exactly, each different set once.
+   Components above `block_bytes` or 512 sets are cut into blocks, and blocks are compared pairwise; a task
+   keeps two. A parity sketch of 1,024 bits bounds the difference from below, so most pairs need no more.
+
+Shingles are compared by 64-bit names from two hashes. A text of fewer than n words has its whole sequence as
 its one shingle; without words (empty or NULL) the set is empty and links with nothing, and
 the row is its own component. Rows with the same id are one document whose sets all count; a
 NULL id has no component. A document's links are the other documents it links to.
@@ -29,6 +27,7 @@ NULL id has no component. A document's links are the other documents it links to
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -36,17 +35,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.linking import confirmed, set_table, shingles
 from rivulet.llm.tables import byte_total, component_labels, parts, settle
-from rivulet.llm.text_arrays import FOLDED_VALUES, SPACES, mix, prefix_hashes, span_hashes, text_slices, within, word_bounds
+from rivulet.llm.text_arrays import mix, text_slices, within
 
 CELLS = 3
-#: times that a set with an empty signature is dealt, unless it has MANY partitions
-LEVELS, MANY = 4, 16
+#: times that a set with too many empty signatures is dealt, and one spare partition for so many
+LEVELS, SPARE = 4, 16
 BLOCK_BYTES = 1 << 20
 BLOCK_SETS = 512
 #: text for each bucket of signatures; signatures that a task sorts at once
@@ -55,29 +53,6 @@ FLUSH = 1 << 20
 SKETCH_WORDS = 16
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of each row's n-word sequences, and where each row's begin."""
-    starts, ends, firsts = word_bounds(data, offsets, SPACES)
-    words = span_hashes(prefix_hashes(data, FOLDED_VALUES), starts, ends)
-    counts = np.diff(firsts)
-    short = (counts > 0) & (counts < n)
-    sizes = np.where(short, 1, np.maximum(counts - n + 1, 0))
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.repeat(firsts[:-1] - bounds[:-1], sizes) + np.arange(bounds[-1])
-    lengths = np.repeat(np.where(short, counts, n), sizes)
-    out = lengths.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    for i in range(n):
-        inside = i < lengths
-        out = mix(out + np.where(inside, words[np.minimum(at + i, max(0, len(words) - 1))] if len(words) else 0, np.uint64(0)) + np.uint64(i))
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        out[a:b].sort()
-    fresh = np.ones(len(out), bool)
-    fresh[1:] = out[1:] != out[:-1]
-    heads = bounds[:-1][sizes > 0]
-    fresh[heads] = True
-    return out[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
-
-
 @lru_cache(maxsize=8)
 def bands(threshold: Fraction, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Largest size of each band and the largest difference of linked sets up to that size."""
@@ -103,7 +78,8 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, threshold: Fraction) -> tup
         k = differences[here]
         open_ = sizes > 0
         for level in range(LEVELS):
-            parts = np.where(open_, np.maximum(1, (k + 2) // 2), 0)
+            least = np.maximum(1, (k + 2) // 2)
+            parts = np.where(open_, least + least // SPARE, 0)
             firsts = np.concatenate([[0], np.cumsum(parts * CELLS)])
             chosen = open_[everyone]
             owner, elements = everyone[chosen], sets[chosen]
@@ -120,103 +96,161 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, threshold: Fraction) -> tup
             salt = (here[of].astype(np.uint64) << np.uint64(32)) + (within(parts).astype(np.uint64) << np.uint64(4))
             salt = mix(salt + np.uint64(2 * level + 1))
             whole = k[of] == 0
-            again = np.zeros(len(sizes), bool)
+            hollow = np.zeros(len(of), bool)
             for drop in range(CELLS):
                 left = np.where(whole, total, total - sums[:, drop])
                 empty = ~whole & (held.sum(axis=1) == held[:, drop])
-                again[of[empty]] = True
+                hollow |= empty
                 use = ~whole if drop else np.ones(len(of), bool)
                 if level + 1 < LEVELS:
                     use &= ~empty
                 rows.append(of[use])
                 marks.append(mix(left + salt * np.uint64(2 * drop + 3))[use])
-            open_ = again & (parts < MANY)
+            # of `parts` partitions at most k // 2 differ in two elements or more; the others agree
+            open_ = np.bincount(of[hollow], minlength=len(sizes)) > least // SPARE
             if not open_.any():
                 break
     return np.concatenate(rows), np.concatenate(marks)
 
 
-def ties_of(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different marks in order, an id for each, and (id, smallest) pairs: what the marks connect.
+def meetings(marks: np.ndarray, names: np.ndarray, state: tuple) -> tuple[tuple, tuple]:
+    """Rows (name, hub, several) of the marks that more than one name has, and the state after them.
 
-    Ids connected here over any marks have one smallest id, and that stands for them.
+    The state of a bucket's earlier marks, in order: marks, the first name of each (its hub), the second, how
+    many there were (3 stands for more). A mark's rows are `several` from its third name on; then that of the
+    second comes again.
     """
-    order = np.argsort(marks)
-    marks, ids = marks[order], ids[order]
-    heads = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else np.empty(0, np.int64)
-    if not len(heads):
-        return marks, ids, np.empty((0, 2), np.int64)
-    nodes, at = np.unique(ids, return_inverse=True)
-    one = at[heads]
-    root = roots(np.repeat(one, np.diff(np.append(heads, len(ids)))), at, len(nodes))
-    tied = np.flatnonzero(root != np.arange(len(nodes)))
-    return marks[heads], nodes[root[one]], np.stack([nodes[tied], nodes[root[tied]]], axis=1)
-
-
-def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest node connected with each of 0 to n - 1 over the edges (a, b)."""
-    label = np.arange(n)
-    edges = np.flatnonzero(a != b)
-    a, b = a[edges], b[edges]
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        for ends in (a, b, label[a], label[b]):
-            np.minimum.at(new, ends, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
-def _signer(n: int, threshold: Fraction, buckets: int):
-    def flush(marks: list[np.ndarray], ids: list[np.ndarray], turn: int) -> pa.RecordBatch:
-        heads, low, ties = ties_of(np.concatenate(marks), np.concatenate(ids))
-        own = ((heads >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    seen, hubs, seconds, counts = state
+    order = np.lexsort((names, marks))
+    marks, names = marks[order], names[order]
+    once = np.ones(len(marks), bool)
+    once[1:] = (marks[1:] != marks[:-1]) | (names[1:] != names[:-1])
+    marks, names = marks[once], names[once]
+    heads = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]]))
+    own = marks[heads]
+    which = np.repeat(np.arange(len(own)), np.diff(np.append(heads, len(marks))))
+    at = np.searchsorted(seen, own)
+    old = np.zeros(len(own), bool)
+    old[at < len(seen)] = seen[at[at < len(seen)]] == own[at < len(seen)]
+    hub, second, before = names[heads].copy(), np.full(len(own), -1), np.zeros(len(own), np.int64)
+    hub[old], second[old], before[old] = hubs[at[old]], seconds[at[old]], counts[at[old]]
+    fresh = ~((before[which] >= 1) & (names == hub[which])) & ~((before[which] >= 2) & (names == second[which]))
+    total = before + np.bincount(which, weights=fresh, minlength=len(own)).astype(np.int64)
+    others = np.flatnonzero(fresh & (names != hub[which]))
+    marked, first = np.unique(which[others], return_index=True)
+    early = before[marked] < 2
+    third = (total >= 3) & (before == 2)
+    rows = others[total[which[others]] >= 2]
+    out = (
+        np.concatenate([second[third], names[rows]]),
+        np.concatenate([hub[third], hub[which[rows]]]),
+        np.concatenate([np.ones(third.sum(), bool), total[which[rows]] >= 3]),
+    )
+    second[marked[early]] = names[others[first[early]]]
+    total = np.minimum(total, 3)
+    hubs, seconds, counts = hubs.copy(), seconds.copy(), counts.copy()
+    hubs[at[old]], seconds[at[old]], counts[at[old]] = hub[old], second[old], total[old]
+    merged = np.concatenate([seen, own[~old]])
+    place = np.argsort(merged, kind="stable")
+    added = ((hubs, hub), (seconds, second), (counts, total))
+    return out, (merged[place], *[np.concatenate([was, now[~old]])[place] for was, now in added])
+
+
+def set_name(content: bytes, salt: int) -> tuple[bytes, int]:
+    """Digest of a set, and 63 bits of another one under this salt."""
+    digest = hashlib.blake2b(content, digest_size=16).digest()
+    return digest, int.from_bytes(hashlib.blake2b(digest, digest_size=8, salt=salt.to_bytes(8, "big")).digest(), "big") >> 1
+
+
+def _namer(n: int, salt: int):
+    """(id, n, name, digest) of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch.column("text")):
+                sets, bounds = shingles(data, offsets, n)
+                both = [set_name(sets[a:b].tobytes(), salt) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                digests, names = zip(*both)
+                columns = [batch.column("id").slice(first, end - first), pa.array(np.diff(bounds)), pa.array(names, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary())], ["id", "n", "name", "digest"])
+
+    return run
+
+
+def _signer(n: int, threshold: Fraction, salt: int, buckets: int):
+    """Marks and names of the sets, packed by buckets of marks; a slice's equal sets are signed once."""
+
+    def packets(marks: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+        own = ((marks >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(own, kind="stable")
+        own, marks, names = own[order], marks[order], names[order]
         cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])) if len(own) else np.array([0])
-        rows = [(int(own[a]), False, heads[a:b].tobytes(), low[a:b].tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        if len(ties):
-            rows.append((turn % buckets, True, ties[:, 0].tobytes(), ties[:, 1].tobytes()))
-        columns = list(zip(*rows)) if rows else [[], [], [], []]
-        kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "tied", "a", "b"])
+        bounds = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        columns = [own[cuts[:-1]], [marks[a:b].tobytes() for a, b in bounds], [names[a:b].tobytes() for a, b in bounds]]
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "marks", "names"])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-        turn = TaskContext.get().partitionId()
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                rows, own = signatures(*shingle_sets(data, offsets, n), threshold)
+            for _, _, data, offsets in text_slices(batch.column("text")):
+                sets, bounds = shingles(data, offsets, n)
+                known: dict[int, tuple[int, int]] = {}
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    if b > a:
+                        known.setdefault(set_name(sets[a:b].tobytes(), salt)[1], (a, b))
+                if not known:
+                    continue
+                sizes = np.array([b - a for a, b in known.values()])
+                chosen = np.concatenate([sets[a:b] for a, b in known.values()])
+                rows, own = signatures(chosen, np.concatenate([[0], np.cumsum(sizes)]), threshold)
                 marks.append(own)
-                owners.append(ids[first:end][rows].astype(np.int64))
+                owners.append(np.array(list(known), np.int64)[rows])
                 if sum(map(len, marks)) >= FLUSH:
-                    yield flush(marks, owners, turn)
-                    marks, owners, turn = [], [], turn + 1
+                    yield packets(np.concatenate(marks), np.concatenate(owners))
+                    marks, owners = [], []
         if marks:
-            yield flush(marks, owners, turn)
+            yield packets(np.concatenate(marks), np.concatenate(owners))
 
     return sign
 
 
-def _tie(table: pa.Table) -> pa.Table:
-    """Ties of one bucket's marks, and those made earlier."""
-
-    def joined(name: str, tied: bool, kind: type) -> np.ndarray:
-        parts = table.filter(pc.equal(table["tied"], tied))[name].to_pylist()
-        return np.frombuffer(b"".join(parts), kind)
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over packets sorted by bucket: (rep, hub, several) for the marks that more than one set has.
 
-    _, _, ties = ties_of(joined("a", False, np.uint64), joined("b", False, np.int64))
-    ties = np.unique(np.concatenate([ties, np.stack([joined("a", True, np.int64), joined("b", True, np.int64)], axis=1)]), axis=0)
-    return pa.table({"a": ties[:, 0], "b": ties[:, 1]})
+    A task holds one bucket's different marks, and FLUSH marks more; how many sets have a mark does not matter.
+    """
+    empty = tuple(np.empty(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
+    bucket, state = None, empty
+    marks: list[np.ndarray] = []
+    names: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        nonlocal state, marks, names
+        found, state = meetings(np.concatenate(marks), np.concatenate(names), state)
+        marks, names = [], []
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["rep", "hub", "several"])
+
+    for batch in batches:
+        for own, a, b in zip(batch.column("bucket").to_pylist(), batch.column("marks"), batch.column("names")):
+            if own != bucket:
+                if marks:
+                    yield flush()
+                bucket, state = own, empty
+            marks.append(np.frombuffer(a.as_py(), np.uint64))
+            names.append(np.frombuffer(b.as_py(), np.int64))
+            if sum(map(len, marks)) >= FLUSH:
+                yield flush()
+    if marks:
+        yield flush()
 
 
 def _set_maker(n: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text")):
-                sets, bounds = shingle_sets(data, offsets, n)
+                sets, bounds = shingles(data, offsets, n)
                 content = [sets[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 rows = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
@@ -226,16 +260,6 @@ def _set_maker(n: int):
     return make
 
 
-def _counter(n: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                _, bounds = shingle_sets(data, offsets, n)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, end - first), pa.array(np.diff(bounds))], ["id", "n_shingles"])
-
-    return count
-
-
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """For each set, one bit per hash class: whether it holds an odd number of that class."""
     bits = 64 * SKETCH_WORDS
@@ -270,18 +294,11 @@ def links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: Fra
             yield i, sure
 
 
-def _root(parents: list[int], x: int) -> int:
-    while parents[x] != x:
-        parents[x] = parents[parents[x]]
-        x = parents[x]
-    return x
-
-
-def compare(keys: tuple, ids: list[int], side: list[bool], copies: list[int], sets: list[np.ndarray], threshold: Fraction):
-    """Rows (id, to, links): a forest of the links (to is None without), and how many documents each links to."""
+def counted(keys: tuple, ids: list[int], side: list[bool], copies: list[int], sets: list[np.ndarray], threshold: Fraction):
+    """Rows (id, links): how many documents each set links to, itself and its copies aside."""
     own = [i for i, s in enumerate(side) if not s]
     far = [i for i, s in enumerate(side) if s]
-    parents, counts = list(range(len(ids))), [0] * len(ids)
+    counts = [0] * len(ids)
     right = None if keys[1] == keys[2] else [sets[i] for i in far]
     names = own if right is None else far
     for i, found in links([sets[i] for i in own], right, threshold):
@@ -290,20 +307,17 @@ def compare(keys: tuple, ids: list[int], side: list[bool], copies: list[int], se
             b = names[j]
             counts[a] += copies[b]
             counts[b] += copies[a]
-            ra, rb = _root(parents, a), _root(parents, b)
-            parents[max(ra, rb)] = min(ra, rb)
     for i, id in enumerate(ids):
-        r = _root(parents, i)
         if counts[i]:
-            yield id, ids[r], counts[i]
+            yield id, counts[i]
 
 
 def _comparer(threshold: Fraction):
     """Over rows sorted by (grp, i, j): compares the sets of each, one after another."""
 
     def flush(keys: tuple, rows: list[tuple]) -> pa.RecordBatch:
-        found = list(compare(keys, *[list(c) for c in zip(*rows)], threshold))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], []))], ["id", "to", "links"])
+        found = list(counted(keys, *[list(c) for c in zip(*rows)], threshold))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["id", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rows = None, []
@@ -321,6 +335,42 @@ def _comparer(threshold: Fraction):
     return run
 
 
+def similar_components(df: DataFrame, text: str = "text", id: str = "doc_id", n: int = 3, threshold: str = "0.9") -> DataFrame:
+    """(id, n, component) for each row: its number of shingles and the smallest id it reaches by links."""
+    share = Fraction(threshold)
+    rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    salt = 0
+    while True:
+        named = settle(rows.mapInArrow(_namer(n, salt), "id long, n long, name long, digest binary"), "names")
+        shared_names = named.groupBy("name").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a != b")
+        if shared_names.isEmpty():
+            break
+        salt += 1
+    texts = rows.where("id IS NOT NULL")
+    buckets = parts(byte_total(texts, "text"), BUCKET_BYTES)
+    signed = texts.mapInArrow(_signer(n, share, salt, buckets), "bucket int, marks binary, names binary")
+    ordered = signed.repartition("bucket").sortWithinPartitions("bucket")
+    met = ordered.mapInArrow(_meet, "rep long, hub long, several boolean")
+    near = settle(met.groupBy("rep", "hub").agg(F.max("several").alias("several")), "met")
+
+    # a document for each set that met another
+    holders = named.where("id IS NOT NULL AND n > 0").select("id", "name")
+    wanted = near.select(F.explode(F.array("rep", "hub")).alias("name")).distinct()
+    chosen = holders.join(wanted, "name").groupBy("name").agg(F.min("id").alias("id"))
+    made = set_table(texts, chosen.select("id").distinct(), n, lambda content: set_name(content, salt)[1])
+    sets = settle(made.dropDuplicates(["rep"]), "sets")
+    links = confirmed(near, sets, share)
+
+    # rows with the same id are one document: their sets are one component
+    several = holders.groupBy("id").agg(F.min("name").alias("hub"), F.max("name").alias("top")).where("hub != top").select("id", "hub")
+    same = holders.join(several, "id").where("name != hub").select(F.col("name").alias("rep"), "hub")
+    labels = component_labels(links.unionByName(same), "rep", "hub")
+    own = F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("label", "name"))
+    labelled = settle(named.join(labels, F.col("name") == F.col("node"), "left").select("id", "n", own.alias("part")), "labelled")
+    least = labelled.where("part IS NOT NULL").groupBy("part").agg(F.min("id").alias("least"))
+    return labelled.join(least, "part", "left").select("id", "n", F.coalesce("least", "id").alias("component"))
+
+
 def similar_groups(
     df: DataFrame, text: str = "text", id: str = "doc_id", n: int = 3, threshold: str = "0.9", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -328,14 +378,13 @@ def similar_groups(
     share = Fraction(threshold)
     rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     named = rows.where("id IS NOT NULL")
+    found = settle(similar_components(df, text, id, n, threshold), "components")
+    # the documents of components that have more than one
+    large = found.where("id IS NOT NULL AND n > 0").groupBy("component").agg((F.min("id") != F.max("id")).alias("links")).where("links")
+    labels = found.join(large, "component").select(F.col("id").alias("node"), F.col("component").alias("label")).distinct()
 
-    buckets = parts(byte_total(named, "text"), BUCKET_BYTES)
-    signed = named.mapInArrow(_signer(n, share, buckets), "bucket int, tied boolean, a binary, b binary")
-    ties = signed.groupBy("bucket").applyInArrow(_tie, "a long, b long")
-    groups = component_labels(ties, "a", "b")
-
-    # the groups grow with the documents: never a broadcast; hashing spares sorting the texts
-    members = named.join(groups.select(F.col("node").alias("id"), F.col("label").alias("grp")).hint("shuffle_hash"), "id").select("grp", "id", "text")
+    # links lie inside components, which grow with the documents: never a broadcast; hashing spares sorting the texts
+    members = named.join(labels.select(F.col("node").alias("id"), F.col("label").alias("grp")).hint("shuffle_hash"), "id").select("grp", "id", "text")
     sets = settle(members.mapInArrow(_set_maker(n), "grp long, id long, n long, content binary").where("n > 0"), "sets")
     digest = sets.select("grp", "id", "n", F.sha2("content", 256).alias("digest")).distinct()
     alike = settle(digest.groupBy("grp", "n", "digest").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies")), "alike")
@@ -357,18 +406,13 @@ def similar_groups(
         "content",
     )
     dealt = dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "id")
-    compared = settle(dealt.mapInArrow(_comparer(share), "id long, to long, links long"), "compared")
-    forest = compared.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b"))
-    labels = component_labels(forest.unionByName(copies.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))), "a", "b")
-
+    compared = settle(dealt.mapInArrow(_comparer(share), "id long, links long"), "compared")
     far = compared.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("far"))
     linked = copies.join(far, "rep", "left").groupBy("id").agg(F.sum(F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    sizes = rows.mapInArrow(_counter(n), "id long, n_shingles long")
-    known = linked.join(labels, F.col("id") == F.col("node"), "left").select("id", "label", "n_links")
-    return sizes.join(known, "id", "left").select(
+    return found.join(linked, "id", "left").select(
         F.col("id").alias(id),
-        "n_shingles",
-        F.coalesce("label", "id").alias("component_id"),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 

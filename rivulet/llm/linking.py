@@ -12,7 +12,7 @@ dealt in blocks and compared exactly; so no link between components is lost, and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -48,13 +48,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     return names[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
 
 
-def _set_maker(n: int):
+def _set_maker(n: int, name: Callable[[bytes], int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text")):
                 sets, bounds = shingles(data, offsets, n)
                 content = [sets[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, end - first), pa.array(content, pa.binary())], ["id", "content"])
+                names = batch.column("id").slice(first, end - first) if name is None else pa.array(map(name, content), pa.int64())
+                yield pa.RecordBatch.from_arrays([names, pa.array(content, pa.binary())], ["rep", "content"])
 
     return run
 
@@ -157,10 +158,13 @@ def tested(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     return settle(ordered.mapInArrow(_star_tester(threshold), "rep long, hub long, several boolean, distance double, linked boolean"), "tested")
 
 
-def set_table(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(id, content): the sets of the documents (id, text) whose id is in `wanted`, which grows with them: never a broadcast."""
+def set_table(df: DataFrame, wanted: DataFrame, n: int, name: Callable[[bytes], int] | None = None) -> DataFrame:
+    """(rep, content): the sets of the documents (id, text) whose id is in `wanted`, named by the id or from their content.
+
+    The wanted ids grow with the documents: never a broadcast; hashing spares sorting the texts.
+    """
     members = df.join(wanted.hint("shuffle_hash"), "id")
-    return members.mapInArrow(_set_maker(n), "id long, content binary").where("octet_length(content) > 0")
+    return members.mapInArrow(_set_maker(n, name), "rep long, content binary").where("octet_length(content) > 0")
 
 
 def confirmed(near: DataFrame, sets: DataFrame, threshold: Fraction, block: int = CHUNK) -> DataFrame:

@@ -98,7 +98,7 @@ def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", n: in
     keys = different.select("rep", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"), (F.count("*") > 2).alias("several"))
     near = settle(keys.join(hubs.where("hub != top").drop("top"), "key").groupBy("rep", "hub").agg(F.max("several").alias("several")), "near")
-    sets = settle(set_table(rows, near.select(F.col("rep").alias("id")).distinct(), n).withColumnRenamed("id", "rep"), "sets")
+    sets = settle(set_table(rows, near.select(F.col("rep").alias("id")).distinct(), n), "sets")
     links = confirmed(near, sets, share, block)
 
     copies = named.join(different.select("digest", "rep"), "digest").where("id != rep").select(F.col("id").alias("rep"), F.col("rep").alias("hub"))

@@ -71,6 +71,43 @@ def test_partenum_signatures_meet_for_every_linked_pair():
             assert not len(b) or set(marks[rows == 0].tolist()) & set(marks[rows == 1].tolist())
 
 
+def test_partenum_is_complete_at_the_threshold_for_many_partitions():
+    rng = np.random.default_rng(8)
+    for threshold, sizes in ((Fraction("0.8"), range(70, 330)), (Fraction("0.9"), range(150, 400, 2))):
+        for size in sizes:  # up to twenty partitions and more, most with few elements
+            a = np.unique(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+            b = np.sort(rng.choice(a, len(a) - int(len(a) * (1 - threshold)), replace=False))
+            rows, marks = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), threshold)
+            assert set(marks[rows == 0].tolist()) & set(marks[rows == 1].tolist())
+
+
+@pytest.mark.parametrize("chunks", [1, 2, 7])
+def test_meetings_in_packets_tie_every_name_to_its_hub(chunks):
+    rng = np.random.default_rng(chunks)
+    marks, names = rng.integers(0, 300, 900).astype(np.uint64), rng.integers(0, 40, 900)
+    state = tuple(np.empty(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
+    pairs, several = set(), set()
+    for a, b in zip(np.array_split(marks, chunks), np.array_split(names, chunks)):
+        (reps, hubs, more), state = jaccard.meetings(a, b, state)
+        pairs |= set(zip(reps.tolist(), hubs.tolist()))
+        several |= {(r, h) for r, h, m in zip(reps.tolist(), hubs.tolist(), more.tolist()) if m}
+    hub_of = dict(zip(state[0].tolist(), state[1].tolist()))
+    want, want_several = set(), set()
+    for mark in set(marks.tolist()):
+        own = set(names[marks == mark].tolist())
+        ties = {(n, hub_of[mark]) for n in own if n != hub_of[mark]}
+        want |= ties
+        want_several |= ties if len(own) > 2 else set()
+    assert pairs == want and several == want_several
+
+
+def test_jaccard_tells_colliding_words_apart(spark):
+    words_ = ["".join("ab"[(p.bit_count() + turn) & 1] for p in range(2048)) for turn in (0, 1)]
+    texts = [*words_, *[f"{w} x" for w in words_], *[f"{w} x" for w in words_]]
+    got = jaccard.similar_groups(table(spark, texts))
+    assert sorted(tuple(r) for r in got.collect()) == expected_groups(texts, 3, Fraction("0.9"))
+
+
 def test_jaccard_on_empty_null_and_repeated_ids(spark):
     assert jaccard.similar_groups(table(spark, [])).count() == 0
     df = table(spark, ["a b c d", "a b c d", "a b c d", None], ids=[7, 7, None, 9])
