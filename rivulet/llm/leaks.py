@@ -45,7 +45,7 @@ CLASS_RATIO = 1.35
 #: steps in a signature; one less after each PATIENCE rounds, so that every recall is reached
 SAMPLED = 4
 PATIENCE = 48
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 SCHEMA = "id long, item long, edits int, first_word long"
 ARROW = pa.schema([("id", pa.int64()), ("item", pa.int64()), ("edits", pa.int32()), ("first_word", pa.int64())])

@@ -17,6 +17,8 @@ NULL and empty texts have no pieces and score 0. Rows are independent; repeated
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from rivulet.llm.text_arrays import prefix_hashes, span_hashes, text_slices, within
+from rivulet.llm.text_arrays import span_names, text_slices, within
 
 MARKER = "▁"
 #: what an unknown character costs beyond the lowest score
 PENALTY = 10.0
-SLICE = 1 << 21
+#: bytes of text in a slice; bytes of different chunks cut at once
+SLICE = 1 << 20
+PACKET = 1 << 17
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: a model is sent to every executor; larger files are refused
 MOST_MODEL_BYTES = 64 << 20
@@ -241,6 +245,65 @@ class Vocabulary:
         firsts = np.concatenate([[0], np.cumsum(np.bincount(chunk, weights=counts, minlength=n).astype(np.int64))])
         return out, firsts, finals
 
+    def cut_in_packets(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """cut() of PACKET bytes of chunks at a time, and of a longer chunk alone, so that its tables stay small."""
+        out, firsts, scores, first, total = [], [np.zeros(1, np.int64)], [], 0, 0
+        while first < len(bounds) - 1:
+            end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + PACKET, side="right")) - 1)
+            own = bounds[first : end + 1]
+            step = self.cut if own[-1] - own[0] <= PACKET else self.cut_long
+            ids, begins, sums = step(data[own[0] : own[-1]], own - own[0])
+            out.append(ids)
+            firsts.append(begins[1:] + total)
+            scores.append(sums)
+            total += len(ids)
+            first = end
+        return np.concatenate(out) if out else np.empty(0, np.int32), np.concatenate(firsts), np.concatenate(scores) if scores else np.empty(0)
+
+    def cut_long(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """cut() of one long chunk: pieces are looked up for a stretch of places at a time, the best way found place by place."""
+        n = len(data)
+        best = array("d", [-math.inf]) * (n + 1)
+        size, taken = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for begin in range(0, n, PACKET):
+            stretch = data[begin : begin + PACKET]
+            lead = begin + np.flatnonzero((stretch & 0xC0) != 0x80)
+            start, end, value = self.trie.matches(data, lead, np.full(len(lead), n))
+            # the lead bytes of the next character, or the end
+            follow = lead + 1
+            while True:
+                inside = follow < n
+                inside[inside] = (data[follow[inside]] & 0xC0) == 0x80
+                if not inside.any():
+                    break
+                follow[inside] += 1
+            at = np.searchsorted(lead, start)
+            single = np.zeros(len(lead), bool)
+            single[at[end == follow[at]]] = True
+            start = np.concatenate([start, lead[~single]])
+            end = np.concatenate([end, follow[~single]])
+            score = np.concatenate([self.scores[value], np.full((~single).sum(), self.lowest)])
+            value = np.concatenate([value, np.full((~single).sum(), -1, value.dtype)])
+            order = np.argsort(start, kind="stable")
+            for a, b, v, w in zip(start[order].tolist(), end[order].tolist(), value[order].tolist(), score[order].tolist()):
+                total = best[a] + w
+                if total > best[b]:
+                    best[b], size[b], taken[b] = total, b - a, v
+        at, path = n, []
+        while at:
+            path.append(at)
+            at -= size[at]
+        ends = np.array(path[::-1], np.int64)
+        value, sizes = np.frombuffer(taken, np.int32)[ends], np.frombuffer(size, np.int32)[ends].astype(np.int64)
+        unknown = value < 0
+        counts = np.where(unknown, sizes, 1)
+        out = np.repeat(np.where(unknown, 0, self.ids[value]), counts).astype(np.int32)
+        places = np.repeat(ends - sizes, counts) + within(counts)
+        bytewise = np.repeat(unknown, counts)
+        out[bytewise] = self.byte_ids[data[places[bytewise]]]
+        return out, np.array([0, len(out)]), np.array([best[n]])
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, where each text's begin, and the sums of their scores."""
         n = len(offsets) - 1
@@ -254,12 +317,13 @@ class Vocabulary:
             begins[1:] |= (space[1:] & ~space[:-1]) | alone[1:] | alone[:-1]
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
-        hashes = span_hashes(prefix_hashes(data), starts, ends)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        _, first, which = np.unique(span_names(data, starts, ends), return_index=True, return_inverse=True)
+        if not same_bytes(data, starts, ends, starts[first][which]):  # names are hashes; then each chunk by itself
+            first = which = np.arange(len(starts))
         sizes = (ends - starts)[first]
         bounds = np.concatenate([[0], np.cumsum(sizes)])
         chunks = data[np.repeat(starts[first] - bounds[:-1], sizes) + np.arange(bounds[-1])]
-        ids, firsts, scores = self.cut(chunks, bounds)
+        ids, firsts, scores = self.cut_in_packets(chunks, bounds)
         counts = np.diff(firsts)[which]
         ends_at = np.concatenate([[0], np.cumsum(counts)])
         all_ids = ids[np.repeat(firsts[which] - ends_at[:-1], counts) + np.arange(ends_at[-1])]
@@ -276,6 +340,12 @@ class Vocabulary:
         return self.content[np.repeat(self.bounds[safe] - at[:-1], sizes) + np.arange(at[-1])], at[firsts]
 
 
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
+    """Whether each span (they follow one another over all of the data) has the bytes that begin at its other place."""
+    places = np.arange(len(data)) + np.repeat(others - starts, ends - starts)
+    return bool((places < len(data)).all()) and np.array_equal(data[places], data)
+
+
 def with_front_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A space before each text that is not empty."""
     filled = np.diff(offsets) > 0

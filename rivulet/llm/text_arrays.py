@@ -142,10 +142,13 @@ def span_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: boo
         return np.empty(0, np.uint64)
     first = span_hashes(prefix_hashes(data, FOLDED_VALUES if fold else BYTE_VALUES), starts, ends)
     own = data[starts[0] :]
-    place = np.arange(len(own)) - np.repeat(starts - starts[0], np.diff(np.append(starts, len(data))))
+    place = np.arange(len(own), dtype=np.int32)
+    place -= np.repeat((starts - starts[0]).astype(np.int32), np.diff(np.append(starts, len(data))))
     np.minimum(place, _LONG_SPAN - 1, out=place)
     sums = np.zeros(len(own) + 1, np.uint64)
-    np.cumsum((LOWER[own] if fold else own).astype(np.uint64) * _PLACE_FACTORS[place], out=sums[1:])
+    sums[1:] = _PLACE_FACTORS[place]
+    sums[1:] *= LOWER[own] if fold else own
+    np.cumsum(sums, out=sums)
     second = sums[ends - starts[0]] - sums[starts - starts[0]]
     for i in np.flatnonzero(ends - starts > _LONG_SPAN).tolist():
         long = data[starts[i] : ends[i]]

@@ -3,6 +3,8 @@
 import collections
 import random
 import re
+import time
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -210,3 +212,47 @@ def test_pieces_round_trip_awkward_texts(spark):
     more = pieces.add_pieces(df)
     assert more.columns == [*df.columns, "pieces", "round_trip"] and more.where("round_trip").count() == len(AWKWARD)
     assert pieces.encode(table(spark, [])).count() == 0
+
+
+def test_pieces_in_packets_and_long_chunks_are_those_of_one_cut(monkeypatch):
+    own = pieces.vocabulary(pieces.MODEL)
+    rng = random.Random(3)
+
+    def word(n):
+        return "".join(rng.choice("abcdefghijkl mnoé日\x01") if n > 50 else rng.choice("abcdefghé") for _ in range(n)).replace(" ", "_")
+
+    texts = [" ".join(word(rng.randrange(1, 12)) for _ in range(40)) for _ in range(60)] + [word(9000), "", "x"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    whole = own.encode(data, offsets)
+    monkeypatch.setattr(pieces, "PACKET", 500)
+    cut = own.encode(data, offsets)
+    assert all(np.array_equal(a, b) for a, b in zip(whole[:2], cut[:2])) and np.allclose(whole[2], cut[2])
+
+
+def test_pieces_of_different_words_need_little_memory():
+    own = pieces.vocabulary(pieces.MODEL)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(100_000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    own.encode(data[:1000], np.array([0, 1000]))
+    tracemalloc.start()
+    own.encode(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+
+
+def test_worse_matches_go_as_by_comparing_all():
+    rng = random.Random(4)
+    for _ in range(200):
+        found = [(a := rng.randrange(60), a + rng.randrange(1, 20), rng.choice("xy"), rng.randrange(4), 0.5) for _ in range(25)]
+        want = [f for f in found if not any(g[3] < f[3] and g[0] <= f[0] + f[3] and f[1] <= g[1] + f[3] for g in found)]
+        assert sorted(licences.without_worse(found)) == sorted(want)
+
+
+def test_notices_in_a_text_of_many_take_linear_time(spark):
+    text = "all rights reserved " * 20_000
+    begin = time.perf_counter()
+    row = licences.licence_scan(table(spark, [text])).first()
+    assert row.n_base == 20_000 and row.spans.count(",") == 19_999 and time.perf_counter() - begin < 20
