@@ -38,8 +38,8 @@ def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard.similar_groups(docs.select("doc_id", "text"), n=SHINGLE_WORDS, threshold=SIMILARITY)
-    gone = groups.where("component_id != doc_id").select("doc_id").distinct()
+    groups = jaccard.similar_components(docs.select("doc_id", "text"), n=SHINGLE_WORDS, threshold=SIMILARITY)
+    gone = groups.where("component != id").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
