@@ -6,6 +6,7 @@ import random
 import shutil
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,67 @@ def test_bursts_across_batches(spark, fresh, seed):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
+class Handle:
+    """Stands for a processor's handle: a list or value in memory, and the timers set."""
+
+    def __init__(self):
+        self.kept, self.timers = [], []
+
+    def getListState(self, name, schema):
+        return Handle()
+
+    getValueState = getListState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def appendList(self, rows):
+        self.kept += rows
+
+    def put(self, rows):
+        self.kept = rows
+
+    def update(self, value):
+        self.kept = list(value)
+
+    def exists(self):
+        return bool(self.kept)
+
+    def get(self):
+        return self.kept
+
+    def clear(self):
+        self.kept = []
+
+
+def test_timers_of_bursts_do_not_grow_with_the_rows():
+    handle, job = Handle(), processors.Bursts(3, 2)
+    job.init(handle)
+    t = np.arange(1000) * 1_000_000
+    rows = pd.DataFrame({"none": False, "user": t % 7, "t": t, "seq": t, "fail": True})
+    list(job.handleInputRows((0,), iter([rows[:600], rows[600:]]), None))
+    assert sorted(set(handle.timers)) == [1000, 601_000]
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 500_000
+
+    handle.timers.clear()
+    list(job.handleExpiredTimer((0,), Clock(), None))
+    # the earliest second that still waits, and the end of the earliest open burst
+    assert 501_000 in handle.timers and len(handle.timers) == 2 and min(handle.timers) > 500_000
+    assert sum(len(r[0]) for r in job.waiting.kept) == 500 * processors.WAITING.itemsize
+
+
+def test_bursts_of_users_and_times_that_are_null(spark, fresh):
+    first = [(None, at(1), 1, "fail"), (0, at(1), 2, "fail"), (2**60 + 1, at(2), 3, "fail"), (0, None, 4, "success"), (None, at(2), 5, "fail")]
+    second = [(0, at(3), 6, "fail"), (2**60 + 1, at(3), None, "fail"), (2**60 + 1, at(3), 7, "success"), (None, None, 8, "fail")]
+    with processors.rocks_state(spark):
+        found = processors.ordered_bursts(feed(spark, fresh(), [first, second, *CLOSING], EVENT), 3, 2, "30 seconds", groups=1)
+        got = jobs.drained(found, "append", "t").drop("batch_id").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, at(1), at(2), 2), (0, at(1), at(3), 2)], key=repr)
+
+
 def test_seconds_keep_what_follows_their_last_success():
     times = np.array([1_200_000, 1_100_000, 1_300_000, 5_000_000, 5_000_000, 9_000_000])
     seqs, fails = np.array([2, 1, 3, 5, 4, 6]), np.array([False, True, True, True, True, False])
