@@ -10,9 +10,10 @@ out. Of every SPARE partitions one is to spare: with s of them at least s + 1 ag
 both sets have empty signatures in more than s partitions. Such sets are dealt anew by another hash, up to
 LEVELS times; the last time empty signatures count.
 
-1. Equal sets are one: a set is named by 63 bits of its digest, and other bits are taken if two digests
-   ever shared a name. Signatures go into the shuffle packed by buckets.
-   Sets with a common signature are candidates, pair by pair; nothing is inferred from
+1. Equal sets are one: a set is named by some bytes of its digest, as many as the number of documents
+   needs, and other bits are taken if two digests ever shared a name. Signatures go into the shuffle packed by
+   buckets, in four bytes beside the bucket: what two signatures share by chance is a candidate too many, whose number
+   grows with the buckets. Sets with a common signature are candidates, pair by pair; nothing is inferred from
    chains of candidates. They are confirmed on full sets, see `linking`, which gives the
    components, and inside these all links lie.
 2. For the numbers of links the sets of a component are compared exactly, each different set once.
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.linking import confirmed, set_table, shingles
+from rivulet.llm.linking import confirmed, set_table, shingles, sketches
 from rivulet.llm.tables import byte_total, component_labels, parts, settle
 from rivulet.llm.text_arrays import mix, text_slices, within
 
@@ -50,7 +51,6 @@ BLOCK_SETS = 512
 #: text for each bucket of signatures; signatures that a task sorts at once
 BUCKET_BYTES = 1 << 19
 FLUSH = 1 << 20
-SKETCH_WORDS = 16
 
 
 @lru_cache(maxsize=8)
@@ -156,37 +156,57 @@ def meetings(marks: np.ndarray, names: np.ndarray, state: tuple) -> tuple[tuple,
     return out, (merged[place], *[np.concatenate([was, now[~old]])[place] for was, now in added])
 
 
-def set_name(content: bytes, salt: int) -> tuple[bytes, int]:
-    """Digest of a set, and 63 bits of another one under this salt."""
+def name_bytes(documents: int) -> int:
+    """Bytes of a name with which two of so many sets seldom share one; the eighth has a bit less, for the sign."""
+    return min(8, max(4, math.ceil((2 * math.log2(max(2, documents)) + 4) / 8)))
+
+
+def set_name(content: bytes, salt: int, width: int = 8) -> tuple[bytes, int]:
+    """Digest of a set, and so many bytes of another one under this salt."""
     digest = hashlib.blake2b(content, digest_size=16).digest()
-    return digest, int.from_bytes(hashlib.blake2b(digest, digest_size=8, salt=salt.to_bytes(8, "big")).digest(), "big") >> 1
+    named = int.from_bytes(hashlib.blake2b(digest, digest_size=8, salt=salt.to_bytes(8, "big")).digest(), "big") >> 1
+    return digest, named & ((1 << 8 * width) - 1)
+
+
+def packed_names(names: np.ndarray, width: int) -> bytes:
+    """The lowest `width` bytes of each name."""
+    return np.ascontiguousarray(names, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
 
+def unpacked_names(packed: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(packed) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(-1, width)
+    return out.view("<i8").ravel()
 
-def _namer(n: int, salt: int):
-    """(id, n, name, digest) of each document."""
+
+def _namer(n: int, salt: int, width: int):
+    """(id, n, name, digest, sketch) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text")):
                 sets, bounds = shingles(data, offsets, n)
-                both = [set_name(sets[a:b].tobytes(), salt) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                both = [set_name(sets[a:b].tobytes(), salt, width) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 digests, names = zip(*both)
                 columns = [batch.column("id").slice(first, end - first), pa.array(np.diff(bounds)), pa.array(names, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary())], ["id", "n", "name", "digest"])
+                marks = [m.tobytes() for m in sketches(np.split(sets, bounds[1:-1]))]
+                columns += [pa.array(digests, pa.binary()), pa.array(marks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "digest", "sketch"])
 
     return run
 
 
-def _signer(n: int, threshold: Fraction, salt: int, buckets: int):
+def _signer(n: int, threshold: Fraction, salt: int, width: int, buckets: int):
     """Marks and names of the sets, packed by buckets of marks; a slice's equal sets are signed once."""
 
     def packets(marks: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
         own = ((marks >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        marks = marks.astype(np.uint32)
         order = np.argsort(own, kind="stable")
         own, marks, names = own[order], marks[order], names[order]
         cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])) if len(own) else np.array([0])
         bounds = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-        columns = [own[cuts[:-1]], [marks[a:b].tobytes() for a, b in bounds], [names[a:b].tobytes() for a, b in bounds]]
+        columns = [own[cuts[:-1]], [marks[a:b].tobytes() for a, b in bounds], [packed_names(names[a:b], width) for a, b in bounds]]
         kinds = (pa.int32(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "marks", "names"])
 
@@ -199,7 +219,7 @@ def _signer(n: int, threshold: Fraction, salt: int, buckets: int):
                 known: dict[int, tuple[int, int]] = {}
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     if b > a:
-                        known.setdefault(set_name(sets[a:b].tobytes(), salt)[1], (a, b))
+                        known.setdefault(set_name(sets[a:b].tobytes(), salt, width)[1], (a, b))
                 if not known:
                     continue
                 sizes = np.array([b - a for a, b in known.values()])
@@ -216,34 +236,38 @@ def _signer(n: int, threshold: Fraction, salt: int, buckets: int):
     return sign
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meeter(width: int):
     """Over packets sorted by bucket: (rep, hub, several) for the marks that more than one set has.
 
     A task holds one bucket's different marks, and FLUSH marks more; how many sets have a mark does not matter.
     """
-    empty = tuple(np.empty(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
-    bucket, state = None, empty
-    marks: list[np.ndarray] = []
-    names: list[np.ndarray] = []
-
-    def flush() -> pa.RecordBatch:
-        nonlocal state, marks, names
-        found, state = meetings(np.concatenate(marks), np.concatenate(names), state)
-        marks, names = [], []
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["rep", "hub", "several"])
-
-    for batch in batches:
-        for own, a, b in zip(batch.column("bucket").to_pylist(), batch.column("marks"), batch.column("names")):
-            if own != bucket:
-                if marks:
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = tuple(np.empty(0, kind) for kind in (np.uint32, np.int64, np.int64, np.int64))
+        bucket, state = None, empty
+        marks: list[np.ndarray] = []
+        names: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal state, marks, names
+            found, state = meetings(np.concatenate(marks), np.concatenate(names), state)
+            marks, names = [], []
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["rep", "hub", "several"])
+
+        for batch in batches:
+            for own, a, b in zip(batch.column("bucket").to_pylist(), batch.column("marks"), batch.column("names")):
+                if own != bucket:
+                    if marks:
+                        yield flush()
+                    bucket, state = own, empty
+                marks.append(np.frombuffer(a.as_py(), np.uint32))
+                names.append(unpacked_names(b.as_py(), width))
+                if sum(map(len, marks)) >= FLUSH:
                     yield flush()
-                bucket, state = own, empty
-            marks.append(np.frombuffer(a.as_py(), np.uint64))
-            names.append(np.frombuffer(b.as_py(), np.int64))
-            if sum(map(len, marks)) >= FLUSH:
-                yield flush()
-    if marks:
-        yield flush()
+        if marks:
+            yield flush()
+
+    return meet
 
 
 def _set_maker(n: int):
@@ -260,15 +284,6 @@ def _set_maker(n: int):
     return make
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set, one bit per hash class: whether it holds an odd number of that class."""
-    bits = 64 * SKETCH_WORDS
-    out = np.zeros((len(sets), bits), np.uint8)
-    for row, own in enumerate(sets):
-        out[row] = np.bincount((own >> np.uint64(13)).astype(np.int64) % bits, minlength=bits) & 1
-    return np.packbits(out, axis=1).view(np.uint64)
-
-
 def links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: Fraction) -> Iterator[tuple[int, np.ndarray]]:
     """(i, all j) for the linked sets left[i] and right[j]; within `left`, j > i, if right is None."""
     others = left if right is None else right
@@ -339,27 +354,31 @@ def similar_components(df: DataFrame, text: str = "text", id: str = "doc_id", n:
     """(id, n, component) for each row: its number of shingles and the smallest id it reaches by links."""
     share = Fraction(threshold)
     rows = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    salt = 0
+    salt, width = 0, name_bytes(rows.count())
     while True:
-        named = settle(rows.mapInArrow(_namer(n, salt), "id long, n long, name long, digest binary"), "names")
+        named = settle(rows.mapInArrow(_namer(n, salt, width), "id long, n long, name long, digest binary, sketch binary"), "names")
         shared_names = named.groupBy("name").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a != b")
         if shared_names.isEmpty():
             break
         salt += 1
     texts = rows.where("id IS NOT NULL")
     buckets = parts(byte_total(texts, "text"), BUCKET_BYTES)
-    signed = texts.mapInArrow(_signer(n, share, salt, buckets), "bucket int, marks binary, names binary")
+    signed = texts.mapInArrow(_signer(n, share, salt, width, buckets), "bucket int, marks binary, names binary")
     ordered = signed.repartition("bucket").sortWithinPartitions("bucket")
-    met = ordered.mapInArrow(_meet, "rep long, hub long, several boolean")
+    met = ordered.mapInArrow(_meeter(width), "rep long, hub long, several boolean")
     near = settle(met.groupBy("rep", "hub").agg(F.max("several").alias("several")), "met")
 
-    # a document for each set that met another
+    # sketch and a document of each set that met another; full sets are made of those alone that sketches cannot part
     holders = named.where("id IS NOT NULL AND n > 0").select("id", "name")
-    wanted = near.select(F.explode(F.array("rep", "hub")).alias("name")).distinct()
-    chosen = holders.join(wanted, "name").groupBy("name").agg(F.min("id").alias("id"))
-    made = set_table(texts, chosen.select("id").distinct(), n, lambda content: set_name(content, salt)[1])
-    sets = settle(made.dropDuplicates(["rep"]), "sets")
-    links = confirmed(near, sets, share)
+    wanted = near.select(F.explode(F.array("rep", "hub")).alias("rep")).distinct()
+    kept = named.where("id IS NOT NULL AND n > 0").withColumnRenamed("name", "rep").join(wanted, "rep").groupBy("rep")
+    chosen = settle(kept.agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "chosen")
+
+    def sets(reps: DataFrame) -> DataFrame:
+        ids = chosen.join(reps, "rep").select("id").distinct()
+        return settle(set_table(texts, ids, n, lambda content: set_name(content, salt, width)[1]), "sets")
+
+    links = confirmed(near, chosen.select("rep", "n", "sketch"), sets, share)
 
     # rows with the same id are one document: their sets are one component
     several = holders.groupBy("id").agg(F.min("name").alias("hub"), F.max("name").alias("top")).where("hub != top").select("id", "hub")

@@ -8,6 +8,9 @@ In buckets of more than two, sets that do not link to the hub are compared with
 hub. Those that link to it are one component and are not compared with each other. Jaccard distance is a metric,
 so two sets whose distances to the hub differ by more than a link allows need no comparison either. The others are
 dealt in blocks and compared exactly; so no link between components is lost, and no pairs are emitted.
+
+Full sets are only sent where they may link. A parity sketch of 1,024 bits bounds the difference of two sets from
+below: pairs it rules out keep that bound as their distance, and members of blocks that it parts from all others stay out.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from rivulet.llm.text_arrays import SPACES, mix, span_names, text_slices, word_b
 
 #: sets in one chunk of a star, and in one block of a bucket
 CHUNK = 256
+SKETCH_WORDS = 16
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +64,99 @@ def _set_maker(n: int, name: Callable[[bytes], int] | None):
     return run
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, one bit per hash class: whether it holds an odd number of that class."""
+    bits = 64 * SKETCH_WORDS
+    out = np.zeros((len(sets), bits), np.uint8)
+    for row, own in enumerate(sets):
+        out[row] = np.bincount((own >> np.uint64(13)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """(rep, n, sketch) of the sets; NULL for a rep with several, of which nothing is ruled out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(c.as_py(), np.uint64) for c in batch.column("content")]
+            marks = [m.tobytes() for m in sketches(own)]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([len(o) for o in own], pa.int64()), pa.array(marks, pa.binary())], ["rep", "n", "sketch"])
+
+    found = sets.mapInArrow(run, "rep long, n long, sketch binary").groupBy("rep").agg(F.count("*").alias("sets"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    single = F.col("sets") == 1
+    return settle(found.select("rep", F.when(single, F.col("n")).alias("n"), F.when(single, F.col("sketch")).alias("sketch")), "sketched")
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches, zeros for NULL, and which are known."""
+    held = column.to_pylist()
+    known = np.array([h is not None for h in held], bool)
+    empty = bytes(8 * SKETCH_WORDS)
+    return np.frombuffer(b"".join(h or empty for h in held), np.uint64).reshape(-1, SKETCH_WORDS), known
+
+
+def _bounder(threshold: Fraction):
+    """Adds to pairs the least distance their sketches leave, NULL where unknown, and whether they may link."""
+    over, under = threshold.numerator, threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (a, known), (b, also) = _words(batch.column("sketch")), _words(batch.column("hub_sketch"))
+            known = known & also
+            n, m = (np.where(known, batch.column(c).fill_null(0).to_numpy(zero_copy_only=False), 0) for c in ("n", "hub_n"))
+            differ = np.maximum(np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), abs(n - m))
+            # difference d and sizes n, m: intersection (n + m - d) / 2, union (n + m + d) / 2
+            total = n + m
+            may = ~known | (under * (total - differ) >= over * (total + differ))
+            least = np.where(known, 2 * differ / np.maximum(total + differ, 1), np.nan)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("hub"), batch.column("several"), pa.array(least, mask=~known), pa.array(may)],
+                ["rep", "hub", "several", "distance", "may"],
+            )
+
+    return run
+
+
+def _parter(threshold: Fraction):
+    """Over rows sorted by (hub, i, j): those that may link to one with another label they are compared with."""
+    over, under = threshold.numerator, threshold.denominator
+
+    def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+        marks, known = _words(block.column("sketch"))
+        n = np.where(known, block.column("n").fill_null(0).to_numpy(zero_copy_only=False), 0)
+        label = block.column("label").to_numpy(zero_copy_only=False)
+        near = block.column("near").to_numpy(zero_copy_only=False)
+        across = block.column("i")[0].as_py() != block.column("j")[0].as_py()
+        keep = np.zeros(len(n), bool)
+        for i in range(len(n)):
+            total = n + n[i]
+            differ = np.maximum(np.bitwise_count(marks ^ marks[i]).sum(axis=1, dtype=np.int64), abs(n - n[i]))
+            may = (label != label[i]) & (~known | ~known[i] | (under * (total - differ) >= over * (total + differ)))
+            keep[i] = (may & (near != near[i])).any() if across else may.any()
+        return block.filter(pa.array(keep)).select(["hub", "i", "j", "rep", "label", "near"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hub", "i", "j")]
+            new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                own = tuple(c[a] for c in columns)
+                if own != key:
+                    if rows:
+                        yield flush(rows)
+                    key, rows = own, []
+                rows.append(batch.slice(a, b - a))
+        if rows:
+            yield flush(rows)
+
+    return run
+
+
 def shared(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):
@@ -147,33 +244,51 @@ def _block_tester(threshold: Fraction):
     return run
 
 
-def tested(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """Adds the distance and whether it links to each different pair (rep, hub, several), on full sets."""
+def bounded(pairs: DataFrame, marks: DataFrame, threshold: Fraction) -> DataFrame:
+    """Adds the least distance and whether it may link to each different pair (rep, hub, several), on sketches."""
+    hubs = marks.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
+    both = pairs.join(marks, "rep").join(hubs, "hub").select("rep", "hub", "several", "n", "sketch", "hub_n", "hub_sketch")
+    return settle(both.mapInArrow(_bounder(threshold), "rep long, hub long, several boolean, distance double, may boolean"), "bounded")
+
+
+def tested(pairs: DataFrame, marks: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Fraction) -> DataFrame:
+    """Adds the distance and whether it links to each different pair (rep, hub, several).
+
+    Pairs that may link by their sketches are compared on full sets; the others have the sketches' bound as distance.
+    """
+    known = bounded(pairs, marks, threshold)
+    pairs = known.where("may").select("rep", "hub", "several")
     chunks = pairs.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk")
     dealt = pairs.join(chunks, "hub").select("hub", own, "rep", "several")
     middle = chunks.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("hub").alias("rep"), F.lit(False).alias("several"))
-    both = dealt.unionByName(middle).join(sets, "rep").select("hub", "chunk", "rep", "several", "content")
+    members = pairs.select(F.explode(F.array("rep", "hub")).alias("rep")).distinct()
+    both = dealt.unionByName(middle).join(sets(members), "rep").select("hub", "chunk", "rep", "several", "content")
     ordered = both.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("rep") != F.col("hub"))
-    return settle(ordered.mapInArrow(_star_tester(threshold), "rep long, hub long, several boolean, distance double, linked boolean"), "tested")
+    compared = ordered.mapInArrow(_star_tester(threshold), "rep long, hub long, several boolean, distance double, linked boolean")
+    return settle(compared.unionByName(known.where("NOT may").drop("may").withColumn("linked", F.lit(False))), "tested")
 
 
 def set_table(df: DataFrame, wanted: DataFrame, n: int, name: Callable[[bytes], int] | None = None) -> DataFrame:
     """(rep, content): the sets of the documents (id, text) whose id is in `wanted`, named by the id or from their content.
 
-    The wanted ids grow with the documents: never a broadcast; hashing spares sorting the texts.
+    The wanted ids grow with the documents: never a broadcast; hashing spares sorting the texts. Equal rows count
+    once; they lie in one partition already, so that takes no shuffle.
     """
-    members = df.join(wanted.hint("shuffle_hash"), "id")
+    members = df.join(wanted.hint("shuffle_hash"), "id").select("id", "text").dropDuplicates(["id", "text"])
     return members.mapInArrow(_set_maker(n, name), "rep long, content binary").where("octet_length(content) > 0")
 
 
-def confirmed(near: DataFrame, sets: DataFrame, threshold: Fraction, block: int = CHUNK) -> DataFrame:
+def confirmed(
+    near: DataFrame, marks: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Fraction, block: int = CHUNK
+) -> DataFrame:
     """(rep, hub): links whose components are those of all links between members of a bucket.
 
     `near` holds (rep, hub, several) once for each set and hub that share a bucket; `several` if one of
-    these buckets has more than two members. Its rows of a hub with itself say nothing.
+    these buckets has more than two members. Its rows of a hub with itself say nothing. `marks` holds the sketches
+    of all sets, see `sketched`; `sets` gives the (rep, content) of at least the reps it is asked for.
     """
-    known = tested(near.where("rep != hub"), sets, threshold)
+    known = tested(near.where("rep != hub"), marks, sets, threshold)
     links = known.where("linked").select("rep", "hub")
 
     # beside the hub's component, which is the label of all that link to it, each set is a component
@@ -203,6 +318,9 @@ def confirmed(near: DataFrame, sets: DataFrame, threshold: Fraction, block: int
         "label",
         (F.col("own") <= F.col("other")).alias("near"),
     )
-    ordered = dealt.join(sets, "rep").repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    light = dealt.join(marks, "rep").repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    parted = light.mapInArrow(_parter(threshold), "hub long, i int, j int, rep long, label long, near boolean")
+    parted = settle(parted, "parted")
+    ordered = parted.join(sets(parted.select("rep").distinct()), "rep").repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
     rest = settle(ordered.mapInArrow(_block_tester(threshold), "rep long, hub long"), "rest")
     return links.unionByName(rest)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.linking import CHUNK, confirmed, set_table, shingles
+from rivulet.llm.linking import CHUNK, confirmed, set_table, shingles, sketched
 from rivulet.llm.tables import component_labels, settle
 from rivulet.llm.text_arrays import mix, text_slices
 
@@ -99,7 +99,7 @@ def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", n: in
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"), (F.count("*") > 2).alias("several"))
     near = settle(keys.join(hubs.where("hub != top").drop("top"), "key").groupBy("rep", "hub").agg(F.max("several").alias("several")), "near")
     sets = settle(set_table(rows, near.select(F.col("rep").alias("id")).distinct(), n), "sets")
-    links = confirmed(near, sets, share, block)
+    links = confirmed(near, sketched(sets), lambda reps: sets, share, block)
 
     copies = named.join(different.select("digest", "rep"), "digest").where("id != rep").select(F.col("id").alias("rep"), F.col("rep").alias("hub"))
     labels = component_labels(links.unionByName(copies), "rep", "hub")

@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import string
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, table, words
 
-from rivulet.llm import exact, jaccard, linededup, repeats
+from rivulet.llm import exact, jaccard, linededup, linking, repeats
 
 
 def shingles(text, n=3):
@@ -213,3 +215,38 @@ def test_short_and_blank_lines_stay_and_repeated_rows_are_alike(spark):
     df = table(spark, texts, sources=["x", "x", "y", "z"], ids=[1, 1, 2, None])
     got = linededup.line_dedup(df, min_sites=3).orderBy("doc_id").collect()
     assert sorted((r.doc_id or -1, r.text) for r in got) == [(-1, ""), (1, texts[0]), (1, texts[0]), (2, "a b\n")]
+
+
+def test_signatures_are_sent_in_few_bytes():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(string.ascii_letters) * rng.randrange(1, 9) for _ in range(300)) for _ in range(50)]
+    width = jaccard.name_bytes(len(texts))
+    sign = jaccard._signer(5, Fraction("0.8"), 0, width, 4)
+    sent = list(sign(iter([pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(texts)], ["id", "text"])])))
+    marks = sum(len(m.as_py()) for b in sent for m in b.column("marks")) // 4
+    names = [jaccard.unpacked_names(v.as_py(), width) for b in sent for v in b.column("names")]
+    assert sum(len(v) for v in names) == marks > 50 * 200
+    assert sum(len(v.as_py()) for b in sent for c in ("marks", "names") for v in b.column(c)) <= 10 * marks
+    assert len(set(np.concatenate(names).tolist())) == 50
+    assert [jaccard.name_bytes(n) for n in (0, 50, 250_000, 10**8, 10**12)] == [4, 4, 5, 8, 8]
+    some = np.array([0, 1, 2**40 - 1])
+    assert jaccard.unpacked_names(jaccard.packed_names(some, 5), 5).tolist() == some.tolist()
+
+
+def test_full_sets_are_made_only_where_sketches_leave_a_link(spark):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**63, 400, np.uint64))
+    near, far = np.sort(np.append(base[:-10], rng.integers(0, 2**63, 10, np.uint64))), np.unique(rng.integers(0, 2**63, 400, np.uint64))
+    twin = np.sort(np.append(far[5:], rng.integers(0, 2**63, 5, np.uint64)))
+    other = np.unique(rng.integers(0, 2**63, 400, np.uint64))
+    held = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate([base, near, far, twin, other])], "rep long, content binary")
+    asked = []
+
+    def sets(reps):
+        asked.append({r.rep for r in reps.collect()})
+        return held.join(reps, "rep")
+
+    pairs = spark.createDataFrame([(1, 0, True), (2, 0, True), (3, 0, True), (4, 0, True)], "rep long, hub long, several boolean")
+    found = linking.confirmed(pairs, linking.sketched(held), sets, Fraction("0.8"))
+    assert sorted(tuple(sorted(r)) for r in found.collect()) == [(0, 1), (2, 3)]
+    assert asked == [{0, 1}, {2, 3}]
