@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.linking import confirmed, set_table, shingles, sketches
+from rivulet.llm.linking import confirmed, set_table, shingles, sketch, sketches
 from rivulet.llm.tables import byte_total, component_labels, parts, settle
 from rivulet.llm.text_arrays import mix, text_slices, within
 
@@ -189,7 +189,7 @@ def _namer(n: int, salt: int, width: int):
                 both = [set_name(sets[a:b].tobytes(), salt, width) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 digests, names = zip(*both)
                 columns = [batch.column("id").slice(first, end - first), pa.array(np.diff(bounds)), pa.array(names, pa.int64())]
-                marks = [m.tobytes() for m in sketches(np.split(sets, bounds[1:-1]))]
+                marks = [sketch(own) for own in np.split(sets, bounds[1:-1])]
                 columns += [pa.array(digests, pa.binary()), pa.array(marks, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "digest", "sketch"])
 

@@ -9,8 +9,11 @@ hub. Those that link to it are one component and are not compared with each othe
 so two sets whose distances to the hub differ by more than a link allows need no comparison either. The others are
 dealt in blocks and compared exactly; so no link between components is lost, and no pairs are emitted.
 
-Full sets are only sent where they may link. A parity sketch of 1,024 bits bounds the difference of two sets from
-below: pairs it rules out keep that bound as their distance, and members of blocks that it parts from all others stay out.
+Full sets are only sent where they may link. A parity sketch bounds the difference of two sets from below: pairs it
+rules out keep that bound as their distance, and members of blocks that it parts from all others stay out. Its bits
+grow with the set, since a sketch much smaller than the difference is half ones and parts nothing; of two sketches the
+larger is folded to the smaller one's size. Members of blocks that are one component by their links to hubs, whichever
+these are, are not compared either.
 """
 
 from __future__ import annotations
@@ -23,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import settle
+from rivulet.llm.tables import component_labels, settle
 from rivulet.llm.text_arrays import SPACES, mix, span_names, text_slices, word_bounds
 
 #: sets in one chunk of a star, and in one block of a bucket
 CHUNK = 256
-SKETCH_WORDS = 16
+#: 64-bit words of the smallest sketch and of the largest; sets of more elements than bits are only parted less sharply
+SKETCH_WORDS, MOST_SKETCH_WORDS = 16, 2048
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,13 +77,27 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out, axis=1).view(np.uint64)
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """As sketches(), in the least power of two of words that has a bit for each element."""
+    bits = 64 * SKETCH_WORDS
+    while bits < len(own) and bits < 64 * MOST_SKETCH_WORDS:
+        bits *= 2
+    odd = np.bincount((own >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(marks: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows, words) as they are with fewer words."""
+    return marks if marks.shape[1] == words else np.bitwise_xor.reduce(marks.reshape(len(marks), -1, words), axis=1)
+
+
 def sketched(sets: DataFrame) -> DataFrame:
     """(rep, n, sketch) of the sets; NULL for a rep with several, of which nothing is ruled out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(c.as_py(), np.uint64) for c in batch.column("content")]
-            marks = [m.tobytes() for m in sketches(own)]
+            marks = [sketch(o) for o in own]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([len(o) for o in own], pa.int64()), pa.array(marks, pa.binary())], ["rep", "n", "sketch"])
 
     found = sets.mapInArrow(run, "rep long, n long, sketch binary").groupBy("rep").agg(F.count("*").alias("sets"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
@@ -87,12 +105,17 @@ def sketched(sets: DataFrame) -> DataFrame:
     return settle(found.select("rep", F.when(single, F.col("n")).alias("n"), F.when(single, F.col("sketch")).alias("sketch")), "sketched")
 
 
-def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Sketches, zeros for NULL, and which are known."""
+def _words(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Sketches, zeros for NULL, the words of each, and which are known."""
     held = column.to_pylist()
     known = np.array([h is not None for h in held], bool)
-    empty = bytes(8 * SKETCH_WORDS)
-    return np.frombuffer(b"".join(h or empty for h in held), np.uint64).reshape(-1, SKETCH_WORDS), known
+    held = [h or bytes(8 * SKETCH_WORDS) for h in held]
+    return held, np.array([len(h) // 8 for h in held], np.int64), known
+
+
+def _rows(held: list[bytes], chosen: np.ndarray) -> np.ndarray:
+    """The chosen sketches, which have the same size."""
+    return np.frombuffer(b"".join(held[i] for i in chosen.tolist()), np.uint64).reshape(len(chosen), -1)
 
 
 def _bounder(threshold: Fraction):
@@ -101,10 +124,15 @@ def _bounder(threshold: Fraction):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (a, known), (b, also) = _words(batch.column("sketch")), _words(batch.column("hub_sketch"))
+            (a, width, known), (b, hub_width, also) = _words(batch.column("sketch")), _words(batch.column("hub_sketch"))
             known = known & also
+            differ = np.zeros(batch.num_rows, np.int64)
+            for pair in set(zip(width.tolist(), hub_width.tolist())):
+                rows = np.flatnonzero((width == pair[0]) & (hub_width == pair[1]))
+                both = folded(_rows(a, rows), min(pair)) ^ folded(_rows(b, rows), min(pair))
+                differ[rows] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
             n, m = (np.where(known, batch.column(c).fill_null(0).to_numpy(zero_copy_only=False), 0) for c in ("n", "hub_n"))
-            differ = np.maximum(np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), abs(n - m))
+            differ = np.maximum(differ, abs(n - m))
             # difference d and sizes n, m: intersection (n + m - d) / 2, union (n + m + d) / 2
             total = n + m
             may = ~known | (under * (total - differ) >= over * (total + differ))
@@ -123,7 +151,13 @@ def _parter(threshold: Fraction):
 
     def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         block = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        marks, known = _words(block.column("sketch"))
+        held, width, known = _words(block.column("sketch"))
+        sizes = np.unique(width).tolist()
+        place = {w: np.flatnonzero(width == w) for w in sizes}
+        marks = {(w, v): folded(_rows(held, place[w]), v) for w in sizes for v in sizes if v <= w}
+        rank = np.empty(len(held), np.int64)
+        for w in sizes:
+            rank[place[w]] = np.arange(len(place[w]))
         n = np.where(known, block.column("n").fill_null(0).to_numpy(zero_copy_only=False), 0)
         label = block.column("label").to_numpy(zero_copy_only=False)
         near = block.column("near").to_numpy(zero_copy_only=False)
@@ -131,7 +165,11 @@ def _parter(threshold: Fraction):
         keep = np.zeros(len(n), bool)
         for i in range(len(n)):
             total = n + n[i]
-            differ = np.maximum(np.bitwise_count(marks ^ marks[i]).sum(axis=1, dtype=np.int64), abs(n - n[i]))
+            differ = abs(n - n[i])
+            for w in sizes:
+                v = min(w, int(width[i]))
+                odd = np.bitwise_count(marks[w, v] ^ marks[int(width[i]), v][rank[i]]).sum(axis=1, dtype=np.int64)
+                differ[place[w]] = np.maximum(differ[place[w]], odd)
             may = (label != label[i]) & (~known | ~known[i] | (under * (total - differ) >= over * (total + differ)))
             keep[i] = (may & (near != near[i])).any() if across else may.any()
         return block.filter(pa.array(keep)).select(["hub", "i", "j", "rep", "label", "near"])
@@ -291,8 +329,9 @@ def confirmed(
     known = tested(near.where("rep != hub"), marks, sets, threshold)
     links = known.where("linked").select("rep", "hub")
 
-    # beside the hub's component, which is the label of all that link to it, each set is a component
-    rows = known.where("several").withColumn("label", F.when(F.col("linked"), F.col("hub")).otherwise(F.col("rep")))
+    # sets that are one component by their links to any hubs have one label; beside these each set is a component
+    labels = component_labels(links, "rep", "hub").withColumnRenamed("node", "rep")
+    rows = known.where("several").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     close = F.coalesce("distance", F.lit(0.0))
     far = F.coalesce("distance", F.lit(1.0))
     state = rows.groupBy("hub").agg(

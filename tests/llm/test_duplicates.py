@@ -250,3 +250,58 @@ def test_full_sets_are_made_only_where_sketches_leave_a_link(spark):
     found = linking.confirmed(pairs, linking.sketched(held), sets, Fraction("0.8"))
     assert sorted(tuple(sorted(r)) for r in found.collect()) == [(0, 1), (2, 3)]
     assert asked == [{0, 1}, {2, 3}]
+
+
+def test_sketches_part_large_sets_that_do_not_link(spark):
+    rng = np.random.default_rng(4)
+
+    def like(own, share, size):
+        return np.unique(np.append(rng.permutation(own)[: int(share * len(own))], rng.integers(0, 2**63, size, np.uint64)))
+
+    base = np.unique(rng.integers(0, 2**63, 6000, np.uint64))
+    contents = [base, like(base, 0.9, 500), like(base, 0.7, 1500), like(base, 0.7, 1900), like(base, 0.5, 9000)]
+    held = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(contents)], "rep long, content binary")
+    asked = []
+
+    def sets(reps):
+        asked.append({r.rep for r in reps.collect()})
+        return held.join(reps, "rep")
+
+    pairs = spark.createDataFrame([(i, 0, True) for i in range(1, 5)], "rep long, hub long, several boolean")
+    found = linking.confirmed(pairs, linking.sketched(held), sets, Fraction("0.8"))
+    assert [tuple(r) for r in found.collect()] == [(1, 0)]
+    assert asked == [{0, 1}, set()]
+
+
+@pytest.mark.parametrize("sizes", [(1000, 1100), (1020, 1030), (2040, 2060), (4000, 4300), (200_000, 210_000)])
+def test_folded_sketches_never_exceed_the_difference(sizes):
+    rng = np.random.default_rng(5)
+    a = np.unique(rng.integers(0, 2**63, sizes[0], np.uint64))
+    b = np.unique(np.append(a[50:], rng.integers(0, 2**63, sizes[1] - sizes[0] + 50, np.uint64)))
+    x, y = (np.frombuffer(linking.sketch(v), np.uint64).reshape(1, -1) for v in (a, b))
+    words = min(x.shape[1], y.shape[1])
+    differ = int(np.bitwise_count(linking.folded(x, words) ^ linking.folded(y, words)).sum())
+    most = len(np.setxor1d(a, b))
+    assert differ <= most and (most - differ) % 2 == 0 and x.shape[1] <= linking.MOST_SKETCH_WORDS
+    assert linking.folded(y, linking.SKETCH_WORDS).tolist() == linking.sketches([b]).tolist()
+
+
+def test_sets_linked_over_any_hub_are_not_compared_again(spark):
+    rng = np.random.default_rng(6)
+    near = [np.unique(rng.integers(0, 2**63, 400, np.uint64))]
+    for _ in range(3):
+        near.append(np.sort(np.append(near[0][:-6], rng.integers(0, 2**63, 6, np.uint64))))
+    far = np.unique(rng.integers(0, 2**63, 400, np.uint64))
+    held = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate([far, *near])], "rep long, content binary")
+    asked = []
+
+    def sets(reps):
+        asked.append({r.rep for r in reps.collect()})
+        return held.join(reps, "rep")
+
+    # 2, 3 and 4 link to 1; all share buckets with 0, which links to none
+    rows = [(i, 1, False) for i in (2, 3, 4)] + [(i, 0, True) for i in (1, 2, 3, 4)]
+    pairs = spark.createDataFrame(rows, "rep long, hub long, several boolean")
+    found = linking.confirmed(pairs, linking.sketched(held), sets, Fraction("0.8"))
+    assert sorted(tuple(r) for r in found.collect()) == [(2, 1), (3, 1), (4, 1)]
+    assert asked == [{1, 2, 3, 4}, set()]
