@@ -38,6 +38,8 @@ from rivulet.llm.text_arrays import SPACES, span_names, text_slices, word_bounds
 
 MODEL_WORDS = 4096
 COUNT_WORDS = 1 << 16
+#: upper bits of a word by which its count is looked up
+PLACE_BITS = 18
 CLASS_SIZE = 128
 EMBEDDING = 16
 HIDDEN = 24
@@ -101,6 +103,7 @@ class Vocabulary:
     size: int
     total: int
     different: int
+    _places: tuple[np.ndarray, int] | None = None
 
     @classmethod
     def of(cls, counts: DataFrame, most: int, modelled: int) -> Vocabulary:
@@ -132,11 +135,27 @@ class Vocabulary:
         order = np.argsort(words)
         return cls(words[order], number[order], ids[order], min(modelled, len(top)), int(total), int(different))
 
+    def places(self) -> tuple[np.ndarray, int]:
+        """Where the words with each PLACE_BITS upper bits begin, and how many such words there are at most."""
+        if self._places is None:
+            starts = np.searchsorted(self.words, np.arange(1 << PLACE_BITS, dtype=np.uint64) << np.uint64(64 - PLACE_BITS))
+            most = int(np.diff(np.append(starts, len(self.words))).max())
+            self._places = np.minimum(starts, len(self.words) - 1).astype(np.int32), most
+        return self._places
+
     def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts (-1: not sent) and model ids (`size`: none of its own)."""
         if not len(self.words):
             return np.full(len(words), -1), np.full(len(words), self.size)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        firsts, most = self.places()
+        at = firsts[(words >> np.uint64(64 - PLACE_BITS)).astype(np.int64)]
+        later = np.arange(len(words))
+        for _ in range(most - 1):  # words with the same upper bits are few, as they are hashes
+            later = later[self.words[at[later]] < words[later]]
+            if not len(later):
+                break
+            at[later] += 1
+            np.minimum(at, len(self.words) - 1, out=at)
         known = self.words[at] == words
         ids = np.where(known & (self.ids[at] >= 0), self.ids[at], self.size)
         return np.where(known, self.counts[at], -1), ids
@@ -182,96 +201,136 @@ class Network:
         return self.values[0] @ self.values[6]
 
     def step(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step of all streams from their projected inputs: new state, and what going back needs."""
+        """turned_step() of streams that are rows."""
+        return tuple(v.T for v in self.turned_step(self.values[1].T, x.T, fresh, h.T))
+
+    def turned_step(self, weights: np.ndarray, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """One step of all streams from their projected inputs: new state, and what going back needs.
+
+        All are (places, streams), which leaves the gates' parts in one piece each; `weights` are those of the state, turned.
+        """
         size = self.hidden
-        held = np.where(fresh[:, None], np.float32(0), h) if fresh.any() else h
-        u = held @ self.values[1]
-        gates = x[:, : 2 * size] + u[:, : 2 * size]
+        held = np.where(fresh, np.float32(0), h) if fresh.any() else h
+        u = weights @ held
+        gates = x[: 2 * size] + u[: 2 * size]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        keep, use, u = gates[:, :size], gates[:, size:], u[:, 2 * size :]
-        new = np.tanh(x[:, 2 * size :] + use * u)
-        return keep * (held - new) + new, held, keep, use, new, u
+        u = u[2 * size :]
+        new = gates[size:] * u
+        new += x[2 * size :]
+        np.tanh(new, out=new)
+        state = held - new
+        state *= gates[:size]
+        state += new
+        return state, held, gates, new, u
 
     def output(self, h: np.ndarray, target: np.ndarray, grads: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """ln P of each target; with `grads`, adds to the gradients and returns that of the states."""
-        rows = np.arange(len(target))
-        kind = np.where(target < self.size, target // CLASS_SIZE, self.n_classes)
+        """ln P of each target; with `grads`, adds to the gradients and returns that of the states.
 
-        def soft(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            np.minimum(logits, np.float32(60), out=logits)
-            own = logits[np.arange(len(at)), at]
+        The biases are the weights of a state that is always 1. Exponentials stay undivided by their sums: the
+        few columns of states and of their gradients are divided instead.
+        """
+        kind = np.where(target < self.size, target // CLASS_SIZE, self.n_classes)
+        order = np.argsort(kind.astype(np.int16), kind="stable")
+        kind, target = kind[order], target[order]
+        states = np.ones((len(target), self.hidden + 1), h.dtype)
+        states[:, :-1] = h[order]
+        classes = np.vstack([self.values[2], self.values[3]])
+        words = np.column_stack([self.values[4], self.values[5]])
+        by_class = np.ascontiguousarray(words.reshape(-1, CLASS_SIZE, words.shape[1]).transpose(0, 2, 1))
+        most = max(1.0, float(np.abs(states).max(initial=0)))
+        # no sum of weights can reach the limit of the exponentials in most cases
+        high = most * max(float(np.abs(w).sum(axis=a).max(initial=0)) for w, a in ((classes, 0), (words, 1))) > 60
+
+        def soft(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """ln P of the targets, exponentials (in place), sums, and where the targets stand."""
+            if high:
+                np.minimum(logits, np.float32(60), out=logits)
+            flat, place = logits.ravel(), np.arange(0, logits.size, logits.shape[1]) + at
+            own = flat[place]
             np.exp(logits, out=logits)
             total = logits @ np.ones(logits.shape[1], np.float32)
-            if grads is not None:
-                logits *= (1 / total)[:, None]
-            return own - np.log(total), logits
+            return own - np.log(total), flat, total, place
 
-        order = np.argsort(kind.astype(np.int16), kind="stable")
-        h, kind, target = h[order], kind[order], target[order]
-        found, p = soft(h @ self.values[2] + self.values[3], kind)
+        turned = None if grads is None else np.ascontiguousarray(states.T)
         back = None
+
+        def learnt(flat: np.ndarray, logits: np.ndarray, total: np.ndarray, place: np.ndarray, own: slice) -> tuple[np.ndarray, np.ndarray]:
+            """Gradients by the weights, (hidden + 1, columns), and what the states' ones are to be divided by."""
+            flat[place] -= total
+            share = 1 / total
+            return (turned[:, own] * share) @ logits, share[:, None]
+
+        logits = states @ classes
+        found, flat, total, place = soft(logits, kind)
         if grads is not None:
-            p[rows, kind] -= 1
-            grads[2] += h.T @ p
-            grads[3] += p.sum(axis=0)
-            back = p @ self.values[2].T
+            by, share = learnt(flat, logits, total, place, slice(None))
+            grads[2] += by[:-1]
+            grads[3] += by[-1]
+            back = logits @ self.values[2].T
+            back *= share
         cuts = np.searchsorted(kind, np.arange(self.n_classes + 1))
         for c in range(self.n_classes):
             own = slice(cuts[c], cuts[c + 1])
             if cuts[c] == cuts[c + 1]:
                 continue
             part = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            at = target[own] - c * CLASS_SIZE
-            more, q = soft(h[own] @ self.values[4][part].T + self.values[5][part], at)
+            logits = states[own] @ by_class[c]
+            more, flat, total, place = soft(logits, target[own] - c * CLASS_SIZE)
             found[own] += more
             if grads is not None:
-                q[rows[: len(at)], at] -= 1
-                grads[4][part] += q.T @ h[own]
-                grads[5][part] += q.sum(axis=0)
-                back[own] += q @ self.values[4][part]
+                by, share = learnt(flat, logits, total, place, own)
+                grads[4][part] += by[:-1].T
+                grads[5][part] += by[-1]
+                onto = logits @ self.values[4][part]
+                onto *= share
+                back[own] += onto
         place = np.empty_like(order)
-        place[order] = rows
+        place[order] = np.arange(len(order))
         return found[place], None if back is None else back[place]
 
     def learn(self, before: np.ndarray, fresh: np.ndarray, target: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         """One window (steps, streams), targets below 0 being no tokens; returns the state after it."""
-        size, steps = self.hidden, []
+        size, (steps, streams) = self.hidden, before.shape
         read = self.values[0][before]
-        x = read @ self.values[6]
-        for t in range(len(before)):
-            steps.append(self.step(x[t], fresh[t], h))
-            h = steps[-1][0]
+        inputs = read.transpose(0, 2, 1)
+        x = np.matmul(np.ascontiguousarray(self.values[6].T), inputs)
+        weights, now = np.ascontiguousarray(self.values[1].T), np.ascontiguousarray(h.T)
+        states, held, new, u = (np.empty((steps, size, streams), x.dtype) for _ in range(4))
+        gates = np.empty((steps, 2 * size, streams), x.dtype)
+        for t in range(steps):
+            now, held[t], gates[t], new[t], u[t] = self.turned_step(weights, x[t], fresh[t], now)
+            states[t] = now
+        keep, use = gates[:, :size], gates[:, size:]
         grads = [None] + [np.zeros_like(v) for v in self.values[1:]]
-        states, held, keep, use, new, u = (np.stack(v) for v in zip(*steps))
         real = target >= 0
         count = max(1, int(real.sum()))
-        _, back = self.output(states[real], target[real], grads)
-        onto = np.zeros_like(states)
-        onto[real] = back
+        onto = np.zeros((steps, streams, size), x.dtype)
+        onto[real] = self.output(states.transpose(0, 2, 1)[real], target[real], grads)[1]
+        onto = np.ascontiguousarray(onto.transpose(0, 2, 1))
         by_new = (1 - keep) * (1 - new * new)
         by_keep = (held - new) * keep * (1 - keep)
         by_use = u * use * (1 - use)
-        inner = np.empty((*before.shape, 3 * size), x.dtype)
-        into = np.empty_like(inner)
-        dh, onwards, cut = np.zeros_like(h), np.ascontiguousarray(self.values[1].T), fresh.any(axis=1)
-        for t in range(len(before) - 1, -1, -1):
+        inner = np.empty_like(x)
+        into = np.empty_like(new)
+        dh, cut = np.zeros_like(now), fresh.any(axis=1)
+        for t in range(steps - 1, -1, -1):
             dh += onto[t]
-            d_new = np.multiply(dh, by_new[t], out=into[t, :, 2 * size :])
-            np.multiply(dh, by_keep[t], out=inner[t, :, :size])
-            np.multiply(d_new, by_use[t], out=inner[t, :, size : 2 * size])
-            np.multiply(d_new, use[t], out=inner[t, :, 2 * size :])
+            d_new = np.multiply(dh, by_new[t], out=into[t])
+            np.multiply(dh, by_keep[t], out=inner[t, :size])
+            np.multiply(d_new, by_use[t], out=inner[t, size : 2 * size])
+            np.multiply(d_new, use[t], out=inner[t, 2 * size :])
             dh *= keep[t]
-            dh += inner[t] @ onwards
+            dh += self.values[1] @ inner[t]
             if cut[t]:
-                dh[fresh[t]] = 0
-        into[:, :, : 2 * size] = inner[:, :, : 2 * size]
-        grads[1] = held.reshape(-1, size).T @ inner.reshape(-1, 3 * size)
-        into = into.reshape(-1, 3 * size)
-        grads[6] = read.reshape(len(into), -1).T @ into
-        into = into @ self.values[6].T
+                dh[:, fresh[t]] = 0
+        turned = inner.transpose(0, 2, 1).reshape(steps * streams, -1)
+        grads[1] = held.transpose(0, 2, 1).reshape(steps * streams, -1).T @ turned
+        turned.reshape(steps, streams, -1)[:, :, 2 * size :] = into.transpose(0, 2, 1)
+        grads[6] = read.reshape(steps * streams, -1).T @ turned
+        into = turned @ self.values[6].T
         for i in range(1, len(self.values)):
             g = grads[i]
             g /= count
@@ -280,12 +339,12 @@ class Network:
             g *= rate
             self.values[i] -= g
         flat = before.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.int16) if self.size < 1 << 15 else flat, kind="stable")
         heads = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
         rows, g = flat[order][heads], np.add.reduceat(into[order], heads) / count
         self.squares[0][rows] += g * g
         self.values[0][rows] -= rate * g / np.sqrt(self.squares[0][rows])
-        return h
+        return now.T
 
 
 def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int) -> tuple[np.ndarray, ...]:
@@ -370,12 +429,13 @@ def windows(texts: Iterator[np.ndarray], start: int, streams: int) -> Iterator[t
 def log_likelihoods(net: Network, ids: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """ln P of each token, the class share alone for words without an id."""
     before, fresh, target, at, running = packed(ids, firsts, net.size + 1, SCORE_STREAMS)
-    h = np.zeros((before.shape[1], net.hidden), np.float32)
-    out, read = np.zeros(len(ids)), net.projected()
+    h = np.zeros((net.hidden, before.shape[1]), np.float32)
+    out = np.zeros(len(ids))
+    onto, weights = (np.ascontiguousarray(net.values[i].T) for i in (6, 1))
     states, places, waiting = [], [], 0
     for t, n in enumerate(running.tolist()):
-        h = net.step(read[before[t, :n]], fresh[t, :n], h[:n])[0]
-        states.append(h)
+        h = net.turned_step(weights, onto @ net.values[0][before[t, :n]].T, fresh[t, :n], h[:, :n])[0]
+        states.append(h.T)
         places.append(at[t, :n])
         waiting += n
         if waiting >= CHUNK or t + 1 == len(running):
@@ -442,34 +502,27 @@ def fit(training: DataFrame, vocabulary: Broadcast[Vocabulary], key: Column, rou
     return net
 
 
-def _rare_words(vocabulary: Broadcast[Vocabulary]):
-    """(key, word, n): words of each text whose count is not among the sent ones."""
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                words, firsts = sequences(data, offsets)
-                counts, _ = vocabulary.value.look_up(words)
-                rows = np.repeat(np.arange(end - first), np.diff(firsts))
-                own = np.stack([rows[counts < 0].astype(np.uint64), words[counts < 0]], axis=1)
-                order = np.lexsort((own[:, 1], own[:, 0]))
-                own = own[order]
-                heads = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]).any(axis=1)])) if len(own) else np.empty(0, np.int64)
-                n = np.diff(np.append(heads, len(own)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[first + own[heads, 0].astype(np.int64)]), pa.array(own[heads, 1].copy().view(np.int64)), pa.array(n, pa.int32())],
-                    ["key", "word", "n"],
-                )
-
-    return rare
+RARE = pa.struct([("word", pa.int64()), ("n", pa.int32())])
+LOCAL = (
+    "key long, id long, held_out boolean, n_tokens long, n_known long, n_shared long, logs double, shared double, model double, "
+    "rare array<struct<word: long, n: int>>"
+)
 
 
-LOCAL = "key long, id long, held_out boolean, n_tokens long, n_known long, n_rare long, n_shared long, logs double, shared double, model double"
+def rare_words(words: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
+    """(word, how often) of each of n rows."""
+    order = np.lexsort((words, row))
+    words, row = words[order], row[order]
+    heads = np.ones(len(words), bool)
+    heads[1:] = (words[1:] != words[:-1]) | (row[1:] != row[:-1])
+    heads = np.flatnonzero(heads)
+    often = np.diff(np.append(heads, len(words))).astype(np.int32)
+    bounds = np.searchsorted(row[heads], np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays([pa.array(words[heads].view(np.int64)), pa.array(often)], fields=list(RARE)))
 
 
 def _scorer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
-    """What each text's score needs but for the counts of rare words."""
+    """What each text's score needs, and its words whose counts are not among the sent ones."""
 
     def scored(rows: list[pa.RecordBatch], parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         own = vocabulary.value
@@ -484,11 +537,12 @@ def _scorer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
         def by_row(values: np.ndarray) -> np.ndarray:
             return np.bincount(row, weights=values, minlength=n)
 
-        numbers = [sizes, by_row(counts > 0), by_row(counts < 0), by_row(shared)]
+        numbers = [sizes, by_row(counts > 0), by_row(shared)]
         sums = [by_row(logs), by_row(np.where(shared, logs, 0.0)), by_row(log_likelihoods(net.value, ids, firsts)) / np.log(10)]
-        names = ["key", "id", "held_out", "n_tokens", "n_known", "n_rare", "n_shared", "logs", "shared", "model"]
+        names = ["key", "id", "held_out", "n_tokens", "n_known", "n_shared", "logs", "shared", "model", "rare"]
         given = [pa.concat_arrays([r.column(c) for r in rows]) for c in names[:3]]
-        return pa.RecordBatch.from_arrays(given + [pa.array(v.astype(np.int64)) for v in numbers] + [pa.array(v) for v in sums], names)
+        rare = rare_words(words[counts < 0], row[counts < 0], n)
+        return pa.RecordBatch.from_arrays(given + [pa.array(v.astype(np.int64)) for v in numbers] + [pa.array(v) for v in sums] + [rare], names)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[pa.RecordBatch] = []
@@ -521,15 +575,15 @@ def likelihoods(df: DataFrame, held_out: Column, text: str = "text", id: str = "
     sent = sc.broadcast(own)
     net = fit(training, sent, F.col("key"))
 
-    local = rows.mapInArrow(_scorer(sc.broadcast(net), sent), LOCAL)
-    rare = rows.select("key", "text").mapInArrow(_rare_words(sent), "key long, word long, n int")
+    local = settle(rows.mapInArrow(_scorer(sc.broadcast(net), sent), LOCAL), "local")
+    rare = local.select("key", F.inline("rare").alias("word", "n"))
     seen = rare.join(counts.withColumnRenamed("n", "c"), "word")
     sums = seen.groupBy("key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs_rare"), F.sum("n").alias("known_rare"))
-    copies = rows.groupBy("key").agg(F.count("*").alias("copies"))
+    copies = local.groupBy("key").agg(F.count("*").alias("copies"))
     more = sums.join(copies, "key").select("key", (F.col("logs_rare") / F.col("copies")).alias("logs_rare"), (F.col("known_rare") / F.col("copies")).alias("known_rare"))
     outside = float(own.total - own.model_counts()[:-1].sum()) + (own.different - own.size) + 1
     extra, known = F.coalesce("logs_rare", F.lit(0.0)), F.coalesce("known_rare", F.lit(0.0))
-    return local.join(more, "key", "left").select(
+    return local.drop("rare").join(more, "key", "left").select(
         F.col("id").alias(id),
         "held_out",
         "n_tokens",

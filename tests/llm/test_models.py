@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import AWKWARD, table, words
 
 import corpus_pipeline
@@ -323,3 +324,30 @@ def test_pipeline_on_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.settle(stage(spark, docs, SF_DIR), name)
         assert docs.count() == 0
+
+
+def test_scoring_finds_rare_words_in_the_same_pass():
+    texts = ["a b c b", None, "c d d D e", "a"]
+    held = pa.RecordBatch.from_pydict({"key": [1, 2, 3, 4], "id": [1, 2, 3, 4], "held_out": [False] * 4, "text": texts})
+    data = np.frombuffer(b"abcdef", np.uint8)
+    names = dict(zip("abcdef", lm.sequences(data, np.arange(7))[0][::2].tolist()))
+    words = np.array(sorted([int(lm.END), names["a"], names["c"]]), np.uint64)
+    vocabulary = lm.Vocabulary(words, np.array([4, 3, 2]), np.arange(3), 3, 9, 3)
+    sent = lambda value: types.SimpleNamespace(value=value)
+    score = lm._scorer(sent(lm.Network(vocabulary.model_counts())), sent(vocabulary))
+    rows = [r for b in score(iter([held])) for r in b.to_pylist()]
+    found = [sorted((r["word"] % 2**64, r["n"]) for r in row["rare"]) for row in rows]
+    assert found == [[(names["b"], 2)], [], sorted([(names["d"], 3), (names["e"], 1)]), []]
+    assert [r["n_tokens"] for r in rows] == [5, 1, 6, 2]
+
+
+@pytest.mark.parametrize("bits", [64, 50, 20])
+def test_words_are_looked_up_where_many_have_the_same_upper_bits(bits):
+    rng = np.random.default_rng(bits)
+    words = np.unique(rng.integers(0, 2**bits, 900, np.uint64) if bits < 64 else rng.integers(0, 2**64 - 1, 900, np.uint64))
+    asked = np.concatenate([words, words + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    counts, ids = lm.Vocabulary(words, np.arange(len(words)), np.arange(len(words)), len(words), 1, 1).look_up(asked)
+    known = {w: i for i, w in enumerate(words.tolist())}
+    assert counts.tolist() == [known.get(w, -1) for w in asked.tolist()]
+    assert ids.tolist() == [known.get(w, len(words)) for w in asked.tolist()]
+    assert lm.Vocabulary(words[:0], words[:0].astype(int), words[:0].astype(int), 0, 0, 0).look_up(asked)[0].max() == -1
