@@ -22,6 +22,7 @@ scores are 0.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
@@ -50,7 +51,8 @@ STREAMS = 128
 SCORE_STREAMS = 512
 ROUNDS = 4
 RATE = 0.05
-SLICE = 1 << 21
+#: bytes split into words together; arrays of this length stay in memory that is mapped already
+SLICE = 1 << 18
 #: tokens that training reads ahead: so many that a long text seldom starts last and runs alone
 POOL = 1 << 22
 #: tokens that are scored together: the more, the less time goes to the longest texts alone
@@ -167,6 +169,23 @@ class Vocabulary:
         return np.append(own, self.total - own.sum())
 
 
+class Room:
+    """Arrays that are used again by name, so that no window maps memory for new ones."""
+
+    def __init__(self) -> None:
+        self._kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, like: np.ndarray) -> np.ndarray:
+        """An array of this shape with any content, which lasts until the name is asked for again."""
+        size, flat = math.prod(shape), self._kept.get(name)
+        if flat is None or len(flat) < size or flat.dtype != like.dtype:
+            flat = self._kept[name] = np.empty(size, like.dtype)
+        return flat[:size].reshape(shape)
+
+    def __reduce__(self) -> tuple:
+        return Room, ()
+
+
 class Network:
     """Gated recurrent network over model ids; the input after the last id marks a text's start."""
 
@@ -184,6 +203,7 @@ class Network:
         values[5][: self.size] = np.log((counts[:-1] + 1.0) / (np.repeat(mass[:-1], CLASS_SIZE)[: self.size] + CLASS_SIZE))
         self.values = values
         self.squares = [np.full_like(v, 1e-6) for v in values]
+        self.room = Room()
 
     def vector(self) -> np.ndarray:
         """All weights and the roots of the gradients' square sums."""
@@ -227,7 +247,7 @@ class Network:
         return state, held, gates, new, u
 
     def output(self, h: np.ndarray, target: np.ndarray, grads: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """ln P of each target; with `grads`, adds to the gradients and returns that of the states.
+        """ln P of each target; with `grads`, adds to the gradients and returns that of the states (kept in `room`).
 
         The biases are the weights of a state that is always 1. Exponentials stay undivided by their sums: the
         few columns of states and of their gradients are divided instead.
@@ -235,14 +255,19 @@ class Network:
         kind = np.where(target < self.size, target // CLASS_SIZE, self.n_classes)
         order = np.argsort(kind.astype(np.int16), kind="stable")
         kind, target = kind[order], target[order]
-        states = np.ones((len(target), self.hidden + 1), h.dtype)
-        states[:, :-1] = h[order]
+        room, n, wide = self.room, len(target), self.hidden + 1
+        states = room("states", n, wide, like=h)
+        states[:, :-1] = np.take(h, order, axis=0, out=room("sorted", n, self.hidden, like=h), mode="clip")
+        states[:, -1] = 1
         classes = np.vstack([self.values[2], self.values[3]])
-        words = np.column_stack([self.values[4], self.values[5]])
-        by_class = np.ascontiguousarray(words.reshape(-1, CLASS_SIZE, words.shape[1]).transpose(0, 2, 1))
-        most = max(1.0, float(np.abs(states).max(initial=0)))
+        words = room("words", len(self.values[4]), wide, like=self.values[4])
+        words[:, :-1], words[:, -1] = self.values[4], self.values[5]
+        by_class = room("by_class", self.n_classes, wide, CLASS_SIZE, like=words)
+        by_class[:] = words.reshape(-1, CLASS_SIZE, wide).transpose(0, 2, 1)
+        most = max(1.0, float(states.max(initial=0)), -float(states.min(initial=0)))
         # no sum of weights can reach the limit of the exponentials in most cases
-        high = most * max(float(np.abs(w).sum(axis=a).max(initial=0)) for w, a in ((classes, 0), (words, 1))) > 60
+        sizes = ((np.abs(w, out=room("sizes", *w.shape, like=w)), a) for w, a in ((classes, 0), (words, 1)))
+        high = most * max(float(w.sum(axis=a).max(initial=0)) for w, a in sizes) > 60
 
         def soft(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             """ln P of the targets, exponentials (in place), sums, and where the targets stand."""
@@ -254,67 +279,101 @@ class Network:
             total = logits @ np.ones(logits.shape[1], np.float32)
             return own - np.log(total), flat, total, place
 
-        turned = None if grads is None else np.ascontiguousarray(states.T)
-        back = None
+        turned = back = None
+        if grads is not None:
+            turned = room("turned_states", wide, n, like=h)
+            turned[:] = states.T
 
         def learnt(flat: np.ndarray, logits: np.ndarray, total: np.ndarray, place: np.ndarray, own: slice) -> tuple[np.ndarray, np.ndarray]:
             """Gradients by the weights, (hidden + 1, columns), and what the states' ones are to be divided by."""
             flat[place] -= total
             share = 1 / total
-            return (turned[:, own] * share) @ logits, share[:, None]
+            shared = np.multiply(turned[:, own], share, out=room("shared", wide, len(share), like=h))
+            return shared @ logits, share[:, None]
 
-        logits = states @ classes
+        logits = np.matmul(states, classes, out=room("class_logits", n, classes.shape[1], like=h))
         found, flat, total, place = soft(logits, kind)
         if grads is not None:
             by, share = learnt(flat, logits, total, place, slice(None))
             grads[2] += by[:-1]
             grads[3] += by[-1]
-            back = logits @ self.values[2].T
+            back = np.matmul(logits, self.values[2].T, out=room("back", n, self.hidden, like=h))
             back *= share
-        cuts = np.searchsorted(kind, np.arange(self.n_classes + 1))
+        cuts = np.searchsorted(kind, np.arange(self.n_classes + 1)).tolist()
+        most = max((end - at for at, end in zip(cuts, cuts[1:])), default=0)
+        all_logits, all_onto = room("logits", most, CLASS_SIZE, like=h), room("onto_class", most, self.hidden, like=h)
+        target -= kind * CLASS_SIZE
+        if grads is not None:
+            by_words = room("by_words", self.n_classes, wide, CLASS_SIZE, like=h)
+            by_words.fill(0)
         for c in range(self.n_classes):
-            own = slice(cuts[c], cuts[c + 1])
-            if cuts[c] == cuts[c + 1]:
+            own, size = slice(cuts[c], cuts[c + 1]), cuts[c + 1] - cuts[c]
+            if not size:
                 continue
             part = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            logits = states[own] @ by_class[c]
-            more, flat, total, place = soft(logits, target[own] - c * CLASS_SIZE)
+            logits = np.matmul(states[own], by_class[c], out=all_logits[:size])
+            more, flat, total, place = soft(logits, target[own])
             found[own] += more
             if grads is not None:
-                by, share = learnt(flat, logits, total, place, own)
-                grads[4][part] += by[:-1].T
-                grads[5][part] += by[-1]
-                onto = logits @ self.values[4][part]
+                by_words[c], share = learnt(flat, logits, total, place, own)
+                onto = np.matmul(logits, self.values[4][part], out=all_onto[:size])
                 onto *= share
                 back[own] += onto
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        return found[place], None if back is None else back[place]
+        if back is not None:
+            grads[4].reshape(self.n_classes, CLASS_SIZE, -1)[:] += by_words[:, :-1].transpose(0, 2, 1)
+            grads[5].reshape(self.n_classes, CLASS_SIZE)[:] += by_words[:, -1]
+            back = np.take(back, place, axis=0, out=room("sorted", n, self.hidden, like=h), mode="clip")
+        return found[place], back
 
     def learn(self, before: np.ndarray, fresh: np.ndarray, target: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         """One window (steps, streams), targets below 0 being no tokens; returns the state after it."""
         size, (steps, streams) = self.hidden, before.shape
-        read = self.values[0][before]
-        inputs = read.transpose(0, 2, 1)
-        x = np.matmul(np.ascontiguousarray(self.values[6].T), inputs)
-        weights, now = np.ascontiguousarray(self.values[1].T), np.ascontiguousarray(h.T)
-        states, held, new, u = (np.empty((steps, size, streams), x.dtype) for _ in range(4))
-        gates = np.empty((steps, 2 * size, streams), x.dtype)
+        n, inputs, like = steps * streams, self.values[0], self.values[1]
+
+        def room(name: str, *shape: int) -> np.ndarray:
+            return self.room(name, *shape, like=like)
+
+        read = np.take(inputs, before, axis=0, out=room("read", steps, streams, inputs.shape[1]), mode="clip")
+        x = np.matmul(np.ascontiguousarray(self.values[6].T), read.transpose(0, 2, 1), out=room("x", steps, 3 * size, streams))
+        weights, now = np.ascontiguousarray(like.T), np.ascontiguousarray(h.T)
+        states, held, new, u = (room(name, steps, size, streams) for name in ("after", "held", "new", "u"))
+        gates = room("gates", steps, 2 * size, streams)
         for t in range(steps):
             now, held[t], gates[t], new[t], u[t] = self.turned_step(weights, x[t], fresh[t], now)
             states[t] = now
         keep, use = gates[:, :size], gates[:, size:]
-        grads = [None] + [np.zeros_like(v) for v in self.values[1:]]
-        real = target >= 0
+        grads = [None] + [room(f"gradient {i}", *v.shape) for i, v in enumerate(self.values) if i]
+        for g in grads[1:]:
+            g.fill(0)
+        real = target.ravel() >= 0
         count = max(1, int(real.sum()))
-        onto = np.zeros((steps, streams, size), x.dtype)
-        onto[real] = self.output(states.transpose(0, 2, 1)[real], target[real], grads)[1]
-        onto = np.ascontiguousarray(onto.transpose(0, 2, 1))
-        by_new = (1 - keep) * (1 - new * new)
-        by_keep = (held - new) * keep * (1 - keep)
-        by_use = u * use * (1 - use)
-        inner = np.empty_like(x)
-        into = np.empty_like(new)
+        rows = room("rows", steps, streams, size)
+        rows[:] = states.transpose(0, 2, 1)
+        rows = rows.reshape(n, size)
+        if count == n:
+            by_row = self.output(rows, target.ravel(), grads)[1]
+        else:
+            by_row = room("by_row", n, size)
+            by_row.fill(0)
+            by_row[real] = self.output(rows[real], target.ravel()[real], grads)[1]
+        onto = room("onto", steps, size, streams)
+        onto[:] = by_row.reshape(steps, streams, size).transpose(0, 2, 1)
+        by_new, by_keep, by_use, rest = (room(name, steps, size, streams) for name in ("by_new", "by_keep", "by_use", "rest"))
+        # (1 - keep) * (1 - new * new), (held - new) * keep * (1 - keep), u * use * (1 - use)
+        np.multiply(new, new, out=by_new)
+        np.subtract(1, by_new, out=by_new)
+        np.subtract(1, keep, out=rest)
+        by_new *= rest
+        np.subtract(held, new, out=by_keep)
+        by_keep *= keep
+        by_keep *= rest
+        np.multiply(u, use, out=by_use)
+        np.subtract(1, use, out=rest)
+        by_use *= rest
+        inner = room("inner", steps, 3 * size, streams)
+        into = room("into", steps, size, streams)
         dh, cut = np.zeros_like(now), fresh.any(axis=1)
         for t in range(steps - 1, -1, -1):
             dh += onto[t]
@@ -326,22 +385,26 @@ class Network:
             dh += self.values[1] @ inner[t]
             if cut[t]:
                 dh[:, fresh[t]] = 0
-        turned = inner.transpose(0, 2, 1).reshape(steps * streams, -1)
-        grads[1] = held.transpose(0, 2, 1).reshape(steps * streams, -1).T @ turned
-        turned.reshape(steps, streams, -1)[:, :, 2 * size :] = into.transpose(0, 2, 1)
-        grads[6] = read.reshape(steps * streams, -1).T @ turned
-        into = turned @ self.values[6].T
+        turned, past = room("turned", steps, streams, 3 * size), room("past", steps, streams, size)
+        turned[:], past[:] = inner.transpose(0, 2, 1), held.transpose(0, 2, 1)
+        flat = turned.reshape(n, -1)
+        np.matmul(past.reshape(n, -1).T, flat, out=grads[1])
+        turned[:, :, 2 * size :] = into.transpose(0, 2, 1)
+        np.matmul(read.reshape(n, -1).T, flat, out=grads[6])
+        into = np.matmul(flat, self.values[6].T, out=room("into_inputs", n, inputs.shape[1]))
         for i in range(1, len(self.values)):
-            g = grads[i]
+            g, part = grads[i], room("part", *grads[i].shape)
             g /= count
-            self.squares[i] += g * g
-            g /= np.sqrt(self.squares[i])
+            self.squares[i] += np.multiply(g, g, out=part)
+            g /= np.sqrt(self.squares[i], out=part)
             g *= rate
             self.values[i] -= g
         flat = before.ravel()
         order = np.argsort(flat.astype(np.int16) if self.size < 1 << 15 else flat, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-        rows, g = flat[order][heads], np.add.reduceat(into[order], heads) / count
+        flat = flat[order]
+        heads = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        sorted_into = np.take(into, order, axis=0, out=room("sorted_into", *into.shape), mode="clip")
+        rows, g = flat[heads], np.add.reduceat(sorted_into, heads) / count
         self.squares[0][rows] += g * g
         self.values[0][rows] -= rate * g / np.sqrt(self.squares[0][rows])
         return now.T
@@ -366,11 +429,11 @@ def packed(ids: np.ndarray, firsts: np.ndarray, start: int, streams: int) -> tup
     rank[np.argsort(-lengths, kind="stable")] = np.arange(streams)
     steps = int(lengths.max())
     place = np.arange(len(ids))
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    step, column = place - firsts[row] + offset[row], rank[stream[row]]
-    at = np.full((steps, streams), -1, np.int32)
-    at[step, column] = place
-    target = np.where(at >= 0, ids[at], -1).astype(np.int32)
+    cell = place * streams
+    cell += np.repeat((offset - firsts[:-1]) * streams + rank[stream], sizes)
+    at, target = (np.full((steps, streams), -1, np.int32) for _ in range(2))
+    at.ravel()[cell] = place
+    target.ravel()[cell] = ids
     fresh = np.zeros((steps, streams), bool)
     fresh[offset, rank[stream]] = True
     before = np.full((steps, streams), start, np.int32)
@@ -389,9 +452,9 @@ def windows(texts: Iterator[np.ndarray], start: int, streams: int) -> Iterator[t
     ahead, order = 0, count()
     own: list[np.ndarray | None] = [None] * streams
     places = [0] * streams
+    last = np.full(streams, start, np.int32)
     more = True
     while True:
-        before = np.full((streams, WINDOW), start, np.int32)
         target = np.full((streams, WINDOW), -1, np.int32)
         fresh = np.zeros((streams, WINDOW), bool)
         for s in range(streams):
@@ -413,16 +476,15 @@ def windows(texts: Iterator[np.ndarray], start: int, streams: int) -> Iterator[t
                 ids, place = own[s], places[s]
                 n = min(WINDOW - at, len(ids) - place)
                 target[s, at : at + n] = ids[place : place + n]
-                if place:
-                    before[s, at : at + n] = ids[place - 1 : place - 1 + n]
-                else:
-                    before[s, at + 1 : at + n] = ids[: n - 1]
                 at, places[s] = at + n, place + n
                 if places[s] == len(ids):
                     own[s] = None
         run = np.flatnonzero(target[:, 0] >= 0)
         if not len(run):
             return
+        before = np.column_stack([last, target[:, :-1]])
+        before[fresh | (target < 0)] = start
+        last = target[:, -1]
         yield run, *(np.ascontiguousarray(v[run].T) for v in (before, fresh, target))
 
 
@@ -448,7 +510,7 @@ def log_likelihoods(net: Network, ids: np.ndarray, firsts: np.ndarray) -> np.nda
 def _trainer(net: Broadcast[Network], vocabulary: Broadcast[Vocabulary]):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network.__new__(Network)
-        own.__dict__ = {**net.value.__dict__, "values": [v.copy() for v in net.value.values], "squares": [v.copy() for v in net.value.squares]}
+        own.__dict__ = {**net.value.__dict__, "values": [v.copy() for v in net.value.values], "squares": [v.copy() for v in net.value.squares], "room": Room()}
         tokens = 0
 
         def texts() -> Iterator[np.ndarray]:

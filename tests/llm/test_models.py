@@ -2,7 +2,9 @@
 
 import collections
 import math
+import pickle
 import random
+import tracemalloc
 import types
 import zlib
 
@@ -351,3 +353,30 @@ def test_words_are_looked_up_where_many_have_the_same_upper_bits(bits):
     assert counts.tolist() == [known.get(w, -1) for w in asked.tolist()]
     assert ids.tolist() == [known.get(w, len(words)) for w in asked.tolist()]
     assert lm.Vocabulary(words[:0], words[:0].astype(int), words[:0].astype(int), 0, 0, 0).look_up(asked)[0].max() == -1
+
+
+def test_training_windows_use_their_arrays_again():
+    rng = np.random.default_rng(3)
+    net = lm.Network(np.append(np.sort(rng.integers(1, 999, 1000))[::-1], 50))
+    again = pickle.loads(pickle.dumps(net))
+    state = np.zeros((lm.STREAMS, net.hidden), np.float32)
+
+    def window() -> tuple[np.ndarray, ...]:
+        target = rng.integers(0, net.size + 1, (lm.WINDOW, lm.STREAMS)).astype(np.int32)
+        target[20:, 5] = -1
+        before = np.vstack([np.full((1, lm.STREAMS), net.size + 1, np.int32), np.maximum(target[:-1], 0)])
+        return before, before == net.size + 1, target
+
+    first, second = window(), window()
+    net.learn(*first, state, 0.05)
+    tracemalloc.start()
+    after = net.learn(*second, state, 0.05)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1 << 21  # the arrays of a window take several times as much
+
+    again.learn(*first, state, 0.05)
+    again = pickle.loads(pickle.dumps(again))  # without the arrays
+    assert not again.room._kept
+    same = again.learn(*second, state, 0.05)
+    assert (after == same).all() and (net.vector() == again.vector()).all()
